@@ -32,7 +32,7 @@ PMAX_MARKERS = ("performance max", "pmax", "performance_max")
 
 # Money and fractional metrics are summed exactly; doubles appear only where a
 # share or ratio is taken, so results do not depend on summation order.
-MONEY = DecimalType(24, 8)
+MONEY = DecimalType(24, 6)
 
 
 def col_(c: str | Column) -> Column:

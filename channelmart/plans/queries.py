@@ -33,3 +33,164 @@ def q_events_join_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     from channelmart.plans.events import tag_events
     tagged = tag_events(si.events(spark, sf_dir), si.EVENT_PROPERTY_ID, si.EVENT_PROPERTY_NAME)
     return tagged.select("event_id", "event_name", "event_timestamp", "user_pseudo_id", "join_key")
+
+
+# --------------------------------------------------------------------- ads
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import DecimalType, DoubleType, FloatType  # noqa: E402
+
+
+def round_out(c, places: int = 6):
+    """Output rounding that both engines compute identically: scale by an
+    exact power of ten (IEEE multiply), round half away from zero to an
+    integer, scale back (IEEE divide). Spark's round(x, 6) decides ties on the
+    decimal form, DuckDB's on the binary value; this form avoids the mismatch."""
+    m = F.lit(float(10 ** places))
+    return F.round(c.cast("double") * m, 0) / m
+
+
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Doubles and decimals as doubles rounded to ``places`` (both engines)."""
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (DoubleType, FloatType, DecimalType)):
+            cols.append(round_out(F.col(f.name), places).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def _ads_inputs(spark: SparkSession, sf_dir: str):
+    return si.ads_reports(spark, sf_dir), si.native_reports(spark, sf_dir)
+
+
+@register("native_hybrid")
+def q_native_hybrid(spark, sf_dir):
+    from channelmart.operators.hybrid import native_hybrid
+    nat = si.native_reports(spark, sf_dir)
+    return rounded(native_hybrid(nat["campaign"], nat["ad_group"]))
+
+
+@register("default_channel")
+def q_default_channel(spark, sf_dir):
+    from channelmart.functions.exprs import default_channel
+    rep = si.ads_reports(spark, sf_dir)["day_campaign_ads"]
+    return (rep.select("property_name", "campaign").distinct()
+            .withColumn("default_channel", default_channel("campaign")))
+
+
+def _targets(spark, sf_dir):
+    from channelmart.operators.overlay import targets
+    rep = si.ads_reports(spark, sf_dir)
+    return targets(rep["range_analytics"], rep["range_ads"])
+
+
+def _days(spark, sf_dir):
+    from channelmart.operators.overlay import adgroup_day, campaign_day
+    rep = si.ads_reports(spark, sf_dir)
+    return (campaign_day(rep["day_campaign_analytics"], rep["day_campaign_ads"]),
+            adgroup_day(rep["day_adgroup_analytics"], rep["day_adgroup_ads"]))
+
+
+@register("targets_overlay")
+def q_targets_overlay(spark, sf_dir):
+    t = _targets(spark, sf_dir)
+    return rounded(t.withColumn("first_seen_side", F.col("first_seen.side")).drop("first_seen"))
+
+
+@register("campaign_day_overlay")
+def q_campaign_day_overlay(spark, sf_dir):
+    return rounded(_days(spark, sf_dir)[0])
+
+
+@register("adgroup_day_overlay")
+def q_adgroup_day_overlay(spark, sf_dir):
+    return rounded(_days(spark, sf_dir)[1])
+
+
+def _weights(spark, sf_dir):
+    from channelmart.operators.reconcile import discrepancy_weights, real_targets
+    T = real_targets(_targets(spark, sf_dir))
+    return T, discrepancy_weights(T, _days(spark, sf_dir)[1])
+
+
+@register("discrepancy_weights")
+def q_discrepancy_weights(spark, sf_dir):
+    return rounded(_weights(spark, sf_dir)[1].drop("first_seen"))
+
+
+@register("campaign_level_rows")
+def q_campaign_level_rows(spark, sf_dir):
+    from channelmart.operators.reconcile import (active_campaign_days, campaign_level_rows,
+                                                 real_targets)
+    T = real_targets(_targets(spark, sf_dir))
+    return rounded(campaign_level_rows(active_campaign_days(_days(spark, sf_dir)[0]), T))
+
+
+def _gap(spark, sf_dir):
+    from channelmart.operators.reconcile import active_campaign_days, daily_gap
+    T, w = _weights(spark, sf_dir)
+    cd, ad = _days(spark, sf_dir)
+    return daily_gap(active_campaign_days(cd), T, ad), w
+
+
+@register("daily_gap")
+def q_daily_gap(spark, sf_dir):
+    return rounded(_gap(spark, sf_dir)[0])
+
+
+@register("distribute_revenue")
+def q_distribute_revenue(spark, sf_dir):
+    from channelmart.operators.reconcile import distribute, target_shares
+    gap, w = _gap(spark, sf_dir)
+    d = distribute(gap, target_shares(w))
+    return rounded(d.select("property_name", "data_date", "campaign", "ad_group", "channel", "medium",
+                            "dist_revenue", "dist_conversions"))
+
+
+@register("distribute_sessions_carry")
+def q_distribute_sessions_carry(spark, sf_dir):
+    from channelmart.operators.reconcile import distribute, target_shares
+    gap, w = _gap(spark, sf_dir)
+    d = distribute(gap, target_shares(w))
+    return d.select("property_name", "data_date", "campaign", "ad_group", "channel", "medium",
+                    "dist_sessions")
+
+
+@register("reconciled_daily")
+def q_reconciled_daily(spark, sf_dir):
+    from channelmart.plans.ads_daily import reconciled
+    return rounded(reconciled(si.ads_reports(spark, sf_dir)))
+
+
+@register("session_share")
+def q_session_share(spark, sf_dir):
+    from channelmart.operators.blend import session_share
+    from channelmart.plans.ads_daily import reconciled
+    return rounded(session_share(reconciled(si.ads_reports(spark, sf_dir))))
+
+
+@register("blended_ads")
+def q_blended_ads(spark, sf_dir):
+    from channelmart.operators.blend import blend
+    from channelmart.operators.hybrid import native_hybrid
+    from channelmart.plans.ads_daily import reconciled
+    rep, nat = _ads_inputs(spark, sf_dir)
+    return rounded(blend(native_hybrid(nat["campaign"], nat["ad_group"]), reconciled(rep),
+                         si.ads_properties(spark)))
+
+
+@register("ads_metrics")
+def q_ads_metrics(spark, sf_dir):
+    from channelmart.plans.ads_daily import ads_daily
+    rep, nat = _ads_inputs(spark, sf_dir)
+    return rounded(ads_daily(rep, nat, si.ads_properties(spark), si.ADS_START, si.ADS_END))
+
+
+@register("ads_daily_summary")
+def q_ads_daily_summary(spark, sf_dir):
+    from channelmart.operators.summary import day_summary
+    from channelmart.plans.ads_daily import ads_daily
+    rep, nat = _ads_inputs(spark, sf_dir)
+    df = ads_daily(rep, nat, si.ads_properties(spark), si.ADS_START, si.ADS_END)
+    return rounded(day_summary(df, {"cost": "cost", "clicks": "clicks"}))
