@@ -48,7 +48,7 @@ def stay_limit(depart: Column) -> Column:
     """Departure + 1 day as 'YYYY-MM-DD'; if the departure prefix does not
     parse, the prefix itself is the bound."""
     prefix = F.substring(F.coalesce(depart, F.lit("")), 1, 10)
-    parsed = F.try_to_date(prefix, F.lit("yyyy-M-d"))
+    parsed = F.try_to_date(prefix, "yyyy-M-d")
     return F.coalesce(F.date_format(F.date_add(parsed, 1), "yyyy-MM-dd"), prefix)
 
 

@@ -105,22 +105,20 @@ def date_prefix(c: str | Column) -> Column:
     return F.substring(F.coalesce(col_(c).cast("string"), F.lit("")), 1, 10)
 
 
-# Timestamp layouts accepted for reservation times; the unpadded pattern also
-# takes zero-padded input, like the source parser.
-_TS_LAYOUTS = ("yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s")
+# Reservation times come as 'date time' or 'dateTtime'; the unpadded pattern
+# also takes zero-padded fields, like the source parser.
+_TS_LAYOUT = "yyyy-M-d H:m:s"
 
 
 def parse_and_shift(c: str | Column, hours: int = -3) -> Column:
-    """trim, first 19 chars, parse with either layout, shift by ``hours`` and
+    """trim, first 19 chars, parse (either separator), shift by ``hours`` and
     return the date; unparsable -> first 10 chars of the trimmed text;
-    null or '' -> '' (P20)."""
-    raw = F.coalesce(col_(c).cast("string"), F.lit(""))
-    head = F.substring(F.trim(raw), 1, 19)
-    parsed = F.coalesce(*[F.try_to_timestamp(head, F.lit(fmt)) for fmt in _TS_LAYOUTS])
+    null or '' -> '' (P20). The text is parsed once: the 'T' separator is
+    mapped to a space, which no valid date or time part contains."""
+    raw = F.trim(F.coalesce(col_(c).cast("string"), F.lit("")))
+    parsed = F.try_to_timestamp(F.translate(F.substring(raw, 1, 19), "T", " "), F.lit(_TS_LAYOUT))
     shifted = F.date_format(parsed + F.make_interval(hours=F.lit(hours)), "yyyy-MM-dd")
-    return (F.when(raw == F.lit(""), F.lit(""))
-            .when(parsed.isNotNull(), shifted)
-            .otherwise(F.substring(F.trim(raw), 1, 10)))
+    return F.coalesce(shifted, F.substring(raw, 1, 10))
 
 
 def to_money(c: str | Column) -> Column:

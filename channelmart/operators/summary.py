@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def day_summary(df: DataFrame, sums: dict[str, str], day: str = "data_date") -> DataFrame:
+def day_summary(df: DataFrame, sums: dict[str, str], day: str = "data_date",
+                exact_places: int | None = None) -> DataFrame:
     """rollup(day): rows and the given sums per day, and a grand total row
-    (day = NULL) that also counts the days. One shuffle of partial aggregates."""
+    (day = NULL) that also counts the days. One shuffle of partial aggregates.
+    ``exact_places``: the values are exact decimals of that scale held in
+    doubles; they are summed as decimals so the total is order-independent."""
     aggs = [F.count(F.lit(1)).alias("row_count"), F.count_distinct(day).alias("days")]
-    aggs += [F.sum(F.col(src).cast("double")).alias(name) for name, src in sums.items()]
+    for name, src in sums.items():
+        v = F.col(src)
+        if exact_places is not None:
+            v = v.cast(f"decimal(38,{exact_places})")
+        aggs.append(F.sum(v).cast("double").alias(name))
     return df.rollup(day).agg(*aggs)
 
 

@@ -36,8 +36,182 @@ ev_flat AS (
 """
 
 
+def _round(c: str) -> str:
+    return f"(ROUND(CAST({c} AS DOUBLE) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE))"
+
+
+ITEM_CTE = """
+ir AS (
+  SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'north-lounges' ELSE 'south-stays' END AS property_name,
+         strftime(l_shipdate, '%Y%m%d') AS date,
+         CASE WHEN l_linestatus = 'F' THEN 'Organic Search' ELSE 'Paid Search' END AS channel,
+         p_name AS item_name,
+         CASE WHEN l_returnflag = 'R' THEN 0
+              ELSE CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) END AS net,
+         CASE WHEN l_returnflag = 'R' THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS qty
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+ir_report AS (
+  SELECT property_name, date, channel, item_name,
+         CAST(SUM(net) AS DECIMAL(24,6)) AS item_revenue, CAST(SUM(qty) AS BIGINT) AS items_purchased
+  FROM ir GROUP BY ALL
+),
+ir_out AS (
+  SELECT property_name, property_name AS property_type,
+         substr(date, 1, 4) || '-' || substr(date, 5, 2) || '-' || substr(date, 7, 2) AS data_date,
+         channel AS session_default_channel_group, item_name,
+         CAST(item_revenue AS DOUBLE) AS item_revenue, items_purchased
+  FROM ir_report WHERE item_revenue > 0 OR items_purchased > 0
+)
+"""
+
+SEARCH_CTE = """
+s_base AS (
+  SELECT CASE user_id % 4 WHEN 0 THEN 'proj-lounge' WHEN 1 THEN 'proj-stays' WHEN 2 THEN '  '
+              ELSE 'proj-parking' END AS project_id,
+         event_id, event_type, ts, CAST(ts AS DATE) AS data_date
+  FROM events
+),
+s_projects AS (
+  SELECT * FROM (VALUES ('proj-lounge', 'north-lounges'), ('proj-stays', 'south-stays'),
+                        ('  ', 'ghost-site'), ('proj-parking', 'east-parking')) p(project_id, property_name)
+  WHERE trim(project_id) <> ''
+),
+s_dates AS (SELECT CAST(DATE '2024-01-24' + INTERVAL (i) DAY AS DATE) AS d FROM range(7) t(i)),
+s_site AS (
+  SELECT p.property_name, 'searchdata_site_impression' AS table_name, strftime(b.data_date, '%Y-%m-%d') AS date
+  FROM s_base b JOIN s_projects p ON p.project_id = b.project_id
+  WHERE b.event_type <> 'error' AND b.data_date IN (SELECT d FROM s_dates)
+),
+s_url AS (
+  SELECT p.property_name, 'searchdata_url_impression' AS table_name, strftime(b.data_date, '%Y-%m-%d') AS date
+  FROM s_base b JOIN s_projects p ON p.project_id = b.project_id
+  WHERE b.data_date IN (SELECT d FROM s_dates)
+),
+s_top AS (
+  SELECT * FROM (
+    SELECT b.*, ROW_NUMBER() OVER (PARTITION BY project_id ORDER BY ts DESC, event_id DESC) AS rn FROM s_base b
+  ) WHERE rn <= 100
+),
+s_log AS (
+  SELECT p.property_name, strftime(d.d, '%Y-%m-%d') AS date, t.event_id, t.event_type AS table_name,
+         CAST(epoch_us(t.ts) AS BIGINT) AS publish_time_us
+  FROM s_top t JOIN s_projects p ON p.project_id = t.project_id, s_dates d
+)
+"""
+
+RES_CTE = """
+r_src AS (
+  SELECT 1 + c_nationkey % 3 AS property_id, o_orderkey AS res_no,
+    CASE WHEN o_orderkey % 3 <> 0 THEN 'OC' || CAST(o_orderkey AS VARCHAR) ELSE '' END AS conf,
+    CASE WHEN o_orderkey % 50 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 99:99:99'
+         WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%d %H:%M:%S')
+         ELSE strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%dT%H:%M:%S') END AS created_raw,
+    CASE WHEN o_orderstatus = 'P'
+         THEN strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') END AS cancelled_raw,
+    strftime(o_orderdate, '%Y-%m-%d') AS arrive,
+    strftime(CAST(o_orderdate AS DATE) + INTERVAL 60 DAY, '%Y-%m-%d') AS depart,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 'Sleepover Direct' WHEN o_orderpriority = '5-LOW' THEN ''
+         ELSE o_orderpriority END AS source,
+    CASE o_custkey % 4 WHEN 0 THEN '176' WHEN 1 THEN '176.9' WHEN 2 THEN '12' ELSE 'x' END AS creator,
+    CASE WHEN o_orderpriority = '5-LOW' THEN 'Agent-' || CAST(c_nationkey AS VARCHAR) END AS agent,
+    c_name AS surname, c_mktsegment AS given,
+    'Room-' || CAST(c_nationkey % 5 AS VARCHAR) AS accommodation,
+    CASE o_orderstatus WHEN 'F' THEN 'Departed' WHEN 'O' THEN 'Confirmed' ELSE 'Cancelled' END AS status,
+    CASE WHEN o_custkey % 5 = 0 THEN '' WHEN c_nationkey % 2 = 0 THEN 'GBP' END AS currency,
+    CASE WHEN c_nationkey % 2 = 1 AND o_custkey % 5 <> 0 THEN 'AUD' END AS currency_code
+  FROM orders JOIN customer ON o_custkey = c_custkey
+),
+r_props AS (
+  SELECT * FROM (VALUES (1, 'Harbour View', 'Sydney'), (2, 'Airport Inn', 'Manchester'), (3, 'Old Mill', ''))
+  p(property_id, property_name, location)
+),
+r_norm AS (
+  SELECT r.*,
+    CASE WHEN created_raw = '' THEN ''
+         WHEN try_strptime(substr(trim(created_raw), 1, 19), ['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S']) IS NOT NULL
+         THEN strftime(try_strptime(substr(trim(created_raw), 1, 19), ['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S']) - INTERVAL 3 HOUR, '%Y-%m-%d')
+         ELSE substr(trim(created_raw), 1, 10) END AS created_date_utc,
+    CASE WHEN cancelled_raw IS NULL OR cancelled_raw = '' THEN ''
+         WHEN try_strptime(substr(trim(cancelled_raw), 1, 19), ['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S']) IS NOT NULL
+         THEN strftime(try_strptime(substr(trim(cancelled_raw), 1, 19), ['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S']) - INTERVAL 3 HOUR, '%Y-%m-%d')
+         ELSE substr(trim(cancelled_raw), 1, 10) END AS cancelled_date_utc,
+    CASE WHEN source <> '' AND strpos(lower(source), 'sleepover') > 0 THEN
+           CASE WHEN TRY_CAST(creator AS DOUBLE) IS NOT NULL AND CAST(trunc(TRY_CAST(creator AS DOUBLE)) AS BIGINT) = 176
+                THEN 'Sleepover.com' ELSE 'Sleepover e-mail/phone' END
+         ELSE COALESCE(NULLIF(source, ''), NULLIF(agent, ''), '') END AS reservation_agent
+  FROM r_src r
+  WHERE substr(trim(created_raw), 1, 10) BETWEEN '1994-12-30' AND '2002-01-01'
+),
+r_export AS (
+  SELECT n.res_no, COALESCE(NULLIF(n.conf, ''), 'REST API') AS rms_conf_no, n.created_date_utc AS date_made_utc,
+         n.arrive, n.depart, n.reservation_agent, n.surname, n.given, n.accommodation, 'N/A' AS date_paid,
+         n.property_id, p.property_name, p.location, n.status, n.source AS booking_source_name,
+         COALESCE(NULLIF(n.currency, ''), NULLIF(n.currency_code, ''), 'USD') AS currency,
+         n.created_date_utc, n.cancelled_date_utc
+  FROM r_norm n JOIN r_props p ON p.property_id = n.property_id
+  WHERE n.created_date_utc BETWEEN '1994-12-31' AND '2001-12-31'
+),
+r_rates AS (
+  SELECT e.res_no, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS rate_sum
+  FROM r_export e JOIN lineitem ON l_orderkey = e.res_no
+  WHERE strftime(l_shipdate, '%Y-%m-%d') >= e.arrive
+    AND strftime(l_shipdate, '%Y-%m-%d') <= strftime(CAST(e.depart AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d')
+  GROUP BY e.res_no
+)
+"""
+
+RES_COLS = ("res_no, rms_conf_no, date_made_utc, arrive, depart, reservation_agent, surname, given, accommodation, "
+            "date_paid, property_id, property_name, location, status, booking_source_name, currency, "
+            "created_date_utc, cancelled_date_utc")
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["item_revenue"] = f"""
+WITH {ITEM_CTE}
+SELECT property_name, property_type, data_date, session_default_channel_group, item_name,
+       {_round('item_revenue')} AS item_revenue, items_purchased
+FROM ir_out
+"""
+    q["item_revenue_summary"] = f"""
+WITH {ITEM_CTE}
+SELECT data_date, COUNT(*) AS row_count, COUNT(DISTINCT data_date) AS days, {_round('SUM(CAST(item_revenue AS DECIMAL(38,6)))')} AS item_revenue
+FROM ir_out GROUP BY ROLLUP (data_date)
+"""
+    q["search_window"] = f"""
+WITH {SEARCH_CTE}
+SELECT property_name, table_name, date, COUNT(*) AS "rows"
+FROM (SELECT property_name, table_name, date FROM s_site
+      UNION ALL SELECT property_name, table_name, date FROM s_url
+      UNION ALL SELECT property_name, 'ExportLog' AS table_name, date FROM s_log)
+GROUP BY ALL
+"""
+    q["export_log_top100"] = f"""
+WITH {SEARCH_CTE}
+SELECT property_name, date, event_id, table_name, publish_time_us FROM s_log
+"""
+    q["reservations_normalised"] = f"""
+WITH {RES_CTE}
+SELECT {RES_COLS} FROM r_export
+"""
+    q["reservation_rates"] = f"""
+WITH {RES_CTE}
+SELECT {RES_COLS.replace('date_paid', "COALESCE(CAST(CAST(r.rate_sum AS DECIMAL(38,2)) AS VARCHAR), '0.00') AS rate, date_paid")}
+FROM r_export e LEFT JOIN r_rates r USING (res_no)
+"""
+    q["month_to_date"] = """
+WITH daily AS (
+  SELECT CAST(l_shipdate AS DATE) AS day, SUM(CAST(l_quantity AS BIGINT)) AS qty, COUNT(*) AS lines
+  FROM lineitem GROUP BY 1
+)
+SELECT strftime(d.day + INTERVAL 1 DAY, '%Y-%m-%d') AS as_of,
+       strftime(date_trunc('month', d.day), '%Y-%m-%d') AS range_start,
+       strftime(d.day, '%Y-%m-%d') AS range_end,
+       CAST(SUM(x.qty) AS BIGINT) AS mtd_quantity, CAST(SUM(x.lines) AS BIGINT) AS mtd_lines
+FROM daily d JOIN daily x ON x.day BETWEEN date_trunc('month', d.day) AND d.day
+GROUP BY d.day
+"""
     q["flatten_events"] = f"""
 WITH {EVENTS_CTE}
 SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name,

@@ -194,3 +194,86 @@ def q_ads_daily_summary(spark, sf_dir):
     rep, nat = _ads_inputs(spark, sf_dir)
     df = ads_daily(rep, nat, si.ads_properties(spark), si.ADS_START, si.ADS_END)
     return rounded(day_summary(df, {"cost": "cost", "clicks": "clicks"}))
+
+
+# ------------------------------------------------------------ item revenue
+@register("item_revenue")
+def q_item_revenue(spark, sf_dir):
+    from channelmart.plans.item_revenue import item_revenue
+    return rounded(item_revenue(si.item_revenue_report(spark, sf_dir), si.ads_properties(spark)))
+
+
+@register("item_revenue_summary")
+def q_item_revenue_summary(spark, sf_dir):
+    from channelmart.operators.summary import day_summary
+    from channelmart.plans.item_revenue import item_revenue
+    df = item_revenue(si.item_revenue_report(spark, sf_dir), si.ads_properties(spark))
+    return rounded(day_summary(df, {"item_revenue": "item_revenue"}, exact_places=6))
+
+
+# ------------------------------------------------------------------ search
+def _snapshots(spark, sf_dir):
+    from channelmart.plans.search import search_snapshot
+    return search_snapshot(si.search_tables(spark, sf_dir), si.EXPORT_LOG, si.search_projects(spark),
+                           si.EVENTS_AS_OF)
+
+
+@register("search_window")
+def q_search_window(spark, sf_dir):
+    from channelmart.operators.summary import snapshot_counts
+    snaps = _snapshots(spark, sf_dir)
+    parts = [df.select("property_name", F.lit(name).alias("table_name"), "date") for name, df in snaps.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return snapshot_counts(union, ["property_name", "table_name", "date"])
+
+
+@register("export_log_top100")
+def q_export_log_top100(spark, sf_dir):
+    snap = _snapshots(spark, sf_dir)[si.EXPORT_LOG]
+    return snap.select("property_name", "date", "event_id", "table_name",
+                       F.unix_micros("publish_time").alias("publish_time_us"))
+
+
+# ------------------------------------------------------------ reservations
+RES_START, RES_END = "1994-12-31", "2001-12-31"   # every creation day of the orders table
+
+
+@register("reservations_normalised")
+def q_reservations_normalised(spark, sf_dir):
+    from channelmart.plans.reservations import COLUMNS, creation_window, normalize_reservations
+    norm = normalize_reservations(creation_window(si.reservations(spark, sf_dir), RES_START, RES_END))
+    kept = norm.where(F.col("created_date_utc").between(RES_START, RES_END))
+    return kept.join(si.reservation_properties(spark), "property_id").select(
+        *[c for c in COLUMNS if c != "rate"])
+
+
+@register("reservation_rates")
+def q_reservation_rates(spark, sf_dir):
+    from channelmart.plans.reservations import export_reservations
+    return export_reservations(si.reservations(spark, sf_dir), si.daily_rates(spark, sf_dir),
+                               si.reservation_properties(spark), RES_START, RES_END)
+
+
+# ------------------------------------------------------------- date rules
+@register("month_to_date")
+def q_month_to_date(spark, sf_dir):
+    """D1+D2 for every ship day d as the day before ``as_of``: the
+    month-to-date window [first of d's month, d] and its quantity/lines.
+    Daily partial aggregates, then a running sum within each month."""
+    from pyspark.sql import Window
+    from channelmart.functions.dates import range_bounds_col
+    li = si.table(spark, sf_dir, "lineitem")
+    daily = (li.groupBy(F.to_date("l_shipdate").alias("day"))
+             .agg(F.sum(F.col("l_quantity").cast("long")).alias("qty"), F.count(F.lit(1)).alias("lines")))
+    as_of = F.date_add("day", 1)
+    start, end = range_bounds_col(as_of)
+    w = Window.partitionBy(F.trunc("day", "MM")).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select(
+        F.date_format(as_of, "yyyy-MM-dd").alias("as_of"),
+        F.date_format(start, "yyyy-MM-dd").alias("range_start"),
+        F.date_format(end, "yyyy-MM-dd").alias("range_end"),
+        F.sum("qty").over(w).alias("mtd_quantity"),
+        F.sum("lines").over(w).alias("mtd_lines"),
+    )
