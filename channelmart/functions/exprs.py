@@ -134,8 +134,9 @@ def metric_or_zero(c: str | Column, kind: str) -> Column:
 
 
 def money_text(c: str | Column) -> Column:
-    """Exact two-decimal text of a decimal sum, '0.00' when absent."""
-    return F.coalesce(col_(c).cast("decimal(38,2)").cast("string"), F.lit("0.00"))
+    """Two-decimal text of a decimal sum (half-even, as a float formatter
+    rounds most ties), '0.00' when absent (P23)."""
+    return F.coalesce(F.bround(col_(c), 2).cast("decimal(38,2)").cast("string"), F.lit("0.00"))
 
 
 # Fixed values of the reservation agent rule.
