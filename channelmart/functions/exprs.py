@@ -105,18 +105,19 @@ def date_prefix(c: str | Column) -> Column:
     return F.substring(F.coalesce(col_(c).cast("string"), F.lit("")), 1, 10)
 
 
-# Reservation times come as 'date time' or 'dateTtime'; the unpadded pattern
-# also takes zero-padded fields, like the source parser.
-_TS_LAYOUT = "yyyy-M-d H:m:s"
+# Reservation times: 'date time' or 'dateTtime', fields may be unpadded (the
+# source parser accepts both). Checked by pattern first so the fast built-in
+# cast does the parsing and a bad value costs no exception.
+_TS_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def parse_and_shift(c: str | Column, hours: int = -3) -> Column:
     """trim, first 19 chars, parse (either separator), shift by ``hours`` and
     return the date; unparsable -> first 10 chars of the trimmed text;
-    null or '' -> '' (P20). The text is parsed once: the 'T' separator is
-    mapped to a space, which no valid date or time part contains."""
+    null or '' -> '' (P20)."""
     raw = F.trim(F.coalesce(col_(c).cast("string"), F.lit("")))
-    parsed = F.try_to_timestamp(F.translate(F.substring(raw, 1, 19), "T", " "), F.lit(_TS_LAYOUT))
+    head = F.substring(raw, 1, 19)
+    parsed = F.when(head.rlike(_TS_TEXT), head.try_cast("timestamp"))
     shifted = F.date_format(parsed + F.make_interval(hours=F.lit(hours)), "yyyy-MM-dd")
     return F.coalesce(shifted, F.substring(raw, 1, 10))
 
@@ -144,14 +145,18 @@ SLEEPOVER_MARK = "sleepover"
 SLEEPOVER_WEB_AGENT_ID = 176
 SLEEPOVER_WEB = "Sleepover.com"
 SLEEPOVER_OTHER = "Sleepover e-mail/phone"
+# Decimal or scientific number text (inf/nan are not numbers here: they fail
+# the integer conversion in the source rule and so do not count as the id).
+_NUM_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def booking_agent(source_name: Column, creator_id: Column, *fallbacks: Column) -> Column:
     """A booking source mentioning the partner decides by the creator id
     (numeric and truncating to the web agent id -> web, else phone/e-mail);
     otherwise the source name, then the travel-agent names."""
-    as_num = F.coalesce(creator_id.cast("string"), F.lit("")).try_cast("double")
-    finite = as_num.isNotNull() & ~F.isnan(as_num) & (F.abs(as_num) < F.lit(9.2e18))
+    text = F.trim(F.coalesce(creator_id.cast("string"), F.lit("")))
+    as_num = F.when(text.rlike(_NUM_TEXT), text.try_cast("double"))
+    finite = as_num.isNotNull() & (F.abs(as_num) < F.lit(9.2e18))
     is_web = finite & (as_num.cast("long") == F.lit(SLEEPOVER_WEB_AGENT_ID))
     partner = F.contains(F.lower(F.coalesce(source_name, F.lit(""))), F.lit(SLEEPOVER_MARK))
     return (F.when(partner & is_web, F.lit(SLEEPOVER_WEB))

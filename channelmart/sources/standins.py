@@ -84,8 +84,8 @@ def ads_base(spark: SparkSession, sf_dir: str, start: str = ADS_START,
     return df.select(
         "property_name", "campaign",
         ad_group.alias("ad_group"), channel.alias("channel"), medium.alias("medium"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("date"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("data_date"),
+        F.translate(F.to_date("l_shipdate").cast("string"), "-", "").alias("date"),
+        F.to_date("l_shipdate").cast("string").alias("data_date"),
         qty.alias("qty"),
         (qty * F.col("p_size")).alias("qty_size"),
         (_dec("l_extendedprice") * (F.lit(1) - _dec("l_discount", 4, 2))).alias("net"),
@@ -93,6 +93,23 @@ def ads_base(spark: SparkSession, sf_dir: str, start: str = ADS_START,
     )
 
 
+def _pos(*cols: str) -> Column:
+    # Report order of the stand-ins: dense order of (campaign, ad group).
+    return F.struct(*[F.col(c) for c in cols]).alias("pos")
+
+
+FINE_KEYS = ["property_name", "date", "data_date", "campaign", "ad_group", "channel", "medium"]
+
+
+def ads_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base rolled up once to its finest report grain; every report view
+    re-aggregates this, so lineitem x part is scanned and joined once per
+    plan (the shuffle below this aggregate is reused by all views)."""
+    return ads_base(spark, sf_dir).groupBy(*FINE_KEYS).agg(
+        F.sum("tax_amt").alias("tax_amt"), F.sum("qty").alias("qty"), F.sum("qty_size").alias("qty_size"),
+        F.sum("net").alias("net"), F.count(F.lit(1)).alias("lines"))
+
+
 def _ads_metrics() -> list[Column]:
     return [F.sum("tax_amt").cast(MONEY).alias("cost"),
             F.sum("qty").alias("clicks"),
@@ -101,18 +118,13 @@ def _ads_metrics() -> list[Column]:
 
 def _an_metrics() -> list[Column]:
     return [F.sum("net").cast(MONEY).alias("revenue"),
-            F.count(F.lit(1)).cast(MONEY).alias("conversions"),
+            F.sum("lines").cast(MONEY).alias("conversions"),
             F.sum("qty").alias("sessions")]
 
 
-def _pos(*cols: str) -> Column:
-    # Report order of the stand-ins: dense order of (campaign, ad group).
-    return F.struct(*[F.col(c) for c in cols]).alias("pos")
-
-
 def ads_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six analytics report frames, typed as ``sources.reports`` returns them."""
-    b = ads_base(spark, sf_dir)
+    b = ads_fine(spark, sf_dir)
     out = {
         "range_ads": b.groupBy("property_name", "campaign", "ad_group").agg(*_ads_metrics()),
         "range_analytics": b.groupBy("property_name", "campaign", "ad_group", "channel", "medium").agg(*_an_metrics()),
@@ -132,10 +144,10 @@ def ads_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def native_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Ads-platform rows at campaign and ad-group level (``sources.ads_search``
     shape). The ad-group level leaves out PMax campaigns."""
-    b = ads_base(spark, sf_dir)
+    b = ads_fine(spark, sf_dir)
     m = [(F.sum("tax_amt") * F.lit(1000000)).cast("long").alias("cost_micros"),
          F.sum("qty").alias("clicks"), F.sum("qty_size").alias("impressions"),
-         F.count(F.lit(1)).cast(MONEY).alias("conversions"),
+         F.sum("lines").cast(MONEY).alias("conversions"),
          F.sum("net").cast(MONEY).alias("revenue")]
     camp = b.groupBy("property_name", "data_date", "campaign").agg(*m)
     adg = (b.where(~F.col("campaign").startswith("PMax "))
@@ -181,7 +193,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("event_name"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
         F.when(F.col("event_id") % 7 != 0, F.col("user_id").cast("string")).alias("user_pseudo_id"),
-        F.date_format("ts", "yyyyMMdd").alias("event_date"),
+        F.translate(F.to_date("ts").cast("string"), "-", "").alias("event_date"),
         F.when(F.col("event_type") == "error", empty).otherwise(params).alias("event_params"),
     )
 
@@ -199,7 +211,7 @@ def item_revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = _dec("l_extendedprice") * (F.lit(1) - _dec("l_discount", 4, 2))
     df = li.join(part, li.l_partkey == part.p_partkey).select(
         F.when(F.col("l_suppkey") % 2 == 0, F.lit(names[0])).otherwise(F.lit(names[1])).alias("property_name"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("date"),
+        F.translate(F.to_date("l_shipdate").cast("string"), "-", "").alias("date"),
         F.when(F.col("l_linestatus") == "F", F.lit("Organic Search")).otherwise(F.lit("Paid Search")).alias("channel"),
         F.col("p_name").alias("item_name"),
         F.when(returned, F.lit(0)).otherwise(net).alias("net"),
@@ -229,9 +241,11 @@ def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = o.join(c, o.o_custkey == c.c_custkey)
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     created_ts = F.col("o_orderdate") + F.make_dt_interval(hours=(key % 24).cast("int"))
-    created = (F.when(key % 50 == 0, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 99:99:99")))
-               .when(key % 2 == 0, F.date_format(created_ts, "yyyy-MM-dd HH:mm:ss"))
-               .otherwise(F.date_format(created_ts, "yyyy-MM-dd'T'HH:mm:ss")))
+    order_day = F.to_date("o_orderdate").cast("string")
+    created_text = created_ts.cast("string")          # 'yyyy-MM-dd HH:mm:ss'
+    created = (F.when(key % 50 == 0, F.concat(order_day, F.lit(" 99:99:99")))
+               .when(key % 2 == 0, created_text)
+               .otherwise(F.translate(created_text, " ", "T")))
     source = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Sleepover Direct"))
               .when(F.col("o_orderpriority") == "5-LOW", F.lit(""))
               .otherwise(F.col("o_orderpriority")))
@@ -250,11 +264,11 @@ def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 != 0, F.concat(F.lit("OC"), key.cast("string"))).otherwise(F.lit("")).alias("onlineConfirmationId"),
         F.when(key % 4 != 1, created).alias("dateCreated"),
         F.when(key % 4 == 1, created).alias("createdDate"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00").alias("arrivalDate"),
+        F.concat(order_day, F.lit("T00:00:00")).alias("arrivalDate"),
         null_s.alias("arriveDate"),
-        F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 60), "yyyy-MM-dd 00:00:00").alias("departureDate"),
+        F.concat(F.date_add(F.col("o_orderdate").cast("date"), 60).cast("string"), F.lit(" 00:00:00")).alias("departureDate"),
         null_s.alias("departDate"),
-        F.when(F.col("o_orderstatus") == "P", F.date_format(created_ts + F.make_dt_interval(days=F.lit(1)), "yyyy-MM-dd HH:mm:ss")).alias("dateCancelled"),
+        F.when(F.col("o_orderstatus") == "P", (created_ts + F.make_dt_interval(days=F.lit(1))).cast("string")).alias("dateCancelled"),
         null_s.alias("cancelledDate"),
         F.when(cust % 2 == 0, source).alias("bookingSourceName"),
         F.struct(F.when(cust % 2 == 1, source).alias("name")).alias("bookingSource"),
@@ -279,7 +293,7 @@ def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("reservationId"),
         F.col("l_extendedprice").cast(DecimalType(18, 2)).alias("totalRateAmount"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("stayDate"),
+        F.to_date("l_shipdate").cast("string").alias("stayDate"),
     )
 
 
