@@ -118,7 +118,7 @@ def parse_and_shift(c: str | Column, hours: int = -3) -> Column:
     raw = F.trim(F.coalesce(col_(c).cast("string"), F.lit("")))
     head = F.substring(raw, 1, 19)
     parsed = F.when(head.rlike(_TS_TEXT), head.try_cast("timestamp"))
-    shifted = F.date_format(parsed + F.make_interval(hours=F.lit(hours)), "yyyy-MM-dd")
+    shifted = F.to_date(parsed + F.make_interval(hours=F.lit(hours))).cast("string")
     return F.coalesce(shifted, F.substring(raw, 1, 10))
 
 

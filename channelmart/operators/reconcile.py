@@ -106,8 +106,11 @@ def session_carry(fanned: DataFrame) -> DataFrame:
     exact = diff*share + carry; alloc = rint(exact); carry = exact - alloc.
     One ordered fold per (property, campaign, channel, medium, ad group), in
     the JVM (``aggregate``); a group holds one row per active day of the run,
-    so its size is bounded by the date range, not by the data volume."""
-    rows = fanned.where((F.col("n") >= 2) & ~F.col("last_sessions"))
+    so its size is bounded by the date range, not by the data volume.
+    Days with no session gap are left out: there exact = 0*share + carry =
+    carry, |carry| <= 0.5 rounds (half-even) to 0, so the allocation is 0 and
+    the carry is unchanged -- an exact no-op. Callers treat a missing day as 0."""
+    rows = fanned.where((F.col("n") >= 2) & ~F.col("last_sessions") & (F.col("diff_sessions") > 0))
     day = F.struct(F.col("data_date").alias("d"), F.col("diff_sessions").cast("double").alias("x"))
     seq = (rows.groupBy(*TARGET_KEYS)
            .agg(F.array_sort(F.collect_list(day)).alias("days"), F.first("share_sessions").alias("share")))
@@ -144,8 +147,9 @@ def distribute(gap: DataFrame, shares: DataFrame) -> DataFrame:
                 .when(~F.col(f"last_{m}"), F.col(f"part_{m}"))
                 .otherwise(F.col(f"diff_{m}") - F.coalesce(F.sum(f"part_{m}").over(day), F.lit(0))))
         cols.append(dist.alias(f"dist_{m}"))
+    alloc = F.coalesce(F.col("alloc_sessions"), F.lit(0).cast("bigint"))
     sess = (F.when(F.col("n") == 1, F.col("diff_sessions"))
-            .when(~F.col("last_sessions"), F.col("alloc_sessions"))
+            .when(~F.col("last_sessions"), alloc)
             .otherwise(F.col("diff_sessions") - F.coalesce(F.sum("alloc_sessions").over(day), F.lit(0))))
     cols.append(sess.alias("dist_sessions"))
     return f.select(*CAMPAIGN_DAY_KEYS, "ad_group", *cols)

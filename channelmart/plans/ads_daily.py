@@ -10,6 +10,7 @@ from channelmart.operators.hybrid import native_hybrid
 from channelmart.operators.overlay import adgroup_day, campaign_day, targets, with_iso_date
 from channelmart.operators.reconcile import reconcile_daily
 from channelmart.operators.summary import day_summary
+from channelmart.session import cut_lineage
 from channelmart.sinks.writers import write_partitions
 
 REPORTS = ("range_ads", "range_analytics", "day_campaign_ads", "day_campaign_analytics",
@@ -24,21 +25,38 @@ def _in_range(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
     return df
 
 
-def reconciled(reports: dict[str, DataFrame], start: str | None = None,
-               end: str | None = None) -> DataFrame:
-    """C1 over the six analytics reports of every property."""
+def overlays(reports: dict[str, DataFrame], start: str | None = None,
+             end: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """J2-J4 once each. Targets feed four consumers and the ad-group-day
+    overlay three; each consumer prunes different columns, so Spark would
+    otherwise rebuild (re-shuffle) the same overlay per consumer. They are
+    report-sized, so they are checkpointed into the shared checkpoint folder:
+    computed once, short downstream plans, nothing replayed after a lost
+    executor."""
     t = targets(reports["range_analytics"], reports["range_ads"])
     cd = campaign_day(_in_range(with_iso_date(reports["day_campaign_analytics"]), start, end),
                       _in_range(with_iso_date(reports["day_campaign_ads"]), start, end))
     ad = adgroup_day(_in_range(with_iso_date(reports["day_adgroup_analytics"]), start, end),
                      _in_range(with_iso_date(reports["day_adgroup_ads"]), start, end))
-    return reconcile_daily(t, cd, ad)
+    return cut_lineage(t), cut_lineage(cd), cut_lineage(ad)
+
+
+def reconciled(reports: dict[str, DataFrame], start: str | None = None,
+               end: str | None = None) -> DataFrame:
+    """C1 over the six analytics reports of every property."""
+    return reconcile_daily(*overlays(reports, start, end))
 
 
 def ads_daily(reports: dict[str, DataFrame], native: dict[str, DataFrame], properties: DataFrame,
               start: str | None = None, end: str | None = None) -> DataFrame:
     """One row per property, day, campaign, ad group, channel and medium."""
-    rec = reconciled(reports, start, end)
+    return ads_daily_from(overlays(reports, start, end), native, properties, start, end)
+
+
+def ads_daily_from(built_overlays: tuple[DataFrame, DataFrame, DataFrame], native: dict[str, DataFrame],
+                   properties: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """C4 from already built (checkpointed) overlays."""
+    rec = reconcile_daily(*built_overlays)
     nat = native_hybrid(_in_range(native["campaign"], start, end),
                         _in_range(native["ad_group"], start, end))
     return derive_metrics(blend(nat, rec, properties))

@@ -60,10 +60,6 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def _ads_inputs(spark: SparkSession, sf_dir: str):
-    return si.ads_reports(spark, sf_dir), si.native_reports(spark, sf_dir)
-
-
 @register("native_hybrid")
 def q_native_hybrid(spark, sf_dir):
     from channelmart.operators.hybrid import native_hybrid
@@ -79,17 +75,18 @@ def q_default_channel(spark, sf_dir):
             .withColumn("default_channel", default_channel("campaign")))
 
 
+def _overlays(spark, sf_dir):
+    from channelmart.plans.ads_daily import overlays
+    from channelmart.session import memo
+    return memo(spark, ("overlays", sf_dir), lambda: overlays(si.ads_reports(spark, sf_dir)))
+
+
 def _targets(spark, sf_dir):
-    from channelmart.operators.overlay import targets
-    rep = si.ads_reports(spark, sf_dir)
-    return targets(rep["range_analytics"], rep["range_ads"])
+    return _overlays(spark, sf_dir)[0]
 
 
 def _days(spark, sf_dir):
-    from channelmart.operators.overlay import adgroup_day, campaign_day
-    rep = si.ads_reports(spark, sf_dir)
-    return (campaign_day(rep["day_campaign_analytics"], rep["day_campaign_ads"]),
-            adgroup_day(rep["day_adgroup_analytics"], rep["day_adgroup_ads"]))
+    return _overlays(spark, sf_dir)[1:]
 
 
 @register("targets_overlay")
@@ -157,42 +154,46 @@ def q_distribute_sessions_carry(spark, sf_dir):
                     "dist_sessions")
 
 
+def _reconciled(spark, sf_dir):
+    from channelmart.operators.reconcile import reconcile_daily
+    return reconcile_daily(*_overlays(spark, sf_dir))
+
+
 @register("reconciled_daily")
 def q_reconciled_daily(spark, sf_dir):
-    from channelmart.plans.ads_daily import reconciled
-    return rounded(reconciled(si.ads_reports(spark, sf_dir)))
+    return rounded(_reconciled(spark, sf_dir))
 
 
 @register("session_share")
 def q_session_share(spark, sf_dir):
     from channelmart.operators.blend import session_share
-    from channelmart.plans.ads_daily import reconciled
-    return rounded(session_share(reconciled(si.ads_reports(spark, sf_dir))))
+    return rounded(session_share(_reconciled(spark, sf_dir)))
 
 
 @register("blended_ads")
 def q_blended_ads(spark, sf_dir):
     from channelmart.operators.blend import blend
     from channelmart.operators.hybrid import native_hybrid
-    from channelmart.plans.ads_daily import reconciled
-    rep, nat = _ads_inputs(spark, sf_dir)
-    return rounded(blend(native_hybrid(nat["campaign"], nat["ad_group"]), reconciled(rep),
+    nat = si.native_reports(spark, sf_dir)
+    return rounded(blend(native_hybrid(nat["campaign"], nat["ad_group"]), _reconciled(spark, sf_dir),
                          si.ads_properties(spark)))
 
 
+def _ads_daily(spark, sf_dir):
+    from channelmart.plans.ads_daily import ads_daily_from
+    return ads_daily_from(_overlays(spark, sf_dir), si.native_reports(spark, sf_dir), si.ads_properties(spark),
+                          si.ADS_START, si.ADS_END)
+
+
 @register("ads_metrics")
 def q_ads_metrics(spark, sf_dir):
-    from channelmart.plans.ads_daily import ads_daily
-    rep, nat = _ads_inputs(spark, sf_dir)
-    return rounded(ads_daily(rep, nat, si.ads_properties(spark), si.ADS_START, si.ADS_END))
+    return rounded(_ads_daily(spark, sf_dir))
 
 
 @register("ads_daily_summary")
 def q_ads_daily_summary(spark, sf_dir):
     from channelmart.operators.summary import day_summary
-    from channelmart.plans.ads_daily import ads_daily
-    rep, nat = _ads_inputs(spark, sf_dir)
-    df = ads_daily(rep, nat, si.ads_properties(spark), si.ADS_START, si.ADS_END)
+    df = _ads_daily(spark, sf_dir)
     return rounded(day_summary(df, {"cost": "cost", "clicks": "clicks"}))
 
 

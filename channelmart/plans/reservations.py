@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from channelmart.functions.dates import stay_limit
 from channelmart.functions.exprs import (booking_agent, date_prefix, first_non_empty,
                                          money_text, parse_and_shift)
+from channelmart.session import cut_lineage
 from channelmart.sinks.writers import write_partitions
 
 # Fixed values of the export.
@@ -116,7 +117,9 @@ def export_reservations(res: DataFrame, rates: DataFrame, properties: DataFrame,
     end = end or start
     norm = normalize_reservations(creation_window(res, start, end))
     kept = norm.where(F.col("created_date_utc").between(F.lit(start), F.lit(end)))      # F5
-    tagged = kept.join(properties, "property_id")                                       # J14
+    # The export rows feed both the per-id stay window and the output; they
+    # are checkpointed once (shared folder) instead of normalised twice.
+    tagged = cut_lineage(kept.join(properties, "property_id"))                          # J14
     rated = tagged.join(stay_rates(tagged, rates), "res_no", "left")                    # J13
     return rated.withColumn("rate", money_text("rate_sum")).select(*COLUMNS)
 

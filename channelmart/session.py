@@ -60,7 +60,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder, so a lost
-    executor never forces a replay of the whole upstream plan."""
+    """Reliable checkpoint into the shared checkpoint folder: the frame is
+    computed once, later plans start from its files (short plans, no
+    recomputation per consumer), and a lost executor never forces a replay
+    of the upstream plan."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_MEMO: dict[tuple, object] = {}
+
+
+def memo(spark: SparkSession, key: tuple, build):
+    """Per-session memo of a built (usually checkpointed) frame, so several
+    queries over the same inputs share one computation."""
+    k = (spark.sparkContext.applicationId, id(spark)) + tuple(key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
