@@ -1,0 +1,76 @@
+"""C7 and C8 on hand-made rows."""
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from channelmart.plans.reservations import COLUMNS, export_reservations
+from channelmart.plans.search import log_snapshot, search_snapshot
+from channelmart.sources.properties import reservation_properties_dim, search_projects_dim
+from channelmart.sources.reservations import RESERVATION_FIELDS
+
+NULL_ROW = {f.name: None for f in RESERVATION_FIELDS.fields}
+
+
+def res_frame(spark, rows):
+    data = [dict(NULL_ROW, **r) for r in rows]
+    schema = StructType(list(RESERVATION_FIELDS.fields) + [StructField("property_id", IntegerType()),
+                                                          StructField("pos", IntegerType())])
+    return spark.createDataFrame([tuple(d.get(f.name) for f in schema.fields) for d in data], schema)
+
+
+def test_export_day_shift_rates_and_defaults(spark):
+    rows = [
+        # created 02:00 on the 6th -> 23:00 on the 5th after the -3 h shift: kept for the 5th
+        {"id": "1", "dateCreated": "2024-03-06 02:00:00", "arrivalDate": "2024-03-10", "departureDate": "2024-03-12",
+         "bookingSourceName": "Sleepover web", "createdById": "176.0", "primaryGuest": {"lastName": "Lee", "firstName": "Ann",
+                                                                                       "surname": None, "given": None},
+         "property_id": 1, "pos": 0},
+        # T layout, nested names, second currency field
+        {"reservationId": "2", "createdDate": "2024-03-05T12:00:00", "arriveDate": "2024-03-01T00:00:00",
+         "departDate": "bad", "bookingSource": {"name": ""}, "travelAgent": {"name": "Agent X"},
+         "guest": {"lastName": None, "firstName": None, "surname": "Roe", "given": "Bo"},
+         "primaryGuest": {"lastName": None, "firstName": None, "surname": None, "given": None},
+         "category": {"name": "Suite"}, "currencyCode": "EUR", "property_id": 2, "pos": 1},
+        # unparsable time but the day prefix matches: kept, not shifted
+        {"id": "3", "dateCreated": "2024-03-05 25:00:00", "arrivalDate": "2024-03-05", "departureDate": "2024-03-06",
+         "onlineConfirmationId": "OC3", "currency": "", "property_id": 1, "pos": 2},
+        # created on the 6th at 05:00 -> 02:00 on the 6th: another day, dropped
+        {"id": "4", "dateCreated": "2024-03-06 05:00:00", "property_id": 1, "pos": 3},
+    ]
+    rates = spark.createDataFrame(
+        [("1", Decimal("10.00"), "2024-03-10"), ("1", Decimal("5.50"), "2024-03-13"),   # depart+1 included
+         ("1", Decimal("7.00"), "2024-03-14"), ("3", Decimal("1.25"), "2024-03-04"),    # outside windows
+         ("2", Decimal("2.00"), "2024-03-02"), (None, Decimal("9"), "2024-03-05")],
+        "reservationId string, totalRateAmount decimal(24,6), stayDate string")
+    props = reservation_properties_dim(spark, [{"propertyId": 1, "clientName": "A", "location": "L"},
+                                               {"propertyId": 2, "clientName": "B"}])
+    out = export_reservations(res_frame(spark, rows), rates, props, "2024-03-05")
+    assert out.columns == COLUMNS
+    got = {r.res_no: r for r in out.collect()}
+    assert sorted(got) == [1, 2, 3]
+    a, b, c = got[1], got[2], got[3]
+    assert (a.created_date_utc, a.date_made_utc, a.reservation_agent, a.surname, a.given, a.rate,
+            a.rms_conf_no, a.currency, a.location) == ("2024-03-05", "2024-03-05", "Sleepover.com", "Lee", "Ann",
+                                                      "15.50", "REST API", "USD", "L")
+    assert (b.reservation_agent, b.surname, b.given, b.accommodation, b.currency, b.rate, b.depart, b.location) == \
+        ("Agent X", "Roe", "Bo", "Suite", "EUR", "2.00", "bad", "")   # text bound "bad" sorts after digits
+    assert (c.created_date_utc, c.rms_conf_no, c.currency, c.rate) == ("2024-03-05", "OC3", "USD", "0.00")
+
+
+def test_search_snapshot_window_and_top(spark):
+    projects = search_projects_dim(spark, [{"project_id": "p1", "property_name": "one"},
+                                           {"project_id": " ", "property_name": "blank"}])
+    t = spark.createDataFrame([("p1", "2024-01-06"), ("p1", "2024-01-07"), (" ", "2024-01-06"), ("p1", "2023-12-31")],
+                              "project_id string, d string").withColumn("data_date", F.to_date("d"))
+    log = spark.range(250).select(F.lit("p1").alias("project_id"), F.col("id").alias("event_id"),
+                                  (F.col("id") % 120).cast("timestamp").alias("publish_time"))
+    snaps = search_snapshot({"site": t, "log": log}, "log", projects, "2024-01-08")
+    assert sorted(r.date for r in snaps["site"].collect()) == ["2024-01-06", "2024-01-07"]
+    top = snaps["log"]
+    assert top.count() == 100 * 7
+    assert top.where("date = '2024-01-01'").agg(F.min("publish_time")).first()[0] is not None
+    ids = {r.event_id for r in log_snapshot(log, projects, ["2024-01-07"]).collect()}
+    expected = {r.event_id for r in log.orderBy(F.col("publish_time").desc(), F.col("event_id").desc()).limit(100).collect()}
+    assert ids == expected
