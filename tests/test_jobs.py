@@ -1,0 +1,50 @@
+"""Job-level runs: write paths (K1, K2, K4, K5) and the daily event read."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from channelmart.plans import queries as q
+from channelmart.plans.ads_daily import run_ads_daily
+from channelmart.plans.item_revenue import run_item_revenue
+from channelmart.plans.reservations import export_reservations, write_reservations
+from channelmart.plans.search import write_snapshots
+from channelmart.sources import standins as si
+from channelmart.sources.tables import read_events_day
+from channelmart.sinks.writers import read_partitions
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_run_ads_daily_and_item_revenue(spark, scratch):
+    path = os.path.join(scratch, "ads")
+    summary = run_ads_daily(si.ads_reports(spark, SF), si.native_reports(spark, SF), si.ads_properties(spark),
+                            path, si.ADS_START, si.ADS_END)
+    total = summary.where(F.col("data_date").isNull()).first()
+    assert total.row_count == read_partitions(spark, path).count() == q.REGISTRY["ads_metrics"](spark, SF).count()
+    rev = os.path.join(scratch, "rev")
+    s = run_item_revenue(si.item_revenue_report(spark, SF), si.ads_properties(spark), rev)
+    assert s.where(F.col("data_date").isNull()).first().row_count == read_partitions(spark, rev).count()
+
+
+def test_write_reservations_and_snapshots(spark, scratch):
+    out = export_reservations(si.reservations(spark, SF), si.daily_rates(spark, SF),
+                              si.reservation_properties(spark), "1996-03-01", "1996-03-31")
+    path = os.path.join(scratch, "rms")
+    write_reservations(out, path)
+    days = sorted(d for d in os.listdir(path) if d.startswith("data_date="))
+    assert days and all("1996-03" in d for d in days)
+    snaps = q._snapshots(spark, SF)
+    root = os.path.join(scratch, "gsc")
+    write_snapshots(snaps, root)
+    assert sorted(os.listdir(root)) == sorted(snaps)
+    assert read_partitions(spark, os.path.join(root, si.EXPORT_LOG)).count() == snaps[si.EXPORT_LOG].count()
+
+
+def test_read_events_day_prunes_partition(spark, scratch):
+    path = os.path.join(scratch, "events")
+    si.events(spark, SF).write.partitionBy("event_date").parquet(path)
+    day = read_events_day(spark, path, "20240105")
+    assert day.count() == si.events(spark, SF).where("event_date = '20240105'").count()
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
