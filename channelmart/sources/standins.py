@@ -43,28 +43,33 @@ EXPORT_LOG = "ExportLog"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(_path(sf_dir, name))
+
+
+def _path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 _SPLITS: dict[tuple, int] = {}
 
 
-def _splits(df: DataFrame) -> int:
-    """Scan splits of a plain table read, looked up once per input."""
-    key = (id(df.sparkSession), tuple(sorted(df.inputFiles())))
+def _splits(df: DataFrame, path: str) -> int:
+    """Scan splits of a table, planned once per session and path (no file
+    list is shipped to Python)."""
+    key = (id(df.sparkSession), path)
     if key not in _SPLITS:
         _SPLITS[key] = df.rdd.getNumPartitions()
     return _SPLITS[key]
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, path: str) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores (a
     single-row-group file) so the per-row work after it runs in parallel.
     Large inputs already arrive in many splits and are left alone, so no
     shuffle is added at scale. Filters and column pruning still reach the
     scan (Catalyst pushes them below the round-robin repartition)."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    if _splits(df) < want:
+    if _splits(df, path) < want:
         return df.repartition(want)
     return df
 
@@ -85,7 +90,7 @@ def ads_base(spark: SparkSession, sf_dir: str, start: str = ADS_START,
     li = spread(table(spark, sf_dir, "lineitem")
                 .where((F.col("l_shipdate") >= _ntz(start)) & (F.col("l_shipdate") < F.date_add(F.lit(end), 1).cast("timestamp_ntz")))
                 .select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-                        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
+                        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"), _path(sf_dir, "lineitem"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     brand_no = F.substring_index("p_brand", "#", -1).try_cast("int")
     campaign = (F.when(F.col("p_brand") == "Brand#25", F.lit(NOT_SET))
@@ -212,7 +217,7 @@ def _param(string_value=None, int_value=None, double_value=None) -> Column:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analytics-export shaped events: name, micros timestamp, pseudo user
     (null every 7th id), yyyyMMdd date and a parameter map (empty for errors)."""
-    e = spread(table(spark, sf_dir, "events"))
+    e = spread(table(spark, sf_dir, "events"), _path(sf_dir, "events"))
     params = F.create_map(
         F.lit("k"), _param(int_value=F.get_json_object("props", "$.k").try_cast("bigint")),
         F.lit("value"), _param(double_value=F.col("value")),
@@ -233,7 +238,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item revenue report rows (date, channel group, item name | revenue,
     items); returned lines (flag R) report zero."""
-    li = spread(table(spark, sf_dir, "lineitem")).select(
+    li = spread(table(spark, sf_dir, "lineitem"), _path(sf_dir, "lineitem")).select(
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -273,7 +278,7 @@ def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(table(spark, sf_dir, "orders")).select("o_orderkey", "o_custkey", "o_orderstatus",
+    o = spread(table(spark, sf_dir, "orders"), _path(sf_dir, "orders")).select("o_orderkey", "o_custkey", "o_orderstatus",
                                                "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     df = o.join(c, o.o_custkey == c.c_custkey)
@@ -328,7 +333,7 @@ def _reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate rows: one per line item (reservation = order, stay = ship day)."""
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return spread(table(spark, sf_dir, "lineitem"), _path(sf_dir, "lineitem")).select(
         F.col("l_orderkey").alias("reservationId"),
         F.col("l_extendedprice").cast(DecimalType(18, 2)).alias("totalRateAmount"),
         F.to_date("l_shipdate").cast("string").alias("stayDate"),
@@ -344,7 +349,7 @@ def reservation_properties(spark: SparkSession) -> DataFrame:
 def search_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Per-project search tables with a DATE ``data_date``, plus the export log
     with ``publish_time``; ``project_id`` says which project owns a row."""
-    e = spread(table(spark, sf_dir, "events"))
+    e = spread(table(spark, sf_dir, "events"), _path(sf_dir, "events"))
     ids = F.array(*[F.lit(p["project_id"]) for p in SEARCH_PROJECTS])
     base = e.select(
         F.element_at(ids, (F.col("user_id") % len(SEARCH_PROJECTS) + 1).cast("int")).alias("project_id"),
