@@ -128,15 +128,21 @@ def session_carry(fanned: DataFrame) -> DataFrame:
     return folded.select(*TARGET_KEYS, F.inline("out"))
 
 
-def distribute(gap: DataFrame, shares: DataFrame) -> DataFrame:
+def distribute(gap: DataFrame, shares: DataFrame, observed: DataFrame | None = None) -> DataFrame:
     """J9 + W6 + P26 (+ W4 for sessions): per fanned-out row the distributed
     revenue, conversions and sessions. n = 1 takes the whole gap unrounded;
     otherwise non-residual groups get rint(diff*share*1e6)/1e6 (sessions: the
     carry fold) and the residual taker gets diff minus the others (may be
-    negative)."""
+    negative). ``observed`` (J10), when given, is joined on the same six keys
+    as the carry result, so both joins share one partitioning of the rows."""
     f = fan_out(gap, shares)
     carry = session_carry(f)
-    f = f.join(carry, ["data_date", *TARGET_KEYS], "left")
+    f = f.join(carry.select(*ADGROUP_DAY_KEYS, "alloc_sessions"), ADGROUP_DAY_KEYS, "left")
+    extra = []
+    if observed is not None:
+        f = f.join(observed.select(*ADGROUP_DAY_KEYS, *[F.col(m).alias(f"obs_{m}") for m in AN_METRICS]),
+                   ADGROUP_DAY_KEYS, "left")
+        extra = [f"obs_{m}" for m in AN_METRICS]
     day = Window.partitionBy(*CAMPAIGN_DAY_KEYS)
     cols = []
     for m in SHARED:
@@ -152,7 +158,7 @@ def distribute(gap: DataFrame, shares: DataFrame) -> DataFrame:
             .when(~F.col("last_sessions"), alloc)
             .otherwise(F.col("diff_sessions") - F.coalesce(F.sum("alloc_sessions").over(day), F.lit(0))))
     cols.append(sess.alias("dist_sessions"))
-    return f.select(*CAMPAIGN_DAY_KEYS, "ad_group", *cols)
+    return f.select(*CAMPAIGN_DAY_KEYS, "ad_group", *cols, *extra)
 
 
 def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: DataFrame) -> DataFrame:
@@ -163,14 +169,12 @@ def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: Da
     T = real_targets(targets)
     shares = target_shares(discrepancy_weights(T, adgroup_day))
     active = active_campaign_days(campaign_day)
-    dist = distribute(daily_gap(active, T, adgroup_day), shares)
-    observed = adgroup_day.select(*ADGROUP_DAY_KEYS, *AN_METRICS)
-    j = dist.join(observed, ADGROUP_DAY_KEYS, "left")
+    j = distribute(daily_gap(active, T, adgroup_day), shares, observed=adgroup_day)
     detailed = j.select(
         *ADGROUP_DAY_KEYS,
-        (F.coalesce(F.col("revenue"), F.lit(0)) + F.col("dist_revenue")).alias("revenue_ga4"),
-        (F.coalesce(F.col("conversions"), F.lit(0)) + F.col("dist_conversions")).alias("conversions_ga4"),
-        (F.coalesce(F.col("sessions"), F.lit(0)) + F.col("dist_sessions")).alias("sessions_ga4"),
+        (F.coalesce(F.col("obs_revenue"), F.lit(0)) + F.col("dist_revenue")).alias("revenue_ga4"),
+        (F.coalesce(F.col("obs_conversions"), F.lit(0)) + F.col("dist_conversions")).alias("conversions_ga4"),
+        (F.coalesce(F.col("obs_sessions"), F.lit(0)) + F.col("dist_sessions")).alias("sessions_ga4"),
     )
     level = campaign_level_rows(active, T)
     return detailed.select(*RECONCILED_COLS).unionByName(
