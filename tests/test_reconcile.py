@@ -154,3 +154,20 @@ def test_invariants_on_standin(spark):
     num = [c for c, t in m.dtypes if t == "double"]
     bad = m.where(F.greatest(*[F.isnan(c).cast("int") for c in num]) == 1).count()
     assert bad == 0
+
+
+def test_blend_preserves_native_totals(spark):
+    """Invariant (c): splitting native metrics by session weight keeps each
+    native row's total (per day, campaign and ad group)."""
+    from channelmart.operators.hybrid import native_hybrid
+    from channelmart.plans.queries import REGISTRY
+    from channelmart.sources import standins as si
+    d = "/root/testdata/sf0.001"
+    nat = si.native_reports(spark, d)
+    native = native_hybrid(nat["campaign"], nat["ad_group"])
+    k = ["property_name", "data_date", "campaign", "ad_group"]
+    blended = REGISTRY["ads_metrics"](spark, d).groupBy(*k).agg(F.sum("cost").alias("c"), F.sum("clicks").alias("k"))
+    j = native.groupBy(*k).agg(F.sum(F.col("cost").cast("double")).alias("nc"),
+                               F.sum(F.col("clicks").cast("double")).alias("nk")).join(blended, k, "full_outer")
+    assert j.where(F.col("c").isNull() | F.col("nc").isNull()).count() == 0
+    assert j.where((F.abs(F.col("c") - F.col("nc")) > 1e-4) | (F.abs(F.col("k") - F.col("nk")) > 1e-4)).count() == 0
