@@ -11,12 +11,13 @@ group takes the residual. Everything is keyed by ``property_name``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from channelmart.functions.exprs import (CAMPAIGN_LEVEL, is_named_campaign,
                                          is_real_ad_group, rint_places)
+from channelmart.session import cut_lineage
 from channelmart.operators.overlay import (ADGROUP_DAY_KEYS, ALL_METRICS, AN_METRICS,
                                            CAMPAIGN_DAY_KEYS, TARGET_KEYS)
 
@@ -79,19 +80,28 @@ def daily_gap(active: DataFrame, T: DataFrame, adgroup_day: DataFrame) -> DataFr
 def target_shares(weights: DataFrame) -> DataFrame:
     """W2 + W3 + W5, once per target (period level, before any fan-out): for
     each metric its share of the (campaign, channel, medium) weight (equal
-    shares when the weights sum to <= 0), its rank by share (ties: first
-    appearance) and whether it is the residual taker (the last rank)."""
-    grp = Window.partitionBy(*GROUP)
-    out = weights.withColumn("n", F.count(F.lit(1)).over(grp))
+    shares when the weights sum to <= 0) and whether it is the residual taker:
+    the last by share descending, ties by first appearance, i.e. the smallest
+    share and, among equal shares, the latest first appearance.
+
+    Group sizes, totals and takers are aggregates (map-side partial sums,
+    ``max_by``), joined back on the group key, instead of windows: a campaign
+    holding most ad groups is pre-aggregated in pieces and never sorted or
+    buffered whole by one task, and the joins stay open to AQE skew splits."""
+    stats = weights.groupBy(*GROUP).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"w_{m}").alias(f"tot_{m}") for m in AN_METRICS])
+    out = weights.join(stats, GROUP)
     for m in AN_METRICS:
-        tot = F.sum(f"w_{m}").over(grp)
-        share = F.when(tot <= 0, F.lit(1.0) / F.col("n")).otherwise(
-            F.col(f"w_{m}").cast("double") / tot.cast("double"))
-        out = out.withColumn(f"share_{m}", share)
-        rank = F.row_number().over(grp.orderBy(F.col(f"share_{m}").desc(), F.col("first_seen").asc()))
-        out = out.withColumn(f"last_{m}", rank == F.col("n"))
+        tot = F.col(f"tot_{m}")
+        out = out.withColumn(f"share_{m}", F.when(tot <= 0, F.lit(1.0) / F.col("n")).otherwise(
+            F.col(f"w_{m}").cast("double") / tot.cast("double")))
+    takers = out.groupBy(*GROUP).agg(*[
+        F.max_by("ad_group", F.struct((F.lit(0.0) - F.col(f"share_{m}")).alias("neg_share"),
+                                      F.col("first_seen"))).alias(f"taker_{m}")
+        for m in AN_METRICS])
+    out = out.join(takers, GROUP)
     return out.select(*TARGET_KEYS, "n", *[f"share_{m}" for m in AN_METRICS],
-                      *[f"last_{m}" for m in AN_METRICS])
+                      *[(F.col("ad_group") == F.col(f"taker_{m}")).alias(f"last_{m}") for m in AN_METRICS])
 
 
 def fan_out(gap: DataFrame, shares: DataFrame) -> DataFrame:
@@ -143,31 +153,50 @@ def distribute(gap: DataFrame, shares: DataFrame, observed: DataFrame | None = N
         f = f.join(observed.select(*ADGROUP_DAY_KEYS, *[F.col(m).alias(f"obs_{m}") for m in AN_METRICS]),
                    ADGROUP_DAY_KEYS, "left")
         extra = [f"obs_{m}" for m in AN_METRICS]
-    day = Window.partitionBy(*CAMPAIGN_DAY_KEYS)
-    cols = []
     for m in SHARED:
         rounded = rint_places(F.col(f"diff_{m}").cast("double") * F.col(f"share_{m}"), 6).cast(ALLOC)
-        part = F.when(F.col("n") >= 2, F.when(~F.col(f"last_{m}"), rounded))
-        f = f.withColumn(f"part_{m}", part)
+        f = f.withColumn(f"part_{m}", F.when(F.col("n") >= 2, F.when(~F.col(f"last_{m}"), rounded)))
+    # What the non-residual ad groups of each campaign-day received. A
+    # grouped sum (partial aggregation, one row per campaign-day) joined back,
+    # not a window, so a hot campaign-day is never buffered whole in one task.
+    given = (f.groupBy(*CAMPAIGN_DAY_KEYS)
+             .agg(*[F.sum(f"part_{m}").alias(f"given_{m}") for m in SHARED],
+                  F.sum("alloc_sessions").alias("given_sessions")))
+    f = f.join(given, CAMPAIGN_DAY_KEYS, "left")
+    cols = []
+    for m in SHARED:
         dist = (F.when(F.col("n") == 1, F.col(f"diff_{m}"))
                 .when(~F.col(f"last_{m}"), F.col(f"part_{m}"))
-                .otherwise(F.col(f"diff_{m}") - F.coalesce(F.sum(f"part_{m}").over(day), F.lit(0))))
+                .otherwise(F.col(f"diff_{m}") - F.coalesce(F.col(f"given_{m}"), F.lit(0))))
         cols.append(dist.alias(f"dist_{m}"))
     alloc = F.coalesce(F.col("alloc_sessions"), F.lit(0).cast("bigint"))
     sess = (F.when(F.col("n") == 1, F.col("diff_sessions"))
             .when(~F.col("last_sessions"), alloc)
-            .otherwise(F.col("diff_sessions") - F.coalesce(F.sum("alloc_sessions").over(day), F.lit(0))))
+            .otherwise(F.col("diff_sessions") - F.coalesce(F.col("given_sessions"), F.lit(0))))
     cols.append(sess.alias("dist_sessions"))
     return f.select(*CAMPAIGN_DAY_KEYS, "ad_group", *cols, *extra)
 
 
-def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: DataFrame) -> DataFrame:
+def period_shares(targets: DataFrame, adgroup_day: DataFrame) -> DataFrame:
+    """Weights and shares of the real targets, computed once per run and cut
+    from their lineage (shared checkpoint folder): they are period-level (one
+    row per target, not per day) and read by the fan-out's three consumers
+    (carry fold, residual sums, output rows), which would otherwise each
+    rebuild them with their own exchanges."""
+    T = real_targets(targets)
+    return cut_lineage(target_shares(discrepancy_weights(T, adgroup_day)))
+
+
+def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: DataFrame,
+                    shares: DataFrame | None = None) -> DataFrame:
     """Reconciled analytics rows per (property, day, campaign, ad group,
     channel, medium): campaign-level rows for campaigns with no target ad
     group, else observed (or 0) + distributed gap for every target ad group
-    of the row's channel/medium (J10)."""
+    of the row's channel/medium (J10). ``shares``: ``period_shares`` of the
+    same inputs, when the caller already built them."""
     T = real_targets(targets)
-    shares = target_shares(discrepancy_weights(T, adgroup_day))
+    if shares is None:
+        shares = period_shares(targets, adgroup_day)
     active = active_campaign_days(campaign_day)
     j = distribute(daily_gap(active, T, adgroup_day), shares, observed=adgroup_day)
     detailed = j.select(

@@ -54,9 +54,10 @@ def ads_daily(reports: dict[str, DataFrame], native: dict[str, DataFrame], prope
 
 
 def ads_daily_from(built_overlays: tuple[DataFrame, DataFrame, DataFrame], native: dict[str, DataFrame],
-                   properties: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """C4 from already built (checkpointed) overlays."""
-    rec = reconcile_daily(*built_overlays)
+                   properties: DataFrame, start: str | None = None, end: str | None = None,
+                   shares: DataFrame | None = None) -> DataFrame:
+    """C4 from already built (checkpointed) overlays (and period shares)."""
+    rec = reconcile_daily(*built_overlays, shares=shares)
     nat = native_hybrid(_in_range(native["campaign"], start, end),
                         _in_range(native["ad_group"], start, end))
     return derive_metrics(blend(nat, rec, properties))

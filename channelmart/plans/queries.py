@@ -136,27 +136,33 @@ def q_daily_gap(spark, sf_dir):
     return rounded(_gap(spark, sf_dir)[0])
 
 
+def _shares(spark, sf_dir):
+    from channelmart.operators.reconcile import period_shares
+    from channelmart.session import memo
+    return memo(spark, ("shares", sf_dir), lambda: period_shares(_targets(spark, sf_dir), _days(spark, sf_dir)[1]))
+
+
 @register("distribute_revenue")
 def q_distribute_revenue(spark, sf_dir):
-    from channelmart.operators.reconcile import distribute, target_shares
-    gap, w = _gap(spark, sf_dir)
-    d = distribute(gap, target_shares(w))
+    from channelmart.operators.reconcile import distribute
+    gap, _ = _gap(spark, sf_dir)
+    d = distribute(gap, _shares(spark, sf_dir))
     return rounded(d.select("property_name", "data_date", "campaign", "ad_group", "channel", "medium",
                             "dist_revenue", "dist_conversions"))
 
 
 @register("distribute_sessions_carry")
 def q_distribute_sessions_carry(spark, sf_dir):
-    from channelmart.operators.reconcile import distribute, target_shares
-    gap, w = _gap(spark, sf_dir)
-    d = distribute(gap, target_shares(w))
+    from channelmart.operators.reconcile import distribute
+    gap, _ = _gap(spark, sf_dir)
+    d = distribute(gap, _shares(spark, sf_dir))
     return d.select("property_name", "data_date", "campaign", "ad_group", "channel", "medium",
                     "dist_sessions")
 
 
 def _reconciled(spark, sf_dir):
     from channelmart.operators.reconcile import reconcile_daily
-    return reconcile_daily(*_overlays(spark, sf_dir))
+    return reconcile_daily(*_overlays(spark, sf_dir), shares=_shares(spark, sf_dir))
 
 
 @register("reconciled_daily")
@@ -182,7 +188,7 @@ def q_blended_ads(spark, sf_dir):
 def _ads_daily(spark, sf_dir):
     from channelmart.plans.ads_daily import ads_daily_from
     return ads_daily_from(_overlays(spark, sf_dir), si.native_reports(spark, sf_dir), si.ads_properties(spark),
-                          si.ADS_START, si.ADS_END)
+                          si.ADS_START, si.ADS_END, shares=_shares(spark, sf_dir))
 
 
 @register("ads_metrics")
