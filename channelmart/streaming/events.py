@@ -1,35 +1,42 @@
 """C6 driven by Structured Streaming: pick up only event files not seen by
-earlier runs, flatten them, write with the day-partition writer, stop.
+earlier runs, flatten them, append them to a day-partitioned table, stop.
 
 ``trigger(availableNow=True)`` processes everything landed so far and ends,
-so a scheduler can start it once a day like the batch job. The progress log
-lives under the checkpoint location (default: the session's shared
-``spark.checkpoint.dir``), so a failed run resumes without reprocessing
-committed files. Each micro-batch replaces the (property, day) partitions it
-contains, so a day's files should land together (as daily exports do).
+so a scheduler can start it once a day like the batch job. The source's
+progress log and the file sink's commit log (``_spark_metadata`` in the
+output folder) make each file count exactly once: a failed or retried
+micro-batch is rewritten, never doubled, and a day whose files land across
+several runs keeps the rows of every run (each run appends its own files).
+The output folder is a streaming sink table: read it with
+``spark.read.parquet(path)`` (which follows the commit log) and do not mix it
+with the batch writer's dynamic overwrites. No shuffle: the flattening is
+narrow and every task writes the (property, day) partitions it holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from channelmart.plans.events import flatten_events, write_events
+from channelmart.plans.events import flatten_events
 from channelmart.session import ensure_checkpoint_dir
 
 
 def flatten_new_events(spark: SparkSession, source_dir: str, schema: StructType, target_path: str,
                        property_id: str, property_name: str,
-                       checkpoint_location: str | None = None) -> None:
+                       checkpoint_location: str | None = None,
+                       max_files_per_trigger: int | None = None) -> None:
     if checkpoint_location is None:
         checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flatten-events-{property_id}"
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-    flat = flatten_events(stream, property_id, property_name)
-
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        write_events(batch, target_path)
-
-    query = (flat.writeStream.foreachBatch(write_batch)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    flat = flatten_events(reader.parquet(source_dir), property_id, property_name)
+    query = (flat.writeStream.format("parquet")
+             .outputMode("append")
+             .partitionBy("property_id", "event_date")
+             .option("compression", "snappy")
+             .option("path", target_path)
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True).start())
     query.awaitTermination()
