@@ -47,13 +47,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) create one."""
+    ``spark.checkpoint.dir``. Only a local-mode session (tests, the bench)
+    with the setting unset gets a folder of its own; a cluster session
+    without it is an error, since a machine-local folder would not survive
+    the loss of the executor that wrote it."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (for example on "
+                               "the cluster's distributed file system) for lineage cuts")
         configured = tempfile.mkdtemp(prefix="channelmart-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
