@@ -171,3 +171,30 @@ def test_blend_preserves_native_totals(spark):
                                F.sum(F.col("clicks").cast("double")).alias("nk")).join(blended, k, "full_outer")
     assert j.where(F.col("c").isNull() | F.col("nc").isNull()).count() == 0
     assert j.where((F.abs(F.col("c") - F.col("nc")) > 1e-4) | (F.abs(F.col("k") - F.col("nk")) > 1e-4)).count() == 0
+
+
+def test_residual_taker_ties_and_equal_split(spark):
+    """The residual taker is the smallest share; equal shares go to
+    the latest first appearance; a zero weight total splits evenly."""
+    from channelmart.operators.reconcile import target_shares
+    rows = [  # ad group, (side, pos) of first appearance, revenue / conversions / sessions weights
+        ("g1", (0, 3), Decimal("2"), Decimal("0"), 5),
+        ("g2", (1, 0), Decimal("1"), Decimal("0"), 5),
+        ("g3", (0, 1), Decimal("1"), Decimal("0"), 5),
+        ("g4", (0, 7), Decimal("4"), Decimal("0"), 5),
+    ]
+    w = spark.createDataFrame(
+        [("p", "C", g, "Paid Search", "cpc", {"side": s, "pos": p}, r, c, n) for g, (s, p), r, c, n in rows],
+        "property_name string, campaign string, ad_group string, channel string, medium string,"
+        " first_seen struct<side:int,pos:int>, w_revenue decimal(24,6), w_conversions decimal(24,6),"
+        " w_sessions bigint")
+    out = {r.ad_group: r for r in target_shares(w).collect()}
+    assert {g: r.n for g, r in out.items()} == {"g1": 4, "g2": 4, "g3": 4, "g4": 4}
+    # revenue: g2 and g3 tie at the smallest share 1/8; g2 appears last (ads side) and takes the rest
+    assert [g for g, r in sorted(out.items()) if r.last_revenue] == ["g2"]
+    assert out["g4"].share_revenue == pytest.approx(0.5)
+    # conversions: total 0 -> equal shares 1/4; the taker is the latest first appearance overall
+    assert all(r.share_conversions == pytest.approx(0.25) for r in out.values())
+    assert [g for g, r in sorted(out.items()) if r.last_conversions] == ["g2"]
+    # sessions: equal positive weights, same tie rule
+    assert [g for g, r in sorted(out.items()) if r.last_sessions] == ["g2"]
