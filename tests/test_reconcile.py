@@ -198,3 +198,30 @@ def test_residual_taker_ties_and_equal_split(spark):
     assert [g for g, r in sorted(out.items()) if r.last_conversions] == ["g2"]
     # sessions: equal positive weights, same tie rule
     assert [g for g, r in sorted(out.items()) if r.last_sessions] == ["g2"]
+
+
+def _window_partitions(df):
+    """Partition-key lists of every Window operator in the physical plan."""
+    import re
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [re.sub(r"#\d+L?", "", m) for m in re.findall(r"\+- Window \[.*?\], \[([^\]]*)\]", plan)]
+
+
+def test_no_window_over_campaign_groups(spark):
+    """Scale guard: shares, takers and residuals are aggregates, never windows
+    over a whole campaign; the windows left in the blended table are
+    partitioned by ad group (bounded by channel x medium rows)."""
+    from channelmart.operators.reconcile import (active_campaign_days, daily_gap, discrepancy_weights,
+                                                 distribute, real_targets, target_shares)
+    from channelmart.plans.ads_daily import ads_daily, overlays
+    from channelmart.sources import standins as si
+    d = "/root/testdata/sf0.001"
+    t, cd, ad = overlays(si.ads_reports(spark, d))
+    T = real_targets(t)
+    shares = target_shares(discrepancy_weights(T, ad))
+    dist = distribute(daily_gap(active_campaign_days(cd), T, ad), shares, observed=ad)
+    assert _window_partitions(shares) == []
+    assert _window_partitions(dist) == []
+    full = ads_daily(si.ads_reports(spark, d), si.native_reports(spark, d), si.ads_properties(spark))
+    parts = _window_partitions(full)
+    assert parts and all("ad_group" in p for p in parts), parts
