@@ -18,6 +18,7 @@ from pyspark.sql.types import DecimalType
 from channelmart.functions.exprs import (CAMPAIGN_LEVEL, is_named_campaign,
                                          is_real_ad_group, rint_places)
 from channelmart.session import cut_lineage
+from channelmart.sources.properties import bounded_broadcast
 from channelmart.operators.overlay import (ADGROUP_DAY_KEYS, ALL_METRICS, AN_METRICS,
                                            CAMPAIGN_DAY_KEYS, TARGET_KEYS)
 
@@ -26,6 +27,7 @@ PAIR = ["property_name", "campaign", "ad_group"]
 GROUP = ["property_name", "campaign", "channel", "medium"]          # W2/W3/W6/J9 key
 SHARED = ("revenue", "conversions")                                  # 6-decimal metrics
 ALLOC = DecimalType(30, 6)
+SHARES_BROADCAST_ROWS = 500_000      # ~150 bytes a row: at most ~75 MB per executor
 RECONCILED_COLS = ["property_name", "data_date", "campaign", "ad_group", "channel", "medium",
                    "revenue_ga4", "conversions_ga4", "sessions_ga4"]
 
@@ -182,9 +184,17 @@ def period_shares(targets: DataFrame, adgroup_day: DataFrame) -> DataFrame:
     from their lineage (shared checkpoint folder): they are period-level (one
     row per target, not per day) and read by the fan-out's three consumers
     (carry fold, residual sums, output rows), which would otherwise each
-    rebuild them with their own exchanges."""
+    rebuild them with their own exchanges.
+
+    Their row count (one row per target ad group and channel: the account's
+    structure, not its traffic) is then known, so within
+    ``SHARES_BROADCAST_ROWS`` they are broadcast: the fan-out (J9) runs
+    map-side where the daily rows already are, with no shuffle and no hot
+    campaign funnelled into one task. Beyond the bound the fan-out is a
+    shuffle join left to AQE (skew splits)."""
     T = real_targets(targets)
-    return cut_lineage(target_shares(discrepancy_weights(T, adgroup_day)))
+    shares = cut_lineage(target_shares(discrepancy_weights(T, adgroup_day)))
+    return bounded_broadcast(shares, shares.count(), SHARES_BROADCAST_ROWS)
 
 
 def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: DataFrame,

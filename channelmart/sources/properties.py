@@ -32,9 +32,10 @@ PROJECT_SCHEMA = StructType([
 ])
 
 
-def bounded_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
-    """Broadcast only when the row count, known up front, is within bound."""
-    return F.broadcast(df) if n_rows <= MAX_BROADCAST_ROWS else df
+def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast only when the row count, known up front, is within bound;
+    beyond it the frame is joined without the hint (shuffle join, AQE)."""
+    return F.broadcast(df) if n_rows <= max_rows else df
 
 
 def properties_dim(spark: SparkSession, props: list[dict]) -> DataFrame:

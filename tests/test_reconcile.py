@@ -225,3 +225,10 @@ def test_no_window_over_campaign_groups(spark):
     full = ads_daily(si.ads_reports(spark, d), si.native_reports(spark, d), si.ads_properties(spark))
     parts = _window_partitions(full)
     assert parts and all("ad_group" in p for p in parts), parts
+
+
+def test_row_model_when_shares_exceed_broadcast_bound(spark, monkeypatch):
+    """Beyond the row bound the fan-out is a shuffle join; same results."""
+    from channelmart.operators import reconcile
+    monkeypatch.setattr(reconcile, "SHARES_BROADCAST_ROWS", -1)
+    test_against_row_model(spark, 7)
