@@ -100,7 +100,7 @@ def stay_rates(export: DataFrame, rates: DataFrame) -> DataFrame:
                            & F.col("stayDate").isNotNull())
     # Landed rows carry their report position; without one every row of an
     # id is equally "last" (ids are unique in practice).
-    order = F.coalesce(F.col("pos"), F.lit(0)) if "pos" in export.columns else F.lit(0)
+    order = F.col("pos") if "pos" in export.columns else F.lit(0)
     dates = (export.withColumn("_ord", order)
              .groupBy("res_no").agg(F.max_by(F.struct("arrive", "depart"), "_ord").alias("d"))
              .select("res_no", F.col("d.arrive").alias("arrive"), stay_limit(F.col("d.depart")).alias("limit")))

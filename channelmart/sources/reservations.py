@@ -41,19 +41,30 @@ def _envelope(fields: StructType) -> StructType:
 
 def _read_envelope(spark: SparkSession, path: str, fields: StructType) -> DataFrame:
     """One row per object whatever the page shape. Spark's JSON reader already
-    turns a top-level list into one row per element."""
+    turns a top-level list into one row per element; those elements share
+    list index 0, so ``pos`` also carries the row's ordinal in its read task
+    (``monotonically_increasing_id``): a multi-line JSON file is parsed whole
+    by one task in file order, which makes it the element order."""
     raw = (spark.read.schema(_envelope(fields)).option("multiLine", True)
            .option("mode", "PERMISSIVE").json(path)
-           .select("*", F.col("_metadata.file_name").alias("_file")))
+           .select("*", F.col("_metadata.file_name").alias("_file"),
+                   F.monotonically_increasing_id().alias("_row")))
     names = [f.name for f in fields.fields]
     part_cols = [c for c in raw.columns if c not in names + ["items", "results", "data", "_file"]]
     self_row = F.array(F.struct(*[F.col(n) for n in names]))
-    rows = raw.select(*part_cols, "_file",
+    part_cols = [c for c in part_cols if c != "_row"]
+    rows = raw.select(*part_cols, "_file", "_row",
                       F.posexplode(F.coalesce("items", "results", "data", self_row)).alias("_idx", "r"))
-    present = F.coalesce(*[F.col(f"r.{n}").cast("string") for n in names]).isNotNull()
+    # An element with no field at all is not an object row. The test is on
+    # the whole element (null fields are left out of its JSON text), not on
+    # a coalesce of its fields: the fields are projected under their own
+    # names next, and a filter over all of them would make the optimizer's
+    # constraint propagation grow exponentially with the field count.
+    present = F.to_json(F.col("r")) != F.lit("{}")
     return (rows.where(present)
             .select(*part_cols, "r.*",
-                    F.struct(F.col("_file").alias("file"), F.col("_idx").alias("idx")).alias("pos")))
+                    F.struct(F.col("_file").alias("file"), F.col("_row").alias("row"),
+                             F.col("_idx").alias("idx")).alias("pos")))
 
 
 def read_reservations(spark: SparkSession, path: str) -> DataFrame:

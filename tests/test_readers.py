@@ -56,6 +56,23 @@ def test_read_reservations_envelopes(spark, scratch):
     assert got == [("1", "1"), ("1", "2"), ("1", "3"), ("1", "4"), ("1", "5"), ("2", "6")]
     row = df.where("id = '5'").collect()[0]
     assert row.primaryGuest.lastName == "L"
+    p0 = sorted((r.pos, r.id) for r in df.collect() if r.pos.file == "p0.json")
+    assert [i for _, i in p0] == ["1", "2"]          # bare list: element order is kept in pos
+
+
+def test_last_export_row_of_a_bare_list_page_wins(spark, scratch):
+    """A1 before J11: the stay window of a repeated id comes from its last row."""
+    from channelmart.plans.reservations import stay_rates
+    rows = [{"id": 7, "arrivalDate": "2024-01-01", "departureDate": "2024-01-01"},
+            {"id": 7, "arrivalDate": "2024-02-01", "departureDate": "2024-02-02"}]
+    put(scratch, "property_id=1/p0.json", rows)
+    res = read_reservations(spark, scratch).selectExpr(
+        "cast(id as long) as res_no", "arrivalDate as arrive", "departureDate as depart", "pos")
+    put(scratch, "rates/r0.json", [{"reservationId": 7, "totalRateAmount": "10.00", "stayDate": "2024-01-01"},
+                                   {"reservationId": 7, "totalRateAmount": "5.50", "stayDate": "2024-02-02"}])
+    rates = read_daily_rates(spark, os.path.join(scratch, "rates"))
+    got = [(r.res_no, float(r.rate_sum)) for r in stay_rates(res, rates).collect()]
+    assert got == [(7, 5.5)]
 
 
 def test_read_rates_and_properties(spark, scratch):
