@@ -154,6 +154,30 @@ def test_invariants_on_standin(spark):
     num = [c for c, t in m.dtypes if t == "double"]
     bad = m.where(F.greatest(*[F.isnan(c).cast("int") for c in num]) == 1).count()
     assert bad == 0
+    inf = m.where(F.greatest(*[(F.abs(c) == float("inf")).cast("int") for c in num]) == 1).count()
+    assert inf == 0
+
+
+def test_carry_stays_within_half_a_session(spark):
+    """Invariant (f): for every non-residual ad group the running difference
+    between exact (diff x share) and allocated sessions -- its carry -- stays
+    within [-0.5, 0.5] on every day."""
+    from pyspark.sql import Window
+    from channelmart.operators.reconcile import distribute, fan_out
+    from channelmart.plans.queries import _gap, _shares
+    d = "/root/testdata/sf0.001"
+    gap, _ = _gap(spark, d)
+    shares = _shares(spark, d)
+    keys = ["property_name", "data_date", "campaign", "ad_group", "channel", "medium"]
+    exact = (fan_out(gap, shares).where((F.col("n") >= 2) & ~F.col("last_sessions"))
+             .select(*keys, (F.col("diff_sessions") * F.col("share_sessions")).alias("x")))
+    alloc = distribute(gap, shares).select(*keys, "dist_sessions")
+    w = (Window.partitionBy("property_name", "campaign", "ad_group", "channel", "medium")
+         .orderBy("data_date").rowsBetween(Window.unboundedPreceding, 0))
+    carry = (exact.join(alloc, keys)
+             .select((F.sum("x").over(w) - F.sum("dist_sessions").over(w)).alias("carry")))
+    assert carry.count() > 0
+    assert carry.where(F.abs("carry") > 0.5 + 1e-9).count() == 0
 
 
 def test_blend_preserves_native_totals(spark):
