@@ -204,9 +204,12 @@ def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: Da
     group, else observed (or 0) + distributed gap for every target ad group
     of the row's channel/medium (J10). ``shares``: ``period_shares`` of the
     same inputs, when the caller already built them."""
-    T = real_targets(targets)
     if shares is None:
         shares = period_shares(targets, adgroup_day)
+    # The shares hold exactly the rows of T, so they also name T's campaigns
+    # for the semi/anti joins below, and carry the bounded broadcast with them:
+    # the campaign-day rows are not shuffled by campaign (the hot key).
+    T = shares
     active = active_campaign_days(campaign_day)
     j = distribute(daily_gap(active, T, adgroup_day), shares, observed=adgroup_day)
     detailed = j.select(
