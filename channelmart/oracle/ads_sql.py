@@ -264,7 +264,8 @@ final AS (
 
 def round_out(c: str) -> str:
     """Same rounding as the Spark side: x*1e6, half away from zero, /1e6."""
-    return f"(ROUND(CAST({c} AS DOUBLE) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE))"
+    # "+ 0.0" turns a negative zero into 0.0 (IEEE) and leaves every other value as it is.
+    return f"(ROUND(CAST({c} AS DOUBLE) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) + 0.0)"
 
 
 def _r(c: str, alias: str | None = None) -> str:

@@ -37,7 +37,8 @@ ev_flat AS (
 
 
 def _round(c: str) -> str:
-    return f"(ROUND(CAST({c} AS DOUBLE) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE))"
+    # "+ 0.0" turns a negative zero into 0.0 (IEEE) and leaves every other value as it is.
+    return f"(ROUND(CAST({c} AS DOUBLE) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) + 0.0)"
 
 
 ITEM_CTE = """

@@ -44,9 +44,10 @@ def round_out(c, places: int = 6):
     """Output rounding that both engines compute identically: scale by an
     exact power of ten (IEEE multiply), round half away from zero to an
     integer, scale back (IEEE divide). Spark's round(x, 6) decides ties on the
-    decimal form, DuckDB's on the binary value; this form avoids the mismatch."""
+    decimal form, DuckDB's on the binary value; this form avoids the mismatch.
+    Adding 0.0 turns a negative zero into 0.0 on both sides."""
     m = F.lit(float(10 ** places))
-    return F.round(c.cast("double") * m, 0) / m
+    return F.round(c.cast("double") * m, 0) / m + F.lit(0.0)
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
