@@ -256,3 +256,42 @@ def test_row_model_when_shares_exceed_broadcast_bound(spark, monkeypatch):
     from channelmart.operators import reconcile
     monkeypatch.setattr(reconcile, "SHARES_BROADCAST_ROWS", -1)
     test_against_row_model(spark, 7)
+
+
+def test_hot_campaign_fan_out_is_split_by_aqe(spark):
+    """One campaign holds most campaign-day rows. Beyond the broadcast bound
+    the fan-out is a shuffle join; AQE splits the hot partition (skew=true in
+    the final plan) and the rows are the same as without the split."""
+    from channelmart.operators.reconcile import fan_out
+    gap = spark.range(6000).selectExpr(
+        "'p' as property_name", "date_format(date_add(date'2000-01-01', cast(id % 3000 as int)), 'yyyy-MM-dd') as data_date",
+        "case when id < 4000 then 'H' else concat('C', cast(id % 40 as string)) end as campaign",
+        "'Paid Search' as channel", "'cpc' as medium", "cast(id % 7 as decimal(24,6)) as diff_revenue"
+    ).dropDuplicates(["property_name", "data_date", "campaign", "channel", "medium"])
+    shares = spark.range(120).selectExpr(
+        "'p' as property_name", "case when id < 3 then 'H' else concat('C', cast(id % 40 as string)) end as campaign",
+        "concat('g', cast(id as string)) as ad_group", "'Paid Search' as channel", "'cpc' as medium",
+        "cast(1.0 / 3 as double) as share_revenue")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        split = fan_out(gap, shares)
+        got = sorted(tuple(r) for r in split.collect())
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        plain = sorted(tuple(r) for r in fan_out(gap, shares).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert got == plain and len(got) > 0
