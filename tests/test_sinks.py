@@ -24,3 +24,29 @@ def test_overwrite_only_present_days(spark, scratch):
     write_partitions(empty, path, ["data_date"])
     assert days(path) == ["data_date=2024-01-01", "data_date=2024-01-02", "data_date=2024-01-03"]
     assert read_partitions(spark, path).count() == 3
+
+
+def test_hot_day_is_written_by_several_tasks(spark, scratch):
+    """A day holding most rows is split across several files (tasks) by the
+    rebalance before the write, not funnelled through one task; every row
+    is written once."""
+    path = os.path.join(scratch, "hot")
+    df = spark.range(200000).selectExpr(
+        "case when id % 10 < 8 then '2024-01-01' else '2024-01-02' end as data_date",
+        "id", "sha2(cast(id as string), 256) as payload")
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        write_partitions(df, path, ["data_date"])
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    hot = [f for f in os.listdir(os.path.join(path, "data_date=2024-01-01")) if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert read_partitions(spark, path).count() == 200000
