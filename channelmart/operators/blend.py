@@ -20,7 +20,9 @@ DAY_AD_GROUP = ["property_name", "data_date", "campaign", "ad_group"]
 def session_share(reconciled: DataFrame) -> DataFrame:
     """W1 + A4 + A5: each channel row's share of its (property, day, campaign,
     ad group) sessions; a zero total splits evenly when the row has zero
-    sessions itself, else weighs 0 (the source's infinite weight ends as 0)."""
+    sessions itself, else weighs 0 (the source's infinite weight ends as 0).
+    The window holds one ad group's rows of one day: one per channel and
+    medium, a bound set by the channel groups, not by the data volume."""
     w = Window.partitionBy(*DAY_AD_GROUP)
     total = F.sum("sessions_ga4").over(w)
     size = F.count("channel").over(w)

@@ -63,7 +63,8 @@ def targets(range_analytics: DataFrame, range_ads: DataFrame) -> DataFrame:
     """J2 + F2 over the range reports: one row per (property, campaign, ad
     group, channel, medium) with six target metrics and ``first_seen``, the
     first appearance of the (campaign, ad group): analytics rows first, then
-    ads rows, each in report order (W5)."""
+    ads rows, each in report order (W5). The window holds one (campaign, ad
+    group)'s target rows, one per channel and medium: bounded, not data-sized."""
     from pyspark.sql import Window
     named_an = range_analytics.where(is_named_campaign("campaign"))
     named_ad = range_ads.where(is_named_campaign("campaign"))
