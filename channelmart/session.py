@@ -7,6 +7,13 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Context-level settings a cluster should also start with (they cannot be
+# changed on a running session): delete a reliable checkpoint once nothing
+# references it, so daily runs do not fill the shared checkpoint folder.
+CLUSTER_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 # Settings every job relies on. Dynamic partition overwrite is mandatory:
 # the Spark default (STATIC) would wipe days a run did not produce.
 JOB_CONF = {
@@ -40,7 +47,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("CHANNELMART_DRIVER_MEMORY", "8g"))
     )
-    for key, value in JOB_CONF.items():
+    for key, value in {**CLUSTER_CONF, **JOB_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
