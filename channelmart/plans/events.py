@@ -20,17 +20,31 @@ def tag_events(df: DataFrame, property_id: str, property_name: str) -> DataFrame
                   F.col("user_pseudo_id"))))
 
 
-def flatten_events(df: DataFrame, property_id: str, property_name: str) -> DataFrame:
-    """N1 + P3 + P4: every source column (the map included), the tags, the
-    parameter key and its four typed values. ``explode`` (not ``_outer``):
-    events with a null or empty map produce no rows. Narrow: no shuffle."""
-    tagged = tag_events(df, property_id, property_name)
+def _explode_params(tagged: DataFrame) -> DataFrame:
     exploded = tagged.select("*", F.explode("event_params").alias("param_key", "param_value"))
     return (exploded
             .select(*tagged.columns, F.col("param_key").alias("key"),
                     *[F.col(f"param_value.{f}").alias(f) for f in VALUE_FIELDS]))
 
 
+def flatten_events(df: DataFrame, property_id: str, property_name: str) -> DataFrame:
+    """N1 + P3 + P4: every source column (the map included), the tags, the
+    parameter key and its four typed values. ``explode`` (not ``_outer``):
+    events with a null or empty map produce no rows. Narrow: no shuffle."""
+    return _explode_params(tag_events(df, property_id, property_name))
+
+
 def write_events(df: DataFrame, path: str) -> None:
-    """K3: partitioned by property and event day, dynamic overwrite, snappy."""
+    """K3 for already flattened rows: partitioned by property and event day,
+    dynamic overwrite, snappy."""
     write_partitions(df, path, ["property_id", "event_date"])
+
+
+def run_flatten_events(df: DataFrame, property_id: str, property_name: str, path: str) -> None:
+    """C6 + K3. The events are balanced on the output partition keys *before*
+    the explode: every flattened row repeats all event columns (the parameter
+    map included), so shuffling events instead of flattened rows moves each
+    event once rather than once per parameter. The explode then runs after
+    the shuffle, where the rows are written, and no second shuffle follows."""
+    tagged = tag_events(df, property_id, property_name).hint("rebalance", "property_id", "event_date")
+    write_partitions(_explode_params(tagged), path, ["property_id", "event_date"], rebalance=False)

@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
-                     compression: str = "snappy") -> None:
+                     compression: str = "snappy", rebalance: bool = True) -> None:
+    """``rebalance=False``: the caller already balanced the rows on the
+    partition keys earlier in the plan (where they were smaller)."""
     cols = list(partition_cols)
-    (df.hint("rebalance", *cols)
-       .write.mode("overwrite")
+    if rebalance:
+        df = df.hint("rebalance", *cols)
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", compression)
        .partitionBy(*cols)

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from channelmart.plans.events import flatten_events, tag_events, write_events
+from channelmart.plans.events import flatten_events, run_flatten_events, tag_events, write_events
 from channelmart.sources import standins as si
 from channelmart.streaming import flatten_new_events
 
@@ -60,3 +60,19 @@ def test_incremental_runs_keep_every_file_once(spark, scratch):
     assert 0 < first < want.count()
     assert got.count() == want.count()
     assert _same_rows(got.select(*cols), want.select(*cols))
+
+
+def test_run_flatten_shuffles_events_before_the_explode(spark, scratch):
+    """C6 job: same rows as the flattening, written once; the shuffle moves
+    events (one row each), and the explode runs after it."""
+    from channelmart.plans.events import _explode_params
+    ev = si.events(spark, SF)
+    out = os.path.join(scratch, "flat_job")
+    run_flatten_events(ev, "1", "p", out)
+    run_flatten_events(ev, "1", "p", out)                   # rerun: replaced, not doubled
+    want = flatten_events(ev, "1", "p")
+    cols = [c for c in want.columns if c != "event_params"]
+    assert _same_rows(spark.read.parquet(out).select(*cols), want.select(*cols))
+    plan = _explode_params(tag_events(ev, "1", "p").hint("rebalance", "property_id", "event_date")) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("REBALANCE_PARTITIONS_BY_COL")
