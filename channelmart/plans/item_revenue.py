@@ -29,9 +29,17 @@ def item_revenue(report: DataFrame, properties: DataFrame) -> DataFrame:
     )
 
 
-def run_item_revenue(report: DataFrame, properties: DataFrame, path: str) -> DataFrame:
+def run_item_revenue(report: DataFrame, properties: DataFrame, path: str,
+                     start: str | None = None, end: str | None = None) -> DataFrame:
     """K2 + A7: write the days present (an empty result writes nothing and
-    leaves every partition intact); summary read back from the written days."""
+    leaves every partition intact); the summary is read back from the
+    written files, limited to the run's days [start, end] (partition
+    pruning) so earlier days of the table are neither scanned nor counted."""
     df = item_revenue(report, properties)
+    if start and end:
+        df = df.where(F.col("data_date").between(F.lit(start), F.lit(end)))
     write_partitions(df, path, ["data_date"])
-    return day_summary(df.sparkSession.read.parquet(path), {"item_revenue": "item_revenue"}, exact_places=6)
+    written = df.sparkSession.read.parquet(path)
+    if start and end:
+        written = written.where(F.col("data_date").between(F.lit(start), F.lit(end)))
+    return day_summary(written, {"item_revenue": "item_revenue"}, exact_places=6)

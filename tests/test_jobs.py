@@ -25,6 +25,14 @@ def test_run_ads_daily_and_item_revenue(spark, scratch):
     rev = os.path.join(scratch, "rev")
     s = run_item_revenue(si.item_revenue_report(spark, SF), si.ads_properties(spark), rev)
     assert s.where(F.col("data_date").isNull()).first().row_count == read_partitions(spark, rev).count()
+    # a one-day rerun summarises that day only; the other days stay on disk
+    all_rows = read_partitions(spark, rev)
+    n_all = all_rows.count()
+    day = all_rows.groupBy("data_date").count().orderBy(F.desc("count"), "data_date").first()
+    s1 = run_item_revenue(si.item_revenue_report(spark, SF), si.ads_properties(spark), rev, day.data_date, day.data_date)
+    total = s1.where(F.col("data_date").isNull()).first()
+    assert (total.row_count, total.days) == (day["count"], 1)
+    assert read_partitions(spark, rev).count() == n_all
 
 
 def test_write_reservations_and_snapshots(spark, scratch):
