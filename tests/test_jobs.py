@@ -56,3 +56,19 @@ def test_read_events_day_prunes_partition(spark, scratch):
     assert day.count() == si.events(spark, SF).where("event_date = '20240105'").count()
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_search_days_prune_date_partitions(spark, scratch):
+    """S6/F7 on a table partitioned by day (partition values read as text):
+    only the window's days are listed and read."""
+    from channelmart.functions.dates import last_n_days
+    from channelmart.sources.tables import read_search_days
+    path = os.path.join(scratch, "search")
+    table = si.search_tables(spark, SF)[si.SEARCH_TABLES[1]]
+    table.withColumn("data_date", F.date_format("data_date", "yyyy-MM-dd")) \
+        .write.partitionBy("data_date").parquet(path)
+    dates = last_n_days(si.EVENTS_AS_OF, 7)
+    got = read_search_days(read_partitions(spark, path), dates)
+    assert got.count() == table.where(F.col("data_date").isin([F.to_date(F.lit(d)) for d in dates])).count() > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "data_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
