@@ -50,3 +50,39 @@ def test_hot_day_is_written_by_several_tasks(spark, scratch):
     hot = [f for f in os.listdir(os.path.join(path, "data_date=2024-01-01")) if f.endswith(".parquet")]
     assert len(hot) > 1
     assert read_partitions(spark, path).count() == 200000
+
+
+def test_cluster_session_needs_a_shared_checkpoint_folder():
+    """Only local mode gets a machine-local checkpoint folder; a cluster
+    session must name a shared one in spark.checkpoint.dir."""
+    import pytest
+    from channelmart.session import ensure_checkpoint_dir
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class Context:
+        def __init__(self, master, configured):
+            self.master, self.conf, self.dir = master, Conf(configured), None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def getConf(self):
+            return self.conf
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        def __init__(self, sc):
+            self.sparkContext = sc
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session(Context("yarn", None)))
+    assert ensure_checkpoint_dir(Session(Context("yarn", "hdfs://shared/ckpt"))) == "hdfs://shared/ckpt"
+    assert ensure_checkpoint_dir(Session(Context("local[8]", None))).startswith("/tmp/")
