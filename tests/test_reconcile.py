@@ -295,3 +295,18 @@ def test_hot_campaign_fan_out_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
     assert "skew=true" in plan
     assert got == plain and len(got) > 0
+
+
+def test_distributed_money_adds_up_to_the_gap_exactly(spark):
+    """Invariant (a) for revenue and conversions: per campaign-day the
+    distributed amounts (exact decimals) sum to the gap, to the last digit."""
+    from channelmart.operators.reconcile import distribute
+    from channelmart.plans.queries import _gap, _shares
+    d = "/root/testdata/sf0.001"
+    gap, _ = _gap(spark, d)
+    k = ["property_name", "data_date", "campaign", "channel", "medium"]
+    sums = (distribute(gap, _shares(spark, d)).groupBy(*k)
+            .agg(F.sum("dist_revenue").alias("r"), F.sum("dist_conversions").alias("c")))
+    j = sums.join(gap, k)
+    assert j.count() > 0
+    assert j.where((F.col("r") != F.col("diff_revenue")) | (F.col("c") != F.col("diff_conversions"))).count() == 0
