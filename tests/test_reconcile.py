@@ -310,3 +310,24 @@ def test_distributed_money_adds_up_to_the_gap_exactly(spark):
     j = sums.join(gap, k)
     assert j.count() > 0
     assert j.where((F.col("r") != F.col("diff_revenue")) | (F.col("c") != F.col("diff_conversions"))).count() == 0
+
+
+def test_native_hybrid_rules(spark):
+    """J1 + A1: ad-group rows are kept as they are (duplicates too) when their
+    campaign-day has a campaign row; a campaign-day with no ad-group rows
+    becomes one '(campaign level)' row carrying the campaign row's last
+    values; ad-group rows without a campaign row are dropped."""
+    from channelmart.operators.hybrid import native_hybrid
+    m = "cost decimal(24,6), clicks bigint, impressions bigint, conversions decimal(24,6), revenue decimal(24,6)"
+    camp = spark.createDataFrame(
+        [("p", "2024-01-01", "A", Decimal(9), 9, 9, Decimal(9), Decimal(9), 0),
+         ("p", "2024-01-01", "B", Decimal(1), 1, 1, Decimal(1), Decimal(1), 1),
+         ("p", "2024-01-01", "B", Decimal(2), 2, 2, Decimal(2), Decimal(2), 2)],   # later row wins
+        f"property_name string, data_date string, campaign string, {m}, pos int")
+    adg = spark.createDataFrame(
+        [("p", "2024-01-01", "A", "g", Decimal(1), 1, 1, Decimal(0), Decimal(0), 0),
+         ("p", "2024-01-01", "A", "g", Decimal(1), 1, 1, Decimal(0), Decimal(0), 1),   # duplicate kept
+         ("p", "2024-01-01", "C", "h", Decimal(5), 5, 5, Decimal(0), Decimal(0), 2)],  # no campaign row
+        f"property_name string, data_date string, campaign string, ad_group string, {m}, pos int")
+    got = sorted((r.campaign, r.ad_group, int(r.cost)) for r in native_hybrid(camp, adg).collect())
+    assert got == [("A", "g", 1), ("A", "g", 1), ("B", "(campaign level)", 2)]
