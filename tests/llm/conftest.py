@@ -1,5 +1,3 @@
-import itertools
-
 import pytest
 from pyspark.sql import types as T
 
@@ -23,15 +21,3 @@ def docs(spark):
 @pytest.fixture
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def words(random, n, kinds=50):
-    return " ".join("w" + "abcdefghij"[k // 10] + "klmnopqrst"[k % 10] for k in (random.randrange(kinds) for _ in range(n)))
-
-
-def by_id(df, *columns):
-    return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}
-
-
-def flatten(xs):
-    return list(itertools.chain.from_iterable(xs))

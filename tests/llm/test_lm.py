@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from channelmart.llm import lm
 from channelmart.llm.queries import op10_lm_scoring
-from tests.llm.conftest import words
+from .helpers import words
 
 
 def tokens(text):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from channelmart.llm import suffix_dedup
 from channelmart.llm.queries import op4_suffix_dedup
-from tests.llm.conftest import words
+from .helpers import words
 
 
 def brute(rows, length):
