@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from channelmart.session import ensure_checkpoint_dir
 
+# Names of helper columns beside those of a given table.
+ROW, OTHER_ID, OTHER_ROW = "llm row", "llm id", "llm other row"
 SLICE_BYTES = 2 << 20
 FLUSH_KEYS = 3 << 20
 WHITE = np.zeros(256, bool)

@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Counter, Rolling, configure, exchange, merged, runs, shards_of, slices, stored, utf8
+from .common import LOWER, OTHER_ID, OTHER_ROW, ROW, Counter, Rolling, configure, exchange, merged, runs, shards_of, slices, stored, utf8
 
+FOUND = "llm spans"
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 120
 MIN_TOGETHER = 3
@@ -196,10 +197,10 @@ def redact(text: str, found: list[dict]) -> str:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs with the texts redacted; rows and other columns as they are."""
-    found = spans(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("spans").alias("_spans")).distinct()
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_row"] == found["_key"]), "left")
-    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), "_spans")
+    found = spans(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias(OTHER_ID), F.col("row_key").alias(OTHER_ROW), F.col("spans").alias(FOUND)).distinct()
+    keyed = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found[OTHER_ID]) & (keyed[ROW] == found[OTHER_ROW]), "left")
+    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), FOUND)
     at = docs.columns.index("text")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import OTHER_ID, OTHER_ROW, ROW, id_remainder, stored
+
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -168,12 +170,19 @@ def learn(labelled: DataFrame) -> list[Rule]:
 
 
 def judge(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The statistics of each text with base_failed, reason (of the learned rule that rejects it, or null) and kept.
-    labels: doc_id and quality (1 good, 0 bad)."""
-    from .common import stored
+    """The columns `keep` (doc_id first) and the statistics of each text with base_failed, reason (of the learned rule
+    that rejects it, or null) and kept. labels: doc_id and quality (1 good, 0 bad)."""
     counts = stored(statistics(docs, keep), "statistics")
     rows = counts.select("*", *(c.alias(f) for f, c in features().items() if f != "n_words"))
-    sample = rows.where(~base_failed()).join(labels.where("quality in (0, 1)").select("doc_id", (F.col("quality") == 0).alias("bad")), "doc_id")
-    sample = stored(sample.select(*FEATURES, "bad", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 0).alias("grow")), "labelled")
+    labels = labels.where("quality in (0, 1)").select(F.col("doc_id").alias(OTHER_ID), (F.col("quality") == 0).alias("bad"))
+    sample = rows.where(~base_failed()).join(labels, F.col("doc_id") == F.col(OTHER_ID))
+    sample = stored(sample.select(*FEATURES, "bad", (id_remainder("doc_id", 3) != 0).alias("grow")), "labelled")
     judged = rows.withColumn("base_failed", base_failed()).withColumn("reason", reason(learn(sample)))
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("reason").isNull())
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that are kept, with all their columns. Rows are told apart by id and text."""
+    keyed = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+    kept = judge(keyed.select("doc_id", ROW, "text"), labels, ("doc_id", ROW)).where("kept").select(F.col("doc_id").alias(OTHER_ID), F.col(ROW).alias(OTHER_ROW))
+    return keyed.join(kept, keyed["doc_id"].eqNullSafe(kept[OTHER_ID]) & (keyed[ROW] == kept[OTHER_ROW]), "left_semi").drop(ROW)

@@ -12,7 +12,9 @@ keeps all connections. Groups are the connected components of these links, found
 its smallest neighbour, following the hooks to their ends and contracting, until no link is left.
 
 Copies share one fingerprint and are handled once. Cases: a null text has no words; a null id joins its group but names
-it only if all ids are null; repeated rows are returned each; an empty table gives no rows; other columns are not read.
+it only if all ids are null; repeated rows are returned each; an empty table gives no rows; other columns are not read,
+but stay in what one_of_each() returns. Of rows with equal ids the one with the smallest row_key (a hash of id and text)
+represents the group, and equal rows are one.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, WHITE, configure, runs, shards_of, slices, stored, utf8
+from .common import LOWER, OTHER_ID, OTHER_ROW, ROW, WHITE, configure, runs, shards_of, slices, stored, utf8
 
 CLEAN_BLOCKS = 3
 SEED = 42
@@ -60,17 +62,21 @@ def fingerprints_of(texts: pa.Array, words: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and fingerprint (signed 64-bit integer) of each row."""
+    """doc_id, row_key and fingerprint (signed 64-bit integer) of each row."""
     configure(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", row_key().alias("row_key"), "text")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fingerprints_of(part.column("text"), words))],
-                                                 names=["doc_id", "fingerprint"])
-    return docs.mapInArrow(each, f"doc_id {docs.schema[0].dataType.simpleString()}, fingerprint long")
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(fingerprints_of(part.column("text"), words))],
+                                                 names=["doc_id", "row_key", "fingerprint"])
+    return docs.mapInArrow(each, f"doc_id {docs.schema[0].dataType.simpleString()}, row_key long, fingerprint long")
 
 
 def block_masks(bits: int) -> list[int]:
@@ -87,7 +93,7 @@ def reach(prints: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
         todo, rest = [rest[0]], rest[1:]
         while todo and len(rest):
             here = todo.pop()
-            near = np.bitwise_count(rest ^ here) <= bits
+            near = np.bitwise_count((rest ^ here).view(np.uint64)) <= bits      # of signed numbers it counts the absolute value's
             for other in (found := rest[near]):
                 yield here, other
             todo.extend(found)
@@ -145,12 +151,24 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int, bits: int) -> DataFrame:
-    """doc_id, fingerprint (signed 64-bit integer) and component_id, the smallest doc_id of its group, of each row."""
+    """doc_id, row_key, fingerprint (signed 64-bit integer), component_id, the smallest doc_id of its group, and
+    represents, whether it is the row with that id (and the smallest row_key) of each row."""
     rows = stored(fingerprints(docs, words), "fingerprints")
-    prints = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("low")), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
+    prints = stored(rows.groupBy("fingerprint").agg(first.alias("low")), "prints")
     groups = components(links(prints, bits)).withColumnRenamed("node", "fingerprint")
     linked = prints.join(groups, "fingerprint").select("fingerprint", "root", "low")
-    lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = linked.join(lowest, "root").select("fingerprint", "component_id")
-    every = prints.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "low").alias("component_id"))
-    return rows.join(stored(every, "groups"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    lowest = linked.groupBy("root").agg(F.min("low").alias("lowest"))
+    named = linked.join(lowest, "root").select("fingerprint", "lowest")
+    every = prints.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("lowest", "low").alias("first"))
+    represents = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_key") == F.col("first.row_key"))
+    return (rows.join(stored(every, "groups"), "fingerprint")
+            .select("doc_id", "row_key", "fingerprint", F.col("first.doc_id").alias("component_id"), represents.alias("represents")))
+
+
+def one_of_each(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """The rows of docs that represent their group, with all their columns."""
+    chosen = near_duplicates(docs, words, bits).where("represents").select(F.col("doc_id").alias(OTHER_ID), F.col("row_key").alias(OTHER_ROW))
+    keyed = docs.withColumn(ROW, row_key())
+    kept = keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen[OTHER_ID]) & (keyed[ROW] == chosen[OTHER_ROW]), "left_semi")
+    return kept.dropDuplicates([ROW, "doc_id"]).drop(ROW)

@@ -1,0 +1,103 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from channelmart.llm import quality
+from channelmart.llm.queries import op9_quality_rules
+from .helpers import words
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def brute(text):
+    text = text or ""
+    ws = [w for w in re.split("[\x20\x09-\x0d]+", text) if w]
+    windows = {}
+    for i in range(len(ws) - 7):
+        windows.setdefault(tuple(ws[i:i + 8]), []).append(i)
+    covered = {j for places in windows.values() if len(places) > 1 for i in places for j in range(i, i + 8)}
+    lines = [line for line in text.split("\n") if re.search("[^\x20\x09-\x0d]", line)]
+    return (len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def texts(rng):
+    out = [None, "", " \n\t", "one", "a b c d e f g h", "é 漢字 x y z |#*$%&<>", "line\nline\n line\n\nline\r\nline\r", "a " * 500, "a b " * 9, " ".join(map(str, range(30)))]
+    out += [" ".join([words(rng, 9, 40)] * rng.randint(1, 4)) + rng.choice([" ", "\n"]) + words(rng, rng.randrange(30), 40) for _ in range(120)]
+    out += ["\n".join(rng.choice(["p q", "r s t", " ", "", "u"]) for _ in range(rng.randrange(12))) for _ in range(60)]
+    return out + [words(rng, 60_000, 5000) + "\n" + words(rng, 9, 9) * 2]
+
+
+def test_statistics_equal_brute_force(docs):
+    ts = texts(random.Random(1))
+    rows = {r["doc_id"]: tuple(r[c] for c in COUNTS) for r in quality.statistics(docs(list(enumerate(ts)))).collect()}
+    for k, t in enumerate(ts):
+        assert rows[k] == brute(t), (k, t and t[:80])
+
+
+def good(rng):
+    return "\n".join(words(rng, 12, 900).capitalize() + "." for _ in range(rng.randint(3, 9)))
+
+
+def junk(rng, kind):
+    ws = words(rng, 60, 900).split()
+    return {"symbols": " ".join(w + "***" for w in ws), "bars": " | ".join(ws), "shout": " ".join(w.upper() + "!!" for w in ws)}[kind]
+
+
+def labelled(rng, n):
+    rows = [(k, good(rng) if k % 4 else junk(rng, rng.choice(["symbols", "bars", "shout"]))) for k in range(n)]
+    return rows, [(k, 0 if k % 4 == 0 else 1, 0) for k in range(n)]
+
+
+def test_learned_rules_reject_junk_and_keep_good_texts(spark, docs):
+    rng = random.Random(6)
+    rows, labels = labelled(rng, 400)
+    new = [(1000 + k, good(rng) if k % 2 else junk(rng, ("symbols", "bars", "shout")[k % 3])) for k in range(120)]
+    label_table = spark.createDataFrame([*labels, (None, 0, 0), (1, None, 0), (99999, 0, 1)], "doc_id long, quality int, toxic int")
+    judged = quality.judge(docs(rows + new), label_table)
+    got = {r["doc_id"]: r for r in judged.where("doc_id >= 1000").collect()}
+    assert all(got[k]["kept"] == bool(k % 2) for k, _ in new)
+    assert all((got[k]["reason"] is None) == bool(k % 2) for k, _ in new)
+
+
+def test_the_list_is_one_ordered_expression(spark):
+    term = quality.Term("n_words", True, 10.0)
+    rules = [(term, quality.Term("bar_rate", False, 0.1)), (term,)]
+    rows = spark.createDataFrame([(5, 0.0), (12, 0.0), (12, 0.5)], "n_words long, bar_rate double").select(quality.reason(rules).alias("r")).collect()
+    assert [r["r"] for r in rows] == [None, "n_words >= 10 and bar_rate <= 0.1", "n_words >= 10"]
+
+
+def test_without_labels_the_limits_alone_decide(spark, docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = [(1, "few words"), (2, " ".join(map(str, range(40)))), (3, "a b c d e f g h " * 9), (None, None), (2, " ".join(map(str, range(40))))]
+    got = sorted((r["doc_id"] or 0, r["base_failed"], r["kept"]) for r in quality.judge(docs(rows), labels).collect())
+    assert got == [(0, True, False), (1, True, False), (2, False, True), (2, False, True), (3, True, False)]
+    assert quality.judge(docs([]), labels).count() == 0
+    df = docs(rows)
+    kept = quality.accepted(df, labels)
+    assert kept.columns == df.columns and [r["doc_id"] for r in kept.collect()] == [2, 2]
+
+
+def test_only_native_functions(docs, spark):
+    plan = quality.statistics(docs([(1, "a")], extra=False))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_query_on_the_given_documents(spark, sf_dir):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in op9_quality_rules(spark, sf_dir).collect()}
+    assert got.keys() == docs.keys()
+    for k, t in docs.items():
+        want = brute(t)
+        assert tuple(got[k][c] for c in COUNTS) == want
+        assert got[k]["base_failed"] == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        assert not (got[k]["base_failed"] and got[k]["kept"])
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_agreement_with_the_given_labels(spark, sf):
+    sf_dir = f"/root/testdata/{sf}"
+    judged = op9_quality_rules(spark, sf_dir).where("not base_failed").join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id")
+    r = judged.agg(F.avg(F.when(F.col("quality") == 1, F.col("kept").cast("int"))).alias("good_kept"), F.avg(F.when(F.col("quality") == 0, F.col("kept").cast("int"))).alias("bad_kept")).first()
+    assert r["good_kept"] >= 0.99 and (r["bad_kept"] or 0) <= 0.2

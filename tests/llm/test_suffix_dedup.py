@@ -70,8 +70,18 @@ def test_a_frequent_line_and_other_columns(docs):
     rows = [(k, f"{words(rng, 9, 9000)}\n{line}\n{words(rng, 9, 9000)}" if k % 3 == 0 else words(rng, 30, 9000), "en") for k in range(300)]
     df = docs(rows)
     assert sorted(ran(df, 50), key=key) == sorted(brute([r[:2] for r in rows], 50), key=key)
-    kept = suffix_dedup.remove_repeats(df, 50, keep=("lang",))
-    assert {r["lang"] for r in kept.collect()} == {"en"}
+    clean = suffix_dedup.without_repeats(df)
+    assert clean.schema == df.schema
+    assert {r["lang"] for r in clean.collect()} == {"en"} and {r["chunk"] for r in clean.collect()} == {"x"}
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in clean.collect()) == sorted((k, d.decode(), len(d)) for k, d, _, _ in brute([r[:2] for r in rows], 50))
+
+
+def test_characters_cut_in_part_go(docs):
+    line = "é" * 40
+    rows = [(1, "a" + line), (2, "\ufffd x" + line[1:] + "b"), (3, None), (4, "ü" + line)]
+    got = {r["doc_id"]: r["text"] for r in suffix_dedup.without_repeats(docs(rows)).collect()}
+    want = {k: d.decode("utf-8", "ignore") for k, d, _, _ in brute(rows, 50)} | {3: None}
+    assert got == want and got[2] == "\ufffd xb"
 
 
 def test_empty_tables(docs):
