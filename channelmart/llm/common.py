@@ -157,7 +157,10 @@ def combine(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length as one compressed value, byte planes apart, so that the high bytes of sorted keys shrink."""
+    """Arrays of one length as one compressed value: byte planes apart, as high bytes are alike; 64-bit keys (in the first
+    array, sorted) as differences."""
+    if arrays[0].dtype == np.uint64 and len(arrays[0]):
+        arrays = (np.concatenate((arrays[0][:1], np.diff(arrays[0]))), *arrays[1:])
     planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
     return zstandard.ZstdCompressor(level=1).compress(planes)
 
@@ -169,6 +172,8 @@ def unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     for k in kinds:
         out.append(np.ascontiguousarray(raw[at:at + n * k.itemsize].reshape(k.itemsize, n).T).view(k).reshape(n))
         at += n * k.itemsize
+    if kinds[0] == np.uint64:
+        out[0] = np.cumsum(out[0], dtype=np.uint64)
     return out
 
 
