@@ -15,7 +15,8 @@ needed to that depth alone, and names that one text alone has are discarded, as
    smallest id of each prefix.
 
 Sorting is by 64-bit hashes of the bytes with 24 bits more of a second hash, in ranges of the key space (shards), each
-sorted by one task. A chunk (the texts of one remainder of the id's hash) sends each distinct key once, so a frequent
+sorted by one task. A chunk (the texts of one remainder of the id's hash; chunks and shards are as many as the bytes of
+all texts ask for) sends each distinct key once, so a frequent
 string is one entry for each chunk, and gets one answer back for each key. The texts are exchanged by chunk once,
 compressed; every step reads that exchange. Names have 32 bits more than it takes to number the shards, so that as few of
 them meet by chance at any size of the input; they only propose.
@@ -38,11 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rolling, configure, mix, pack, runs, shards_of, split, unpack, utf8
+from .common import Rolling, configure, mix, pack, runs, split, unpack, utf8
 
 # Perfect difference covers, by modulus.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
-CHUNKS_PER_SHARD = 8
+# Bytes of text for which there is a chunk, and a shard.
+CHUNK_BYTES, SHARD_BYTES = 2 << 20, 16 << 20
 PACKED_BYTES = 32 << 20
 # What a chunk sends for each key of a step, and what it gets back.
 SENT_KINDS = {"name": ("u8", "u4", "?"), "triple": ("u8", "u4", "i8", "u4", "u8"), "prefix name": ("u8", "?"), "prefix": ("u8", "u4", "i8")}
@@ -306,9 +308,10 @@ def _rows(docs: DataFrame, length: int, rest: tuple[str, ...], as_text: bool) ->
     in part only), n_bytes and spans."""
     spark = docs.sparkSession
     configure(spark)
-    shards = shards_of(spark)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks, shards = (max(1, -(-size // n)) for n in (CHUNK_BYTES, SHARD_BYTES))
     docs = docs.select("doc_id", F.struct(F.lit(None).cast("string").alias("_"), *(F.col(f"`{c}`") for c in rest)).alias("rest"), "text",
-                       F.expr(f"cast(pmod(xxhash64(doc_id), {CHUNKS_PER_SHARD * shards}) as int)").alias("chunk"))
+                       F.expr(f"cast(pmod(xxhash64(doc_id), {chunks}) as int)").alias("chunk"))
     by_chunk = docs.mapInArrow(_packed, "chunk int, blob binary").groupBy("chunk")
 
     def step(work, replies: DataFrame | None) -> DataFrame:

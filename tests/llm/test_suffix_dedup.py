@@ -45,8 +45,10 @@ def test_covers_hold_every_shift(v):
     assert suffix_dedup.cover_for(50) == 31
 
 
-@pytest.mark.parametrize("length,seed", [(50, 1), (50, 2), (20, 3), (33, 4)])
-def test_equals_brute_force(docs, length, seed):
+@pytest.mark.parametrize("length,seed,chunk", [(50, 1, 2000), (50, 2, 2 << 20), (20, 3, 3000), (33, 4, 500)])
+def test_equals_brute_force(docs, length, seed, chunk, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3 * chunk)
     rng = random.Random(seed)
     passages = [words(rng, rng.randrange(3, 40), 400) for _ in range(12)]
     rows = []
