@@ -14,7 +14,7 @@ __all__ = [
     "NOT_SET", "CAMPAIGN_LEVEL", "NAME_DEFAULT", "PAID_MEDIUM", "MONEY",
     "col_", "nonblank", "first_non_empty", "compact_to_iso", "default_channel",
     "is_named_campaign", "is_real_ad_group", "safe_ratio", "rint_places",
-    "clamp0", "date_prefix", "parse_and_shift", "to_money", "money_text",
+    "clamp0", "date_prefix", "parse_and_shift", "to_money", "micros_to_money", "money_text",
     "booking_agent", "metric_or_zero",
 ]
 
@@ -32,7 +32,7 @@ PMAX_MARKERS = ("performance max", "pmax", "performance_max")
 
 # Money and fractional metrics are summed exactly; doubles appear only where a
 # share or ratio is taken, so results do not depend on summation order.
-MONEY = DecimalType(24, 6)
+MONEY = DecimalType(27, 12)
 
 
 def col_(c: str | Column) -> Column:
@@ -71,9 +71,10 @@ def default_channel(campaign: str | Column) -> Column:
 
 
 def is_named_campaign(campaign: str | Column) -> Column:
-    """Drop the placeholder and names with no visible character (F2)."""
+    """Drop the placeholder and names with no visible character (F2); white
+    space is what Unicode and the ASCII separators 1C-1F make of it."""
     c = col_(campaign)
-    return (c != F.lit(NOT_SET)) & c.rlike(r"\S")
+    return (c != F.lit(NOT_SET)) & c.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def is_real_ad_group(ad_group: str | Column) -> Column:
@@ -114,7 +115,7 @@ _TS_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}$"
 def parse_and_shift(c: str | Column, hours: int = -3) -> Column:
     """trim, first 19 chars, parse (either separator), shift by ``hours`` and
     return the date; unparsable -> first 10 chars of the trimmed text;
-    null or '' -> '' (P20)."""
+    null or '' -> '' (P20). ``hours=0`` gives the day of the text itself."""
     raw = F.trim(F.coalesce(col_(c).cast("string"), F.lit("")))
     head = F.substring(raw, 1, 19)
     parsed = F.when(head.rlike(_TS_TEXT), head.try_cast("timestamp"))
@@ -122,6 +123,12 @@ def parse_and_shift(c: str | Column, hours: int = -3) -> Column:
     return F.coalesce(shifted, F.substring(raw, 1, 10))
 
 
+def micros_to_money(c: str | Column) -> Column:
+    """Micros as text or number -> exact money (P7); missing -> 0."""
+    micros = F.coalesce(col_(c).cast("string").try_cast(DecimalType(30, 6)), F.lit(0).cast(DecimalType(30, 6)))
+    return (micros / F.lit(1000000).cast(DecimalType(7, 0))).cast(MONEY)
+
+
 def to_money(c: str | Column) -> Column:
     """Text or number -> exact decimal; missing -> 0."""
     return F.coalesce(col_(c).cast("string").try_cast(MONEY), F.lit(0).cast(MONEY))
@@ -130,7 +137,8 @@ def to_money(c: str | Column) -> Column:
 def metric_or_zero(c: str | Column, kind: str) -> Column:
     """Positional report value -> typed metric, missing -> 0."""
     if kind == "long":
-        return F.coalesce(col_(c).cast("string").try_cast("double").cast("long"), F.lit(0).cast("long"))
+        whole = col_(c).cast("string").try_cast(DecimalType(38, 6)).try_cast("long")
+        return F.coalesce(whole, F.lit(0).cast("long"))
     return to_money(c)
 
 

@@ -2,8 +2,8 @@
 JSON pages: ``<root>/<level>/property_name=<name>/page-*.json``, each
 ``{"results": [{segments: {date}, campaign: {name}, adGroup: {name},
 metrics: {costMicros, clicks, impressions, conversions, conversionsValue}}],
-"nextPageToken": ..}``. All pages are read at once (U2); any object or leaf
-may be absent."""
+"nextPageToken": ..}``. All pages are read at once (U2), ordered by page
+number; any object or leaf may be absent; a malformed page fails."""
 
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from channelmart.functions.exprs import MONEY, NAME_DEFAULT, metric_or_zero, to_money
+from channelmart.functions.exprs import NAME_DEFAULT, metric_or_zero, micros_to_money, to_money
+from channelmart.sources.pages import other_columns, position, read_pages
 
 
 def _obj(*names: str) -> StructType:
@@ -30,26 +31,29 @@ SEARCH_SCHEMA = StructType([
 ])
 
 
-def read_ads_search(spark: SparkSession, path: str, level: str) -> DataFrame:
+def parse_ads_search(pages: DataFrame, level: str) -> DataFrame:
     """``level`` 'campaign' or 'ad_group'. P7: cost = micros / 1e6 (exact);
     P8: missing metrics are 0; P9/N3: missing names are 'N/A'."""
-    raw = (spark.read.schema(SEARCH_SCHEMA).option("multiLine", True).json(path)
-           .select("*", F.col("_metadata.file_name").alias("_file")))
-    part_cols = [c for c in raw.columns if c not in ("results", "nextPageToken", "_file")]
-    rows = raw.select(*part_cols, "_file", F.posexplode("results").alias("_idx", "r"))
+    keep = other_columns(pages)
+    parsed = pages.select(*keep, "page", F.from_json("value", SEARCH_SCHEMA, {"mode": "FAILFAST"}).alias("p"))
+    rows = parsed.select(*keep, "page", F.posexplode("p.results").alias("_idx", "r"))
     cols = [
-        *part_cols,
+        *keep,
         F.col("r.segments.date").alias("data_date"),
         F.coalesce(F.col("r.campaign.name"), F.lit(NAME_DEFAULT)).alias("campaign"),
     ]
     if level == "ad_group":
         cols.append(F.coalesce(F.col("r.adGroup.name"), F.lit(NAME_DEFAULT)).alias("ad_group"))
     cols += [
-        (to_money(F.col("r.metrics.costMicros")) / F.lit(1000000)).cast(MONEY).alias("cost"),
-        metric_or_zero(F.col("r.metrics.clicks"), "long").alias("clicks"),
-        metric_or_zero(F.col("r.metrics.impressions"), "long").alias("impressions"),
-        to_money(F.col("r.metrics.conversions")).alias("conversions"),
-        to_money(F.col("r.metrics.conversionsValue")).alias("revenue"),
-        F.struct(F.col("_file").alias("file"), F.col("_idx").alias("idx")).alias("pos"),
+        micros_to_money("r.metrics.costMicros").alias("cost"),
+        metric_or_zero("r.metrics.clicks", "long").alias("clicks"),
+        metric_or_zero("r.metrics.impressions", "long").alias("impressions"),
+        to_money("r.metrics.conversions").alias("conversions"),
+        to_money("r.metrics.conversionsValue").alias("revenue"),
+        position(),
     ]
     return rows.select(*cols)
+
+
+def read_ads_search(spark: SparkSession, path: str, level: str) -> DataFrame:
+    return parse_ads_search(read_pages(spark, path), level)

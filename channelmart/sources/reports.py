@@ -3,8 +3,8 @@
 Layout: ``<root>/property_name=<name>/*.json``, each file one response
 ``{"rows": [{"dimensionValues": [{"value": ..}], "metricValues": [..]}]}``.
 Values are positional strings; ``rows`` may be missing (empty report). The
-reader keeps the report order as ``pos`` (file name, row index), which the
-last-row-wins and first-appearance rules need.
+reader keeps the report order as ``pos`` (page number, row index), which the
+last-row-wins and first-appearance rules need. A malformed page fails.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from channelmart.functions.exprs import metric_or_zero
+from channelmart.sources.pages import other_columns, position, read_pages
 
 _VALUES = ArrayType(StructType([StructField("value", StringType(), True)]))
 REPORT_SCHEMA = StructType([
@@ -28,7 +29,6 @@ REPORT_SCHEMA = StructType([
 _ADS = [("cost", "money"), ("clicks", "long"), ("impressions", "long")]
 _AN = [("revenue", "money"), ("conversions", "money"), ("sessions", "long")]
 # report -> (dimension columns in response order, (metric, kind) in order).
-# The request-side names of the analytics API are listed for the landing job.
 REPORT_SPECS: dict[str, tuple[list[str], list[tuple[str, str]]]] = {
     "range_ads": (["campaign", "ad_group"], _ADS),
     "range_analytics": (["campaign", "ad_group", "channel", "medium"], _AN),
@@ -38,27 +38,22 @@ REPORT_SPECS: dict[str, tuple[list[str], list[tuple[str, str]]]] = {
     "day_adgroup_analytics": (["date", "campaign", "ad_group", "channel", "medium"], _AN),
     "item_revenue": (["date", "channel", "item_name"], [("item_revenue", "money"), ("items_purchased", "long")]),
 }
-API_NAMES = {
-    "date": "date", "campaign": "googleAdsCampaignName", "ad_group": "googleAdsAdGroupName",
-    "channel": "sessionDefaultChannelGroup", "medium": "sessionMedium", "item_name": "itemName",
-    "cost": "advertiserAdCost", "clicks": "advertiserAdClicks", "impressions": "advertiserAdImpressions",
-    "revenue": "purchaseRevenue", "conversions": "conversions", "sessions": "sessions",
-    "item_revenue": "itemRevenue", "items_purchased": "itemsPurchased",
-}
 
 
-def read_report(spark: SparkSession, path: str, dims: Sequence[str],
-                metrics: Sequence[tuple[str, str]]) -> DataFrame:
-    """Positional values -> named, typed columns (P8: a missing metric is 0)."""
-    raw = (spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(path)
-           .select("*", F.col("_metadata.file_name").alias("_file")))
-    part_cols = [c for c in raw.columns if c not in ("rows", "_file")]
-    rows = raw.select(*part_cols, "_file", F.posexplode("rows").alias("_idx", "r"))
+def parse_report(pages: DataFrame, dims: Sequence[str], metrics: Sequence[tuple[str, str]]) -> DataFrame:
+    """Positional values -> named, typed columns (N2; P8: a missing metric is 0)."""
+    keep = other_columns(pages)
+    parsed = pages.select(*keep, "page", F.from_json("value", REPORT_SCHEMA, {"mode": "FAILFAST"}).alias("p"))
+    rows = parsed.select(*keep, "page", F.posexplode("p.rows").alias("_idx", "r"))
     dim_cols = [F.try_element_at("r.dimensionValues", F.lit(i + 1))["value"].alias(d) for i, d in enumerate(dims)]
     met_cols = [metric_or_zero(F.try_element_at("r.metricValues", F.lit(i + 1))["value"], kind).alias(m)
                 for i, (m, kind) in enumerate(metrics)]
-    return rows.select(*part_cols, *dim_cols, *met_cols,
-                       F.struct(F.col("_file").alias("file"), F.col("_idx").alias("idx")).alias("pos"))
+    return rows.select(*keep, *dim_cols, *met_cols, position())
+
+
+def read_report(spark: SparkSession, path: str, dims: Sequence[str],
+                metrics: Sequence[tuple[str, str]]) -> DataFrame:
+    return parse_report(read_pages(spark, path), dims, metrics)
 
 
 def read_named_report(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -1,18 +1,21 @@
 """Reservation and daily-rate responses landed as JSON pages.
 
 A page may be a bare list, an object whose ``items``, ``results`` or
-``data`` is a list, or a single object; non-object rows are dropped. Layout:
-``<root>/property_id=<id>/*.json`` for reservations. Every leaf is read as
-text (nullable) and typed by the normaliser.
+``data`` is a list, or a single object; rows that are no objects are dropped,
+the objects beside them are kept, and a page that is no JSON fails. Layout:
+``<root>/property_id=<id>/page-<n>.json`` for reservations. Every leaf is read
+as text (nullable) and typed by the normaliser; the guests stay JSON text, as
+the rule that picks one asks whether the object is empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from channelmart.functions.exprs import MONEY
+from channelmart.sources.pages import other_columns, position, read_pages
 
 _S = StringType()
 
@@ -21,57 +24,44 @@ def _obj(*names: str) -> StructType:
     return StructType([StructField(n, _S, True) for n in names])
 
 
-_GUEST = _obj("lastName", "surname", "firstName", "given")
 RESERVATION_FIELDS = StructType(
     [StructField(n, _S, True) for n in (
         "id", "reservationId", "onlineConfirmationId", "dateCreated", "createdDate", "arrivalDate",
         "arriveDate", "departureDate", "departDate", "dateCancelled", "cancelledDate",
         "bookingSourceName", "createdById", "travelAgentName", "guestSurname", "guestGiven",
-        "categoryName", "status", "currency", "currencyCode")]
+        "categoryName", "status", "currency", "currencyCode", "primaryGuest", "guest")]
     + [StructField("bookingSource", _obj("name"), True), StructField("travelAgent", _obj("name"), True),
-       StructField("category", _obj("name"), True), StructField("primaryGuest", _GUEST, True),
-       StructField("guest", _GUEST, True)])
+       StructField("category", _obj("name"), True)])
 RATE_FIELDS = _obj("reservationId", "totalRateAmount", "stayDate")
 
 
-def _envelope(fields: StructType) -> StructType:
-    arr = ArrayType(fields)
-    return StructType(list(fields.fields) + [StructField(k, arr, True) for k in ("items", "results", "data")])
-
-
-def _read_envelope(spark: SparkSession, path: str, fields: StructType) -> DataFrame:
-    """One row per object whatever the page shape. Spark's JSON reader already
-    turns a top-level list into one row per element; those elements share
-    list index 0, so ``pos`` also carries the row's ordinal in its read task
-    (``monotonically_increasing_id``): a multi-line JSON file is parsed whole
-    by one task in file order, which makes it the element order."""
-    raw = (spark.read.schema(_envelope(fields)).option("multiLine", True)
-           .option("mode", "PERMISSIVE").json(path)
-           .select("*", F.col("_metadata.file_name").alias("_file"),
-                   F.monotonically_increasing_id().alias("_row")))
-    names = [f.name for f in fields.fields]
-    part_cols = [c for c in raw.columns if c not in names + ["items", "results", "data", "_file"]]
-    self_row = F.array(F.struct(*[F.col(n) for n in names]))
-    part_cols = [c for c in part_cols if c != "_row"]
-    rows = raw.select(*part_cols, "_file", "_row",
-                      F.posexplode(F.coalesce("items", "results", "data", self_row)).alias("_idx", "r"))
-    # An element with no field at all is not an object row. The test is on
-    # the whole element (null fields are left out of its JSON text), not on
-    # a coalesce of its fields: the fields are projected under their own
-    # names next, and a filter over all of them would make the optimizer's
-    # constraint propagation grow exponentially with the field count.
-    present = F.to_json(F.col("r")) != F.lit("{}")
-    return (rows.where(present)
-            .select(*part_cols, "r.*",
-                    F.struct(F.col("_file").alias("file"), F.col("_row").alias("row"),
-                             F.col("_idx").alias("idx")).alias("pos")))
+def parse_envelope(pages: DataFrame, fields: StructType) -> DataFrame:
+    """One row per object whatever the page shape: the outer value decides
+    (a list stands for its elements, an object for the first of its lists
+    named items, results or data, else for itself), then objects are kept.
+    ``pos`` is (page number, place in the list)."""
+    keep = other_columns(pages)
+    outer = F.substring(F.regexp_replace("value", r"^\s+", ""), 1, 1)
+    page = F.parse_json("value")
+    lists = [F.try_variant_get("v", f"$.{k}", "array<variant>") for k in ("items", "results", "data")]
+    elements = (F.when(F.col("outer") == "[", F.try_variant_get("v", "$", "array<variant>"))
+                .when(F.col("outer") == "{", F.coalesce(*lists, F.array("v"))))
+    rows = (pages.select(*keep, "page", outer.alias("outer"), page.alias("v"))
+            .select(*keep, "page", F.posexplode(elements).alias("_idx", "e"))
+            .select(*keep, "page", "_idx", F.to_json("e").alias("text"))
+            .where(F.col("text").startswith("{")))
+    return (rows.select(*keep, F.from_json("text", fields).alias("r"), position())
+            .select(*keep, "r.*", "pos"))
 
 
 def read_reservations(spark: SparkSession, path: str) -> DataFrame:
-    return _read_envelope(spark, path, RESERVATION_FIELDS)
+    return parse_envelope(read_pages(spark, path), RESERVATION_FIELDS)
 
 
-def read_daily_rates(spark: SparkSession, path: str) -> DataFrame:
+def parse_daily_rates(pages: DataFrame) -> DataFrame:
     """(reservationId, totalRateAmount, stayDate) rows; amounts exact."""
-    df = _read_envelope(spark, path, RATE_FIELDS)
-    return df.withColumn("totalRateAmount", F.col("totalRateAmount").try_cast(MONEY))
+    return parse_envelope(pages, RATE_FIELDS).withColumn("totalRateAmount", F.col("totalRateAmount").try_cast(MONEY))
+
+
+def read_daily_rates(spark: SparkSession, path: str) -> DataFrame:
+    return parse_daily_rates(read_pages(spark, path))

@@ -70,7 +70,7 @@ def test_ads_daily_and_item_revenue_from_landed_reports(spark, scratch):
     report shows only g1, so the campaign-day gap (revenue 30, conversions 3,
     sessions 30) goes to g2, whose whole period target is unexplained."""
     root = os.path.join(scratch, "reports")
-    p = "property_name=p/r.json"
+    p = "property_name=p/r-0.json"
     put(root, f"range_analytics/{p}", report((["Camp", "g1", "Paid Search", "cpc"], ["10", "1", "10"]),
                                              (["Camp", "g2", "Paid Search", "cpc"], ["30", "3", "30"])))
     put(root, f"range_ads/{p}", report((["Camp", "g1"], ["2", "4", "40"]), (["Camp", "g2"], ["3", "6", "60"])))

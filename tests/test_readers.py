@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from channelmart.sources.ads_search import read_ads_search
 from channelmart.sources.properties import read_properties
 from channelmart.sources.reports import read_report
@@ -21,11 +23,11 @@ def vals(*xs):
 
 
 def test_read_report_positional_and_empty(spark, scratch):
-    put(scratch, "property_name=a/r.json", {"rows": [
+    put(scratch, "property_name=a/r-0.json", {"rows": [
         {"dimensionValues": vals("20240102", "Camp"), "metricValues": vals("1.25", "3", "10")},
         {"dimensionValues": vals("20240103", "Camp"), "metricValues": vals("2")},
     ]})
-    put(scratch, "property_name=b/r.json", {"kind": "empty report"})
+    put(scratch, "property_name=b/r-0.json", {"kind": "empty report"})
     df = read_report(spark, scratch, ["date", "campaign"],
                      [("cost", "money"), ("clicks", "long"), ("impressions", "long")])
     rows = sorted((r.property_name, r.date, float(r.cost), r.clicks, r.impressions, r.pos.idx) for r in df.collect())
@@ -40,9 +42,9 @@ def test_read_ads_search_pages_and_defaults(spark, scratch):
     put(scratch, "property_name=a/page-1.json", {"results": [{"segments": {"date": "2024-01-02"}}]})
     df = read_ads_search(spark, scratch, "ad_group")
     rows = sorted((r.campaign, r.ad_group, float(r.cost), r.clicks, r.impressions, float(r.conversions),
-                   float(r.revenue), r.pos.file) for r in df.collect())
-    assert rows == [("C", "G", 1.5, 4, 9, 1.5, 20.25, "page-0.json"),
-                    ("N/A", "N/A", 0.0, 0, 0, 0.0, 0.0, "page-1.json")]
+                   float(r.revenue), r.pos.page) for r in df.collect())
+    assert rows == [("C", "G", 1.5, 4, 9, 1.5, 20.25, 0),
+                    ("N/A", "N/A", 0.0, 0, 0, 0.0, 0.0, 1)]
 
 
 def test_read_reservations_envelopes(spark, scratch):
@@ -55,8 +57,8 @@ def test_read_reservations_envelopes(spark, scratch):
     got = sorted((r.property_id, r.id or r.reservationId) for r in df.collect())
     assert got == [("1", "1"), ("1", "2"), ("1", "3"), ("1", "4"), ("1", "5"), ("2", "6")]
     row = df.where("id = '5'").collect()[0]
-    assert row.primaryGuest.lastName == "L"
-    p0 = sorted((r.pos, r.id) for r in df.collect() if r.pos.file == "p0.json")
+    assert json.loads(row.primaryGuest) == {"lastName": "L"}
+    p0 = sorted((r.pos, r.id) for r in df.collect() if r.property_id == "1" and r.pos.page == 0)
     assert [i for _, i in p0] == ["1", "2"]          # bare list: element order is kept in pos
 
 
@@ -76,7 +78,7 @@ def test_last_export_row_of_a_bare_list_page_wins(spark, scratch):
 
 
 def test_read_rates_and_properties(spark, scratch):
-    put(scratch, "rates/x.json", [{"reservationId": 1, "totalRateAmount": 10.105, "stayDate": "2024-01-01"},
+    put(scratch, "rates/x-1.json", [{"reservationId": 1, "totalRateAmount": 10.105, "stayDate": "2024-01-01"},
                                   {"reservationId": 1, "stayDate": "2024-01-02"}])
     df = read_daily_rates(spark, os.path.join(scratch, "rates"))
     got = sorted(((r.reservationId, -1.0 if r.totalRateAmount is None else float(r.totalRateAmount))
@@ -86,3 +88,47 @@ def test_read_rates_and_properties(spark, scratch):
                                   {"propertyId": 8, "clientName": "Y", "location": "Z"}])
     props = sorted(tuple(r) for r in read_properties(spark, os.path.join(scratch, "props")).collect())
     assert props == [(7, "X", ""), (8, "Y", "Z")]
+
+
+def test_a_truncated_page_fails_the_job(spark, scratch):
+    for root, read in (("a", lambda p: read_report(spark, p, ["date"], [("cost", "money")])),
+                       ("b", lambda p: read_ads_search(spark, p, "campaign")), ("c", lambda p: read_reservations(spark, p)),
+                       ("d", lambda p: read_daily_rates(spark, p))):
+        path = os.path.join(scratch, root)
+        put(path, "property_name=x/page-1.json", {"rows": [], "results": []})
+        with open(os.path.join(path, "property_name=x/page-2.json"), "w") as f:
+            f.write('{"rows": [{"dimensionValues": [{"value": "2024')
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read(path).collect()
+
+
+def test_objects_beside_other_values_are_kept(spark, scratch):
+    """Rows that are no objects are dropped; a list element keeps its own lists."""
+    pages = [[{"id": 1}, 3], [{"id": 2}, None], [{"id": 3}, "x"], {"items": [{"id": 4}, 3]}, [{"id": 5, "data": [{"id": 99}]}],
+             {"items": {"id": 98}, "results": [{"id": 6}]}, {"id": 7, "items": 3}, 8, [], [[{"id": 97}]], '{"id": 96}']
+    for k, page in enumerate(pages):
+        put(scratch, f"property_id=1/page-{k}.json", page)
+    assert sorted(r.id for r in read_reservations(spark, scratch).collect()) == ["1", "2", "3", "4", "5", "6", "7"]
+
+
+def test_the_last_row_of_the_last_page_wins(spark, scratch):
+    from channelmart.operators.overlay import last_row_wins
+    for k in range(12):
+        put(scratch, f"property_name=a/page-{k}.json", {"results": [{"segments": {"date": "2024-01-02"}, "campaign": {"name": "C"},
+                                                                     "metrics": {"costMicros": str(k * 1_000_000)}}]})
+    rows = read_ads_search(spark, scratch, "campaign")
+    assert [float(r.cost) for r in last_row_wins(rows, ["property_name", "data_date", "campaign"], ["cost"]).collect()] == [11.0]
+
+
+def test_a_page_without_a_number_is_refused(spark, scratch):
+    put(scratch, "property_name=a/page.json", {"results": [{"campaign": {"name": "C"}}]})
+    with pytest.raises(Exception, match="without a number"):
+        read_ads_search(spark, scratch, "campaign").collect()
+
+
+def test_metrics_keep_their_digits(spark, scratch):
+    put(scratch, "property_name=a/page-0.json", {"results": [{"metrics": {
+        "costMicros": "9007199254740993", "clicks": "9007199254740993", "impressions": 3.0, "conversions": 0.123456789}}]})
+    row = read_ads_search(spark, scratch, "campaign").collect()[0]
+    assert (str(row.cost.normalize()), row.clicks, row.impressions) == ("9007199254.740993", 9007199254740993, 3)
+    assert str(row.conversions.normalize()) == "0.123456789"
