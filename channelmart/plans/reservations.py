@@ -8,13 +8,13 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from channelmart.functions.dates import stay_limit
+from channelmart.functions.dates import resolve_range, stay_limit
 from channelmart.functions.exprs import (booking_agent, date_prefix, first_non_empty,
                                          money_text, parse_and_shift)
-from channelmart.session import cut_lineage
+from channelmart.session import stage
 from channelmart.sinks.writers import write_partitions
 
-# Fixed values of the export.
+# Fixed values of the export: defaults, output columns in order, source fields.
 CONFIRMATION_DEFAULT = "REST API"
 CURRENCY_DEFAULT = "USD"
 DATE_PAID = "N/A"
@@ -42,9 +42,11 @@ def _field(df: DataFrame, path: str) -> Column:
 
 def _chosen_guest(df: DataFrame) -> Column:
     """The primary guest unless missing or empty ({} falls through), else
-    the guest object. Both carry the four name fields (reader schema)."""
-    present = F.coalesce(*[_field(df, f"primaryGuest.{f}").cast("string") for f in GUEST_FIELDS]).isNotNull()
-    return F.when(present, _field(df, "primaryGuest")).otherwise(_field(df, "guest"))
+    the guest. Both are JSON objects as text, so an object that holds none of
+    the four names (an id alone) still counts as there."""
+    primary, other = _field(df, "primaryGuest"), _field(df, "guest")
+    chosen = F.when(F.regexp_replace(F.coalesce(primary, F.lit("")), r"\s", "").isin("", "{}", "null"), other).otherwise(primary)
+    return F.from_json(chosen, ", ".join(f"{f} string" for f in GUEST_FIELDS))
 
 
 def normalize_reservations(res: DataFrame) -> DataFrame:
@@ -83,19 +85,21 @@ def normalize_reservations(res: DataFrame) -> DataFrame:
 
 
 def creation_window(res: DataFrame, start: str, end: str) -> DataFrame:
-    """raw creation day within [start-1, end+1] (whole days). Applied
-    before P20 so the scan is pruned; the exact day test (F5) follows."""
+    """creation day within [start-1, end+1] (whole days), as the service
+    selects on the real timestamp: the text is parsed first, so unpadded
+    fields count; only a text that is no time is taken by its first ten
+    characters, as F5 takes it."""
     lo = (_dt.date.fromisoformat(start) - _dt.timedelta(days=1)).isoformat()
     hi = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
     f = lambda p: _field(res, p)
-    raw = F.substring(F.trim(first_non_empty(f("dateCreated"), f("createdDate"), default="")), 1, 10)
-    return res.where(raw.between(F.lit(lo), F.lit(hi)))
+    day = parse_and_shift(first_non_empty(f("dateCreated"), f("createdDate"), default=""), 0)
+    return res.where(day.between(F.lit(lo), F.lit(hi)))
 
 
 def stay_rates(export: DataFrame, rates: DataFrame) -> DataFrame:
     """F8 + A1 + D6 + F6 + J11 + A6: per reservation id the sum of rate amounts
-    whose stay day lies in [arrive, depart + 1]; the dates of the id's last
-    export row apply."""
+    (at full scale; P23 rounds the sum once) whose stay day lies in
+    [arrive, depart + 1]; the dates of the id's last export row apply."""
     complete = rates.where(F.col("reservationId").isNotNull() & F.col("totalRateAmount").isNotNull()
                            & F.col("stayDate").isNotNull())
     # Landed rows carry their report position; without one every row of an
@@ -107,7 +111,7 @@ def stay_rates(export: DataFrame, rates: DataFrame) -> DataFrame:
     stay = date_prefix(F.col("stayDate"))
     j = complete.join(dates, complete.reservationId.cast("long") == dates.res_no)
     return (j.where((stay >= F.substring("arrive", 1, 10)) & (stay <= F.col("limit")))
-             .groupBy("res_no").agg(F.sum(F.col("totalRateAmount").cast("decimal(18,2)")).alias("rate_sum")))
+             .groupBy("res_no").agg(F.sum("totalRateAmount").alias("rate_sum")))
 
 
 def export_reservations(res: DataFrame, rates: DataFrame, properties: DataFrame,
@@ -117,13 +121,23 @@ def export_reservations(res: DataFrame, rates: DataFrame, properties: DataFrame,
     end = end or start
     norm = normalize_reservations(creation_window(res, start, end))
     kept = norm.where(F.col("created_date_utc").between(F.lit(start), F.lit(end)))      # F5
-    # The export rows feed both the per-id stay window and the output; they
-    # are checkpointed once (shared folder) instead of normalised twice.
-    tagged = cut_lineage(kept.join(properties, "property_id"))                          # J14
-    rated = tagged.join(stay_rates(tagged, rates), "res_no", "left")                    # J13
+    tagged = kept.join(properties, "property_id")                                       # J14
+    # The stay window needs four columns of the export rows; the output keeps
+    # its own branch.
+    rated = tagged.join(stay_rates(kept.join(properties.select("property_id"), "property_id"), rates), "res_no", "left")   # J13
     return rated.withColumn("rate", money_text("rate_sum")).select(*COLUMNS)
 
 
 def write_reservations(df: DataFrame, path: str) -> None:
     """K5: one folder per target day, replaced; no rows -> nothing written."""
     write_partitions(df.withColumn("data_date", F.col("created_date_utc")), path, ["data_date"])
+
+
+def run_export_reservations(res: DataFrame, rates: DataFrame, properties: DataFrame, path: str, as_of: str,
+                            start: str | None = None, end: str | None = None) -> DataFrame:
+    """C7 + K5 for an explicit range of target days, else yesterday.
+    Returns the rows of the run per target day."""
+    start, end = resolve_range(start, end, as_of, default="yesterday")
+    df = stage(export_reservations(res, rates, properties, start, end), "reservations")
+    write_reservations(df, path)
+    return df.groupBy(F.col("created_date_utc").alias("data_date")).agg(F.count(F.lit(1)).alias("row_count"))

@@ -18,6 +18,13 @@ def read_events_day(spark: SparkSession, source: str, day_suffix: str,
     return spark.read.table(f"{source.strip()}_{day_suffix}")
 
 
+def read_search_table(spark: SparkSession, path: str) -> DataFrame:
+    """A search table landed as ``<path>/project_id=<project>/..``. The
+    project is the dataset that was read, not a column of the table, so it
+    comes from the folder."""
+    return spark.read.parquet(path)
+
+
 def read_search_days(df: DataFrame, dates: Sequence[str], date_col: str = "data_date") -> DataFrame:
     """All columns of a search table for the given days; on a date
     partition column this is partition pruning, on a file a pushed filter."""

@@ -24,14 +24,12 @@ def test_export_day_shift_rates_and_defaults(spark):
     rows = [
         # created 02:00 on the 6th -> 23:00 on the 5th after the -3 h shift: kept for the 5th
         {"id": "1", "dateCreated": "2024-03-06 02:00:00", "arrivalDate": "2024-03-10", "departureDate": "2024-03-12",
-         "bookingSourceName": "Sleepover web", "createdById": "176.0", "primaryGuest": {"lastName": "Lee", "firstName": "Ann",
-                                                                                       "surname": None, "given": None},
+         "bookingSourceName": "Sleepover web", "createdById": "176.0", "primaryGuest": '{"lastName": "Lee", "firstName": "Ann"}',
          "property_id": 1, "pos": 0},
         # T layout, nested names, second currency field
         {"reservationId": "2", "createdDate": "2024-03-05T12:00:00", "arriveDate": "2024-03-01T00:00:00",
          "departDate": "bad", "bookingSource": {"name": ""}, "travelAgent": {"name": "Agent X"},
-         "guest": {"lastName": None, "firstName": None, "surname": "Roe", "given": "Bo"},
-         "primaryGuest": {"lastName": None, "firstName": None, "surname": None, "given": None},
+         "guest": '{"surname": "Roe", "given": "Bo"}', "primaryGuest": "{ }",
          "category": {"name": "Suite"}, "currencyCode": "EUR", "property_id": 2, "pos": 1},
         # unparsable time but the day prefix matches: kept, not shifted
         {"id": "3", "dateCreated": "2024-03-05 25:00:00", "arrivalDate": "2024-03-05", "departureDate": "2024-03-06",
@@ -66,11 +64,50 @@ def test_search_snapshot_window_and_top(spark):
                               "project_id string, d string").withColumn("data_date", F.to_date("d"))
     log = spark.range(250).select(F.lit("p1").alias("project_id"), F.col("id").alias("event_id"),
                                   (F.col("id") % 120).cast("timestamp").alias("publish_time"))
-    snaps = search_snapshot({"site": t, "log": log}, "log", projects, "2024-01-08")
+    snaps = search_snapshot({"site": t, "log": log}, "log", projects, "2024-01-08", tie_breakers=["event_id"])
+    assert "project_id" not in snaps["site"].columns + snaps["log"].columns
     assert sorted(r.date for r in snaps["site"].collect()) == ["2024-01-06", "2024-01-07"]
     top = snaps["log"]
     assert top.count() == 100 * 7
     assert top.where("date = '2024-01-01'").agg(F.min("publish_time")).first()[0] is not None
-    ids = {r.event_id for r in log_snapshot(log, projects, ["2024-01-07"]).collect()}
+    ids = {r.event_id for r in log_snapshot(log, projects, ["2024-01-07"], tie_breakers=["event_id"]).collect()}
     expected = {r.event_id for r in log.orderBy(F.col("publish_time").desc(), F.col("event_id").desc()).limit(100).collect()}
     assert ids == expected
+
+
+def test_unpadded_creation_times_and_whole_rate_sums(spark):
+    """F10 on the parsed time; A6 at full scale, P23 rounds the sum once."""
+    rows = [{"id": "5", "dateCreated": "2024-1-5 10:00:00", "arrivalDate": "2024-01-10", "departureDate": "2024-01-12", "property_id": 1, "pos": 0}]
+    rates = spark.createDataFrame([("5", Decimal("33.333"), f"2024-01-1{k}") for k in range(3)],
+                                  "reservationId string, totalRateAmount decimal(27,12), stayDate string")
+    props = reservation_properties_dim(spark, [{"propertyId": 1, "clientName": "A"}])
+    assert [(r.res_no, r.rate) for r in export_reservations(res_frame(spark, rows), rates, props, "2024-01-05").collect()] == [(5, "100.00")]
+
+
+def test_a_primary_guest_without_names_is_not_skipped(spark):
+    guest = '{"lastName": "G"}'
+    rows = [{"id": str(k), "dateCreated": "2024-01-05 10:00:00", "guest": guest, "primaryGuest": p, "property_id": 1, "pos": k}
+            for k, p in enumerate(['{"id": 7}', "{}", None, '{"lastName": "P"}'])]
+    rates = spark.createDataFrame([], "reservationId string, totalRateAmount decimal(27,12), stayDate string")
+    props = reservation_properties_dim(spark, [{"propertyId": 1, "clientName": "A"}])
+    got = {r.res_no: r.surname for r in export_reservations(res_frame(spark, rows), rates, props, "2024-01-05").collect()}
+    assert got == {0: "", 1: "G", 2: "G", 3: "P"}
+
+
+def test_a_log_without_event_ids(spark):
+    """FIXTURES 1.5: a log with a time and other columns; a hot project."""
+    projects = search_projects_dim(spark, [{"project_id": "p1", "property_name": "one"}, {"project_id": "p2", "property_name": "two"}])
+    log = spark.range(900).select(F.when(F.col("id") % 9 == 0, "p2").otherwise("p1").alias("project_id"),
+                                  (F.col("id") % 500).cast("timestamp").alias("publish_time"), F.concat(F.lit("t"), F.col("id") % 3).alias("table"))
+    top = log_snapshot(log, projects, ["2024-01-07"])
+    assert top.columns == ["publish_time", "table", "property_name", "date"]
+    for name, project in (("one", "p1"), ("two", "p2")):
+        times = sorted(r.publish_time for r in top.where(F.col("property_name") == name).collect())
+        want = sorted(r.publish_time for r in log.where(F.col("project_id") == project).orderBy(F.col("publish_time").desc()).limit(100).collect())
+        assert times == want
+
+
+def test_no_break_space_is_no_name(spark):
+    from channelmart.functions.exprs import is_named_campaign
+    rows = spark.createDataFrame([("\u00a0",), ("\u2003\x1c",), (" x",), ("(not set)",), ("",)], "c string")
+    assert [r.n for r in rows.select(is_named_campaign("c").alias("n")).collect()] == [False, False, True, False, False]
