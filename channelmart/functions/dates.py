@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = ["yesterday", "resolve_range", "last_n_days", "table_suffix",
-           "stay_limit", "range_bounds_col", "date_seq"]
+           "stay_limit", "range_bounds_col"]
 
 
 def _d(x: str | _dt.date) -> _dt.date:
@@ -56,9 +56,3 @@ def range_bounds_col(as_of: Column) -> tuple[Column, Column]:
     """D1+D2 as Columns: (first day of yesterday's month, yesterday)."""
     y = F.date_sub(as_of, 1)
     return F.trunc(y, "MM"), y
-
-
-def date_seq(start: str, end: str) -> Column:
-    """Inclusive ISO day list as an array Column (explode it to get rows)."""
-    return F.transform(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end))),
-                       lambda d: F.date_format(d, "yyyy-MM-dd"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from channelmart.functions.dates import table_suffix
 from channelmart.sinks.writers import write_partitions
+from channelmart.sources.tables import read_events_day
 
 VALUE_FIELDS = ("string_value", "int_value", "float_value", "double_value")
 
@@ -48,3 +50,10 @@ def run_flatten_events(df: DataFrame, property_id: str, property_name: str, path
     the shuffle, where the rows are written, and no second shuffle follows."""
     tagged = tag_events(df, property_id, property_name).hint("rebalance", "property_id", "event_date")
     write_partitions(_explode_params(tagged), path, ["property_id", "event_date"], rebalance=False)
+
+
+def run_events_day(spark: SparkSession, source: str, property_id: str, property_name: str, path: str, as_of: str,
+                   partitioned: bool = True) -> None:
+    """C6 for the daily event table of two days before ``as_of``."""
+    day = read_events_day(spark, source, table_suffix(as_of), partitioned)
+    run_flatten_events(day, property_id, property_name, path)

@@ -19,20 +19,18 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from channelmart.plans.events import flatten_events
-from channelmart.session import ensure_checkpoint_dir
 
 MAX_FILES_PER_BATCH = 1000
 
 
 def flatten_new_events(spark: SparkSession, source_dir: str, schema: StructType, target_path: str,
-                       property_id: str, property_name: str,
-                       checkpoint_location: str | None = None,
+                       property_id: str, property_name: str, checkpoint_location: str,
                        max_files_per_trigger: int | None = MAX_FILES_PER_BATCH) -> None:
     """Flatten every event file landed since the last run, in micro-batches
     of at most ``max_files_per_trigger`` files (a backlog is drained in
-    several bounded batches, so a failed batch reruns only its own files)."""
-    if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flatten-events-{property_id}"
+    several bounded batches, so a failed batch reruns only its own files).
+    ``checkpoint_location`` holds the progress and must be the same folder in
+    every run of this target: the target's commit log counts batches by it."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -76,3 +76,24 @@ def test_run_flatten_shuffles_events_before_the_explode(spark, scratch):
     plan = _explode_params(tag_events(ev, "1", "p").hint("rebalance", "property_id", "event_date")) \
         ._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate explode") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+
+
+def test_two_sessions_share_the_progress(spark, scratch):
+    """A second session of the same progress folder goes on where the first
+    ended; without a folder the job does not start."""
+    import subprocess
+    import sys
+    ev = si.events(spark, SF)
+    src, out, ckpt = (os.path.join(scratch, d) for d in ("landed2", "flat2", "ckpt2"))
+    code = (f"import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})\n"
+            "from channelmart.session import local_session\nfrom channelmart.streaming import flatten_new_events\n"
+            "from pyspark.sql.types import StructType\nimport json\n"
+            "spark = local_session(cores=2, shuffle_partitions=2)\n"
+            f"flatten_new_events(spark, {src!r}, StructType.fromJson(json.loads({ev.schema.json()!r})), {out!r}, '1', 'p', {ckpt!r})\n")
+    for part in (0, 1):
+        ev.where(f"event_id % 2 = {part}").coalesce(1).write.mode("append").parquet(src)
+        subprocess.run([sys.executable, "-c", code], check=True, timeout=300, capture_output=True)
+    assert spark.read.parquet(out).count() == flatten_events(ev, "1", "p").count()
+    import pytest
+    with pytest.raises(TypeError):
+        flatten_new_events(spark, src, ev.schema, out, "1", "p")
