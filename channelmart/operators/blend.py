@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from channelmart.functions.exprs import PAID_MEDIUM, default_channel, safe_ratio
 
+# The output columns, in order.
 OUTPUT_COLUMNS = [
     "property_name", "property_type", "data_date", "campaign", "ad_group",
     "session_default_channel_group", "session_medium", "cost", "revenue", "roas",

@@ -19,7 +19,10 @@ def native_hybrid(campaign_rows: DataFrame, adgroup_rows: DataFrame) -> DataFram
     whose campaign-day is absent from the campaign report are dropped."""
     camp = last_row_wins(campaign_rows, DAY_CAMPAIGN, NATIVE_METRICS).drop("first_pos")
     adg = adgroup_rows.select(*DAY_CAMPAIGN, "ad_group", *NATIVE_METRICS)
-    detailed = adg.join(camp.select(*DAY_CAMPAIGN), DAY_CAMPAIGN, "left_semi")
-    campaign_only = (camp.join(adg.select(*DAY_CAMPAIGN), DAY_CAMPAIGN, "left_anti")
-                     .withColumn("ad_group", F.lit(CAMPAIGN_LEVEL)))
-    return detailed.unionByName(campaign_only.select(*detailed.columns))
+    # One left join from the campaign rows gives both branches: a campaign-day
+    # with ad-group rows yields those, one without yields itself. Rows meet on
+    # (property, day, campaign), which holds one campaign's ad groups of a day.
+    detail = F.struct("ad_group", *NATIVE_METRICS)
+    j = camp.join(adg.select(*DAY_CAMPAIGN, detail.alias("detail")), DAY_CAMPAIGN, "left")
+    level = F.struct(F.lit(CAMPAIGN_LEVEL).alias("ad_group"), *NATIVE_METRICS)
+    return j.select(*DAY_CAMPAIGN, F.coalesce("detail", level).alias("row")).select(*DAY_CAMPAIGN, "row.*")

@@ -11,14 +11,16 @@ group takes the residual. Everything is keyed by ``property_name``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from channelmart.functions.exprs import (CAMPAIGN_LEVEL, is_named_campaign,
+from channelmart.functions.exprs import (CAMPAIGN_LEVEL, clamp0, is_named_campaign,
                                          is_real_ad_group, rint_places)
-from channelmart.session import cut_lineage
-from channelmart.sources.properties import bounded_broadcast
+from channelmart.session import stage
 from channelmart.operators.overlay import (ADGROUP_DAY_KEYS, ALL_METRICS, AN_METRICS,
                                            CAMPAIGN_DAY_KEYS, TARGET_KEYS)
 
@@ -27,7 +29,6 @@ PAIR = ["property_name", "campaign", "ad_group"]
 GROUP = ["property_name", "campaign", "channel", "medium"]          # W2/W3/W6/J9 key
 SHARED = ("revenue", "conversions")                                  # 6-decimal metrics
 ALLOC = DecimalType(30, 6)
-SHARES_BROADCAST_ROWS = 500_000      # ~150 bytes a row: at most ~75 MB per executor
 RECONCILED_COLS = ["property_name", "data_date", "campaign", "ad_group", "channel", "medium",
                    "revenue_ga4", "conversions_ga4", "sessions_ga4"]
 
@@ -41,12 +42,12 @@ def discrepancy_weights(T: DataFrame, adgroup_day: DataFrame) -> DataFrame:
     """J5 + A2 + J6 + P25: observed = daily ad-group rows of target (campaign,
     ad group) pairs (any channel) summed over the period; weight = max(0,
     target - observed) per metric. Weights are constant over the range."""
-    observed = (adgroup_day.join(T.select(*PAIR), PAIR, "left_semi")
+    observed = (adgroup_day.join(T.select(*PAIR).distinct(), PAIR, "left_semi")
                 .groupBy(*TARGET_KEYS)
                 .agg(*[F.sum(m).alias(f"obs_{m}") for m in ALL_METRICS]))
     w = T.join(observed, TARGET_KEYS, "left")
     return w.select(*TARGET_KEYS, "first_seen",
-                    *[F.greatest(F.lit(0), F.col(m) - F.coalesce(F.col(f"obs_{m}"), F.lit(0))).alias(f"w_{m}")
+                    *[clamp0(F.col(m) - F.coalesce(F.col(f"obs_{m}"), F.lit(0))).alias(f"w_{m}")
                       for m in ALL_METRICS])
 
 
@@ -59,7 +60,7 @@ def active_campaign_days(campaign_day: DataFrame) -> DataFrame:
 
 def campaign_level_rows(active: DataFrame, T: DataFrame) -> DataFrame:
     """Campaigns without any real target ad group report at campaign level."""
-    return (active.join(T.select(*CAMPAIGN), CAMPAIGN, "left_anti")
+    return (active.join(T.select(*CAMPAIGN).distinct(), CAMPAIGN, "left_anti")
             .select("property_name", "data_date", "campaign", F.lit(CAMPAIGN_LEVEL).alias("ad_group"),
                     "channel", "medium",
                     F.col("revenue").alias("revenue_ga4"), F.col("conversions").alias("conversions_ga4"),
@@ -70,12 +71,12 @@ def daily_gap(active: DataFrame, T: DataFrame, adgroup_day: DataFrame) -> DataFr
     """J8 + A3 + P25: per targeted campaign-day row, the part of revenue,
     conversions and sessions not visible in that day's ad-group rows (all of
     them, '(not set)' included)."""
-    targeted = active.join(T.select(*CAMPAIGN), CAMPAIGN, "left_semi")
+    targeted = active.join(T.select(*CAMPAIGN).distinct(), CAMPAIGN, "left_semi")
     totals = (adgroup_day.groupBy(*CAMPAIGN_DAY_KEYS)
               .agg(*[F.sum(m).alias(f"tot_{m}") for m in AN_METRICS]))
     g = targeted.join(totals, CAMPAIGN_DAY_KEYS, "left")
     return g.select(*CAMPAIGN_DAY_KEYS,
-                    *[F.greatest(F.lit(0), F.col(m) - F.coalesce(F.col(f"tot_{m}"), F.lit(0))).alias(f"diff_{m}")
+                    *[clamp0(F.col(m) - F.coalesce(F.col(f"tot_{m}"), F.lit(0))).alias(f"diff_{m}")
                       for m in AN_METRICS])
 
 
@@ -117,14 +118,18 @@ def session_carry(fanned: DataFrame) -> DataFrame:
     groups of groups with n >= 2. Over the ad group's active days ascending:
     exact = diff*share + carry; alloc = rint(exact); carry = exact - alloc.
     One ordered fold per (property, campaign, channel, medium, ad group), in
-    the JVM (``aggregate``); a group holds one row per active day of the run,
-    so its size is bounded by the date range, not by the data volume.
-    Days with no session gap are left out: there exact = 0*share + carry =
-    carry, |carry| <= 0.5 rounds (half-even) to 0, so the allocation is 0 and
-    the carry is unchanged -- an exact no-op. Callers treat a missing day as 0."""
+    the JVM (``aggregate``); a group holds one row per active day of the run.
+    The rows are exchanged on that whole key: a plain ``groupBy`` would reuse
+    a partitioning by campaign and fold a hot campaign in one task. The fold
+    copies its result at every step, so it is quadratic in the days of the
+    run's range (not in the data). Days with no session gap are left out:
+    there exact = 0*share + carry = carry, |carry| <= 0.5 rounds (half-even)
+    to 0, so the allocation is 0 and the carry is unchanged -- an exact no-op.
+    Callers treat a missing day as 0."""
     rows = fanned.where((F.col("n") >= 2) & ~F.col("last_sessions") & (F.col("diff_sessions") > 0))
     day = F.struct(F.col("data_date").alias("d"), F.col("diff_sessions").cast("double").alias("x"))
-    seq = (rows.groupBy(*TARGET_KEYS)
+    seq = (rows.select(*TARGET_KEYS, "data_date", "diff_sessions", "share_sessions").repartition(*TARGET_KEYS)
+           .groupBy(*TARGET_KEYS)
            .agg(F.array_sort(F.collect_list(day)).alias("days"), F.first("share_sessions").alias("share")))
     init = F.struct(F.lit(0.0).alias("carry"),
                     F.array().cast("array<struct<data_date:string,alloc_sessions:bigint>>").alias("out"))
@@ -137,64 +142,70 @@ def session_carry(fanned: DataFrame) -> DataFrame:
                                                             alloc.cast("bigint").alias("alloc_sessions"))).alias("out"))
 
     folded = seq.select(*TARGET_KEYS, F.aggregate("days", init, step)["out"].alias("out"))
-    return folded.select(*TARGET_KEYS, F.inline("out"))
+    # inline would make Spark test the size of the fold first and run it twice
+    return folded.select(*TARGET_KEYS, F.inline_outer("out")).where(F.col("data_date").isNotNull())
 
 
-def distribute(gap: DataFrame, shares: DataFrame, observed: DataFrame | None = None) -> DataFrame:
-    """J9 + W6 + P26 (+ W4 for sessions): per fanned-out row the distributed
-    revenue, conversions and sessions. n = 1 takes the whole gap unrounded;
-    otherwise non-residual groups get rint(diff*share*1e6)/1e6 (sessions: the
-    carry fold) and the residual taker gets diff minus the others (may be
-    negative). ``observed`` (J10), when given, is joined on the same six keys
-    as the carry result, so both joins share one partitioning of the rows."""
+def _residuals(gap: DataFrame, shares: DataFrame, given: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
+    """For each campaign-day the rows of its residual takers, with what
+    the other ad groups (``given``) have left of the gap. Only takers are
+    joined to the sums, at most one ad group a metric."""
+    takers = (shares.where((F.col("n") >= 2) & reduce(or_, [F.col(f"last_{m}") for m in metrics]))
+              .select(*TARGET_KEYS, *[f"last_{m}" for m in metrics]))
+    left = gap.join(given, CAMPAIGN_DAY_KEYS, "left").join(takers, GROUP)
+    return left.select(*ADGROUP_DAY_KEYS, *[
+        F.when(F.col(f"last_{m}"), F.col(f"diff_{m}") - F.coalesce(F.col(f"given_{m}"), F.lit(0))).alias(f"res_{m}")
+        for m in metrics])
+
+
+def _part(m: str) -> Column:
+    """A non-residual ad group's rounded part of the gap."""
+    return rint_places(F.col(f"diff_{m}").cast("double") * F.col(f"share_{m}"), 6).cast(ALLOC)
+
+
+def distribute_money(gap: DataFrame, shares: DataFrame) -> DataFrame:
+    """J9 + W6 + P26: the distributed revenue and conversions of every
+    fanned-out row. n = 1 takes the whole gap unrounded; otherwise non-residual
+    groups get rint(diff*share*1e6)/1e6 and the residual taker gets diff minus
+    the others (may be negative)."""
+    f = fan_out(gap, shares)
+    given = (f.where(F.col("n") >= 2).groupBy(*CAMPAIGN_DAY_KEYS)
+             .agg(*[F.sum(F.when(~F.col(f"last_{m}"), _part(m))).alias(f"given_{m}") for m in SHARED]))
+    rest = _residuals(gap, shares, given, SHARED)
+    own = [(F.when(F.col("n") == 1, F.col(f"diff_{m}")).when(~F.col(f"last_{m}"), _part(m))).alias(f"own_{m}") for m in SHARED]
+    j = f.select(*ADGROUP_DAY_KEYS, *own).join(rest, ADGROUP_DAY_KEYS, "left")
+    return j.select(*ADGROUP_DAY_KEYS, *[F.coalesce(F.col(f"own_{m}"), F.col(f"res_{m}")).alias(f"dist_{m}") for m in SHARED])
+
+
+def distribute_sessions(gap: DataFrame, shares: DataFrame) -> DataFrame:
+    """J9 + W4 + W6: the distributed sessions of every fanned-out row."""
     f = fan_out(gap, shares)
     carry = session_carry(f)
-    f = f.join(carry.select(*ADGROUP_DAY_KEYS, "alloc_sessions"), ADGROUP_DAY_KEYS, "left")
-    extra = []
+    given = carry.groupBy(*CAMPAIGN_DAY_KEYS).agg(F.sum("alloc_sessions").alias("given_sessions"))
+    rest = _residuals(gap, shares, given, ("sessions",)).select(*ADGROUP_DAY_KEYS, F.col("res_sessions").alias("alloc_sessions"))
+    alloc = carry.select(*ADGROUP_DAY_KEYS, "alloc_sessions").unionByName(rest)
+    j = (f.select(*ADGROUP_DAY_KEYS, F.when(F.col("n") == 1, F.col("diff_sessions")).alias("own_sessions"))
+         .join(alloc, ADGROUP_DAY_KEYS, "left"))
+    return j.select(*ADGROUP_DAY_KEYS, F.coalesce("own_sessions", "alloc_sessions", F.lit(0).cast("bigint")).alias("dist_sessions"))
+
+
+def distribute(gap: DataFrame, shares: DataFrame, observed: DataFrame | None = None) -> DataFrame:
+    """Money and sessions of every fanned-out row; ``observed`` (J10), when
+    given, is joined on the same six keys, so all joins share one partitioning."""
+    j = distribute_money(gap, shares).join(distribute_sessions(gap, shares), ADGROUP_DAY_KEYS)
     if observed is not None:
-        f = f.join(observed.select(*ADGROUP_DAY_KEYS, *[F.col(m).alias(f"obs_{m}") for m in AN_METRICS]),
+        j = j.join(observed.select(*ADGROUP_DAY_KEYS, *[F.col(m).alias(f"obs_{m}") for m in AN_METRICS]),
                    ADGROUP_DAY_KEYS, "left")
-        extra = [f"obs_{m}" for m in AN_METRICS]
-    for m in SHARED:
-        rounded = rint_places(F.col(f"diff_{m}").cast("double") * F.col(f"share_{m}"), 6).cast(ALLOC)
-        f = f.withColumn(f"part_{m}", F.when(F.col("n") >= 2, F.when(~F.col(f"last_{m}"), rounded)))
-    # What the non-residual ad groups of each campaign-day received. A
-    # grouped sum (partial aggregation, one row per campaign-day) joined back,
-    # not a window, so a hot campaign-day is never buffered whole in one task.
-    given = (f.groupBy(*CAMPAIGN_DAY_KEYS)
-             .agg(*[F.sum(f"part_{m}").alias(f"given_{m}") for m in SHARED],
-                  F.sum("alloc_sessions").alias("given_sessions")))
-    f = f.join(given, CAMPAIGN_DAY_KEYS, "left")
-    cols = []
-    for m in SHARED:
-        dist = (F.when(F.col("n") == 1, F.col(f"diff_{m}"))
-                .when(~F.col(f"last_{m}"), F.col(f"part_{m}"))
-                .otherwise(F.col(f"diff_{m}") - F.coalesce(F.col(f"given_{m}"), F.lit(0))))
-        cols.append(dist.alias(f"dist_{m}"))
-    alloc = F.coalesce(F.col("alloc_sessions"), F.lit(0).cast("bigint"))
-    sess = (F.when(F.col("n") == 1, F.col("diff_sessions"))
-            .when(~F.col("last_sessions"), alloc)
-            .otherwise(F.col("diff_sessions") - F.coalesce(F.col("given_sessions"), F.lit(0))))
-    cols.append(sess.alias("dist_sessions"))
-    return f.select(*CAMPAIGN_DAY_KEYS, "ad_group", *cols, *extra)
+    return j
 
 
 def period_shares(targets: DataFrame, adgroup_day: DataFrame) -> DataFrame:
-    """Weights and shares of the real targets, computed once per run and cut
-    from their lineage (shared checkpoint folder): they are period-level (one
-    row per target, not per day) and read by the fan-out's three consumers
-    (carry fold, residual sums, output rows), which would otherwise each
-    rebuild them with their own exchanges.
-
-    Their row count (one row per target ad group and channel: the account's
-    structure, not its traffic) is then known, so within
-    ``SHARES_BROADCAST_ROWS`` they are broadcast: the fan-out (J9) runs
-    map-side where the daily rows already are, with no shuffle and no hot
-    campaign funnelled into one task. Beyond the bound the fan-out is a
-    shuffle join left to AQE (skew splits)."""
-    T = real_targets(targets)
-    shares = cut_lineage(target_shares(discrepancy_weights(T, adgroup_day)))
-    return bounded_broadcast(shares, shares.count(), SHARES_BROADCAST_ROWS)
+    """Weights and shares of the real targets, computed once per run and
+    staged in the shared folder: they are period-level (one row per target,
+    not per day) and read by the fan-out's consumers. The files' size is then
+    known to Spark, which broadcasts them only if they fit its limit; beyond
+    it the fan-out is a shuffle join open to AQE's skew splits."""
+    return stage(target_shares(discrepancy_weights(real_targets(targets), adgroup_day)), "period-shares")
 
 
 def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: DataFrame,
@@ -207,11 +218,11 @@ def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: Da
     if shares is None:
         shares = period_shares(targets, adgroup_day)
     # The shares hold exactly the rows of T, so they also name T's campaigns
-    # for the semi/anti joins below, and carry the bounded broadcast with them:
-    # the campaign-day rows are not shuffled by campaign (the hot key).
+    # for the semi/anti joins below. The gap rows are read five times.
     T = shares
     active = active_campaign_days(campaign_day)
-    j = distribute(daily_gap(active, T, adgroup_day), shares, observed=adgroup_day)
+    gap = stage(daily_gap(active, T, adgroup_day), "daily-gap")
+    j = distribute(gap, shares, observed=adgroup_day)
     detailed = j.select(
         *ADGROUP_DAY_KEYS,
         (F.coalesce(F.col("obs_revenue"), F.lit(0)) + F.col("dist_revenue")).alias("revenue_ga4"),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from channelmart.functions.dates import resolve_range
 from channelmart.operators.blend import blend, derive_metrics
 from channelmart.operators.hybrid import native_hybrid
 from channelmart.operators.overlay import adgroup_day, campaign_day, targets, with_iso_date
 from channelmart.operators.reconcile import reconcile_daily
 from channelmart.operators.summary import day_summary
-from channelmart.session import cut_lineage
+from channelmart.session import stage
 from channelmart.sinks.writers import write_partitions
 
 REPORTS = ("range_ads", "range_analytics", "day_campaign_ads", "day_campaign_analytics",
@@ -29,16 +30,14 @@ def overlays(reports: dict[str, DataFrame], start: str | None = None,
              end: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """J2-J4 once each. Targets feed four consumers and the ad-group-day
     overlay three; each consumer prunes different columns, so Spark would
-    otherwise rebuild (re-shuffle) the same overlay per consumer. They are
-    report-sized, so they are checkpointed into the shared checkpoint folder:
-    computed once, short downstream plans, nothing replayed after a lost
-    executor."""
+    otherwise rebuild (re-shuffle) the same overlay per consumer; they are
+    staged in the shared folder."""
     t = targets(reports["range_analytics"], reports["range_ads"])
     cd = campaign_day(_in_range(with_iso_date(reports["day_campaign_analytics"]), start, end),
                       _in_range(with_iso_date(reports["day_campaign_ads"]), start, end))
     ad = adgroup_day(_in_range(with_iso_date(reports["day_adgroup_analytics"]), start, end),
                      _in_range(with_iso_date(reports["day_adgroup_ads"]), start, end))
-    return cut_lineage(t), cut_lineage(cd), cut_lineage(ad)
+    return stage(t, "targets"), stage(cd, "campaign-day"), stage(ad, "adgroup-day")
 
 
 def reconciled(reports: dict[str, DataFrame], start: str | None = None,
@@ -56,22 +55,19 @@ def ads_daily(reports: dict[str, DataFrame], native: dict[str, DataFrame], prope
 def ads_daily_from(built_overlays: tuple[DataFrame, DataFrame, DataFrame], native: dict[str, DataFrame],
                    properties: DataFrame, start: str | None = None, end: str | None = None,
                    shares: DataFrame | None = None) -> DataFrame:
-    """C4 from already built (checkpointed) overlays (and period shares)."""
+    """C4 from already built (staged) overlays (and period shares)."""
     rec = reconcile_daily(*built_overlays, shares=shares)
     nat = native_hybrid(_in_range(native["campaign"], start, end),
                         _in_range(native["ad_group"], start, end))
     return derive_metrics(blend(nat, rec, properties))
 
 
-def run_ads_daily(reports, native, properties, path: str, start: str | None = None,
-                  end: str | None = None) -> DataFrame:
-    """K1 + A8: write the days present in the result (others untouched) and
-    return the per-day summary (computed from the written files, so the big
-    plan runs once)."""
-    df = ads_daily(reports, native, properties, start, end)
+def run_ads_daily(reports, native, properties, path: str, as_of: str,
+                  start: str | None = None, end: str | None = None) -> DataFrame:
+    """K1 + A8 for the run's range (D1-D3: an explicit range, else month to
+    date): write the days present in the result (others untouched) and return
+    the per-day summary of exactly these rows, an empty one if there are none."""
+    start, end = resolve_range(start, end, as_of)
+    df = stage(ads_daily(reports, native, properties, start, end), "ads-daily")
     write_partitions(df, path, ["data_date"])
-    spark = df.sparkSession
-    written = spark.read.parquet(path)
-    if start and end:
-        written = written.where(F.col("data_date").between(start, end))
-    return day_summary(written, {"cost": "cost", "clicks": "clicks"})
+    return day_summary(df, {"cost": "cost", "clicks": "clicks"}, exact_places=12)

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from channelmart.functions.dates import resolve_range
 from channelmart.functions.exprs import compact_to_iso
 from channelmart.operators.summary import day_summary
+from channelmart.session import stage
 from channelmart.sinks.writers import write_partitions
 
+# The output columns, in order.
 OUTPUT_COLUMNS = ["property_name", "property_type", "data_date", "session_default_channel_group",
                   "item_name", "item_revenue", "items_purchased"]
 
@@ -29,17 +32,13 @@ def item_revenue(report: DataFrame, properties: DataFrame) -> DataFrame:
     )
 
 
-def run_item_revenue(report: DataFrame, properties: DataFrame, path: str,
+def run_item_revenue(report: DataFrame, properties: DataFrame, path: str, as_of: str,
                      start: str | None = None, end: str | None = None) -> DataFrame:
-    """K2 + A7: write the days present (an empty result writes nothing and
-    leaves every partition intact); the summary is read back from the
-    written files, limited to the run's days [start, end] (partition
-    pruning) so earlier days of the table are neither scanned nor counted."""
-    df = item_revenue(report, properties)
-    if start and end:
-        df = df.where(F.col("data_date").between(F.lit(start), F.lit(end)))
+    """K2 + A7 for the run's range (D1-D3: an explicit range, else month to
+    date): write the days present (an empty result writes nothing and leaves
+    every partition intact) and return the summary of exactly these rows."""
+    start, end = resolve_range(start, end, as_of)
+    rows = item_revenue(report, properties).where(F.col("data_date").between(F.lit(start), F.lit(end)))
+    df = stage(rows, "item-revenue")
     write_partitions(df, path, ["data_date"])
-    written = df.sparkSession.read.parquet(path)
-    if start and end:
-        written = written.where(F.col("data_date").between(F.lit(start), F.lit(end)))
-    return day_summary(written, {"item_revenue": "item_revenue"}, exact_places=6)
+    return day_summary(df, {"item_revenue": "item_revenue"}, exact_places=12)

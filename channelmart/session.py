@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,22 +76,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder: the frame is
-    computed once, later plans start from its files (short plans, no
-    recomputation per consumer), and a lost executor never forces a replay
-    of the upstream plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-_MEMO: dict[tuple, object] = {}
-
-
-def memo(spark: SparkSession, key: tuple, build):
-    """Per-session memo of a built (usually checkpointed) frame, so several
-    queries over the same inputs share one computation."""
-    k = (spark.sparkContext.applicationId, id(spark)) + tuple(key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Cut the lineage: write the frame once as Parquet below the shared
+    checkpoint folder and go on from its files. Later plans are short, read
+    only the columns they need, push filters to the scan, and a lost executor
+    never replays the upstream plan."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,7 @@
 """Property dimensions (S7, S8, search projects).
 
-They come from short configuration lists, so their size is known on the
-driver before anything is broadcast; ``MAX_BROADCAST_ROWS`` is the checked
-bound, beyond which the frame is joined without the hint (AQE decides).
+They come from configuration lists, whose size in bytes Spark knows (a local
+relation): it broadcasts them within its own limit and shuffles them beyond.
 """
 
 from __future__ import annotations
@@ -12,8 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField,
                                StructType)
 
-MAX_BROADCAST_ROWS = 10_000
-
 ADS_PROPERTY_SCHEMA = StructType([
     StructField("property_name", StringType(), False),
     StructField("property_type", StringType(), True),
@@ -32,18 +29,12 @@ PROJECT_SCHEMA = StructType([
 ])
 
 
-def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only when the row count, known up front, is within bound;
-    beyond it the frame is joined without the hint (shuffle join, AQE)."""
-    return F.broadcast(df) if n_rows <= max_rows else df
-
-
 def properties_dim(spark: SparkSession, props: list[dict]) -> DataFrame:
     """Property name, type and the FX divisor applied to analytics revenue
     (default 1.0 = same currency as the ads account)."""
     rows = [(p["property_name"], p.get("property_type", p["property_name"]),
              float(p.get("fx_divisor", 1.0))) for p in props]
-    return bounded_broadcast(spark.createDataFrame(rows, ADS_PROPERTY_SCHEMA), len(rows))
+    return spark.createDataFrame(rows, ADS_PROPERTY_SCHEMA)
 
 
 def _reservation_props(df: DataFrame) -> DataFrame:
@@ -56,13 +47,12 @@ def _reservation_props(df: DataFrame) -> DataFrame:
 
 def reservation_properties_dim(spark: SparkSession, props: list[dict]) -> DataFrame:
     rows = [(str(p["propertyId"]), str(p["clientName"]), p.get("location")) for p in props]
-    df = spark.createDataFrame(rows, RESERVATION_PROPERTY_SCHEMA)
-    return bounded_broadcast(_reservation_props(df), len(rows))
+    return _reservation_props(spark.createDataFrame(rows, RESERVATION_PROPERTY_SCHEMA))
 
 
 def read_properties(spark: SparkSession, path: str) -> DataFrame:
     """JSON config list [{propertyId, clientName, location?}, ...]."""
-    df = spark.read.schema(RESERVATION_PROPERTY_SCHEMA).option("multiLine", True).json(path)
+    df = spark.read.schema(RESERVATION_PROPERTY_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
     return _reservation_props(df)
 
 
@@ -70,4 +60,4 @@ def search_projects_dim(spark: SparkSession, projects: list[dict]) -> DataFrame:
     """Project -> property map; blank project ids are skipped."""
     rows = [(p["project_id"], p["property_name"]) for p in projects]
     df = spark.createDataFrame(rows, PROJECT_SCHEMA).where(F.trim("project_id") != "")
-    return bounded_broadcast(df.withColumn("project_id", F.trim("project_id")), len(rows))
+    return df.withColumn("project_id", F.trim("project_id"))

@@ -6,33 +6,68 @@ from pyspark.sql import functions as F
 
 from channelmart.plans import queries as q
 from channelmart.plans.ads_daily import run_ads_daily
-from channelmart.plans.item_revenue import run_item_revenue
-from channelmart.plans.reservations import export_reservations, write_reservations
-from channelmart.plans.search import write_snapshots
+from channelmart.plans.events import run_events_day
+from channelmart.plans.item_revenue import item_revenue, run_item_revenue
+from channelmart.plans.reservations import export_reservations, run_export_reservations, write_reservations
+from channelmart.plans.search import day_slices, run_search_snapshot, write_snapshots
 from channelmart.sources import standins as si
-from channelmart.sources.tables import read_events_day
+from channelmart.sources.tables import read_events_day, read_search_table
 from channelmart.sinks.writers import read_partitions
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_run_ads_daily_and_item_revenue(spark, scratch):
+def total(summary):
+    return summary.where(F.col("data_date").isNull()).first()
+
+
+def test_run_ads_daily_counts_only_its_own_days(spark, scratch):
     path = os.path.join(scratch, "ads")
-    summary = run_ads_daily(si.ads_reports(spark, SF), si.native_reports(spark, SF), si.ads_properties(spark),
-                            path, si.ADS_START, si.ADS_END)
-    total = summary.where(F.col("data_date").isNull()).first()
-    assert total.row_count == read_partitions(spark, path).count() == q.REGISTRY["ads_metrics"](spark, SF).count()
-    rev = os.path.join(scratch, "rev")
-    s = run_item_revenue(si.item_revenue_report(spark, SF), si.ads_properties(spark), rev)
-    assert s.where(F.col("data_date").isNull()).first().row_count == read_partitions(spark, rev).count()
-    # a one-day rerun summarises that day only; the other days stay on disk
-    all_rows = read_partitions(spark, rev)
-    n_all = all_rows.count()
-    day = all_rows.groupBy("data_date").count().orderBy(F.desc("count"), "data_date").first()
-    s1 = run_item_revenue(si.item_revenue_report(spark, SF), si.ads_properties(spark), rev, day.data_date, day.data_date)
-    total = s1.where(F.col("data_date").isNull()).first()
-    assert (total.row_count, total.days) == (day["count"], 1)
-    assert read_partitions(spark, rev).count() == n_all
+    fine = si.ads_fine(spark, SF)
+
+    def run(start, end):
+        return total(run_ads_daily(si.ads_reports(fine, start, end), si.native_reports(fine), si.ads_properties(spark), path, "2000-01-01", start, end))
+    one, two = run("1998-01-01", "1998-01-31"), run("1998-02-01", "1998-02-28")
+    written = read_partitions(spark, path)
+    assert one.row_count + two.row_count == written.count() and two.row_count == written.where("data_date >= '1998-02-01'").count()
+    assert run("1990-01-01", "1990-01-02") is None and written.count() == one.row_count + two.row_count
+
+
+def test_run_item_revenue_counts_only_its_own_days(spark, scratch):
+    rev, report = os.path.join(scratch, "rev"), si.item_revenue_report(spark, SF)
+    empty = total(run_item_revenue(report, si.ads_properties(spark), rev, "1990-01-01"))          # a first run without rows ends normally
+    assert empty is None
+    run_item_revenue(report, si.ads_properties(spark), rev, "2002-01-01", "1990-01-01", "2001-12-31")
+    n_all = read_partitions(spark, rev).count()
+    assert n_all == item_revenue(report, si.ads_properties(spark)).count()
+    month = total(run_item_revenue(report, si.ads_properties(spark), rev, "1998-03-11"))          # month to date of yesterday
+    written = read_partitions(spark, rev)
+    assert month.row_count == written.where("data_date between '1998-03-01' and '1998-03-10'").count() > 0
+    assert written.count() == n_all
+
+
+def test_reservation_and_search_and_event_runs(spark, scratch):
+    path = os.path.join(scratch, "rms")
+    props = si.reservation_properties(spark)
+    counts = run_export_reservations(si.reservations(spark, SF), si.daily_rates(spark, SF), props, path, "1996-03-06")
+    assert [r.data_date for r in counts.collect()] in ([], ["1996-03-05"])
+    counts = run_export_reservations(si.reservations(spark, SF), si.daily_rates(spark, SF), props, path, "1996-04-01", "1996-03-01", "1996-03-31")
+    assert counts.agg(F.sum("row_count")).first()[0] == read_partitions(spark, path).where("data_date >= '1996-03-01'").count()
+    root = os.path.join(scratch, "gsc")
+    counts = run_search_snapshot(si.search_tables(spark, SF), si.EXPORT_LOG, si.search_projects(spark), root, si.EVENTS_AS_OF)
+    assert counts.agg(F.sum("rows")).first()[0] == sum(read_partitions(spark, os.path.join(root, t)).count() for t in os.listdir(root))
+    source, out = os.path.join(scratch, "events"), os.path.join(scratch, "flat")
+    si.events(spark, SF).write.partitionBy("event_date").parquet(source)
+    run_events_day(spark, source, "1", "p", out, "2024-01-12")                                    # D5: two days before
+    assert {r.event_date for r in read_partitions(spark, out).select("event_date").distinct().collect()} == {"20240110"}
+
+
+def test_search_tables_are_tagged_by_folder(spark, scratch):
+    path = os.path.join(scratch, "table")
+    si.search_tables(spark, SF)[si.SEARCH_TABLES[1]].write.partitionBy("project_id").parquet(path)
+    rows = read_search_table(spark, path)
+    days = day_slices(rows, si.search_projects(spark), ["2024-01-24", "2024-01-25"])
+    assert "project_id" in rows.columns and "project_id" not in days.columns and days.count() > 0
 
 
 def test_write_reservations_and_snapshots(spark, scratch):
