@@ -9,6 +9,7 @@ and a recursive CTE for the session carry.
 from __future__ import annotations
 
 M = "DECIMAL(24,6)"
+ADS_RANGE = ("1998-01-01", "1998-03-31")
 
 
 def _dc(c: str) -> str:
@@ -47,7 +48,11 @@ AD_KEYS = ["property_name", "data_date", "campaign", "ad_group", "channel", "med
 GRP = "property_name, campaign, channel, medium"
 
 
-def ads_ctes() -> str:
+def ads_ctes(start: str | None = None, end: str | None = None) -> str:
+    """The rules as CTEs; with a range, the range reports are asked for it and
+    the daily rows are filtered by it."""
+    asked = f"WHERE iso_date BETWEEN '{start}' AND '{end}'" if start else ""
+    days = f"WHERE data_date BETWEEN '{start}' AND '{end}'" if start else ""
     ads = f"CAST(SUM(tax_amt) AS {M}) AS cost, CAST(SUM(qty) AS BIGINT) AS clicks, CAST(SUM(qty_size) AS BIGINT) AS impressions"
     an = f"CAST(SUM(net) AS {M}) AS revenue, CAST(COUNT(*) AS {M}) AS conversions, CAST(SUM(qty) AS BIGINT) AS sessions"
     nat = (f"CAST(CAST(SUM(tax_amt) * 1000000 AS BIGINT) AS {M}) / 1000000 AS cost_raw, CAST(SUM(qty) AS BIGINT) AS clicks, "
@@ -64,7 +69,6 @@ ads_b0 AS (
          CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS net,
          CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS tax_amt
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-04-01'
 ),
 ads_base AS (
   SELECT property_name, campaign,
@@ -75,16 +79,17 @@ ads_base AS (
          qty, qty_size, net, tax_amt
   FROM ads_b0
 ),
-r_range_ads AS (SELECT property_name, campaign, ad_group, {ads} FROM ads_base GROUP BY ALL),
-r_range_an AS (SELECT property_name, campaign, ad_group, channel, medium, {an} FROM ads_base GROUP BY ALL),
+r_range_ads AS (SELECT property_name, campaign, ad_group, {ads} FROM ads_base {asked} GROUP BY ALL),
+r_range_an AS (SELECT property_name, campaign, ad_group, channel, medium, {an} FROM ads_base {asked} GROUP BY ALL),
 r_dc_ads AS (SELECT property_name, {_iso('date')} AS data_date, campaign, {ads} FROM ads_base GROUP BY property_name, date, campaign),
 r_dc_an AS (SELECT property_name, {_iso('date')} AS data_date, campaign, channel, medium, {an} FROM ads_base GROUP BY property_name, date, campaign, channel, medium),
 r_dg_ads AS (SELECT property_name, {_iso('date')} AS data_date, campaign, ad_group, {ads} FROM ads_base GROUP BY property_name, date, campaign, ad_group),
 r_dg_an AS (SELECT property_name, {_iso('date')} AS data_date, campaign, ad_group, channel, medium, {an}
             FROM ads_base GROUP BY property_name, date, campaign, ad_group, channel, medium HAVING SUM(qty) >= 10),
-nat_camp AS (SELECT property_name, iso_date AS data_date, campaign, {nat} FROM ads_base GROUP BY property_name, iso_date, campaign),
-nat_adg AS (SELECT property_name, iso_date AS data_date, campaign, ad_group, {nat} FROM ads_base
-            WHERE campaign NOT LIKE 'PMax %' GROUP BY property_name, iso_date, campaign, ad_group),
+nat_base AS (SELECT * FROM (SELECT *, CASE WHEN iso_date NOT LIKE '%-13' THEN iso_date END AS data_date FROM ads_base) {days}),
+nat_camp AS (SELECT property_name, data_date, campaign, {nat} FROM nat_base GROUP BY property_name, data_date, campaign),
+nat_adg AS (SELECT property_name, data_date, campaign, ad_group, {nat} FROM nat_base
+            WHERE campaign NOT LIKE 'PMax %' GROUP BY property_name, data_date, campaign, ad_group),
 hybrid AS (
   SELECT property_name, data_date, campaign, ad_group, cost_raw AS cost, clicks, impressions, conversions, revenue
   FROM nat_adg a WHERE EXISTS (SELECT 1 FROM nat_camp c WHERE {_on('c', 'a', ['property_name', 'data_date', 'campaign'])})
@@ -101,11 +106,11 @@ targets AS (
   FROM t_all t
 ),
 tgt AS (SELECT * FROM targets WHERE ad_group NOT IN ('(not set)', '')),
-cd_an AS (SELECT property_name, data_date, campaign, channel, medium, revenue, conversions, sessions FROM r_dc_an),
-cd_ad AS (SELECT property_name, data_date, campaign, {_dc('campaign')} AS channel, 'cpc' AS medium, cost, clicks, impressions FROM r_dc_ads),
+cd_an AS (SELECT property_name, data_date, campaign, channel, medium, revenue, conversions, sessions FROM r_dc_an {days}),
+cd_ad AS (SELECT property_name, data_date, campaign, {_dc('campaign')} AS channel, 'cpc' AS medium, cost, clicks, impressions FROM r_dc_ads {days}),
 {_overlay('camp_day', 'cd_an', 'cd_ad', CD_KEYS)},
-dg_an AS (SELECT property_name, data_date, campaign, ad_group, channel, medium, revenue, conversions, sessions FROM r_dg_an),
-dg_ad AS (SELECT property_name, data_date, campaign, ad_group, {_dc('campaign')} AS channel, 'cpc' AS medium, cost, clicks, impressions FROM r_dg_ads),
+dg_an AS (SELECT property_name, data_date, campaign, ad_group, channel, medium, revenue, conversions, sessions FROM r_dg_an {days}),
+dg_ad AS (SELECT property_name, data_date, campaign, ad_group, {_dc('campaign')} AS channel, 'cpc' AS medium, cost, clicks, impressions FROM r_dg_ads {days}),
 {_overlay('adg_day', 'dg_an', 'dg_ad', AD_KEYS)},
 observed AS (
   SELECT property_name, campaign, ad_group, channel, medium,
@@ -175,7 +180,7 @@ carry_in AS (
   SELECT property_name, campaign, channel, medium, ad_group, data_date,
          CAST(diff_sessions AS DOUBLE) AS x, share_sessions AS s,
          ROW_NUMBER() OVER (PARTITION BY {GRP}, ad_group ORDER BY data_date) AS step
-  FROM fan WHERE n >= 2 AND NOT last_sessions
+  FROM fan WHERE n >= 2 AND NOT last_sessions AND diff_sessions > 0
 ),
 carry AS (
   WITH RECURSIVE walk(property_name, campaign, channel, medium, ad_group, step, data_date, alloc, carry) AS (
@@ -205,7 +210,7 @@ dist AS (
          ELSE diff_revenue - COALESCE(SUM(part_revenue) OVER d, 0) END AS dist_revenue,
     CASE WHEN n = 1 THEN diff_conversions WHEN NOT last_conversions THEN part_conversions
          ELSE diff_conversions - COALESCE(SUM(part_conversions) OVER d, 0) END AS dist_conversions,
-    CASE WHEN n = 1 THEN diff_sessions WHEN NOT last_sessions THEN alloc_sessions
+    CASE WHEN n = 1 THEN diff_sessions WHEN NOT last_sessions THEN COALESCE(alloc_sessions, 0)
          ELSE diff_sessions - COALESCE(SUM(alloc_sessions) OVER d, 0) END AS dist_sessions
   FROM parts
   WINDOW d AS (PARTITION BY property_name, data_date, campaign, channel, medium)
@@ -307,5 +312,7 @@ def queries() -> dict[str, str]:
   {_r('avg_cpc')}, {_r('conversions')}, {_r('sessions')}, {_r('revenue_ga4')}, {_r('conversions_ga4')},
   {_r('roas_ga4')}, {_r('sessions_ga4')} FROM final"""
     q["ads_daily_summary"] = w + f"""SELECT data_date, COUNT(*) AS row_count, COUNT(DISTINCT data_date) AS days,
-  {_r('SUM(cost)', 'cost')}, {_r('SUM(clicks)', 'clicks')} FROM final GROUP BY ROLLUP (data_date)"""
+  {_r(f'SUM(CAST({round_out("cost")} AS DECIMAL(38,6)))', 'cost')}, {_r(f'SUM(CAST({round_out("clicks")} AS DECIMAL(38,6)))', 'clicks')}
+  FROM final GROUP BY ROLLUP (data_date)"""
+    q["ads_metrics_range"] = q["ads_metrics"].replace(w, f"WITH {ads_ctes(*ADS_RANGE)}\n", 1)
     return q

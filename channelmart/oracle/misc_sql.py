@@ -16,20 +16,21 @@ ev AS (
 ev_tagged AS (
   SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, k, value,
          '100001' AS property_id, 'north-lounges' AS property_name,
-         concat_ws('_', event_name, CAST(event_timestamp AS VARCHAR), user_pseudo_id) AS join_key
+         concat_ws('_', event_name, CAST(event_timestamp AS VARCHAR), user_pseudo_id) AS join_key,
+         3 AS n_params, k AS param_k, value AS param_value, event_name AS param_type
   FROM ev
 ),
 ev_flat AS (
-  SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name, join_key,
+  SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name, join_key, n_params, param_k, param_value, param_type,
          'k' AS key, CAST(NULL AS VARCHAR) AS string_value, k AS int_value,
          CAST(NULL AS DOUBLE) AS float_value, CAST(NULL AS DOUBLE) AS double_value
   FROM ev_tagged WHERE event_name <> 'error'
   UNION ALL
-  SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name, join_key,
+  SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name, join_key, n_params, param_k, param_value, param_type,
          'value', NULL, NULL, NULL, value
   FROM ev_tagged WHERE event_name <> 'error'
   UNION ALL
-  SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name, join_key,
+  SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name, join_key, n_params, param_k, param_value, param_type,
          'type', event_name, NULL, NULL, NULL
   FROM ev_tagged WHERE event_name <> 'error'
 )
@@ -106,6 +107,7 @@ r_src AS (
   SELECT 1 + c_nationkey % 3 AS property_id, o_orderkey AS res_no,
     CASE WHEN o_orderkey % 3 <> 0 THEN 'OC' || CAST(o_orderkey AS VARCHAR) ELSE '' END AS conf,
     CASE WHEN o_orderkey % 50 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 99:99:99'
+         WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%-m-%-d %-H:%-M:%-S')
          WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%d %H:%M:%S')
          ELSE strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%dT%H:%M:%S') END AS created_raw,
     CASE WHEN o_orderstatus = 'P'
@@ -116,7 +118,8 @@ r_src AS (
          ELSE o_orderpriority END AS source,
     CASE o_custkey % 4 WHEN 0 THEN '176' WHEN 1 THEN '176.9' WHEN 2 THEN '12' ELSE 'x' END AS creator,
     CASE WHEN o_orderpriority = '5-LOW' THEN 'Agent-' || CAST(c_nationkey AS VARCHAR) END AS agent,
-    c_name AS surname, c_mktsegment AS given,
+    CASE WHEN o_custkey % 11 = 0 THEN '' ELSE c_name END AS surname,
+    CASE WHEN o_custkey % 11 = 0 THEN '' ELSE c_mktsegment END AS given,
     'Room-' || CAST(c_nationkey % 5 AS VARCHAR) AS accommodation,
     CASE o_orderstatus WHEN 'F' THEN 'Departed' WHEN 'O' THEN 'Confirmed' ELSE 'Cancelled' END AS status,
     CASE WHEN o_custkey % 5 = 0 THEN '' WHEN c_nationkey % 2 = 0 THEN 'GBP' END AS currency,
@@ -142,7 +145,6 @@ r_norm AS (
                 THEN 'Sleepover.com' ELSE 'Sleepover e-mail/phone' END
          ELSE COALESCE(NULLIF(source, ''), NULLIF(agent, ''), '') END AS reservation_agent
   FROM r_src r
-  WHERE substr(trim(created_raw), 1, 10) BETWEEN '1994-12-30' AND '2002-01-01'
 ),
 r_export AS (
   SELECT n.res_no, COALESCE(NULLIF(n.conf, ''), 'REST API') AS rms_conf_no, n.created_date_utc AS date_made_utc,
@@ -154,7 +156,7 @@ r_export AS (
   WHERE n.created_date_utc BETWEEN '1994-12-31' AND '2001-12-31'
 ),
 r_rates AS (
-  SELECT e.res_no, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS rate_sum
+  SELECT e.res_no, CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 1000 AS BIGINT) + 3 * l_linenumber) AS BIGINT) AS mills
   FROM r_export e JOIN lineitem ON l_orderkey = e.res_no
   WHERE strftime(l_shipdate, '%Y-%m-%d') >= e.arrive
     AND strftime(l_shipdate, '%Y-%m-%d') <= strftime(CAST(e.depart AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d')
@@ -162,6 +164,7 @@ r_rates AS (
 )
 """
 
+LINE_ORDER = "l_orderkey, l_linenumber, l_shipdate, l_extendedprice"
 RES_COLS = ("res_no, rms_conf_no, date_made_utc, arrive, depart, reservation_agent, surname, given, accommodation, "
             "date_paid, property_id, property_name, location, status, booking_source_name, currency, "
             "created_date_utc, cancelled_date_utc")
@@ -191,6 +194,50 @@ GROUP BY ALL
     q["export_log_top100"] = f"""
 WITH {SEARCH_CTE}
 SELECT property_name, date, event_id, table_name, publish_time_us FROM s_log
+"""
+    q["search_days"] = f"""
+WITH {SEARCH_CTE}
+SELECT p.property_name, strftime(b.data_date, '%Y-%m-%d') AS date, b.event_id, e.user_id, b.event_type AS query, e.value AS impressions
+FROM s_base b JOIN s_projects p ON p.project_id = b.project_id JOIN events e ON e.event_id = b.event_id
+WHERE b.event_type <> 'error' AND b.data_date IN (SELECT d FROM s_dates)
+"""
+    q["landed_reports"] = f"""
+WITH rows AS (
+  SELECT CASE WHEN (l_orderkey // 100) % 2 = 0 THEN 'north-lounges' ELSE 'south-stays' END AS property_name, l_returnflag AS channel,
+         'item-' || CAST(l_suppkey % 10 AS VARCHAR) AS item_name, strftime(l_shipdate, '%Y%m%d') AS date,
+         CAST(l_extendedprice AS DECIMAL(12,2)) AS revenue, CASE WHEN l_linenumber = 7 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS items,
+         l_orderkey, l_linenumber, l_shipdate, l_extendedprice
+  FROM lineitem WHERE (l_orderkey // 100) % 10 <> 9
+)
+SELECT property_name, channel, item_name, last(date ORDER BY {LINE_ORDER}) AS date, {_round(f'last(revenue ORDER BY {LINE_ORDER})')} AS item_revenue,
+       last(items ORDER BY {LINE_ORDER}) AS items_purchased, COUNT(*) AS n, {_round('SUM(revenue)')} AS sum_revenue, CAST(SUM(items) AS BIGINT) AS sum_items
+FROM rows GROUP BY ALL
+"""
+    q["landed_searches"] = f"""
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS data_date,
+       CASE WHEN l_linenumber <> 2 THEN 'camp-' || CAST(l_partkey % 9 AS VARCHAR) ELSE 'N/A' END AS campaign,
+       CASE WHEN l_linenumber <> 3 THEN 'group-' || CAST(l_suppkey % 9 AS VARCHAR) ELSE 'N/A' END AS ad_group,
+       {_round('CAST(l_extendedprice AS DECIMAL(12,2))')} AS cost, CAST(l_quantity AS BIGINT) AS clicks,
+       CASE WHEN l_linenumber <> 4 THEN l_orderkey + 9007199254740993 ELSE 0 END AS impressions,
+       CAST(CAST(l_tax AS DECIMAL(4,2)) * 1000000000 AS BIGINT) + 123456789 AS conversions_e9, {_round('CAST(l_discount AS DECIMAL(4,2))')} AS revenue,
+       l_orderkey // 100 AS page
+FROM lineitem
+"""
+    q["landed_reservations"] = """
+WITH o AS (
+  SELECT o_orderkey // 100 AS page, o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+         ROW_NUMBER() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) AS rn
+  FROM orders
+)
+SELECT page, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS "bookingSourceName",
+       CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS last_name
+FROM o WHERE page % 5 <> 4 OR rn = 1
+UNION ALL
+SELECT DISTINCT page, '-1', NULL, NULL, NULL FROM o WHERE page % 5 = 0
+"""
+    q["landed_rates"] = f"""
+SELECT l_orderkey AS reservation_id, {_round('SUM(CAST(l_extendedprice AS DECIMAL(12,2)))')} AS rate_sum, strftime(MAX(l_shipdate), '%Y-%m-%d') AS last_stay
+FROM lineitem WHERE l_linenumber NOT IN (5, 6) GROUP BY l_orderkey
 """
     q["reservations_normalised"] = f"""
 WITH {RES_CTE}
@@ -198,8 +245,10 @@ SELECT {RES_COLS} FROM r_export
 """
     q["reservation_rates"] = f"""
 WITH {RES_CTE}
-SELECT {RES_COLS.replace('date_paid', "COALESCE(CAST(CAST(r.rate_sum AS DECIMAL(38,2)) AS VARCHAR), '0.00') AS rate, date_paid")}
-FROM r_export e LEFT JOIN r_rates r USING (res_no)
+SELECT {RES_COLS.replace('date_paid', "COALESCE(CAST(CAST(r.cents AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) AS VARCHAR), '0.00') AS rate, date_paid")}
+FROM r_export e LEFT JOIN (
+  SELECT res_no, mills // 10 + CASE WHEN mills % 10 > 5 OR (mills % 10 = 5 AND (mills // 10) % 2 = 1) THEN 1 ELSE 0 END AS cents FROM r_rates
+) r USING (res_no)
 """
     q["month_to_date"] = """
 WITH daily AS (
@@ -216,7 +265,7 @@ GROUP BY d.day
     q["flatten_events"] = f"""
 WITH {EVENTS_CTE}
 SELECT event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name,
-       join_key, key, string_value, int_value, float_value, double_value
+       join_key, n_params, param_k, param_value, param_type, key, string_value, int_value, float_value, double_value
 FROM ev_flat
 """
     q["events_join_key"] = f"""

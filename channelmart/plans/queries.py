@@ -6,6 +6,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from channelmart.sources import standins as si
 
@@ -25,7 +27,10 @@ def register(name: str):
 def q_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     from channelmart.plans.events import flatten_events
     flat = flatten_events(si.events(spark, sf_dir), si.EVENT_PROPERTY_ID, si.EVENT_PROPERTY_NAME)
-    return flat.drop("event_params")
+    # The kept map is compared by its size and values.
+    return (flat.withColumn("n_params", F.size("event_params")).withColumn("param_k", F.col("event_params")["k"]["int_value"])
+            .withColumn("param_value", F.col("event_params")["value"]["double_value"])
+            .withColumn("param_type", F.col("event_params")["type"]["string_value"]).drop("event_params"))
 
 
 @register("events_join_key")
@@ -36,10 +41,6 @@ def q_events_join_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- ads
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import DecimalType, DoubleType, FloatType  # noqa: E402
-
-
 def round_out(c, places: int = 6):
     """Output rounding that both engines compute identically: scale by an
     exact power of ten (IEEE multiply), round half away from zero to an
@@ -64,144 +65,145 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 @register("native_hybrid")
 def q_native_hybrid(spark, sf_dir):
     from channelmart.operators.hybrid import native_hybrid
-    nat = si.native_reports(spark, sf_dir)
+    nat = si.native_reports(si.ads_fine(spark, sf_dir))
     return rounded(native_hybrid(nat["campaign"], nat["ad_group"]))
 
 
 @register("default_channel")
 def q_default_channel(spark, sf_dir):
     from channelmart.functions.exprs import default_channel
-    rep = si.ads_reports(spark, sf_dir)["day_campaign_ads"]
+    rep = si.ads_reports(si.ads_fine(spark, sf_dir))["day_campaign_ads"]
     return (rep.select("property_name", "campaign").distinct()
             .withColumn("default_channel", default_channel("campaign")))
 
 
-def _overlays(spark, sf_dir):
-    from channelmart.plans.ads_daily import overlays
-    from channelmart.session import memo
-    return memo(spark, ("overlays", sf_dir), lambda: overlays(si.ads_reports(spark, sf_dir)))
+def _targets(reports):
+    from channelmart.operators.overlay import targets
+    return targets(reports["range_analytics"], reports["range_ads"])
 
 
-def _targets(spark, sf_dir):
-    return _overlays(spark, sf_dir)[0]
+def _campaign_day(reports):
+    from channelmart.operators.overlay import campaign_day
+    return campaign_day(reports["day_campaign_analytics"], reports["day_campaign_ads"])
 
 
-def _days(spark, sf_dir):
-    return _overlays(spark, sf_dir)[1:]
+def _adgroup_day(reports):
+    from channelmart.operators.overlay import adgroup_day
+    return adgroup_day(reports["day_adgroup_analytics"], reports["day_adgroup_ads"])
+
+
+def _reports(spark, sf_dir):
+    return si.ads_reports(si.ads_fine(spark, sf_dir))
 
 
 @register("targets_overlay")
 def q_targets_overlay(spark, sf_dir):
-    t = _targets(spark, sf_dir)
+    t = _targets(_reports(spark, sf_dir))
     return rounded(t.withColumn("first_seen_side", F.col("first_seen.side")).drop("first_seen"))
 
 
 @register("campaign_day_overlay")
 def q_campaign_day_overlay(spark, sf_dir):
-    return rounded(_days(spark, sf_dir)[0])
+    return rounded(_campaign_day(_reports(spark, sf_dir)))
 
 
 @register("adgroup_day_overlay")
 def q_adgroup_day_overlay(spark, sf_dir):
-    return rounded(_days(spark, sf_dir)[1])
-
-
-def _weights(spark, sf_dir):
-    from channelmart.operators.reconcile import discrepancy_weights, real_targets
-    T = real_targets(_targets(spark, sf_dir))
-    return T, discrepancy_weights(T, _days(spark, sf_dir)[1])
+    return rounded(_adgroup_day(_reports(spark, sf_dir)))
 
 
 @register("discrepancy_weights")
 def q_discrepancy_weights(spark, sf_dir):
-    return rounded(_weights(spark, sf_dir)[1].drop("first_seen"))
+    from channelmart.operators.reconcile import discrepancy_weights, real_targets
+    rep = _reports(spark, sf_dir)
+    return rounded(discrepancy_weights(real_targets(_targets(rep)), _adgroup_day(rep)).drop("first_seen"))
 
 
 @register("campaign_level_rows")
 def q_campaign_level_rows(spark, sf_dir):
-    from channelmart.operators.reconcile import (active_campaign_days, campaign_level_rows,
-                                                 real_targets)
-    T = real_targets(_targets(spark, sf_dir))
-    return rounded(campaign_level_rows(active_campaign_days(_days(spark, sf_dir)[0]), T))
+    from channelmart.operators.reconcile import active_campaign_days, campaign_level_rows, real_targets
+    rep = _reports(spark, sf_dir)
+    return rounded(campaign_level_rows(active_campaign_days(_campaign_day(rep)), real_targets(_targets(rep))))
 
 
-def _gap(spark, sf_dir):
-    from channelmart.operators.reconcile import active_campaign_days, daily_gap
-    T, w = _weights(spark, sf_dir)
-    cd, ad = _days(spark, sf_dir)
-    return daily_gap(active_campaign_days(cd), T, ad), w
+def gap_and_shares(spark, sf_dir):
+    """The daily gaps and the period shares of the stand-in reports."""
+    from channelmart.operators.reconcile import active_campaign_days, daily_gap, period_shares
+    from channelmart.plans.ads_daily import overlays
+    targets, campaign_day, adgroup_day = overlays(_reports(spark, sf_dir))
+    shares = period_shares(targets, adgroup_day)
+    return daily_gap(active_campaign_days(campaign_day), shares, adgroup_day), shares
 
 
 @register("daily_gap")
 def q_daily_gap(spark, sf_dir):
-    return rounded(_gap(spark, sf_dir)[0])
-
-
-def _shares(spark, sf_dir):
-    from channelmart.operators.reconcile import period_shares
-    from channelmart.session import memo
-    return memo(spark, ("shares", sf_dir), lambda: period_shares(_targets(spark, sf_dir), _days(spark, sf_dir)[1]))
+    from channelmart.operators.reconcile import active_campaign_days, daily_gap, real_targets
+    rep = _reports(spark, sf_dir)
+    return rounded(daily_gap(active_campaign_days(_campaign_day(rep)), real_targets(_targets(rep)), _adgroup_day(rep)))
 
 
 @register("distribute_revenue")
 def q_distribute_revenue(spark, sf_dir):
-    from channelmart.operators.reconcile import distribute
-    gap, _ = _gap(spark, sf_dir)
-    d = distribute(gap, _shares(spark, sf_dir))
-    return rounded(d.select("property_name", "data_date", "campaign", "ad_group", "channel", "medium",
-                            "dist_revenue", "dist_conversions"))
+    from channelmart.operators.reconcile import distribute_money
+    from channelmart.session import stage
+    gap, shares = gap_and_shares(spark, sf_dir)
+    return rounded(distribute_money(stage(gap, "daily-gap"), shares))
 
 
 @register("distribute_sessions_carry")
 def q_distribute_sessions_carry(spark, sf_dir):
-    from channelmart.operators.reconcile import distribute
-    gap, _ = _gap(spark, sf_dir)
-    d = distribute(gap, _shares(spark, sf_dir))
-    return d.select("property_name", "data_date", "campaign", "ad_group", "channel", "medium",
-                    "dist_sessions")
-
-
-def _reconciled(spark, sf_dir):
-    from channelmart.operators.reconcile import reconcile_daily
-    return reconcile_daily(*_overlays(spark, sf_dir), shares=_shares(spark, sf_dir))
+    from channelmart.operators.reconcile import distribute_sessions
+    from channelmart.session import stage
+    gap, shares = gap_and_shares(spark, sf_dir)
+    return distribute_sessions(stage(gap, "daily-gap"), shares)
 
 
 @register("reconciled_daily")
 def q_reconciled_daily(spark, sf_dir):
-    return rounded(_reconciled(spark, sf_dir))
+    from channelmart.plans.ads_daily import reconciled
+    return rounded(reconciled(_reports(spark, sf_dir)))
 
 
 @register("session_share")
 def q_session_share(spark, sf_dir):
     from channelmart.operators.blend import session_share
-    return rounded(session_share(_reconciled(spark, sf_dir)))
+    from channelmart.plans.ads_daily import reconciled
+    return rounded(session_share(reconciled(_reports(spark, sf_dir))))
 
 
 @register("blended_ads")
 def q_blended_ads(spark, sf_dir):
     from channelmart.operators.blend import blend
     from channelmart.operators.hybrid import native_hybrid
-    nat = si.native_reports(spark, sf_dir)
-    return rounded(blend(native_hybrid(nat["campaign"], nat["ad_group"]), _reconciled(spark, sf_dir),
+    from channelmart.plans.ads_daily import reconciled
+    fine = si.ads_fine(spark, sf_dir)
+    nat = si.native_reports(fine)
+    return rounded(blend(native_hybrid(nat["campaign"], nat["ad_group"]), reconciled(si.ads_reports(fine)),
                          si.ads_properties(spark)))
 
 
-def _ads_daily(spark, sf_dir):
-    from channelmart.plans.ads_daily import ads_daily_from
-    return ads_daily_from(_overlays(spark, sf_dir), si.native_reports(spark, sf_dir), si.ads_properties(spark),
-                          si.ADS_START, si.ADS_END, shares=_shares(spark, sf_dir))
+def ads_table(spark, sf_dir, start=None, end=None):
+    """C4 over the stand-in reports, of all days or of a range."""
+    from channelmart.plans.ads_daily import ads_daily
+    fine = si.ads_fine(spark, sf_dir)
+    return ads_daily(si.ads_reports(fine, start, end), si.native_reports(fine), si.ads_properties(spark), start, end)
 
 
 @register("ads_metrics")
 def q_ads_metrics(spark, sf_dir):
-    return rounded(_ads_daily(spark, sf_dir))
+    return rounded(ads_table(spark, sf_dir))
+
+
+@register("ads_metrics_range")
+def q_ads_metrics_range(spark, sf_dir):
+    return rounded(ads_table(spark, sf_dir, *si.ADS_RANGE))
 
 
 @register("ads_daily_summary")
 def q_ads_daily_summary(spark, sf_dir):
     from channelmart.operators.summary import day_summary
-    df = _ads_daily(spark, sf_dir)
-    return rounded(day_summary(df, {"cost": "cost", "clicks": "clicks"}))
+    df = rounded(ads_table(spark, sf_dir))
+    return rounded(day_summary(df, {"cost": "cost", "clicks": "clicks"}, exact_places=6))
 
 
 # ------------------------------------------------------------ item revenue
@@ -223,7 +225,7 @@ def q_item_revenue_summary(spark, sf_dir):
 def _snapshots(spark, sf_dir):
     from channelmart.plans.search import search_snapshot
     return search_snapshot(si.search_tables(spark, sf_dir), si.EXPORT_LOG, si.search_projects(spark),
-                           si.EVENTS_AS_OF)
+                           si.EVENTS_AS_OF, tie_breakers=("event_id",))
 
 
 @register("search_window")
@@ -237,6 +239,12 @@ def q_search_window(spark, sf_dir):
     return snapshot_counts(union, ["property_name", "table_name", "date"])
 
 
+@register("search_days")
+def q_search_days(spark, sf_dir):
+    snaps = _snapshots(spark, sf_dir)
+    return snaps[si.SEARCH_TABLES[0]].select("property_name", "date", "event_id", "user_id", "query", "impressions")
+
+
 @register("export_log_top100")
 def q_export_log_top100(spark, sf_dir):
     snap = _snapshots(spark, sf_dir)[si.EXPORT_LOG]
@@ -264,6 +272,45 @@ def q_reservation_rates(spark, sf_dir):
                                si.reservation_properties(spark), RES_START, RES_END)
 
 
+# ------------------------------------------------------------ landed pages
+@register("landed_reports")
+def q_landed_reports(spark, sf_dir):
+    """Last row of each key in report order, beside the
+    number of rows and their sum."""
+    from channelmart.operators.overlay import last_row_wins
+    from channelmart.sources.reports import REPORT_SPECS, parse_report
+    rows = parse_report(si.report_pages(spark, sf_dir), *REPORT_SPECS["item_revenue"])
+    keys = ["property_name", "channel", "item_name"]
+    last = last_row_wins(rows, keys, ["date", "item_revenue", "items_purchased"]).drop("first_pos")
+    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("item_revenue").alias("sum_revenue"), F.sum("items_purchased").alias("sum_items"))
+    return rounded(last.join(sums, keys))
+
+
+@register("landed_searches")
+def q_landed_searches(spark, sf_dir):
+    """Every row of the search pages."""
+    from channelmart.sources.ads_search import parse_ads_search
+    rows = parse_ads_search(si.search_pages(spark, sf_dir), "ad_group")
+    exact = (F.col("conversions") * 1000000000).cast("long").alias("conversions_e9")
+    return rounded(rows.select("data_date", "campaign", "ad_group", "cost", "clicks", "impressions", exact, "revenue", F.col("pos.page").alias("page")))
+
+
+@register("landed_reservations")
+def q_landed_reservations(spark, sf_dir):
+    """S3: the objects of every page shape."""
+    from channelmart.sources.reservations import RESERVATION_FIELDS, parse_envelope
+    rows = parse_envelope(si.reservation_pages(spark, sf_dir), RESERVATION_FIELDS)
+    return rows.select(F.col("pos.page").alias("page"), "id", "status", "bookingSourceName", F.get_json_object("primaryGuest", "$.lastName").alias("last_name"))
+
+
+@register("landed_rates")
+def q_landed_rates(spark, sf_dir):
+    """Sums of the complete rate rows."""
+    from channelmart.sources.reservations import parse_daily_rates
+    rows = parse_daily_rates(si.rate_pages(spark, sf_dir)).where("reservationId is not null and totalRateAmount is not null and stayDate is not null")
+    return rounded(rows.groupBy(F.col("reservationId").cast("long").alias("reservation_id")).agg(F.sum("totalRateAmount").alias("rate_sum"), F.max("stayDate").alias("last_stay")))
+
+
 # ------------------------------------------------------------- date rules
 @register("month_to_date")
 def q_month_to_date(spark, sf_dir):

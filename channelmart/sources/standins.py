@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from channelmart.functions.exprs import MONEY, NOT_SET, PAID_MEDIUM, default_channel
-from channelmart.session import cut_lineage, memo
+from channelmart.session import stage
 
-# Stand-in run parameters.
-ADS_START, ADS_END = "1998-01-01", "1998-03-31"
+# Stand-in run parameters. The report views cover all of lineitem; this is
+# the range of the one query that asks for a range.
+ADS_RANGE = ("1998-01-01", "1998-03-31")
 EVENTS_AS_OF = "2024-01-31"            # search window = 2024-01-24 .. 2024-01-30
 EVENT_PROPERTY_ID, EVENT_PROPERTY_NAME = "100001", "north-lounges"
 
@@ -50,47 +51,17 @@ def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SPLITS: dict[tuple, int] = {}
-
-
-def _splits(df: DataFrame, path: str) -> int:
-    """Scan splits of a table, planned once per session and path (no file
-    list is shipped to Python)."""
-    key = (id(df.sparkSession), path)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    return _SPLITS[key]
-
-
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores (a
-    single-row-group file) so the per-row work after it runs in parallel.
-    Large inputs already arrive in many splits and are left alone, so no
-    shuffle is added at scale. Filters and column pruning still reach the
-    scan (Catalyst pushes them below the round-robin repartition)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if _splits(df, path) < want:
-        return df.repartition(want)
-    return df
-
-
-def _ntz(day: str) -> Column:
-    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
-
-
 def _dec(c: str, p: int = 12, s: int = 2) -> Column:
     return F.col(c).cast(DecimalType(p, s))
 
 
 # ----------------------------------------------------------------- ads views
-def ads_base(spark: SparkSession, sf_dir: str, start: str = ADS_START,
-             end: str = ADS_END) -> DataFrame:
-    """lineitem x part in the ship window, with the campaign/ad group/channel
-    rules of FIXTURES 2. The ship-date filter reaches the parquet scan."""
-    li = spread(table(spark, sf_dir, "lineitem")
-                .where((F.col("l_shipdate") >= _ntz(start)) & (F.col("l_shipdate") < F.date_add(F.lit(end), 1).cast("timestamp_ntz")))
-                .select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-                        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"), _path(sf_dir, "lineitem"))
+def ads_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of lineitem x part with the campaign/ad group/channel rules of
+    FIXTURES 2."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     brand_no = F.substring_index("p_brand", "#", -1).try_cast("int")
     campaign = (F.when(F.col("p_brand") == "Brand#25", F.lit(NOT_SET))
@@ -131,19 +102,14 @@ FINE_KEYS = ["property_name", "date", "data_date", "campaign", "ad_group", "chan
 
 
 def ads_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base rolled up once to its finest report grain; every report view
-    re-aggregates this. It stands for the landed report files, so it is
-    checkpointed once per session and input: each view prunes different
-    columns and pushes different filters, which would otherwise defeat
-    exchange reuse and rescan lineitem x part once per view. Its size is
-    bounded by properties x days x campaigns x ad groups x channels, not by
-    the line count."""
-    def build() -> DataFrame:
-        fine = ads_base(spark, sf_dir).groupBy(*FINE_KEYS).agg(
-            F.sum("tax_amt").alias("tax_amt"), F.sum("qty").alias("qty"), F.sum("qty_size").alias("qty_size"),
-            F.sum("net").alias("net"), F.count(F.lit(1)).alias("lines"))
-        return cut_lineage(fine)
-    return memo(spark, ("ads_fine", sf_dir), build)
+    """The base rolled up to its finest report grain; every report view
+    re-aggregates this. It stands for the landed report files, so a query
+    stages it once: each view prunes different columns and pushes different
+    filters, which would otherwise rescan lineitem x part once per view."""
+    fine = ads_base(spark, sf_dir).groupBy(*FINE_KEYS).agg(
+        F.sum("tax_amt").alias("tax_amt"), F.sum("qty").alias("qty"), F.sum("qty_size").alias("qty_size"),
+        F.sum("net").alias("net"), F.count(F.lit(1)).alias("lines"))
+    return stage(fine, "ads-fine")
 
 
 def _ads_metrics() -> list[Column]:
@@ -158,12 +124,14 @@ def _an_metrics() -> list[Column]:
             F.sum("qty").alias("sessions")]
 
 
-def ads_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six analytics report frames, typed as ``sources.reports`` returns them."""
-    b = ads_fine(spark, sf_dir)
+def ads_reports(b: DataFrame, start: str | None = None, end: str | None = None) -> dict[str, DataFrame]:
+    """The six analytics report frames of ``ads_fine`` rows, typed as
+    ``sources.reports`` returns them. The range reports are asked for a range
+    of days; the daily reports hold every day."""
+    asked = b.where(F.col("data_date").between(start, end)) if start and end else b
     out = {
-        "range_ads": b.groupBy("property_name", "campaign", "ad_group").agg(*_ads_metrics()),
-        "range_analytics": b.groupBy("property_name", "campaign", "ad_group", "channel", "medium").agg(*_an_metrics()),
+        "range_ads": asked.groupBy("property_name", "campaign", "ad_group").agg(*_ads_metrics()),
+        "range_analytics": asked.groupBy("property_name", "campaign", "ad_group", "channel", "medium").agg(*_an_metrics()),
         "day_campaign_ads": b.groupBy("property_name", "date", "campaign").agg(*_ads_metrics()),
         "day_campaign_analytics": b.groupBy("property_name", "date", "campaign", "channel", "medium").agg(*_an_metrics()),
         "day_adgroup_ads": b.groupBy("property_name", "date", "campaign", "ad_group").agg(*_ads_metrics()),
@@ -177,10 +145,11 @@ def ads_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-def native_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Ads-platform rows at campaign and ad-group level (``sources.ads_search``
-    shape). The ad-group level leaves out PMax campaigns."""
-    b = ads_fine(spark, sf_dir)
+def native_reports(b: DataFrame) -> dict[str, DataFrame]:
+    """Ads-platform rows of ``ads_fine`` rows at campaign and ad-group level
+    (``sources.ads_search`` shape). The ad-group level leaves out PMax
+    campaigns; the rows of every 13th of a month have no day (F11)."""
+    b = b.withColumn("data_date", F.when(~F.col("data_date").endswith("-13"), F.col("data_date")))
     m = [(F.sum("tax_amt") * F.lit(1000000)).cast("long").alias("cost_micros"),
          F.sum("qty").alias("clicks"), F.sum("qty_size").alias("impressions"),
          F.sum("lines").cast(MONEY).alias("conversions"),
@@ -217,7 +186,7 @@ def _param(string_value=None, int_value=None, double_value=None) -> Column:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analytics-export shaped events: name, micros timestamp, pseudo user
     (null every 7th id), yyyyMMdd date and a parameter map (empty for errors)."""
-    e = spread(table(spark, sf_dir, "events"), _path(sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
     params = F.create_map(
         F.lit("k"), _param(int_value=F.get_json_object("props", "$.k").try_cast("bigint")),
         F.lit("value"), _param(double_value=F.col("value")),
@@ -238,7 +207,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item revenue report rows (date, channel group, item name | revenue,
     items); returned lines (flag R) report zero."""
-    li = spread(table(spark, sf_dir, "lineitem"), _path(sf_dir, "lineitem")).select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -259,27 +228,10 @@ def item_revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- reservation views
-def _guest_struct(last: Column, first: Column, nested_as: str) -> Column:
-    fields = {"lastName": None, "firstName": None, "surname": None, "given": None}
-    if nested_as == "primary":
-        fields["lastName"], fields["firstName"] = last, first
-    else:
-        fields["surname"], fields["given"] = last, first
-    return F.struct(*[(v if v is not None else F.lit(None).cast("string")).alias(k) for k, v in fields.items()])
-
-
 def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reservation objects as the landed JSON reader returns them (wide,
-    every field nullable), one per order. Landed pages are files in
-    production, so the stand-in is materialised once per session
-    (checkpoint): filters on derived fields then run over stored rows in
-    parallel instead of re-deriving every field inside the scan stage."""
-    return memo(spark, ("reservations", sf_dir), lambda: cut_lineage(_reservations(spark, sf_dir)))
-
-
-def _reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(table(spark, sf_dir, "orders"), _path(sf_dir, "orders")).select("o_orderkey", "o_custkey", "o_orderstatus",
-                                               "o_orderdate", "o_orderpriority")
+    every field nullable), one per order."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     df = o.join(c, o.o_custkey == c.c_custkey)
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -287,6 +239,7 @@ def _reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_day = F.to_date("o_orderdate").cast("string")
     created_text = created_ts.cast("string")          # 'yyyy-MM-dd HH:mm:ss'
     created = (F.when(key % 50 == 0, F.concat(order_day, F.lit(" 99:99:99")))
+               .when(key % 7 == 0, F.date_format(created_ts, "yyyy-M-d H:m:s"))        # unpadded
                .when(key % 2 == 0, created_text)
                .otherwise(F.translate(created_text, " ", "T")))
     source = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Sleepover Direct"))
@@ -300,7 +253,9 @@ def _reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(F.col("o_orderstatus") == "O", F.lit("Confirmed"))
               .otherwise(F.lit("Cancelled")))
     null_s = F.lit(None).cast("string")
-    return df.select(
+    # Landed pages are files; the view is staged like them, so that filters on
+    # its fields do not re-derive every field.
+    return stage(df.select(
         (F.lit(1) + F.col("c_nationkey") % 3).cast("int").alias("property_id"),
         key.alias("id"),
         F.lit(None).cast("bigint").alias("reservationId"),
@@ -321,21 +276,24 @@ def _reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat(F.lit("Agent-"), F.col("c_nationkey").cast("string"))).alias("name")).alias("travelAgent"),
         null_s.alias("guestSurname"),
         null_s.alias("guestGiven"),
-        F.when(~guest_alt, _guest_struct(F.col("c_name"), F.col("c_mktsegment"), "primary")).alias("primaryGuest"),
-        F.when(guest_alt, _guest_struct(F.col("c_name"), F.col("c_mktsegment"), "guest")).alias("guest"),
+        (F.when(cust % 11 == 0, F.lit('{"id": 7}'))                                  # there, but without names
+         .when(~guest_alt, F.to_json(F.struct(F.col("c_name").alias("lastName"), F.col("c_mktsegment").alias("firstName"))))
+         .when(cust % 2 == 0, F.lit("{}"))).alias("primaryGuest"),
+        F.when(guest_alt | (cust % 11 == 0), F.to_json(F.struct(F.col("c_name").alias("surname"), F.col("c_mktsegment").alias("given")))).alias("guest"),
         F.when(key % 2 == 0, room).alias("categoryName"),
         F.struct(F.when(key % 2 == 1, room).alias("name")).alias("category"),
         status.alias("status"),
         F.when(cust % 5 == 0, F.lit("")).when(F.col("c_nationkey") % 2 == 0, F.lit("GBP")).alias("currency"),
         F.when((F.col("c_nationkey") % 2 == 1) & (cust % 5 != 0), F.lit("AUD")).alias("currencyCode"),
-    )
+    ), "reservations")
 
 
 def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rate rows: one per line item (reservation = order, stay = ship day)."""
-    return spread(table(spark, sf_dir, "lineitem"), _path(sf_dir, "lineitem")).select(
+    """Rate rows: one per line item (reservation = order, stay = ship day),
+    with amounts of three decimals."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("reservationId"),
-        F.col("l_extendedprice").cast(DecimalType(18, 2)).alias("totalRateAmount"),
+        (F.col("l_extendedprice").cast(DecimalType(18, 2)) + F.col("l_linenumber").cast(DecimalType(3, 0)) * F.lit("0.003").cast(DecimalType(4, 3))).alias("totalRateAmount"),
         F.to_date("l_shipdate").cast("string").alias("stayDate"),
     )
 
@@ -349,7 +307,7 @@ def reservation_properties(spark: SparkSession) -> DataFrame:
 def search_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Per-project search tables with a DATE ``data_date``, plus the export log
     with ``publish_time``; ``project_id`` says which project owns a row."""
-    e = spread(table(spark, sf_dir, "events"), _path(sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
     ids = F.array(*[F.lit(p["project_id"]) for p in SEARCH_PROJECTS])
     base = e.select(
         F.element_at(ids, (F.col("user_id") % len(SEARCH_PROJECTS) + 1).cast("int")).alias("project_id"),
@@ -368,3 +326,83 @@ def search_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def search_projects(spark: SparkSession) -> DataFrame:
     from channelmart.sources.properties import search_projects_dim
     return search_projects_dim(spark, SEARCH_PROJECTS)
+
+
+# ---------------------------------------------------------------- landed pages
+PAGE_ORDERS = 100     # orders of a page, so a page is bounded
+
+
+def _pages(rows: DataFrame, key: str, order: list[str], item: Column, wrap) -> DataFrame:
+    """Pages (``page``, ``value``) of JSON text: the items of PAGE_ORDERS keys
+    each, in order, as ``wrap`` puts the array into a page."""
+    fields = F.struct(*[F.col(c) for c in order], item.alias("item"))
+    listed = rows.groupBy(F.floor(F.col(key) / PAGE_ORDERS).alias("page")).agg(F.array_sort(F.collect_list(fields)).alias("rows"))
+    return listed.select("page", wrap(F.transform("rows", lambda x: x["item"])).alias("value"))
+
+
+def _value(c: Column) -> Column:
+    return F.struct(c.cast("string").alias("value"))
+
+
+def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item revenue responses of the lines, one page per 100 orders: values by
+    position, the second metric missing on every seventh line, every tenth
+    page without rows, property by page."""
+    li = table(spark, sf_dir, "lineitem")
+    revenue = _value(_dec("l_extendedprice"))
+    metrics = F.when(F.col("l_linenumber") == 7, F.array(revenue)).otherwise(F.array(revenue, _value(F.col("l_quantity").cast("long"))))
+    item = F.struct(F.array(_value(F.translate(F.to_date("l_shipdate").cast("string"), "-", "")), _value(F.col("l_returnflag")),
+                            _value(F.concat(F.lit("item-"), (F.col("l_suppkey") % 10).cast("string")))).alias("dimensionValues"),
+                    metrics.alias("metricValues"))
+
+    def wrap(items: Column) -> Column:
+        return F.when(F.col("page") % 10 == 9, F.lit('{"kind": "empty report"}')).otherwise(F.to_json(F.struct(items.alias("rows"))))
+
+    pages = _pages(li, "l_orderkey", ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"], item, wrap)
+    return pages.withColumn("property_name", F.when(F.col("page") % 2 == 0, F.lit("north-lounges")).otherwise(F.lit("south-stays")))
+
+
+def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads search responses of the lines: the campaign missing on second
+    lines, the ad group's name on third ones, impressions on fourth ones."""
+    li = table(spark, sf_dir, "lineitem")
+    line = F.col("l_linenumber")
+    conversions = _dec("l_tax", 4, 2) + F.lit("0.123456789").cast(DecimalType(10, 9))
+    item = F.struct(
+        F.struct(F.to_date("l_shipdate").cast("string").alias("date")).alias("segments"),
+        F.when(line != 2, F.struct(F.concat(F.lit("camp-"), (F.col("l_partkey") % 9).cast("string")).alias("name"))).alias("campaign"),
+        F.struct(F.when(line != 3, F.concat(F.lit("group-"), (F.col("l_suppkey") % 9).cast("string"))).alias("name")).alias("adGroup"),
+        F.struct((_dec("l_extendedprice") * 1000000).cast("long").cast("string").alias("costMicros"),
+                 F.col("l_quantity").cast("long").cast("string").alias("clicks"),
+                 F.when(line != 4, F.col("l_orderkey") + F.lit(9007199254740993)).cast("string").alias("impressions"),
+                 conversions.cast("string").alias("conversions"), _dec("l_discount", 4, 2).cast("string").alias("conversionsValue")).alias("metrics"))
+    return _pages(li, "l_orderkey", ["l_orderkey", "l_linenumber"], item, lambda items: F.to_json(F.struct(items.alias("results"))))
+
+
+def reservation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reservation responses of the orders in the five page shapes (by page
+    number): a list with elements that are no objects and one with a list of
+    its own, the three envelopes, and a single object."""
+    orders = table(spark, sf_dir, "orders")
+    item = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("bookingSourceName"),
+                    F.when(F.col("o_orderkey") % 3 == 0, F.struct(F.col("o_custkey").alias("lastName"))).alias("primaryGuest"))
+
+    def wrap(items: Column) -> Column:
+        text = F.to_json(items)
+        inner = F.substring(text, F.lit(2), F.length(text) - 2)
+        shapes = [F.concat(F.lit(' [3, null, "x", '), inner, F.lit(', {"id": -1, "data": [{"id": -2}]}]')),
+                  F.concat(F.lit('{"items": [7, '), inner, F.lit('], "total": 1}')), F.concat(F.lit('{"results": ['), inner, F.lit("]}")),
+                  F.concat(F.lit('{"data": ['), inner, F.lit("]}")), F.to_json(items[0])]
+        return F.element_at(F.array(*shapes), (F.col("page") % 5 + 1).cast("int"))
+
+    return _pages(orders, "o_orderkey", ["o_orderkey"], item, wrap)
+
+
+def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate responses of the lines; amounts missing on fifth lines, stay days
+    on sixth ones (F8)."""
+    li = table(spark, sf_dir, "lineitem")
+    item = F.struct(F.col("l_orderkey").alias("reservationId"),
+                    F.when(F.col("l_linenumber") != 5, _dec("l_extendedprice")).alias("totalRateAmount"),
+                    F.when(F.col("l_linenumber") != 6, F.to_date("l_shipdate").cast("string")).alias("stayDate"))
+    return _pages(li, "l_orderkey", ["l_orderkey", "l_linenumber"], item, lambda items: F.to_json(F.struct(items.alias("data"))))
