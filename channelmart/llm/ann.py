@@ -2,13 +2,17 @@
 
 Unit vectors are cut in two halves, each quantised by its own centroids (k-means on a bounded sample); a vector's cell is
 the pair of its halves' centroids. A query visits cells in the order of the summed squared distances of its halves to the
-centroids, by a heap over the sorted distances, until the visited cells hold `candidates` entries; every entry of a
-visited cell is then ranked by its exact cosine.
+centroids, by a heap over the sorted distances, until the visited cells hold enough entries; every entry of a visited cell
+is then ranked by its exact cosine.
+
+What is enough is measured: for at most CALIBRATION queries the nearest rows are found by brute force over all rows, and
+the number of entries is chosen that would have reached the share RECALL of them. Vectors with structure need few entries,
+vectors without need a good part of the table, and the recall stays the same.
 
 Every valid row is indexed. Entries are dealt over parts by cell; a cell with more than BLOCK entries is dealt in
 several blocks by the id's hash, and a query goes to each block of a visited cell, so a vector that a third of the
 rows share is many blocks. A part returns its best few for each query, and these meet by query. The driver holds the
-sample, the centroids and the sizes of the cells, all bounded by SAMPLE and MAX_CENTROIDS.
+sample, the centroids, the sizes of the cells and the calibration's neighbours, all bounded by the constants below.
 
 Cases: rows whose vector is null, zero, or holds null or non-finite components, or whose length is not the most common
 one among the sampled rows (ties: the smaller), take no part; a null id takes no part; rows with a query's id are its own;
@@ -29,7 +33,9 @@ from .common import configure, shards_of
 
 SAMPLE = 16384
 MAX_CENTROIDS = 512
-ENTRIES_PER_CELL = 16
+ENTRIES_PER_CELL = 8
+CALIBRATION = 64
+RECALL = 0.95
 BLOCK = 4096
 ROUNDS = 12
 
@@ -103,6 +109,14 @@ class MultiIndex:
                 heapq.heappush(heap, (a[rows[i + 1]] + b[columns[0]], i + 1, 0))
         return out
 
+    def needed(self, a: np.ndarray, b: np.ndarray, cells: list[int]) -> list[int]:
+        """With how many candidates visit() reaches each of the cells."""
+        held, needed = 0, {}
+        for cell in self.visit(a, b, sum(self.sizes.values())):
+            needed[cell] = held + 1
+            held += self.sizes[cell]
+        return [needed[c] for c in cells]
+
     def blocks(self, cell: int) -> int:
         return -(-self.sizes.get(cell, 1) // BLOCK)
 
@@ -127,8 +141,45 @@ def fit(rows: DataFrame) -> tuple[MultiIndex, int]:
     return MultiIndex(kmeans(x[:, :cut], k), second), length
 
 
-def nearest(rows: DataFrame, is_query: Column, neighbours: int, candidates: int) -> DataFrame:
-    """For each row (vec_id, embedding) for which is_query holds: query_id, rank, vec_id, score of its nearest rows."""
+def best_rows(ids: np.ndarray, scores: np.ndarray, n: int) -> np.ndarray:
+    return np.lexsort((ids, -scores))[:n]
+
+
+def calibrated(entries: DataFrame, queries: DataFrame, index: MultiIndex, neighbours: int) -> int:
+    """The number of candidates that reaches RECALL of the calibration queries' nearest rows."""
+    asked = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION).collect()
+    if not asked:
+        return 0
+    own, y = np.array([r["vec_id"] for r in asked]), np.array([r["embedding"] for r in asked], dtype=np.float64)
+
+    def nearest_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))] * len(own)
+        for batch in batches:
+            if batch.num_rows:
+                ids, cells = batch.column("vec_id").cast(pa.int64()).to_numpy(), batch.column("cell").to_numpy()
+                scores = unit(vectors_of(batch.column("embedding"))) @ unit(y).T
+                for k, q in enumerate(own):
+                    other = ids != q
+                    both = [np.concatenate(c) for c in zip(held[k], (ids[other], scores[other, k], cells[other]))]
+                    best = best_rows(both[0], both[1], neighbours)
+                    held[k] = tuple(c[best] for c in both)
+        rows = [(k, *row) for k, columns in enumerate(held) for row in zip(*(c.tolist() for c in columns))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.float64(), pa.int64()))],
+                                         names=["query", "vec_id", "score", "cell"])
+
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    found = (entries.mapInArrow(nearest_of_task, "query int, vec_id long, score double, cell long")
+             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= neighbours).select("query", "cell").collect())
+    halves = index.halves(y)
+    needed = []
+    for k in range(len(own)):
+        needed += index.needed(halves[0][k], halves[1][k], [r["cell"] for r in found if r["query"] == k])
+    return sorted(needed)[max(0, int(np.ceil(RECALL * len(needed))) - 1)] if needed else 0
+
+
+def nearest(rows: DataFrame, is_query: Column, neighbours: int, candidates: int | None = None) -> DataFrame:
+    """For each row (vec_id, embedding) for which is_query holds: query_id, rank, vec_id, score of its nearest rows among
+    the entries of the cells visited until they hold `candidates` (None: as many as calibrated() finds)."""
     spark = rows.sparkSession
     configure(spark)
     rows = rows.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & valid(F.col("embedding")))
@@ -145,7 +196,9 @@ def nearest(rows: DataFrame, is_query: Column, neighbours: int, candidates: int)
     types = dict(rows.dtypes)
     entries = rows.mapInArrow(assign, f"vec_id {types['vec_id']}, embedding {types['embedding']}, cell long")
     if length:
-        index.sizes = {r["cell"]: r["count"] for r in entries.groupBy("cell").count().toLocalIterator()}
+        index.sizes = {r["cell"]: r["count"] for r in entries.groupBy("cell").count().collect()}
+        if candidates is None:
+            candidates = calibrated(entries, rows.where(is_query), index, neighbours)
 
     def part_of(cell: np.ndarray, block: np.ndarray) -> np.ndarray:
         return (_hash(np.asarray(cell) * 65537 + np.asarray(block)) % np.uint64(parts)).astype(np.int32)
@@ -186,7 +239,7 @@ def nearest(rows: DataFrame, is_query: Column, neighbours: int, candidates: int)
             rows = rows[ids[rows] != q]
             y = np.array(vector, np.float64)
             score = (x[rows] * y).sum(1) / (size[rows] * np.sqrt((y * y).sum()))
-            best = np.lexsort((ids[rows], -score))[:neighbours]
+            best = best_rows(ids[rows], score, neighbours)
             out += [(q, int(ids[rows[k]]), float(score[k])) for k in best]
         return pa.table({"query_id": pa.array([o[0] for o in out], pa.int64()), "vec_id": pa.array([o[1] for o in out], pa.int64()),
                          "score": pa.array([o[2] for o in out], pa.float64())})

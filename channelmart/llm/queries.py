@@ -62,7 +62,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, neighbours=5, candidates=3000)
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, neighbours=5)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

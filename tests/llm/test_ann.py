@@ -84,3 +84,15 @@ def test_recall_of_the_query(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     assert recall(got(op7_ann(spark, sf_dir)), brute(rows, lambda k: k % 50 == 0, 5)) >= 0.9
+
+
+def test_calibration_holds_for_other_queries(spark, monkeypatch):
+    """Vectors without structure: the number of candidates found on a few queries reaches the recall on all."""
+    rng = np.random.default_rng(5)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(6000, 12)))]
+    seen = []
+    monkeypatch.setattr(ann, "CALIBRATION", 40)
+    monkeypatch.setattr(ann, "calibrated", lambda *a, real=ann.calibrated: seen.append(real(*a)) or seen[-1])
+    found = got(ann.nearest(table(spark, rows), F.col("vec_id") % 20 == 0, 5))
+    assert 0 < seen[0] < len(rows) / 2
+    assert recall(found, brute(rows, lambda k: k % 20 == 0, 5)) >= 0.9
