@@ -13,25 +13,36 @@ pieces); other columns are not read; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import byte_letters
 from .common import configure, shards_of, slices
 
-CACHED_WORDS = 400_000
+# Fixed value: the pieces of the lower-casing tokenizer's words, for lower-case ASCII and Latin-1; a line end separates words.
+PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
+OTHER = re.compile(r"[^\n!-~\u00c0-\u00ff]|<\|")
+BETWEEN = b"\xff" * 4        # within no ids: the high byte of an id is never ff
+LETTERS = {b: c for b, c in enumerate(byte_letters()) if b != 10}
+CACHED_WORDS = 1_000_000    # about 200 MB of a worker
 GROUP_IDS = 1 << 32
 _loaded: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
     """Ids of texts by the tokenizers library. The library's lower-casing tokenizer drops white space and never joins
-    what stands on either side of it, so each distinct word between ASCII white space is encoded once."""
+    what stands on either side of it, so each distinct word between ASCII white space is encoded once.
+
+    Words of ASCII and Latin-1 letters are lower-cased and cut into pieces here, as the library does it for these
+    characters, and each distinct piece goes through the library's model; other words, and those with what could be a
+    special token, go through the library whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,17 +50,44 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.cache: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").encode().split() for t in texts]
+        self.pieces: dict[str, bytes] = {}
+
+    def encode_words(self, words: list[bytes]) -> None:
+        """Puts the ids of words into the cache."""
+        joined = b"\n".join(words).decode()
+        if OTHER.search(joined):
+            texts = joined.split("\n")
+            whole = [k for k, t in enumerate(texts) if OTHER.search(t)]
+            encoded = self.tokenizer.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False)
+            self.cache.update((words[k], array("I", e.ids).tobytes()) for k, e in zip(whole, encoded))
+            words = [w for w in words if w not in self.cache]
+            joined = b"\n".join(words).decode()
+        if not words:
+            return
+        found = PIECES.findall(joined.lower())
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces.clear()
+        new = list(set(found).difference(self.pieces, "\n"))
+        spelt = "\n".join(new).encode().decode("latin-1").translate(LETTERS).split("\n") if new else []
+        tokenize = self.model.tokenize
+        self.pieces.update((piece, array("I", [t.id for t in tokenize(s)]).tobytes()) for piece, s in zip(new, spelt))
+        self.pieces["\n"] = BETWEEN
+        self.cache.update(zip(words, b"".join(map(self.pieces.__getitem__, found)).split(BETWEEN)))
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text (UTF-8) as little-endian unsigned 32-bit integers."""
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
-        new = list(set().union(*words).difference(self.cache))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.cache[word] = np.array(found.ids, "<u4").tobytes()
-        known = self.cache.__getitem__
-        return [b"".join(map(known, ws)) for ws in words]
+        words = [(t or b"").split() for t in texts]
+        found = [list(map(self.cache.get, ws)) for ws in words]
+        missing = [[k for k, ids in enumerate(f) if ids is None] for f in found]
+        self.encode_words(list({ws[k] for ws, ks in zip(words, missing) for k in ks}))
+        for ws, f, ks in zip(words, found, missing):
+            for k in ks:
+                f[k] = self.cache[ws[k]]
+        return [b"".join(f) for f in found]
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -112,7 +150,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, window: int, with_ids: bool
         end, step = int(end_id).to_bytes(4, "little"), 4 * window
         for batch in batches:
             for part in slices(batch):
-                ids = [i + end for i in word_encoder(path).encode(part.column("text").to_pylist())]
+                ids = [i + end for i in word_encoder(path).encode(part.column("text").cast(pa.binary()).to_pylist())]
                 cuts = [(k, at) for k, i in enumerate(ids) for at in range(0, len(i), step)]
                 chunks = [ids[k][at:at + step] for k, at in cuts]
                 columns = [part.column("doc_id").take(pa.array([k for k, _ in cuts], pa.int64())), pa.array([at // 4 for _, at in cuts], pa.int64()),
