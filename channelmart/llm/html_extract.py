@@ -7,28 +7,30 @@ known by its markup: menus, headers, footers, sidebars, notices, adverts, forms,
 kept even where they differ. The reverse check keeps lines inside the page's own declared article: a
 sentence that two articles of a host both quote is content, however alike the pages are.
 
-Only hashes of lines are sorted and aligned. Pages are dealt over tasks by host, path and id, so a large host
-is many tasks; neighbours across tasks meet by their place in the whole order, for which the driver holds one count for
-each task. The common subsequence is found by bit rows, in halves where the rows would be large.
+The order of host, path, id and contents is found on these keys alone and cut into as many ranges as there are shuffle
+partitions, so a large host is many ranges. Pages are parsed once; their compressed lines go to their range, and the first
+and last page of a range also to its neighbour, as a partner. The driver holds two keys for each range. The
+common subsequence is found by bit rows, in halves where the rows would be large.
 
 Cases: a null or empty page has the empty text; a page without a URL or alone on its host has no partner and nothing is
-deleted; unclosed and misnested markup is read as far as it goes; equal rows are handled each; rows are told apart by id and
-contents; an empty table gives no rows; other columns are not read.
+deleted, nor where the page is a copy that would lose all its lines; unclosed and misnested markup is read as far
+as it goes; equal rows are handled each; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, configure, shards_of, stored, utf8
+from .common import configure, shards_of
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(("address article aside blockquote body br-block caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -166,83 +168,109 @@ def _common(a: list[int], b: list[int]) -> list[int]:
     return out[::-1]
 
 
-def _keys(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("row_key"))
+KEY = ("host", "path", "id", "contents")
 
 
-def _ordered(pages: DataFrame) -> DataFrame:
-    """host, path, page_id, row_key, lines (hashes) and place: the pages in the order of host, path, id and contents."""
-    parts = shards_of(pages.sparkSession)
-    bare = F.regexp_replace("url", "^[A-Za-z][A-Za-z0-9+.-]*://", "")
+def _keys() -> list[Column]:
+    bare = F.regexp_replace(F.coalesce("url", F.lit("")), "^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host, path = F.lower(F.regexp_extract(bare, "^([^/?#]*)", 1)), F.regexp_extract(bare, "^[^/?#]*(.*)$", 1)
-    id_type = dict(pages.dtypes)["page_id"]
+    return [host.alias("host"), path.alias("path"), F.coalesce(F.col("page_id").cast("long"), F.lit(-1 << 63)).alias("id"), F.xxhash64("url", "html").alias("contents")]
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [[t for t, _, _ in lines_of(h)] for h in batch.column("html").to_pylist()]
-            data, offsets = utf8(pa.array([t for ts in found for t in ts], pa.large_string()))
-            values = Rolling(data)(offsets[:-1], offsets[1:]).view(np.int64)
-            sizes = np.concatenate(([0], np.cumsum([len(ts) for ts in found]))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "path", "page_id", "row_key")), pa.ListArray.from_arrays(pa.array(sizes), pa.array(values))],
-                                             names=["host", "path", "page_id", "row_key", "lines"])
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, part = 0, TaskContext.get().partitionId()
-        for batch in batches:
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * n, pa.int32()), pa.array(np.arange(at, at + n))], names=[*batch.schema.names, "part", "at"])
-            at += n
-
-    columns = f"host string, path string, page_id {id_type}, row_key long, lines array<long>"
-    rows = stored(_keys(pages).select(host.alias("host"), path.alias("path"), "page_id", "row_key", "html").mapInArrow(read, columns), "lines")
-    order = ["host", "path", "page_id", "row_key"]
-    placed = stored(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(number, columns + ", part int, at long"), "ordered")
-    sizes = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}
-    base, total = [], 0
-    for part in range(max(sizes, default=0) + 1):
-        base.append(total)
-        total += sizes.get(part, 0)
-    return placed.withColumn("place", F.get(F.array(*map(F.lit, base)), F.col("part")).cast("long") + F.col("at")).drop("part", "at")
-
-
-def shared_lines(pages: DataFrame) -> DataFrame:
-    """page_id, row_key and shared: which lines (by number) each page has in common with its nearest page."""
-    placed = stored(_ordered(pages), "placed")
-    beside = {name: placed.select((F.col("place") - step).alias("place"), *(F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "lines")))
-              for name, step in (("next", 1), ("last", -1))}
-    rows = placed.join(beside["last"], "place", "left").join(beside["next"], "place", "left")
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                own, best, lines = (row["path"] or "").split("/"), -1, None
-                for name in ("last", "next"):
-                    if row["host"] and row[f"{name}_host"] == row["host"]:
-                        other = (row[f"{name}_path"] or "").split("/")
-                        alike = next((k for k, (x, y) in enumerate(zip(own, other)) if x != y), min(len(own), len(other)))
-                        if alike > best:
-                            best, lines = alike, row[f"{name}_lines"]
-                out.append(common_lines(row["lines"], lines) if lines else [])
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("row_key"), pa.array(out, pa.list_(pa.int32()))], names=["page_id", "row_key", "shared"])
-    return rows.mapInArrow(align, f"page_id {dict(pages.dtypes)['page_id']}, row_key long, shared array<int>")
+def ranges(pages: DataFrame) -> tuple[list[tuple], list[tuple]]:
+    """First and last keys of the ranges that the pages' order is cut into."""
+    keys = pages.select(*_keys()).repartitionByRange(shards_of(pages.sparkSession), *KEY)
+    key = F.struct(*KEY)
+    found = keys.groupBy(F.spark_partition_id().alias("range")).agg(F.min(key).alias("first"), F.max(key).alias("last")).collect()
+    found = sorted((tuple(r["first"]), tuple(r["last"])) for r in found)
+    return [f for f, _ in found], [last for _, last in found]
+
+
+def keep_lines(lines: list[str], marks: bytes, shared: list[int]) -> list[str]:
+    """The page's own lines. marks: bit 0 inside an article, bit 1 kept by the markup; shared: lines of the template."""
+    kept = [k for k, m in enumerate(marks) if m & 2]
+    article = [k for k in kept if marks[k] & 1]
+    if article:
+        return [lines[k] for k in article]
+    own = [k for k in kept if k not in set(shared)] if shared else kept
+    return [lines[k] for k in own or kept]
+
+
+def partner(own: dict, others: list[dict]) -> dict | None:
+    """The page of the same host that shares most of the path, the first of equals."""
+    best, found, path = -1, None, own["path"].split("/")
+    for other in others:
+        if own["host"] and other["host"] == own["host"]:
+            theirs = other["path"].split("/")
+            alike = next((k for k, (x, y) in enumerate(zip(path, theirs)) if x != y), min(len(path), len(theirs)))
+            if alike > best:
+                best, found = alike, other
+    return found
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of each page."""
     configure(pages.sparkSession)
-    types = dict(pages.dtypes)
-    shared = stored(shared_lines(pages).select(F.col("page_id").alias("_id"), F.col("row_key").alias("_key"), "shared").dropDuplicates(["_id", "_key"]), "shared")
-    keyed = _keys(pages)
-    rows = keyed.join(shared, keyed["page_id"].eqNullSafe(shared["_id"]) & (keyed["row_key"] == shared["_key"]), "left").select("page_id", "url", "html", "shared")
+    pages = pages.select("page_id", "url", "html")
+    id_type = dict(pages.dtypes)["page_id"]
+    first, last = ranges(pages)
+    names = ["range", "guest", *KEY, "page_id", "url", "marks", "lines"]
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each page's row for its range and, of a first or last page, one for the range beside it."""
+        compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            texts = []
-            for html, common in zip(batch.column("html").to_pylist(), batch.column("shared").to_pylist()):
-                lines, common = lines_of(html), set(common or ())
-                article = any(inside and kept for _, inside, kept in lines)
-                texts.append("\n".join(t for k, (t, inside, kept) in enumerate(lines) if kept and (inside if article else k not in common)))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                                             names=["page_id", "url", "text", "n_chars"])
-    return rows.mapInArrow(each, f"page_id {types['page_id']}, url {types['url']}, text string, n_chars long")
+            take, to, marks, blobs = [], [], [], []
+            for k, (html, *key) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("html", *KEY)))):
+                lines, key = lines_of(html), tuple(key)
+                here = bisect_right(first, key) - 1
+                targets = [here] + [here - 1] * (here > 0 and key == first[here]) + [here + 1] * (here + 1 < len(first) and key == last[here])
+                take += [k] * len(targets)
+                to += targets
+                marks += [bytes(inside + 2 * kept for _, inside, kept in lines)] * len(targets)
+                blobs += [compress("\n".join(t for t, _, _ in lines).encode())] * len(targets)
+            index = pa.array(take, pa.int64())
+            guest = [k > 0 and take[k] == take[k - 1] for k in range(len(take))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(to, pa.int32()), pa.array(guest, pa.bool_()), *(batch.column(c).take(index) for c in (*KEY, "page_id", "url")),
+                 pa.array(marks, pa.binary()), pa.array(blobs, pa.binary())], names=names)
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        decompress = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for row in batch.to_pylist():
+                lines = decompress(row["lines"]).decode()
+                yield row | {"lines": lines.split("\n") if row["marks"] else []}
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a range in order; each is looked at with the ones before and after it."""
+        out: list[tuple] = []
+
+        def look(before: dict | None, row: dict | None, after: dict | None) -> None:
+            if row is not None and not row["guest"]:
+                other = partner(row, [r for r in (before, after) if r])
+                shared = common_lines(row["lines"], other["lines"]) if other else []
+                text = "\n".join(keep_lines(row["lines"], row["marks"], shared))
+                out.append((row["page_id"], row["url"], text, len(text)))
+
+        def flushed() -> pa.RecordBatch:
+            columns = list(zip(*out)) or [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (page_id_type, pa.string(), pa.string(), pa.int64()))],
+                                              names=["page_id", "url", "text", "n_chars"])
+
+        before = row = page_id_type = None
+        for batch in batches:
+            page_id_type = batch.schema.field("page_id").type
+            for after in rows_of([batch]):
+                look(before, row, after)
+                before, row = row, after
+            yield flushed()
+            out = []
+        if row is not None:
+            look(before, row, None)
+            yield flushed()
+
+    keyed = pages.select(*_keys(), "page_id", "url", "html")
+    parsed = keyed.mapInArrow(parse, f"range int, guest boolean, host string, path string, id long, contents long, page_id {id_type}, url string, marks binary, lines binary")
+    dealt = parsed.repartitionById(max(1, len(first)), "range").sortWithinPartitions(*KEY, "guest")
+    return dealt.mapInArrow(align, f"page_id {id_type}, url string, text string, n_chars long")

@@ -99,5 +99,5 @@ def test_cases(spark):
     assert len(out) == len(rows)
     texts = {r["page_id"]: r["text"] for r in out}
     assert texts[1] == "a" and texts[2] == texts[3] == "" and texts[None] == "b" and texts[4] == "no tags & é" and texts[5] == "kept"
-    assert len(texts[6]) == 399_999 and texts[7] == "deep" and texts[8] == ""
+    assert len(texts[6]) == 399_999 and texts[7] == "deep" and texts[8] == "same"
     assert html_extract.extract(table(spark, [])).count() == 0
