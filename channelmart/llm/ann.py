@@ -9,7 +9,7 @@ What is enough is measured: for at most CALIBRATION queries the nearest rows are
 the number of entries is chosen that would have reached the share RECALL of them. Vectors with structure need few entries,
 vectors without need a good part of the table, and the recall stays the same.
 
-Every valid row is indexed. Entries are dealt over parts by cell; a cell with more than BLOCK entries is dealt in
+Every valid row is indexed. Entries are dealt over as many parts as their number asks for, by cell; a cell with more than BLOCK entries is dealt in
 several blocks by the id's hash, and a query goes to each block of a visited cell, so a vector that a third of the
 rows share is many blocks. A part returns its best few for each query, and these meet by query. The driver holds the
 sample, the centroids, the sizes of the cells and the calibration's neighbours, all bounded by the constants below.
@@ -29,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import configure, shards_of
+from .common import configure, mix
 
 SAMPLE = 16384
 MAX_CENTROIDS = 512
 ENTRIES_PER_CELL = 8
 CALIBRATION = 64
 RECALL = 0.95
-BLOCK = 4096
+BLOCK = 1024
+ENTRIES_PER_PART = 1024
 ROUNDS = 12
 
 
@@ -122,20 +123,19 @@ class MultiIndex:
 
 
 def _hash(x: np.ndarray) -> np.ndarray:
-    from .common import mix
     return mix(np.asarray(x, np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
 
 
-def fit(rows: DataFrame) -> tuple[MultiIndex, int]:
-    """Centroids from at most SAMPLE valid rows (vec_id, embedding), those with the smallest hash of the id; the
-    vectors' length."""
+def fit(rows: DataFrame, count: int) -> tuple[MultiIndex, int]:
+    """Centroids from at most SAMPLE of the `count` valid rows (vec_id, embedding), those with the smallest hash of the
+    id; the vectors' length."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toPandas()["embedding"]
     lengths = np.array([len(v) for v in sample])
     if not len(lengths):
         return MultiIndex(np.zeros((0, 0)), np.zeros((0, 0))), 0
     length = int(np.bincount(lengths).argmax())
     x = unit(np.array([v for v in sample if len(v) == length], dtype=np.float64))
-    k = int(min(MAX_CENTROIDS, max(1, round((rows.count() / ENTRIES_PER_CELL) ** 0.5))))
+    k = int(min(MAX_CENTROIDS, max(1, round((count / ENTRIES_PER_CELL) ** 0.5))))
     cut = (length + 1) // 2
     second = kmeans(x[:, cut:], k) if length > 1 else np.zeros((1, 0))
     return MultiIndex(kmeans(x[:, :cut], k), second), length
@@ -183,9 +183,10 @@ def nearest(rows: DataFrame, is_query: Column, neighbours: int, candidates: int
     spark = rows.sparkSession
     configure(spark)
     rows = rows.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & valid(F.col("embedding")))
-    index, length = fit(rows)
+    count = rows.count()
+    index, length = fit(rows, count)
     rows = rows.where(F.size("embedding") == length)
-    parts = 2 * shards_of(spark)
+    parts = max(1, -(-count // ENTRIES_PER_PART))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
