@@ -6,8 +6,11 @@ With document counts over the whole corpus, the term t discloses the entity e by
 
     PMI(t; e) / IC(e) = log2(n(t, e) N / (n(t) n(e))) / log2(N / n(e)),
 
-1 if the term never occurs without the entity. A pair seen together in MIN_TOGETHER documents or more whose share reaches
-GENERALISE_AT is sanitised beside the entity: from REMOVE_AT on the term is removed, below it is generalised.
+1 if the term never occurs without the entity. However few documents a pair is seen in, it is scored: by its share times
+the confidence 1 - p ** (1 / DOUBT), p bounding the chance (Chernoff) that a term of n(t) documents meets the entity so often if they
+are independent, which takes the information of the term and of the entity into account. A pair whose score reaches
+GENERALISE_AT is sanitised beside the entity: from REMOVE_AT on the term is removed, below it is generalised. So a term
+and an entity of one document each, p = 1 / N, are evidence from N = 5 ** DOUBT documents on.
 
 Co-occurrences are few rows and are counted in DataFrame aggregations; the documents of every term are counted once for
 each document by packed exchange. Nothing is collected; a frequent entity or term is one entry for each task.
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, OTHER_ID, OTHER_ROW, ROW, Counter, Rolling, configure, exchange, merged, runs, shards_of, slices, stored, utf8
@@ -32,7 +35,7 @@ from .common import LOWER, OTHER_ID, OTHER_ROW, ROW, Counter, Rolling, configure
 FOUND = "llm spans"
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 120
-MIN_TOGETHER = 3
+DOUBT = 4
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 MIN_TERM = 3
@@ -154,17 +157,24 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return exchange(docs.select("text"), emit, shards).mapInArrow(count, "term long, documents long")
 
 
+def score(total: int) -> Column:
+    """Share of the entity's information that the term discloses, times the confidence that it is no chance."""
+    n, t, e, both = F.lit(float(total)), F.col("documents"), F.col("holders"), F.col("together")
+    pmi = F.log2(both * n / (t * e))
+    without = F.when(t > both, (t - both) * F.log2((1 - both / t) / (1 - e / n))).otherwise(0.0)
+    return pmi / F.log2(n / e) * (1 - F.pow(F.lit(2.0), -(both * pmi + without) / DOUBT))
+
+
 def disclosing(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, share) of the pairs that are to be sanitised. rows: of find()."""
+    """(entity, term, score) of the pairs that are to be sanitised. rows: of find()."""
     total = rows.count()
     pairs = rows.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p"))
-    together = pairs.groupBy("p.entity", "p.term").agg(F.count("*").alias("together")).where(F.col("together") >= MIN_TOGETHER)
+    together = pairs.groupBy("p.entity", "p.term").agg(F.count("*").alias("together"))
     holders = (rows.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
                .groupBy("entity").agg(F.count("*").alias("holders")))
     counted = together.join(holders, "entity").join(term_documents(docs), "term")
-    share = F.log2(F.col("together") * F.lit(float(total)) / (F.col("documents") * F.col("holders"))) / F.log2(F.lit(float(total)) / F.col("holders"))
-    return (counted.where(F.col("holders") < total).select("entity", "term", share.alias("share"))
-            .where(F.col("share") >= GENERALISE_AT))
+    return (counted.where(F.col("holders") < total).select("entity", "term", score(total).alias("score"))
+            .where(F.col("score") >= GENERALISE_AT))
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -175,7 +185,7 @@ def spans(docs: DataFrame) -> DataFrame:
     flagged = stored(disclosing(rows, docs), "disclosing")
     near = rows.where(F.size("near") > 0).select("doc_id", "row_key", F.explode("near").alias("n")).select("doc_id", "row_key", "n.*")
     one = F.struct("start", F.lit(KINDS.index("term")).alias("order"), F.lit("term").alias("kind"), "end", "removed")
-    terms = (near.join(flagged, ["entity", "term"]).groupBy("doc_id", "row_key", "start", "end").agg((F.max("share") >= REMOVE_AT).alias("removed"))
+    terms = (near.join(flagged, ["entity", "term"]).groupBy("doc_id", "row_key", "start", "end").agg((F.max("score") >= REMOVE_AT).alias("removed"))
              .groupBy(F.col("doc_id").alias("d"), F.col("row_key").alias("r")).agg(F.collect_list(one).alias("terms")))
     order = F.create_map(*(F.lit(x) for k, n in enumerate(KINDS) for x in (n, k)))
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("order"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("removed")))

@@ -72,6 +72,22 @@ def test_disclosing_terms_go_and_common_ones_stay(docs):
     assert all(found[k] == [] for k in range(200))
 
 
+def test_entities_of_one_and_two_documents_have_terms_on_the_given_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in df.collect()}
+    held, words = {}, {}
+    for k, text in texts.items():
+        for a, kind, b in pii.base_spans(text):
+            held.setdefault(pii.entity(kind, text[a:b]), set()).add(k)
+        for w in {w.lower() for w in re.findall(r"[^\W\d_]+", text)}:
+            words[w] = words.get(w, 0) + 1
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "term"] for r in pii.spans(df).collect()}
+    for n in (1, 2):
+        assert any(found[k] for ks in held.values() if len(ks) == n for k in ks)
+    terms = {texts[k][s["start"]:s["end"]].lower() for k, ss in found.items() for s in ss}
+    assert terms and not any(words.get(t, 0) > len(texts) / 100 for t in terms)
+
+
 def test_sanitised_texts_and_cases(docs):
     rows = corpus(random.Random(4)) + [(None, None), (None, "call +49 30 1234567 now"), (7000, ""), (7001, "a@b.c"), (7001, "a@b.c"), (7001, None), (7002, "x" * 200_000 + " 10.0.0.1")]
     df = docs(rows)
