@@ -1,41 +1,45 @@
 """Personal data: fixed patterns, and terms that disclose them by corpus co-occurrence.
 
 E-mail and IP addresses, card and phone numbers are found by their patterns; each distinct value is a protected entity.
-A term is a run of letters of three characters or more. Terms within CONTEXT characters of an entity co-occur with it.
-With document counts over the whole corpus, the term t discloses the entity e by the share
+A term is a run of letters of three characters or more outside them. A term co-occurs with the entities of its document,
+however far apart they stand. With document counts over the whole corpus, the term t discloses the entity e by the share
 
     PMI(t; e) / IC(e) = log2(n(t, e) N / (n(t) n(e))) / log2(N / n(e)),
 
 1 if the term never occurs without the entity. However few documents a pair is seen in, it is scored: by its share times
 the confidence 1 - p ** (1 / DOUBT), p bounding the chance (Chernoff) that a term of n(t) documents meets the entity so often if they
 are independent, which takes the information of the term and of the entity into account. A pair whose score reaches
-GENERALISE_AT is sanitised beside the entity: from REMOVE_AT on the term is removed, below it is generalised. So a term
-and an entity of one document each, p = 1 / N, are evidence from N = 5 ** DOUBT documents on.
+GENERALISE_AT has its term sanitised wherever it stands, also in documents without the entity: from REMOVE_AT on the term is
+removed, below it is generalised. So a term and an entity of one document each, p = 1 / N, are evidence from N = 5 ** DOUBT
+documents on.
 
-Co-occurrences are few rows and are counted in DataFrame aggregations; the documents of every term are counted once for
-each document by packed exchange. Nothing is collected; a frequent entity or term is one entry for each task.
+The documents of every term and entity are counted by packed exchange into a table that workers map. With it, pairs that
+cannot reach GENERALISE_AT are known before they are sent; the others are summed for each task and then by their hashes, so
+a frequent entity is many groups. Disclosing terms are a table that workers map, too, and each text is marked where it
+is read. Nothing is collected.
 
-Cases: a null text is empty; spans are in code points, end exclusive; rows are told apart by id and text, equal rows have
+Cases: a null text is empty; spans are in code points, end exclusive; upper and lower case are one term; equal rows have
 equal spans and count each; a null id is an id like others; an empty table gives no rows; very long digit or letter runs
 are scanned once; other columns pass through sanitise() under their own names.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, OTHER_ID, OTHER_ROW, ROW, Counter, Rolling, configure, exchange, merged, runs, shards_of, slices, stored, utf8
+from .common import LOWER, Counter, Rolling, SortedTable, configure, exchange, merged, runs, shards_of, shared_folder, slices, utf8
 
-FOUND = "llm spans"
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 120
 DOUBT = 4
+PAIRS = 1 << 20
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 MIN_TERM = 3
@@ -97,64 +101,120 @@ def entity(kind: int, value: str) -> str:
 
 
 def hashes(words: list[str]) -> np.ndarray:
-    """As the corpus count hashes them: bytes, lower-cased in A-Z."""
+    """Hashes of the bytes, lower-cased in A-Z."""
     data, offsets = utf8(pa.array(words, pa.string()))
     return Rolling(LOWER[data])(offsets[:-1], offsets[1:])
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, base (spans of the patterns) and near (entity, term, start, end of each term by an entity)."""
-    docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    schema = f"doc_id {docs.schema[0].dataType.simpleString()}, row_key long, base {SPAN}, near array<struct<entity: long, term: long, start: int, end: int>>"
-    span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    near_type = pa.list_(pa.struct([(n, t) for n, t in (("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()))]))
+class Terms:
+    """The terms of some texts outside the pattern spans: of each occurrence the hash, the text and the span."""
+
+    def __init__(self, texts: pa.Array, base: list[list[tuple[int, int, int]]]):
+        data, offsets = utf8(pc.utf8_lower(pc.fill_null(texts, "")))           # code point by code point
+        starts, ends, first = runs(LETTER[data], offsets)
+        points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))        # code points that start before each byte
+        covered = np.zeros(len(data) + 1, np.int64)
+        for at, found in zip(offsets.tolist(), base):
+            for a, _, b in found:
+                a, b = np.searchsorted(points, (points[at] + a, points[at] + b), side="right") - 1
+                covered[a + 1:b + 1] = 1
+        covered = np.cumsum(covered)
+        use = (points[ends] - points[starts] >= MIN_TERM) & (covered[ends] == covered[starts])
+        self.text = np.repeat(np.arange(len(base)), np.diff(first))[use]
+        self.hash = Rolling(data)(starts[use], ends[use])
+        self.start, self.end = (points[x[use]] - points[offsets[self.text]] for x in (starts, ends))
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            base, near, entities, words = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                found = base_spans(text or "")
-                base.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in found])
-                mine = []
-                for a, k, b in found:
-                    for m in TERM.finditer(text, max(0, a - CONTEXT), min(len(text), b + CONTEXT)):
-                        cut = m.start() and TERM.match(text[m.start() - 1]) or m.end() < len(text) and TERM.match(text[m.end()])
-                        inside = any(m.start() < y and x < m.end() for x, _, y in found)
-                        if not cut and not inside and m.end() - m.start() >= MIN_TERM:
-                            mine.append((len(entities), len(words), m.start(), m.end()))
-                            words.append(m.group())
-                    entities.append(entity(k, text[a:b]))
-                near.append(mine)
-            e, t = hashes(entities).view(np.int64), hashes(words).view(np.int64)
-            near = [[{"entity": int(e[i]), "term": int(t[j]), "start": a, "end": b} for i, j, a, b in mine] for mine in near]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(base, span_type), pa.array(near, near_type)],
-                                             names=["doc_id", "row_key", "base", "near"])
-    return docs.mapInArrow(each, schema)
 
+def entities(texts: list[str | None], base: list[list[tuple[int, int, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each pattern span's entity and the text it is in."""
+    return (hashes([entity(k, text[a:b]) for text, found in zip(texts, base) for a, k, b in found]),
+            np.repeat(np.arange(len(base)), [len(found) for found in base]))
 
-def term_documents(docs: DataFrame) -> DataFrame:
-    """(term, documents): in how many rows each term of the corpus occurs."""
+
+def each_once(hash_: np.ndarray, text: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes and in how many of the texts each occurs."""
+    distinct, index = np.unique(hash_, return_inverse=True)
+    return distinct, np.bincount(np.unique(index * texts + text) // max(1, texts), minlength=len(distinct)).astype(np.uint32)
+
+
+def documents(docs: DataFrame) -> SortedTable:
+    """In how many rows each term and each entity of the corpus occurs."""
     shards = shards_of(docs.sparkSession)
+    table = SortedTable(shared_folder(docs.sparkSession, "pii"), shards, {"documents": "u8"})
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shards)
         for batch in batches:
             for part in slices(batch):
-                data, offsets = utf8(part.column("text"))
-                data = LOWER[data]
-                starts, ends, first = runs(LETTER[data], offsets)
-                words = Rolling(data)(starts, ends)
-                distinct, index = np.unique(words, return_inverse=True)
-                both = np.unique(index * (len(offsets) - 1) + np.repeat(np.arange(len(offsets) - 1), np.diff(first)))
-                yield from counter.add(distinct, np.bincount(both // (len(offsets) - 1), minlength=len(distinct)).astype(np.uint32))
+                texts = part.column("text").to_pylist()
+                base = [base_spans(t or "") for t in texts]
+                terms = Terms(part.column("text"), base)
+                yield from counter.add(*each_once(terms.hash, terms.text, len(texts)))
+                yield from counter.add(*each_once(*entities(texts, base), len(texts)))
         yield from counter.flush()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = merged(batches, "u4")
-        for at in range(0, len(keys), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + (1 << 16)].view(np.int64)), pa.array(n[at:at + (1 << 16)].astype(np.int64))],
-                                             names=["term", "documents"])
-    return exchange(docs.select("text"), emit, shards).mapInArrow(count, "term long, documents long")
+        table.write(keys, {"documents": n})
+        yield pa.RecordBatch.from_pydict({"kinds": [len(keys)]})
+    exchange(docs.select("text"), emit, shards).mapInArrow(write, "kinds long").agg(F.sum("kinds")).first()
+    return table
+
+
+def candidates(docs: DataFrame, table: SortedTable, total: int) -> DataFrame:
+    """(entity, term, holders, documents, together): the pairs that share a row, summed for each task. A pair that could
+    not reach GENERALISE_AT even if the term or the entity never occurred without the other is not sent."""
+    names = ["entity", "term", "holders", "documents", "together"]
+    evidence = -DOUBT * math.log2(1 - GENERALISE_AT) * (1 - 1e-9)
+
+    def summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        e, t, holders, documents, n = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((t, e))
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(e[order]) != 0) | (np.diff(t[order]) != 0))))
+        at = order[first]
+        return e[at], t[at], holders[at], documents[at], np.add.reduceat(n[order], first)
+
+    def batches_of(columns: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(columns[0]), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at:at + (1 << 16)].astype(np.uint64).view(np.int64)) for c in columns], names=names)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for part in slices(batch):
+                texts = part.column("text").to_pylist()
+                base = [base_spans(t or "") for t in texts]
+                with_one = [k for k, found in enumerate(base) if found]
+                if not with_one:
+                    continue
+                texts, base = [texts[k] for k in with_one], [base[k] for k in with_one]
+                terms = Terms(pa.array(texts, pa.string()), base)
+                keys, index = np.unique(terms.hash, return_inverse=True)
+                counts = table.find(keys)[0]
+                cuts = np.searchsorted(terms.text, np.arange(len(texts) + 1))
+                found, text = entities(texts, base)
+                entity_keys, entity_index = np.unique(found, return_inverse=True)
+                holders, entity_cuts = table.find(entity_keys)[0], np.searchsorted(text, np.arange(len(texts) + 1))
+                for k in range(len(texts)):
+                    mine = np.unique(index[cuts[k]:cuts[k + 1]])
+                    t, n = keys[mine], counts[mine]
+                    for e in np.unique(entity_index[entity_cuts[k]:entity_cuts[k + 1]]):
+                        h = int(holders[e])
+                        if h >= total:
+                            continue
+                        may = (n <= total * (h / total) ** GENERALISE_AT * (1 + 1e-9)) & (n * math.log2(total / h) >= evidence)
+                        if some := int(may.sum()):
+                            parts.append((np.full(some, entity_keys[e]), t[may], np.full(some, h, np.uint64), n[may], np.ones(some, np.uint64)))
+                            size += some
+                            if size > PAIRS:
+                                parts = [summed(parts)]
+                                size = len(parts[0][0])
+                                if size > PAIRS // 2:
+                                    yield from batches_of(parts[0])
+                                    parts, size = [], 0
+        if parts:
+            yield from batches_of(summed(parts))
+    return docs.select("text").mapInArrow(emit, ", ".join(f"{n} long" for n in names))
 
 
 def score(total: int) -> Column:
@@ -165,33 +225,62 @@ def score(total: int) -> Column:
     return pmi / F.log2(n / e) * (1 - F.pow(F.lit(2.0), -(both * pmi + without) / DOUBT))
 
 
-def disclosing(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, score) of the pairs that are to be sanitised. rows: of find()."""
-    total = rows.count()
-    pairs = rows.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p"))
-    together = pairs.groupBy("p.entity", "p.term").agg(F.count("*").alias("together"))
-    holders = (rows.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
-               .groupBy("entity").agg(F.count("*").alias("holders")))
-    counted = together.join(holders, "entity").join(term_documents(docs), "term")
-    return (counted.where(F.col("holders") < total).select("entity", "term", score(total).alias("score"))
-            .where(F.col("score") >= GENERALISE_AT))
+def disclosing(docs: DataFrame) -> SortedTable | None:
+    """The terms that are to be sanitised: 1 for those that are generalised, 2 for those that are removed."""
+    total = docs.count()
+    if not total:
+        return None
+    pairs = (candidates(docs, documents(docs), total).groupBy("entity", "term")
+             .agg(F.max("holders").alias("holders"), F.max("documents").alias("documents"), F.sum("together").alias("together")))
+    flagged = (pairs.select("term", score(total).alias("score")).where(F.col("score") >= GENERALISE_AT)
+               .groupBy("term").agg((1 + (F.max("score") >= REMOVE_AT).cast("int")).alias("level")))
+    shards = shards_of(docs.sparkSession)
+    table = SortedTable(shared_folder(docs.sparkSession, "disclosing"), shards, {"level": "u1"})
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(shards)
+        for batch in batches:
+            yield from counter.add(batch.column("term").to_numpy().view(np.uint64), batch.column("level").to_numpy().astype(np.uint32))
+        yield from counter.flush()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, level = merged(batches, "u4")
+        table.write(keys, {"level": level})
+        yield pa.RecordBatch.from_pydict({"terms": [len(keys)]})
+    return table if exchange(flagged, emit, shards).mapInArrow(write, "terms long").agg(F.sum("terms")).first()[0] else None
+
+
+def marked(texts: pa.Array, flagged: SortedTable | None) -> tuple[list[list[tuple]], list[list[tuple]]]:
+    """The pattern spans of each text, and with them those of the flagged terms: (start, kind, end, removed) in order."""
+    base = [base_spans(t or "") for t in texts.to_pylist()]
+    spans = [[(a, k, b, False) for a, k, b in found] for found in base]
+    if flagged is not None:
+        terms = Terms(texts, base)
+        keys, index = np.unique(terms.hash, return_inverse=True)
+        level = flagged.find(keys)[0][index]
+        for at in np.flatnonzero(level).tolist():
+            spans[terms.text[at]].append((int(terms.start[at]), KINDS.index("term"), int(terms.end[at]), bool(level[at] == 2)))
+    return base, [sorted(s) for s in spans]
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id, row_key, base and spans (all, with those of disclosing terms; removed: whether a span's text goes) of
     each row, in the order of start and kind."""
     configure(docs.sparkSession)
-    rows = stored(find(docs), "pii")
-    flagged = stored(disclosing(rows, docs), "disclosing")
-    near = rows.where(F.size("near") > 0).select("doc_id", "row_key", F.explode("near").alias("n")).select("doc_id", "row_key", "n.*")
-    one = F.struct("start", F.lit(KINDS.index("term")).alias("order"), F.lit("term").alias("kind"), "end", "removed")
-    terms = (near.join(flagged, ["entity", "term"]).groupBy("doc_id", "row_key", "start", "end").agg((F.max("score") >= REMOVE_AT).alias("removed"))
-             .groupBy(F.col("doc_id").alias("d"), F.col("row_key").alias("r")).agg(F.collect_list(one).alias("terms")))
-    order = F.create_map(*(F.lit(x) for k, n in enumerate(KINDS) for x in (n, k)))
-    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("order"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("removed")))
-    joined = rows.join(terms, rows["doc_id"].eqNullSafe(terms["d"]) & (rows["row_key"] == terms["r"]), "left")
-    both = F.array_sort(F.concat(base, F.coalesce("terms", F.array().cast("array<struct<start: int, order: int, kind: string, end: int, removed: boolean>>"))))
-    return joined.select("doc_id", "row_key", "base", F.transform(both, lambda s: F.struct(*(s[n].alias(n) for n in ("kind", "start", "end", "removed")))).alias("spans"))
+    flagged = disclosing(docs)
+    docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
+    schema = f"doc_id {docs.schema[0].dataType.simpleString()}, row_key long, base {SPAN}, spans {SPAN.replace('>>', ', removed: boolean>>')}"
+    fields = [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                base, found = marked(part.column("text"), flagged)
+                base = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in s] for s in base]
+                found = [[{"kind": KINDS[k], "start": a, "end": b, "removed": r} for a, k, b, r in s] for s in found]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row_key"), pa.array(base, pa.list_(pa.struct(fields))),
+                                                  pa.array(found, pa.list_(pa.struct([*fields, ("removed", pa.bool_())])))], names=["doc_id", "row_key", "base", "spans"])
+    return docs.mapInArrow(each, schema)
 
 
 def redact(text: str, found: list[dict]) -> str:
@@ -207,16 +296,16 @@ def redact(text: str, found: list[dict]) -> str:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs with the texts redacted; rows and other columns as they are."""
-    found = spans(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias(OTHER_ID), F.col("row_key").alias(OTHER_ROW), F.col("spans").alias(FOUND)).distinct()
-    keyed = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found[OTHER_ID]) & (keyed[ROW] == found[OTHER_ROW]), "left")
-    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), FOUND)
+    configure(docs.sparkSession)
+    flagged = disclosing(docs)
     at = docs.columns.index("text")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [redact(t, s) if t and s else t for t, s in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
-    return joined.mapInArrow(each, docs.schema)
+            for part in slices(batch):
+                texts = part.column(at)
+                found = [[{"kind": KINDS[k], "start": a, "end": b, "removed": r} for a, k, b, r in s] for s in marked(texts, flagged)[1]]
+                columns = list(part.columns)
+                columns[at] = pa.array([redact(t, s) if t and s else t for t, s in zip(texts.to_pylist(), found)], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+    return docs.mapInArrow(each, docs.schema)

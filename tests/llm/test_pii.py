@@ -72,6 +72,27 @@ def test_disclosing_terms_go_and_common_ones_stay(docs):
     assert all(found[k] == [] for k in range(200))
 
 
+def test_terms_go_far_from_the_entity_and_in_other_documents(docs):
+    rng = random.Random(5)
+    common = "the house and garden were quiet this morning".split()
+    text = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    rows = [(k, text(15)) for k in range(200)]
+    rows += [(300 + k, f"é {text(5)} Zephyrine {text(300)} ann@mail.example.org {text(60)} zephyrine") for k in range(5)]
+    rows += [(400, f"{text(40)} ZEPHYRINE {text(5)}")]
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "term"] for r in pii.spans(docs(rows)).collect()}
+    for k, t in rows:
+        assert found[k] == [m.span() for m in re.finditer("zephyrine", t, re.I)]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs(rows)).collect()}
+    assert not any("zephyrine" in t.lower() for t in clean.values())
+
+
+def test_pairs_are_summed_over_full_buffers(docs, monkeypatch):
+    rows = corpus(random.Random(4))
+    want = sorted(map(tuple, pii.spans(docs(rows)).collect()))
+    monkeypatch.setattr(pii, "PAIRS", 1)
+    assert sorted(map(tuple, pii.spans(docs(rows)).collect())) == want
+
+
 def test_entities_of_one_and_two_documents_have_terms_on_the_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts = {r["doc_id"]: r["text"] or "" for r in df.collect()}
