@@ -2,10 +2,11 @@
 
 A page is read into text lines, one for each block. Pages of a host are sorted by path; a page is paired with the
 neighbour that shares more of its path with it (ties: the one before). The lines of both are aligned by their longest
-common subsequence, and shared lines, the site's template, are deleted. What a template varies from page to page is
-known by its markup: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are not
-kept even where they differ. The reverse check keeps lines inside the page's own declared article: a
-sentence that two articles of a host both quote is content, however alike the pages are.
+common subsequence, and shared lines, the site's template, are deleted, inside a declared article and outside. What a
+template varies from page to page is known by its markup: menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, styles and comments are not kept even where they differ, nor is an article within one that is closed.
+The reverse check restores sentences inside the page's own declared article: a sentence that two articles of a host both
+quote is content. A neighbour that repeats COPIED of the article's characters is a copy: the article is taken by its markup.
 
 The order of host, path, id and contents is found on these keys alone and cut into as many ranges as there are shuffle
 partitions, so a large host is many ranges. Pages are parsed once; their compressed lines go to their range, and the first
@@ -43,6 +44,9 @@ ASIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|side-?bar|"
     r"complementary|navigation|nav|navbar|menu|breadcrumbs?|pagination|pager|masthead|topbar|contentinfo|footer|site-?header|page-?header|comments?|"
     r"replies|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login|search|widget)(?:$|[\s_-])", re.I)
+# The end of a sentence, which an article may quote, and of no label or button.
+SENTENCE = re.compile(r"\w\W*[.!?…。！？][\W_]*\Z")
+COPIED = 0.9
 SMALL_BITS = 1 << 25
 
 
@@ -54,6 +58,7 @@ class Lines(HTMLParser):
         self.found: list[tuple[str, bool, bool]] = []
         self.text: list[str] = []
         self.open: list[tuple[str, bool, bool, bool]] = []      # tag, inside an article, kept, text
+        self.aside: list[int | None] = []                       # first line of each open block that is not the page's own
         self.feed(html)
         self.close()
         self._end()
@@ -80,11 +85,13 @@ class Lines(HTMLParser):
         elif tag in ("td", "th"):
             self.text.append(" ")
         inside, kept, shown = self._state()
+        aside = None
         names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         if tag in BODY and not any(t in ASIDE for t, *_ in self.open) and not ASIDE_NAMES.search(names):
-            inside, kept = True, True                           # also out of an unclosed advert
+            inside, kept = True, True                           # also out of an unclosed advert; of a closed one its end tag says so
         elif tag in ASIDE or tag == "header" and not inside or names and tag not in ("html", "body") and ASIDE_NAMES.search(names):
-            kept = False
+            kept, aside = False, len(self.found) if tag in BLOCKS else None
+        self.aside.append(aside)
         self.open.append((tag, inside, kept, shown and tag not in NEVER_TEXT))
 
     def handle_startendtag(self, tag, attrs):
@@ -97,7 +104,9 @@ class Lines(HTMLParser):
             self._end()
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                del self.open[k:]
+                if self.aside[k] is not None:
+                    self.found[self.aside[k]:] = [(text, inside, False) for text, inside, _ in self.found[self.aside[k]:]]
+                del self.open[k:], self.aside[k:]
                 break
             if self.open[k][0] in ("article", "main", "nav", "aside", "footer", "form", "table") and tag in ("p", "b", "i", "em", "strong", "a", "span"):
                 break                                           # a stray end tag does not close what holds it
@@ -188,11 +197,12 @@ def ranges(pages: DataFrame) -> tuple[list[tuple], list[tuple]]:
 
 def keep_lines(lines: list[str], marks: bytes, shared: list[int]) -> list[str]:
     """The page's own lines. marks: bit 0 inside an article, bit 1 kept by the markup; shared: lines of the template."""
-    kept = [k for k, m in enumerate(marks) if m & 2]
-    article = [k for k in kept if marks[k] & 1]
-    if article:
-        return [lines[k] for k in article]
-    own = [k for k in kept if k not in set(shared)] if shared else kept
+    kept = [k for k, m in enumerate(marks) if m & 2] or [k for k, m in enumerate(marks) if m & 1]
+    article, shared = [k for k in kept if marks[k] & 1], set(shared)
+    size = lambda which: sum(len(lines[k]) for k in which)
+    if article and size(shared.intersection(article)) >= COPIED * size(article):
+        return [lines[k] for k in article]                      # the other page is a copy and tells no template
+    own = [k for k in kept if k not in shared or marks[k] & 1 and SENTENCE.search(lines[k])]
     return [lines[k] for k in own or kept]
 
 

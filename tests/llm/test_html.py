@@ -91,6 +91,22 @@ def test_markup_that_varies_and_quotes_in_articles(spark):
     assert got(spark, rows) == {k: f"Title {k} & more\nQuoted by both.\nOwn bold text {k} next <x>\nitem {k}" for k in range(3)}
 
 
+def test_the_difference_decides_on_pages_with_an_article(spark):
+    page = """<body><main><p>Home of things</p><h1>Title {0}</h1><p>Both quote this.</p><p>Text {0} of the article, which is long.</p><div>Share this</div></main>
+    <div>Plain text {0} beside it</div><div>Read more in our archive</div><div class="related"><article>Teaser {0}</article></div></body>"""
+    rows = [(k, f"http://x/{k}", page.format(k)) for k in range(3)]
+    assert got(spark, rows) == {k: f"Title {k}\nBoth quote this.\nText {k} of the article, which is long.\nPlain text {k} beside it" for k in range(3)}
+
+
+def test_plain_text_stays_beside_a_teaser_and_copies_keep_their_article(spark):
+    plain = '<div>Menu of all</div><p>Own text {0}</p><div class="related"><article>Teaser {0}</article></div>'
+    copy = "<div>Site</div><article><h1>A title</h1><p>" + "The body of a copied page. " * 20 + "</p><p>seen {0}</p></article>"
+    rows = [(k, f"http://x/{k}", plain.format(k)) for k in range(2)] + [(k, f"http://y/a?utm={k}", copy.format(k)) for k in range(2, 4)]
+    found = got(spark, rows)
+    assert [found[k] for k in range(2)] == ["Own text 0", "Own text 1"]
+    assert all(found[k] == "A title\n" + ("The body of a copied page. " * 20).strip() + f"\nseen {k}" for k in (2, 3))
+
+
 def test_cases(spark):
     rows = [(1, None, "<p>a</p>"), (2, "http://x/1", None), (3, "http://x/2", ""), (None, "http://x/3", "<p>b"), (4, "::", "no tags &amp; &#233;"), (5, "http://x/9", "<div class=ad>x<article>kept</article>"),
             (6, "http://z/1", "<p>" + "w " * 200_000), (7, "http://z/2", "<b>" * 3000 + "deep")]
