@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, langid, lm, packing, pii, quality, simhash, suffix_dedup
+from . import ann, bpe, html_extract, langid, lm, merkle, packing, pii, quality, simhash, suffix_dedup
 from .common import id_remainder
 
 
@@ -82,6 +82,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fields = _table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"]
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))     # a null id is not tampered with
+    other = merkle.leaf([F.translate("text", capitals, capitals.lower()) if f == "text" else F.col(f) for f in fields])
+    found = merkle.manifest(docs, fields, "source", "doc_id", fan_out=16, keep=[F.when(hit, other).alias("tampered")])
+    root = merkle.hex_text(F.col("root"))
+    folded = found.select("doc_id", *[merkle.hex_text(F.col(c)).alias(c) for c in ("leaf", "subroot")], root.alias("root"),
+                          F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                          merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_bpe, op3_pii, op4_suffix_dedup, op5_html_extraction, op6_simhash, op7_ann, op8_packing, op9_quality_rules, op10_lm_scoring)}
+    op1_language_id, op2_bpe, op3_pii, op4_suffix_dedup, op5_html_extraction, op6_simhash, op7_ann, op8_packing, op9_quality_rules, op10_lm_scoring,
+    op11_merkle_manifest)}
 ORACLE_SQL: dict[str, str] = {}
