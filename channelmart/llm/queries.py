@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, html_extract, langid, lm, merkle, packing, pii, quality, simhash, suffix_dedup
+from . import sql
 from .common import id_remainder
 
 
@@ -98,4 +99,4 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_bpe, op3_pii, op4_suffix_dedup, op5_html_extraction, op6_simhash, op7_ann, op8_packing, op9_quality_rules, op10_lm_scoring,
     op11_merkle_manifest)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op11_merkle_manifest": sql.MERKLE}
