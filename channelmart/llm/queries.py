@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, langid, lm, merkle, packing, pii, quality, simhash, suffix_dedup
+from . import ann, bpe, conversations, html_extract, langid, lm, merkle, packing, pii, quality, simhash, suffix_dedup, token_counts
 from . import sql
 from .common import id_remainder
 
@@ -96,7 +96,24 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), [F.col("doc_id")])
+    return found.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def text(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    rows = _table(spark, sf_dir, "conversations")
+    damage = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    damaged = rows.select("conv_id", "turn", F.when(damage == 4, F.lit("user")).otherwise(text("role")).alias("role"),
+                          F.when(damage == 1, F.lit("")).when(damage == 2, F.translate(text("text"), ".!?", "")).otherwise(text("text")).alias("text"),
+                          (damage != 0).alias("present"), F.explode(F.sequence(F.lit(1), F.when(damage == 3, 2).otherwise(1))).alias("copy"))
+    return conversations.summary(conversations.repair(damaged, present=F.col("present")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_bpe, op3_pii, op4_suffix_dedup, op5_html_extraction, op6_simhash, op7_ann, op8_packing, op9_quality_rules, op10_lm_scoring,
-    op11_merkle_manifest)}
-ORACLE_SQL = {"op11_merkle_manifest": sql.MERKLE}
+    op11_merkle_manifest, op12_token_counts, op13_conversation_repair)}
+ORACLE_SQL = {"op11_merkle_manifest": sql.MERKLE, "op13_conversation_repair": sql.CONVERSATIONS}

@@ -58,3 +58,56 @@ found as (
 select doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), ',', '')) as proof_sha256, folded as folded_root, folded = root as verified
 from (select *, list_reduce(list_prepend(other, path), lambda d, run: sha256(split_part(run, ',', 1) || d || split_part(run, ',', 2))) as folded from found)
 """
+
+
+def _edit(price: str, letter: str, line: str, after: str) -> str:
+    """Taking an edit whose line is followed by what `after` (costs c, audit a, lines l) holds."""
+    lines = f"{after}.l" if letter == "D" else f"{line} || coalesce(chr(10) || {after}.l, '')"
+    return f"struct_pack(c := {price} + {after}.c, a := '{letter}' || {after}.a, l := {lines})"
+
+
+def _conversation_step() -> str:
+    """One row before what acc.v holds for the states: nothing yet, system, user, assistant."""
+    follows, roles = (3, 3, 4, 3), {3: "user", 4: "assistant"}
+    keeps = ({"s": 2, "u": 3}, {"u": 3}, {"a": 4}, {"u": 3})
+    stay = "case when x.f = 3 then 5 else 0 end"
+    states, filled = [], []
+    for state in range(4):
+        after = follows[state]
+        kept = " ".join(f"when x.k = '{k}' then {_edit(stay, 'K', 'x.r || chr(58) || x.t', f'acc.v[{to}]')}" for k, to in keeps[state].items())
+        stays = f"case when x.f not in (1, 2) then {{}} end"  # noqa: F541
+        moved = _edit(f"1 + {stay}", "R", f"'{roles[after]}:' || x.t", f"acc.v[{after}]")
+        states.append(f"list_min([{_edit('2', 'D', '', f'acc.v[{state + 1}]')}, {stays.format(f'case {kept} end')}, {stays.format(moved)}])")
+        one = _edit("5", "I", f"'{roles[after]}:'", f"w[{after}]")
+        again = follows[after - 1]
+        two = _edit("5", "I", f"'{roles[after]}:'", f"({_edit('5', 'I', chr(39) + roles[again] + ':' + chr(39), f'w[{again}]')})")
+        filled.append(f"list_min([w[{state + 1}], {one}, {two}])")
+    return f"struct_pack(k := x.k, f := x.f, r := x.r, t := x.t, v := list_transform([[{', '.join(states)}]], lambda w: [{', '.join(filled)}])[1])"
+
+
+_FIRST = ("struct_pack(k := '', f := 0, r := '', t := '', v := [struct_pack(c := 0, a := '', l := null::varchar), "
+          "struct_pack(c := 10, a := 'II', l := 'user:' || chr(10) || 'assistant:'), struct_pack(c := 5, a := 'I', l := 'assistant:'), struct_pack(c := 0, a := '', l := null::varchar)])")
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_KEY = "coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')"
+
+CONVERSATIONS = f"""
+with hit as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_crc32(_KEY)} % 20 as damage from conversations),
+damaged as (
+  select conv_id, turn, case when damage = 4 then 'user' else role end as role,
+    case damage when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from (select *, unnest(range(case when damage = 3 then 2 else 1 end)) from hit) where damage <> 0),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, encode(role), encode(text)) as place from damaged),
+told as (
+  select *, left(role, 1) as k, rtrim(text, {_WHITE}) as ended, row_number() over (partition by conv_id, role, text order by place) > 1 as seen from placed),
+faulty as (select *, case when ended = '' then 1 when seen then 2 when right(ended, 1) not in ('.', '!', '?') then 3 else 0 end as f from told),
+pairs as (select *, lag(k) over (partition by conv_id order by place) as k0 from faulty),
+folded as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (f = 1) as blank, count(*) filter (f = 2) as duplicate,
+    count(*) filter (f = 3) as truncated, count(*) filter (k0 is not null and k0 || k not in ('su', 'ua', 'au')) as illegal,
+    list_reduce(list(struct_pack(k := k, f := f, r := role, t := text, v := null::struct(c integer, a varchar, l varchar)[]) order by place desc),
+      lambda acc, x: {_conversation_step()}, {_FIRST}).v[1] as best
+  from pairs group by conv_id)
+select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(best.c, 0)::bigint as cost, coalesce(best.a, '') as audit, sha256(coalesce(best.l, '')) as repaired_sha256
+from (select distinct conv_id from conversations) i left join folded d on i.conv_id is not distinct from d.conv_id
+"""
