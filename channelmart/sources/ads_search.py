@@ -3,7 +3,8 @@ JSON pages: ``<root>/<level>/property_name=<name>/page-*.json``, each
 ``{"results": [{segments: {date}, campaign: {name}, adGroup: {name},
 metrics: {costMicros, clicks, impressions, conversions, conversionsValue}}],
 "nextPageToken": ..}``. All pages are read at once (U2), ordered by page
-number; any object or leaf may be absent; a malformed page fails."""
+number; any object or leaf may be absent; a malformed page fails, and so does
+a landing whose chain of tokens is not whole."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from channelmart.functions.exprs import NAME_DEFAULT, metric_or_zero, micros_to_money, to_money
+from channelmart.sources.chains import require_chains, search_chain
 from channelmart.sources.pages import other_columns, position, read_pages
 
 
@@ -55,5 +57,11 @@ def parse_ads_search(pages: DataFrame, level: str) -> DataFrame:
     return rows.select(*cols)
 
 
-def read_ads_search(spark: SparkSession, path: str, level: str) -> DataFrame:
-    return parse_ads_search(read_pages(spark, path), level)
+def read_ads_search(spark: SparkSession, path: str, level: str, check: bool = True, first: int | None = None) -> DataFrame:
+    """The rows of a whole landing: a page that is missing or doubled fails
+    (``check``), and with ``first``, the number of each first page, one behind
+    the last, too."""
+    pages = read_pages(spark, path)
+    if check:
+        require_chains(search_chain(pages), f"ads search pages below {path}", first, strict=first is not None)
+    return parse_ads_search(pages, level)

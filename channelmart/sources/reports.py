@@ -4,7 +4,8 @@ Layout: ``<root>/property_name=<name>/*.json``, each file one response
 ``{"rows": [{"dimensionValues": [{"value": ..}], "metricValues": [..]}]}``.
 Values are positional strings; ``rows`` may be missing (empty report). The
 reader keeps the report order as ``pos`` (page number, row index), which the
-last-row-wins and first-appearance rules need. A malformed page fails.
+last-row-wins and first-appearance rules need. A malformed page fails, and so
+does a report that does not hold the rows it declares (``rowCount``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from channelmart.functions.exprs import metric_or_zero
+from channelmart.sources.chains import require_reports
 from channelmart.sources.pages import other_columns, position, read_pages
 
 _VALUES = ArrayType(StructType([StructField("value", StringType(), True)]))
@@ -52,8 +54,13 @@ def parse_report(pages: DataFrame, dims: Sequence[str], metrics: Sequence[tuple[
 
 
 def read_report(spark: SparkSession, path: str, dims: Sequence[str],
-                metrics: Sequence[tuple[str, str]]) -> DataFrame:
-    return parse_report(read_pages(spark, path), dims, metrics)
+                metrics: Sequence[tuple[str, str]], check: bool = True) -> DataFrame:
+    """The rows of whole reports: one cut at the request's limit, or with
+    another number of rows than it declares, fails (``check``)."""
+    pages = read_pages(spark, path)
+    if check:
+        require_reports(pages, f"reports below {path}")
+    return parse_report(pages, dims, metrics)
 
 
 def read_named_report(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -10,11 +10,12 @@ the rule that picks one asks whether the object is empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from channelmart.functions.exprs import MONEY
+from channelmart.sources.chains import RESERVATION_LIMIT, list_chain, require_chains
 from channelmart.sources.pages import other_columns, position, read_pages
 
 _S = StringType()
@@ -35,27 +36,43 @@ RESERVATION_FIELDS = StructType(
 RATE_FIELDS = _obj("reservationId", "totalRateAmount", "stayDate")
 
 
+def _outer(value: str) -> Column:
+    return F.substring(F.regexp_replace(value, r"^\s+", ""), 1, 1)
+
+
+def _elements(outer: Column, v: Column) -> Column:
+    lists = [F.try_variant_get(v, f"$.{k}", "array<variant>") for k in ("items", "results", "data")]
+    return F.when(outer == "[", F.try_variant_get(v, "$", "array<variant>")).when(outer == "{", F.coalesce(*lists, F.array(v)))
+
+
+def elements(value: str) -> Column:
+    """The elements of a page as variants: the outer value decides (a list
+    stands for its elements, an object for the first of its lists named items,
+    results or data, else for itself)."""
+    return _elements(_outer(value), F.parse_json(value))
+
+
 def parse_envelope(pages: DataFrame, fields: StructType) -> DataFrame:
-    """One row per object whatever the page shape: the outer value decides
-    (a list stands for its elements, an object for the first of its lists
-    named items, results or data, else for itself), then objects are kept.
-    ``pos`` is (page number, place in the list)."""
+    """One row per object whatever the page shape: the objects among the
+    page's ``elements``. ``pos`` is (page number, place in the list)."""
     keep = other_columns(pages)
-    outer = F.substring(F.regexp_replace("value", r"^\s+", ""), 1, 1)
-    page = F.parse_json("value")
-    lists = [F.try_variant_get("v", f"$.{k}", "array<variant>") for k in ("items", "results", "data")]
-    elements = (F.when(F.col("outer") == "[", F.try_variant_get("v", "$", "array<variant>"))
-                .when(F.col("outer") == "{", F.coalesce(*lists, F.array("v"))))
-    rows = (pages.select(*keep, "page", outer.alias("outer"), page.alias("v"))
-            .select(*keep, "page", F.posexplode(elements).alias("_idx", "e"))
+    rows = (pages.select(*keep, "page", _outer("value").alias("outer"), F.parse_json("value").alias("v"))
+            .select(*keep, "page", F.posexplode(_elements(F.col("outer"), F.col("v"))).alias("_idx", "e"))
             .select(*keep, "page", "_idx", F.to_json("e").alias("text"))
             .where(F.col("text").startswith("{")))
     return (rows.select(*keep, F.from_json("text", fields).alias("r"), position())
             .select(*keep, "r.*", "pos"))
 
 
-def read_reservations(spark: SparkSession, path: str) -> DataFrame:
-    return parse_envelope(read_pages(spark, path), RESERVATION_FIELDS)
+def read_reservations(spark: SparkSession, path: str, check: bool = True, first: int | None = None,
+                      limit: int = RESERVATION_LIMIT) -> DataFrame:
+    """The objects of a whole landing: pages follow each other while they hold
+    ``limit`` elements; one that is missing or doubled fails (``check``), and
+    with ``first``, the number of each first page, one behind the last, too."""
+    pages = read_pages(spark, path)
+    if check:
+        require_chains(list_chain(pages, limit), f"reservation pages below {path}", first, strict=first is not None)
+    return parse_envelope(pages, RESERVATION_FIELDS)
 
 
 def parse_daily_rates(pages: DataFrame) -> DataFrame:
