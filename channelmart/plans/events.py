@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from channelmart.functions.dates import table_suffix
 from channelmart.sinks.writers import write_partitions
@@ -23,6 +24,11 @@ def tag_events(df: DataFrame, property_id: str, property_name: str) -> DataFrame
 
 
 def _explode_params(tagged: DataFrame) -> DataFrame:
+    if isinstance(tagged.schema["event_params"].dataType, ArrayType):
+        # As exported: an array of {key, value}, where a key may come again.
+        rows = F.transform("event_params", lambda p, i: F.struct(
+            i.alias("param_pos"), p["key"].alias("key"), *[p["value"][f].alias(f) for f in VALUE_FIELDS]))
+        return tagged.select("*", F.inline(rows))
     exploded = tagged.select("*", F.explode("event_params").alias("param_key", "param_value"))
     return (exploded
             .select(*tagged.columns, F.col("param_key").alias("key"),
@@ -30,9 +36,12 @@ def _explode_params(tagged: DataFrame) -> DataFrame:
 
 
 def flatten_events(df: DataFrame, property_id: str, property_name: str) -> DataFrame:
-    """N1 + P3 + P4: every source column (the map included), the tags, the
-    parameter key and its four typed values. ``explode`` (not ``_outer``):
-    events with a null or empty map produce no rows. Narrow: no shuffle."""
+    """N1 + P3 + P4: every source column (the parameters included), the tags,
+    the parameter key and its four typed values. The parameters are a map, or
+    an array of ``{key, value}``; an array's rows carry ``param_pos``, their
+    place in it, and keep repeated keys. ``explode`` and ``inline`` (not
+    ``_outer``): events without parameters produce no rows. Narrow: no
+    shuffle."""
     return _explode_params(tag_events(df, property_id, property_name))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from channelmart.functions.dates import resolve_range
 from channelmart.functions.exprs import compact_to_iso
 from channelmart.operators.summary import day_summary
-from channelmart.session import stage
+from channelmart.session import kept, stage, staged_run
 from channelmart.sinks.writers import write_partitions
 
 # The output columns, in order.
@@ -39,6 +39,7 @@ def run_item_revenue(report: DataFrame, properties: DataFrame, path: str, as_of:
     every partition intact) and return the summary of exactly these rows."""
     start, end = resolve_range(start, end, as_of)
     rows = item_revenue(report, properties).where(F.col("data_date").between(F.lit(start), F.lit(end)))
-    df = stage(rows, "item-revenue")
-    write_partitions(df, path, ["data_date"])
-    return day_summary(df, {"item_revenue": "item_revenue"}, exact_places=12)
+    with staged_run(report.sparkSession, "item-revenue-run"):
+        df = stage(rows, "item-revenue")
+        write_partitions(df, path, ["data_date"])
+        return kept(day_summary(df, {"item_revenue": "item_revenue"}, exact_places=12))

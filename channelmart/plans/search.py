@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from channelmart.functions.dates import last_n_days
 from channelmart.operators.summary import snapshot_counts
-from channelmart.session import stage
+from channelmart.session import kept, stage, staged_run
 from channelmart.sinks.writers import write_partitions
 from channelmart.sources.tables import read_search_days
 
@@ -69,7 +69,8 @@ def run_search_snapshot(tables: dict[str, DataFrame], log_name: str, projects: D
                         as_of: str, n_days: int = 7) -> DataFrame:
     """C8 + K4 + A9 for the ``n_days`` before ``as_of`` (D4): the rows written
     per property, table and day."""
-    snaps = {name: stage(df, f"search-{name}") for name, df in search_snapshot(tables, log_name, projects, as_of, n_days).items()}
-    write_snapshots(snaps, root)
-    tagged = [df.select("property_name", F.lit(name).alias("table_name"), "date") for name, df in snaps.items()]
-    return snapshot_counts(reduce(DataFrame.unionByName, tagged), ["property_name", "table_name", "date"])
+    with staged_run(projects.sparkSession, "search-run"):
+        snaps = {name: stage(df, f"search-{name}") for name, df in search_snapshot(tables, log_name, projects, as_of, n_days).items()}
+        write_snapshots(snaps, root)
+        tagged = [df.select("property_name", F.lit(name).alias("table_name"), "date") for name, df in snaps.items()]
+        return kept(snapshot_counts(reduce(DataFrame.unionByName, tagged), ["property_name", "table_name", "date"]))

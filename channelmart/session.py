@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,12 +79,64 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A name of its own for staged files: below the folder of the current
+    run, or else below the shared checkpoint folder."""
+    root = _run_folder.get() or ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staged_run(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """What is staged inside goes below one folder, which is deleted at the
+    end, also if the run fails. Frames over staged files end with it; a run
+    that is lost with its driver leaves one folder of a telling name."""
+    folder = new_folder(spark, label)
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        delete_folder(spark, folder)
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    """A run's summary (a row for each day and, at most, property and table)
+    as a frame of its own, so that the staged files it came from can go."""
+    return rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write the frame once as Parquet below the shared
     checkpoint folder and go on from its files. Later plans are short, read
     only the columns they need, push filters to the scan, and a lost executor
     never replays the upstream plan."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    """Staged as ``stage`` does, dealt and sorted by ``keys`` into as many
+    buckets as there are shuffle partitions, one file each. Frames staged by
+    the same keys join on them, and aggregate by them, without an exchange.
+    Only for keys that no value of which holds many rows: a bucketed scan is
+    not split by AQE."""
+    spark = df.sparkSession
+    path, table = new_folder(spark, label), f"staged_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+       .option("path", path).saveAsTable(table))
+    staged = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")          # its entry alone: the files are the run's
+    return staged

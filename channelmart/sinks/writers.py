@@ -28,7 +28,19 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
        .parquet(path))
 
 
-def read_partitions(spark, path: str) -> DataFrame:
-    """Read back a day-partitioned folder keeping partition values as text."""
+def read_partitions(spark, path: str, schema=None, merge: bool = False) -> DataFrame:
+    """Read back a day-partitioned folder keeping partition values as text.
+
+    Days written at different times may differ in columns. With ``schema`` (the
+    columns wanted, partition columns included) a column that a day does not
+    have is null in it, and no file is opened to find out; with ``merge`` the
+    columns of all files are united, for which Spark reads every footer. With
+    neither, some file's columns count."""
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", merge)
+    return reader.parquet(path)
+
+
+def save_daily_table(df: DataFrame, table: str, suffix: str, path: str) -> None:
+    """One day as the catalog table ``<table>_<suffix>`` over files in ``path``."""
+    df.write.mode("overwrite").option("path", f"{path.rstrip('/')}/{suffix}").saveAsTable(f"{table.strip()}_{suffix}")

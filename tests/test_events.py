@@ -97,3 +97,28 @@ def test_two_sessions_share_the_progress(spark, scratch):
     import pytest
     with pytest.raises(TypeError):
         flatten_new_events(spark, src, ev.schema, out, "1", "p")
+
+
+def test_parameters_as_an_array_keep_repeated_keys(spark):
+    from channelmart.plans.events import flatten_events
+    value = "struct<string_value:string,int_value:bigint,float_value:double,double_value:double>"
+    rows = [(1, [("k", (None, 1, None, None)), ("s", ("x", None, None, None)), ("k", (None, 2, None, None))]), (2, []), (3, None), (4, [("d", (None, None, None, 0.5))])]
+    df = spark.createDataFrame([("e", r, "20240101", "u", p) for r, p in rows],
+                               f"event_name string, event_timestamp bigint, event_date string, user_pseudo_id string, event_params array<struct<key:string,value:{value}>>")
+    got = sorted((r.event_timestamp, r.param_pos, r.key, r.string_value, r.int_value, r.double_value) for r in flatten_events(df, "1", "p").collect())
+    assert got == [(1, 0, "k", None, 1, None), (1, 1, "s", "x", None, None), (1, 2, "k", None, 2, None), (4, 0, "d", None, None, 0.5)]
+
+
+def test_the_written_events_are_read_by_partition(spark, scratch):
+    """The library's own table by (property, day) gives a day by its folder."""
+    import os
+    from channelmart.plans.events import write_events
+    from channelmart.sources import standins as si
+    from channelmart.sources.tables import read_events_day
+    path = os.path.join(scratch, "events")
+    source = si.events(spark, "/root/testdata/sf0.001").withColumn("property_id", F.lit("7"))
+    write_events(source, path)
+    day = read_events_day(spark, path, "20240129")
+    assert day.count() == source.where("event_date = '20240129'").count() > 0
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0] and "20240129" in plan

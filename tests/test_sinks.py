@@ -86,3 +86,47 @@ def test_cluster_session_needs_a_shared_checkpoint_folder():
         ensure_checkpoint_dir(Session(Context("yarn", None)))
     assert ensure_checkpoint_dir(Session(Context("yarn", "hdfs://shared/ckpt"))) == "hdfs://shared/ckpt"
     assert ensure_checkpoint_dir(Session(Context("local[8]", None))).startswith("/tmp/")
+
+
+def test_days_with_other_columns_are_read_together(spark, scratch):
+    path = os.path.join(scratch, "wide")
+    write_partitions(spark.createDataFrame([("2024-01-01", 1)], "data_date string, v int"), path, ["data_date"])
+    write_partitions(spark.createDataFrame([("2024-01-02", 2, "x")], "data_date string, v int, w string"), path, ["data_date"])
+    wanted = [("2024-01-01", 1, None), ("2024-01-02", 2, "x")]
+    for df in (read_partitions(spark, path, merge=True), read_partitions(spark, path, "v int, w string, data_date string")):
+        assert sorted((r.data_date, r.v, r.w) for r in df.collect()) == wanted
+
+
+def test_a_run_deletes_what_it_staged(spark, scratch):
+    """The run functions leave no staged files, also when they fail."""
+    from channelmart.plans.item_revenue import run_item_revenue
+    from channelmart.session import ensure_checkpoint_dir, stage, staged_run
+    from channelmart.sources import standins as si
+    shared = ensure_checkpoint_dir(spark).removeprefix("file:")
+    report = si.item_revenue_report(spark, "/root/testdata/sf0.001")
+    before = set(os.listdir(shared))
+    summary = run_item_revenue(report, si.ads_properties(spark), os.path.join(scratch, "out"), "1998-03-11")
+    assert set(os.listdir(shared)) == before and summary.count() > 0
+    try:
+        with staged_run(spark) as folder:
+            assert stage(spark.range(3), "x").count() == 3
+            assert os.listdir(folder.removeprefix("file:"))
+            raise RuntimeError("stop")
+    except RuntimeError:
+        pass
+    assert set(os.listdir(shared)) == before
+    kept = stage(spark.range(3), "kept")
+    assert kept.count() == 3 and len(set(os.listdir(shared)) - before) == 1
+
+
+def test_bucketed_frames_join_without_an_exchange(spark):
+    from channelmart.session import stage_bucketed
+    a = stage_bucketed(spark.range(100).selectExpr("id % 10 as k", "id as j", "id as v"), "a", ["k", "j"])
+    b = stage_bucketed(spark.range(100).selectExpr("id % 10 as k", "id as j", "-id as w"), "b", ["k", "j"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.join(b, ["k", "j"])
+        assert joined.count() == 100
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
