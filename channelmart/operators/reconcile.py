@@ -20,7 +20,7 @@ from pyspark.sql.types import DecimalType
 
 from channelmart.functions.exprs import (CAMPAIGN_LEVEL, clamp0, is_named_campaign,
                                          is_real_ad_group, rint_places)
-from channelmart.session import stage
+from channelmart.session import stage, stage_bucketed
 from channelmart.operators.overlay import (ADGROUP_DAY_KEYS, ALL_METRICS, AN_METRICS,
                                            CAMPAIGN_DAY_KEYS, TARGET_KEYS)
 
@@ -67,13 +67,19 @@ def campaign_level_rows(active: DataFrame, T: DataFrame) -> DataFrame:
                     F.col("sessions").alias("sessions_ga4")))
 
 
-def daily_gap(active: DataFrame, T: DataFrame, adgroup_day: DataFrame) -> DataFrame:
+def day_totals(adgroup_day: DataFrame) -> DataFrame:
+    """A3: what a day's ad-group rows (all of them, '(not set)' included) add
+    up to per campaign, channel and medium."""
+    return adgroup_day.groupBy(*CAMPAIGN_DAY_KEYS).agg(*[F.sum(m).alias(f"tot_{m}") for m in AN_METRICS])
+
+
+def daily_gap(active: DataFrame, T: DataFrame, adgroup_day: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """J8 + A3 + P25: per targeted campaign-day row, the part of revenue,
-    conversions and sessions not visible in that day's ad-group rows (all of
-    them, '(not set)' included)."""
+    conversions and sessions not visible in that day's ad-group rows.
+    ``totals``: ``day_totals`` of the same rows, when the caller has them."""
     targeted = active.join(T.select(*CAMPAIGN).distinct(), CAMPAIGN, "left_semi")
-    totals = (adgroup_day.groupBy(*CAMPAIGN_DAY_KEYS)
-              .agg(*[F.sum(m).alias(f"tot_{m}") for m in AN_METRICS]))
+    if totals is None:
+        totals = day_totals(adgroup_day)
     g = targeted.join(totals, CAMPAIGN_DAY_KEYS, "left")
     return g.select(*CAMPAIGN_DAY_KEYS,
                     *[clamp0(F.col(m) - F.coalesce(F.col(f"tot_{m}"), F.lit(0))).alias(f"diff_{m}")
@@ -120,19 +126,25 @@ def session_carry(fanned: DataFrame) -> DataFrame:
     One ordered fold per (property, campaign, channel, medium, ad group), in
     the JVM (``aggregate``); a group holds one row per active day of the run.
     The rows are exchanged on that whole key: a plain ``groupBy`` would reuse
-    a partitioning by campaign and fold a hot campaign in one task. The fold
-    copies its result at every step, so it is quadratic in the days of the
-    run's range (not in the data). Days with no session gap are left out:
-    there exact = 0*share + carry = carry, |carry| <= 0.5 rounds (half-even)
-    to 0, so the allocation is 0 and the carry is unchanged -- an exact no-op.
-    Callers treat a missing day as 0."""
+    a partitioning by campaign and fold a hot campaign in one task. Appending
+    to a result copies it, so the days are folded in blocks of about their
+    square root and the blocks' results are appended: of n days no array
+    longer than sqrt(n) is copied at a step. Days with no session gap are left
+    out: there exact = 0*share + carry = carry, |carry| <= 0.5 rounds
+    (half-even) to 0, so the allocation is 0 and the carry is unchanged -- an
+    exact no-op. Callers treat a missing day as 0."""
     rows = fanned.where((F.col("n") >= 2) & ~F.col("last_sessions") & (F.col("diff_sessions") > 0))
     day = F.struct(F.col("data_date").alias("d"), F.col("diff_sessions").cast("double").alias("x"))
     seq = (rows.select(*TARGET_KEYS, "data_date", "diff_sessions", "share_sessions").repartition(*TARGET_KEYS)
            .groupBy(*TARGET_KEYS)
            .agg(F.array_sort(F.collect_list(day)).alias("days"), F.first("share_sessions").alias("share")))
-    init = F.struct(F.lit(0.0).alias("carry"),
-                    F.array().cast("array<struct<data_date:string,alloc_sessions:bigint>>").alias("out"))
+    seq = seq.withColumn("size", F.ceil(F.sqrt(F.size("days"))).cast("int"))
+    starts = F.sequence(F.lit(1), F.size("days"), F.col("size"))
+    seq = seq.withColumn("blocks", F.transform(starts, lambda at: F.slice("days", at, F.col("size"))))
+    alloc_type = "array<struct<data_date:string,alloc_sessions:bigint>>"
+
+    def state(carry: Column, out_type: str) -> Column:
+        return F.struct(carry.alias("carry"), F.array().cast(out_type).alias("out"))
 
     def step(acc, e):
         exact = e["x"] * F.col("share") + acc["carry"]
@@ -141,18 +153,31 @@ def session_carry(fanned: DataFrame) -> DataFrame:
                         F.array_append(acc["out"], F.struct(e["d"].alias("data_date"),
                                                             alloc.cast("bigint").alias("alloc_sessions"))).alias("out"))
 
-    folded = seq.select(*TARGET_KEYS, F.aggregate("days", init, step)["out"].alias("out"))
+    def block(acc, days):
+        done = F.aggregate(days, state(acc["carry"], alloc_type), step)
+        # bound to a name by transform, so that a block is folded once
+        return F.transform(F.array(done), lambda x: F.struct(x["carry"].alias("carry"), F.array_append(acc["out"], x["out"]).alias("out")))[0]
+
+    folded = seq.select(*TARGET_KEYS, F.flatten(F.aggregate("blocks", state(F.lit(0.0), f"array<{alloc_type}>"), block)["out"]).alias("out"))
     # inline would make Spark test the size of the fold first and run it twice
     return folded.select(*TARGET_KEYS, F.inline_outer("out")).where(F.col("data_date").isNotNull())
 
 
-def _residuals(gap: DataFrame, shares: DataFrame, given: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
-    """For each campaign-day the rows of its residual takers, with what
-    the other ad groups (``given``) have left of the gap. Only takers are
-    joined to the sums, at most one ad group a metric."""
-    takers = (shares.where((F.col("n") >= 2) & reduce(or_, [F.col(f"last_{m}") for m in metrics]))
-              .select(*TARGET_KEYS, *[f"last_{m}" for m in metrics]))
-    left = gap.join(given, CAMPAIGN_DAY_KEYS, "left").join(takers, GROUP)
+def staged_fan_out(gap: DataFrame, shares: DataFrame) -> DataFrame:
+    """J9 once for all that read it, bucketed by the rows' own key: the joins
+    below on ADGROUP_DAY_KEYS need no exchange of it. The fan-out's join on
+    the campaign group stays a shuffle join that AQE splits, as a campaign may
+    hold most rows."""
+    columns = [f"{c}_{m}" for m in AN_METRICS for c in ("diff", "share", "last")]
+    return stage_bucketed(fan_out(gap, shares).select(*ADGROUP_DAY_KEYS, "n", *columns), "fan-out", ADGROUP_DAY_KEYS)
+
+
+def _residuals(fanned: DataFrame, given: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
+    """The rows of each campaign-day's residual takers (at most one ad
+    group a metric), with what the other ad groups (``given``) have left."""
+    takers = (fanned.where((F.col("n") >= 2) & reduce(or_, [F.col(f"last_{m}") for m in metrics]))
+              .select(*ADGROUP_DAY_KEYS, *[f"{c}_{m}" for m in metrics for c in ("last", "diff")]))
+    left = takers.join(given, CAMPAIGN_DAY_KEYS, "left")
     return left.select(*ADGROUP_DAY_KEYS, *[
         F.when(F.col(f"last_{m}"), F.col(f"diff_{m}") - F.coalesce(F.col(f"given_{m}"), F.lit(0))).alias(f"res_{m}")
         for m in metrics])
@@ -163,40 +188,62 @@ def _part(m: str) -> Column:
     return rint_places(F.col(f"diff_{m}").cast("double") * F.col(f"share_{m}"), 6).cast(ALLOC)
 
 
+def _money_rest(f: DataFrame) -> DataFrame:
+    """W6 + P26: the residual takers' rest of revenue and conversions."""
+    given = (f.where(F.col("n") >= 2).groupBy(*CAMPAIGN_DAY_KEYS)
+             .agg(*[F.sum(F.when(~F.col(f"last_{m}"), _part(m))).alias(f"given_{m}") for m in SHARED]))
+    return _residuals(f, given, SHARED)
+
+
+def _money() -> list[Column]:
+    return [F.coalesce(F.when(F.col("n") == 1, F.col(f"diff_{m}")).when(~F.col(f"last_{m}"), _part(m)), F.col(f"res_{m}")).alias(f"dist_{m}") for m in SHARED]
+
+
+def _session_parts(f: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """W4 + W6: the folded sessions, staged by their key as they are read
+    twice, and the residual takers' rest."""
+    carry = stage_bucketed(session_carry(f).select(*ADGROUP_DAY_KEYS, "alloc_sessions"), "carry", ADGROUP_DAY_KEYS)
+    given = carry.groupBy(*CAMPAIGN_DAY_KEYS).agg(F.sum("alloc_sessions").alias("given_sessions"))
+    return carry, _residuals(f, given, ("sessions",))
+
+
+def _attach(f: DataFrame, *parts: DataFrame) -> DataFrame:
+    return reduce(lambda j, part: j.join(part, ADGROUP_DAY_KEYS, "left"), parts, f)
+
+
+def _sessions() -> Column:
+    own = F.when(F.col("n") == 1, F.col("diff_sessions"))
+    return F.coalesce(own, F.col("alloc_sessions"), F.col("res_sessions"), F.lit(0).cast("bigint")).alias("dist_sessions")
+
+
 def distribute_money(gap: DataFrame, shares: DataFrame) -> DataFrame:
     """J9 + W6 + P26: the distributed revenue and conversions of every
     fanned-out row. n = 1 takes the whole gap unrounded; otherwise non-residual
     groups get rint(diff*share*1e6)/1e6 and the residual taker gets diff minus
     the others (may be negative)."""
-    f = fan_out(gap, shares)
-    given = (f.where(F.col("n") >= 2).groupBy(*CAMPAIGN_DAY_KEYS)
-             .agg(*[F.sum(F.when(~F.col(f"last_{m}"), _part(m))).alias(f"given_{m}") for m in SHARED]))
-    rest = _residuals(gap, shares, given, SHARED)
-    own = [(F.when(F.col("n") == 1, F.col(f"diff_{m}")).when(~F.col(f"last_{m}"), _part(m))).alias(f"own_{m}") for m in SHARED]
-    j = f.select(*ADGROUP_DAY_KEYS, *own).join(rest, ADGROUP_DAY_KEYS, "left")
-    return j.select(*ADGROUP_DAY_KEYS, *[F.coalesce(F.col(f"own_{m}"), F.col(f"res_{m}")).alias(f"dist_{m}") for m in SHARED])
+    f = staged_fan_out(gap, shares)
+    return _attach(f, _money_rest(f)).select(*ADGROUP_DAY_KEYS, *_money())
 
 
 def distribute_sessions(gap: DataFrame, shares: DataFrame) -> DataFrame:
     """J9 + W4 + W6: the distributed sessions of every fanned-out row."""
-    f = fan_out(gap, shares)
-    carry = session_carry(f)
-    given = carry.groupBy(*CAMPAIGN_DAY_KEYS).agg(F.sum("alloc_sessions").alias("given_sessions"))
-    rest = _residuals(gap, shares, given, ("sessions",)).select(*ADGROUP_DAY_KEYS, F.col("res_sessions").alias("alloc_sessions"))
-    alloc = carry.select(*ADGROUP_DAY_KEYS, "alloc_sessions").unionByName(rest)
-    j = (f.select(*ADGROUP_DAY_KEYS, F.when(F.col("n") == 1, F.col("diff_sessions")).alias("own_sessions"))
-         .join(alloc, ADGROUP_DAY_KEYS, "left"))
-    return j.select(*ADGROUP_DAY_KEYS, F.coalesce("own_sessions", "alloc_sessions", F.lit(0).cast("bigint")).alias("dist_sessions"))
+    f = staged_fan_out(gap, shares)
+    return _attach(f, *_session_parts(f)).select(*ADGROUP_DAY_KEYS, _sessions())
 
 
 def distribute(gap: DataFrame, shares: DataFrame, observed: DataFrame | None = None) -> DataFrame:
     """Money and sessions of every fanned-out row; ``observed`` (J10), when
-    given, is joined on the same six keys, so all joins share one partitioning."""
-    j = distribute_money(gap, shares).join(distribute_sessions(gap, shares), ADGROUP_DAY_KEYS)
+    given, is joined on the same six keys. The fanned-out rows, the folded
+    sessions and a staged ``observed`` are bucketed by these, so only the
+    residual takers' rows are exchanged."""
+    f = staged_fan_out(gap, shares)
+    j = _attach(f, _money_rest(f), *_session_parts(f))
+    seen = []
     if observed is not None:
+        seen = [f"obs_{m}" for m in AN_METRICS]
         j = j.join(observed.select(*ADGROUP_DAY_KEYS, *[F.col(m).alias(f"obs_{m}") for m in AN_METRICS]),
                    ADGROUP_DAY_KEYS, "left")
-    return j
+    return j.select(*ADGROUP_DAY_KEYS, *_money(), _sessions(), *seen)
 
 
 def period_shares(targets: DataFrame, adgroup_day: DataFrame) -> DataFrame:
@@ -209,19 +256,20 @@ def period_shares(targets: DataFrame, adgroup_day: DataFrame) -> DataFrame:
 
 
 def reconcile_daily(targets: DataFrame, campaign_day: DataFrame, adgroup_day: DataFrame,
-                    shares: DataFrame | None = None) -> DataFrame:
+                    shares: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
     """Reconciled analytics rows per (property, day, campaign, ad group,
     channel, medium): campaign-level rows for campaigns with no target ad
     group, else observed (or 0) + distributed gap for every target ad group
-    of the row's channel/medium (J10). ``shares``: ``period_shares`` of the
-    same inputs, when the caller already built them."""
+    of the row's channel/medium (J10). ``shares`` and ``totals``:
+    ``period_shares`` and ``day_totals`` of the same inputs, when the caller
+    already built them."""
     if shares is None:
         shares = period_shares(targets, adgroup_day)
     # The shares hold exactly the rows of T, so they also name T's campaigns
-    # for the semi/anti joins below. The gap rows are read five times.
+    # for the semi/anti joins below.
     T = shares
     active = active_campaign_days(campaign_day)
-    gap = stage(daily_gap(active, T, adgroup_day), "daily-gap")
+    gap = daily_gap(active, T, adgroup_day, totals)
     j = distribute(gap, shares, observed=adgroup_day)
     detailed = j.select(
         *ADGROUP_DAY_KEYS,

@@ -314,5 +314,5 @@ def queries() -> dict[str, str]:
     q["ads_daily_summary"] = w + f"""SELECT data_date, COUNT(*) AS row_count, COUNT(DISTINCT data_date) AS days,
   {_r(f'SUM(CAST({round_out("cost")} AS DECIMAL(38,6)))', 'cost')}, {_r(f'SUM(CAST({round_out("clicks")} AS DECIMAL(38,6)))', 'clicks')}
   FROM final GROUP BY ROLLUP (data_date)"""
-    q["ads_metrics_range"] = q["ads_metrics"].replace(w, f"WITH {ads_ctes(*ADS_RANGE)}\n", 1)
+    q["ads_metrics_range"] = q["ads_metrics_stored_days"] = q["ads_metrics"].replace(w, f"WITH {ads_ctes(*ADS_RANGE)}\n", 1)
     return q

@@ -164,12 +164,60 @@ r_rates AS (
 )
 """
 
+SEARCH_TABLES = "(VALUES ('searchdata_site_impression'), ('searchdata_url_impression')) t(table_name)"
 LINE_ORDER = "l_orderkey, l_linenumber, l_shipdate, l_extendedprice"
 RES_COLS = ("res_no, rms_conf_no, date_made_utc, arrive, depart, reservation_agent, surname, given, accommodation, "
             "date_paid, property_id, property_name, location, status, booking_source_name, currency, "
             "created_date_utc, cancelled_date_utc")
 
 
+def _chain_faults(chains: str) -> str:
+    """Faults of chains (landing, property_name, page, more, copies) whose first page is 0, from each page's neighbours."""
+    return f"""
+near AS (SELECT *, LAG(page) OVER w AS before, LEAD(page) OVER w AS after FROM {chains} WINDOW w AS (PARTITION BY landing, property_name ORDER BY page))
+SELECT landing, property_name, page, 'doubled' AS fault FROM near WHERE copies = 2
+UNION SELECT landing, property_name, page - 1, 'missing' FROM near WHERE page > 0 AND before IS DISTINCT FROM page - 1
+UNION SELECT landing, property_name, page + 1, 'missing' FROM near WHERE more AND after IS DISTINCT FROM page + 1
+UNION SELECT landing, property_name, page + 1, 'after the end' FROM near WHERE NOT more AND after = page + 1
+"""
+
+
+# Report shapes: dimensions and metrics in the order of the response.
+SHAPES = {
+    "range_ads": ("campaign ad_group", "cost clicks impressions"),
+    "range_analytics": ("campaign ad_group channel medium", "revenue conversions sessions"),
+    "day_campaign_ads": ("date campaign", "cost clicks impressions"),
+    "day_campaign_analytics": ("date campaign channel medium", "revenue conversions sessions"),
+    "day_adgroup_ads": ("date campaign ad_group", "cost clicks impressions"),
+    "day_adgroup_analytics": ("date campaign ad_group channel medium", "revenue conversions sessions"),
+    "item_revenue": ("date channel item_name", "item_revenue items_purchased"),
+}
+SHAPE_VALUES = {
+    "date": "strftime(l_shipdate, '%Y%m%d')", "campaign": "'camp-' || CAST(l_partkey % 9 AS VARCHAR)",
+    "ad_group": "'group-' || CAST(l_suppkey % 7 AS VARCHAR)", "channel": "l_returnflag", "medium": "l_linestatus",
+    "item_name": "'item-' || CAST(l_suppkey % 10 AS VARCHAR)", "cost": "CAST(l_extendedprice AS DECIMAL(12,2))",
+    "revenue": "CAST(l_extendedprice AS DECIMAL(12,2)) * 2", "item_revenue": "CAST(l_extendedprice AS DECIMAL(12,2)) * 3",
+    "clicks": "CAST(l_quantity AS BIGINT)", "sessions": "CAST(l_quantity AS BIGINT) + 1", "items_purchased": "CAST(l_quantity AS BIGINT) + 2",
+    "impressions": "l_linenumber * 10", "conversions": "CAST(l_tax AS DECIMAL(4,2))",
+}
+
+
+def _shape(name: str) -> str:
+    have = " ".join(SHAPES[name]).split()
+
+    def value(c: str, aggregate: str) -> str:
+        return f"{aggregate}({SHAPE_VALUES[c]})" if c in have else "NULL"
+
+    def key(c: str) -> str:
+        return f"{SHAPE_VALUES[c] if c in have else 'CAST(NULL AS VARCHAR)'} AS {c}"
+    sums = ", ".join(f"CAST({_round(value(m, 'SUM')) if m in have else 'NULL'} AS DOUBLE) AS sum_{m}"
+                     for m in ("cost", "clicks", "impressions", "revenue", "conversions", "sessions", "item_revenue", "items_purchased"))
+    return f"""SELECT '{name}' AS report, CASE WHEN (l_orderkey // 100) % 2 = 0 THEN 'north-lounges' ELSE 'south-stays' END AS property_name,
+  {key('campaign')}, {key('channel')}, COUNT(*) AS n, {value('date', 'MIN')} AS first_date, {value('date', 'MAX')} AS last_date,
+  {value('ad_group', 'MAX')} AS last_ad_group, {value('medium', 'MAX')} AS last_medium, {value('item_name', 'MAX')} AS last_item, {sums}
+FROM lineitem GROUP BY ALL"""
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["item_revenue"] = f"""
@@ -197,9 +245,18 @@ SELECT property_name, date, event_id, table_name, publish_time_us FROM s_log
 """
     q["search_days"] = f"""
 WITH {SEARCH_CTE}
-SELECT p.property_name, strftime(b.data_date, '%Y-%m-%d') AS date, b.event_id, e.user_id, b.event_type AS query, e.value AS impressions
+SELECT t.table_name, p.property_name, strftime(b.data_date, '%Y-%m-%d') AS date, b.event_id, e.user_id, b.event_type AS query, e.value AS impressions
 FROM s_base b JOIN s_projects p ON p.project_id = b.project_id JOIN events e ON e.event_id = b.event_id
-WHERE b.event_type <> 'error' AND b.data_date IN (SELECT d FROM s_dates)
+JOIN {SEARCH_TABLES} ON t.table_name = 'searchdata_url_impression' OR b.event_type <> 'error'
+WHERE b.data_date IN (SELECT d FROM s_dates)
+"""
+    q["snapshot_kept_days"] = f"""
+WITH {SEARCH_CTE}
+SELECT t.table_name, p.property_name, strftime(b.data_date, '%Y-%m-%d') AS date, b.event_id, b.event_type AS query, e.value AS impressions,
+       CASE WHEN b.data_date >= DATE '2024-01-24' AND b.data_date <> DATE '2024-01-26' THEN e.value * 2 END AS position
+FROM s_base b JOIN s_projects p ON p.project_id = b.project_id JOIN events e ON e.event_id = b.event_id
+JOIN {SEARCH_TABLES} ON t.table_name = 'searchdata_url_impression' OR b.event_type <> 'error'
+WHERE b.data_date BETWEEN DATE '2024-01-22' AND DATE '2024-01-30'
 """
     q["landed_reports"] = f"""
 WITH rows AS (
@@ -272,4 +329,102 @@ FROM ev_flat
 WITH {EVENTS_CTE}
 SELECT event_id, event_name, event_timestamp, user_pseudo_id, join_key FROM ev_tagged
 """
+    q["flatten_event_arrays"] = f"""
+WITH {EVENTS_CTE}
+SELECT event_id, join_key, event_date, 4 AS n_params, CASE key WHEN 'k' THEN 0 WHEN 'value' THEN 1 ELSE 2 END AS param_pos, key,
+       string_value, int_value, float_value, double_value
+FROM ev_flat WHERE event_id % 11 <> 0
+UNION ALL
+SELECT event_id, join_key, event_date, 4, 3, key, string_value, int_value + 1, float_value, double_value
+FROM ev_flat WHERE event_id % 11 <> 0 AND key = 'k'
+"""
+    q["events_two_days_back"] = f"""
+WITH {EVENTS_CTE}
+SELECT v.via, event_id, event_name, event_timestamp, user_pseudo_id, event_date, property_id, property_name, join_key, key,
+       string_value, int_value, float_value, double_value
+FROM ev_flat, (VALUES ('partitions'), ('suffix')) v(via) WHERE event_date = '20240129'
+"""
+    q["landed_report_specs"] = "\nUNION ALL\n".join(map(_shape, SHAPES))
+    q["landed_search_campaigns"] = f"""
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS data_date,
+       CASE WHEN l_linenumber <> 2 THEN 'camp-' || CAST(l_partkey % 9 AS VARCHAR) ELSE 'N/A' END AS campaign,
+       {_round('CAST(l_extendedprice AS DECIMAL(12,2))')} AS cost, CAST(l_quantity AS BIGINT) AS clicks,
+       CASE WHEN l_linenumber <> 4 THEN l_orderkey + 9007199254740993 ELSE 0 END AS impressions,
+       CAST(CAST(l_tax AS DECIMAL(4,2)) * 1000000000 AS BIGINT) + 123456789 AS conversions_e9, {_round('CAST(l_discount AS DECIMAL(4,2))')} AS revenue,
+       l_orderkey // 100 AS page
+FROM lineitem
+"""
+    q["landed_page_gaps"] = f"""
+WITH raw AS (
+  SELECT 'ads search' AS landing, 3 AS n, l_orderkey // 100 AS raw, 0 AS rows FROM lineitem GROUP BY ALL
+  UNION ALL SELECT 'reservations', 2, o_orderkey // 100, COUNT(*) FROM orders GROUP BY ALL
+),
+named AS (
+  SELECT landing, CASE raw % n WHEN 0 THEN 'north-lounges' WHEN 1 THEN 'south-stays' ELSE 'east-parking' END AS property_name, raw // n AS page,
+         CASE raw % 5 WHEN 0 THEN rows + 4 WHEN 1 THEN rows + 1 WHEN 4 THEN 1 ELSE rows END AS elements
+  FROM raw
+),
+lasts AS (SELECT *, MAX(page) OVER (PARTITION BY landing, property_name) AS last FROM named),
+chains AS (
+  SELECT landing, property_name, page, CASE WHEN page % 11 = 5 THEN 2 ELSE 1 END AS copies,
+         CASE landing WHEN 'reservations' THEN elements >= 100 ELSE page <> last AND page % 13 <> 6 END AS more
+  FROM lasts WHERE page % 7 <> 3 AND NOT (property_name = 'south-stays' AND page = last)
+),
+{_chain_faults('chains')}
+"""
+    q["landed_cut_reports"] = """
+WITH pages AS (
+  SELECT l_orderkey // 100 AS report, CASE WHEN (l_orderkey // 100) % 10 = 9 THEN 0 ELSE COUNT(*) END AS landed FROM lineitem GROUP BY l_orderkey // 100
+),
+told AS (
+  SELECT *, CASE report % 9 WHEN 4 THEN landed + report % 3 WHEN 7 THEN GREATEST(landed - 1, 0) WHEN 5 THEN NULL ELSE landed END AS declared FROM pages
+),
+judged AS (
+  SELECT *, CASE WHEN landed < declared THEN 'fewer rows than declared' WHEN landed > declared THEN 'more rows than declared'
+                 WHEN declared IS NULL AND landed > 0 AND landed % 10 = 0 THEN 'as many rows as a request gives' END AS fault FROM told
+)
+SELECT CASE WHEN report % 2 = 0 THEN 'north-lounges' ELSE 'south-stays' END AS property_name, report, CAST(declared AS BIGINT) AS declared,
+       CAST(landed AS BIGINT) AS landed, fault
+FROM judged WHERE fault IS NOT NULL
+"""
+    q["landed_properties"] = """
+SELECT CAST(s_suppkey AS INTEGER) AS property_id, s_name AS property_name,
+       CASE WHEN s_suppkey % 3 <> 0 THEN 'Pier ' || CAST(s_suppkey % 50 AS VARCHAR) ELSE '' END AS location
+FROM supplier
+"""
+    q["rewritten_days"] = _rewritten_days()
     return q
+
+
+def _rewritten_days() -> str:
+    """The days of each job that two overlapping runs leave: the second's, and the first's on days that the second does not have."""
+    from channelmart.oracle.ads_sql import ads_ctes, round_out
+
+    def exact(c: str) -> str:
+        return f"SUM(CAST({round_out(c)} AS DECIMAL(38,6)))"
+
+    def days(job: str, amount: str, units: str, source: str) -> str:
+        return f"SELECT '{job}' AS job, data_date, COUNT(*) AS row_count, {exact(amount)} AS amount, {exact(units)} AS units FROM {source} GROUP BY data_date"
+
+    def ads(start: str, end: str) -> str:
+        return f"WITH RECURSIVE {ads_ctes(start, end)} {days('ads', 'revenue_ga4', 'clicks', 'final')}"
+
+    def items(start: str, end: str, more: int) -> str:
+        kept = f"(SELECT *, items_purchased + {more} AS items FROM ir_report)"
+        rows = f"""(SELECT substr(date, 1, 4) || '-' || substr(date, 5, 2) || '-' || substr(date, 7, 2) AS data_date, item_revenue, items
+                    FROM {kept} WHERE item_revenue > 0 OR items > 0)"""
+        return f"WITH {ITEM_CTE} {days('items', 'item_revenue', 'items', rows)} HAVING data_date BETWEEN '{start}' AND '{end}'"
+
+    def stays(start: str, end: str, only: str) -> str:
+        rows = f"""(SELECT e.created_date_utc AS data_date, e.res_no, COALESCE(CAST(r.cents AS DECIMAL(20,0)), 0) * CAST(0.01 AS DECIMAL(3,2)) AS rate
+                    FROM r_export e LEFT JOIN r_cents r USING (res_no) WHERE e.created_date_utc BETWEEN '{start}' AND '{end}' {only})"""
+        return f"""WITH {RES_CTE}, r_cents AS (
+  SELECT res_no, mills // 10 + CASE WHEN mills % 10 > 5 OR (mills % 10 = 5 AND (mills // 10) % 2 = 1) THEN 1 ELSE 0 END AS cents FROM r_rates)
+{days('stays', 'rate', 'res_no', rows)}"""
+
+    runs = {"ads": (ads("1998-01-01", "1998-02-15"), ads("1998-02-01", "1998-03-31")),
+            "items": (items("1992-01-01", "1996-12-31", 0), items("1996-01-01", "1998-12-31", 1)),
+            "stays": (stays("1994-12-31", "1996-12-31", ""), stays("1996-06-01", "2001-12-31", "AND e.property_id = 2"))}
+    named = ", ".join(f"{job}_{k} AS ({sql})" for job, pair in runs.items() for k, sql in enumerate(pair))
+    left = "\nUNION ALL\n".join(f"SELECT * FROM {job}_1 UNION ALL SELECT * FROM {job}_0 WHERE data_date NOT IN (SELECT data_date FROM {job}_1)" for job in runs)
+    return f"WITH {named} SELECT job, data_date, row_count, {_round('amount')} AS amount, {_round('units')} AS units FROM ({left})"

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from channelmart.functions.dates import resolve_range
 from channelmart.operators.blend import blend, derive_metrics
 from channelmart.operators.hybrid import native_hybrid
-from channelmart.operators.overlay import adgroup_day, campaign_day, targets, with_iso_date
+from channelmart.operators.overlay import ADGROUP_DAY_KEYS, adgroup_day, campaign_day, targets, with_iso_date
 from channelmart.operators.reconcile import reconcile_daily
 from channelmart.operators.summary import day_summary
-from channelmart.session import stage
+from channelmart.session import kept, stage, stage_bucketed, staged_run
 from channelmart.sinks.writers import write_partitions
 
 REPORTS = ("range_ads", "range_analytics", "day_campaign_ads", "day_campaign_analytics",
@@ -31,13 +31,14 @@ def overlays(reports: dict[str, DataFrame], start: str | None = None,
     """J2-J4 once each. Targets feed four consumers and the ad-group-day
     overlay three; each consumer prunes different columns, so Spark would
     otherwise rebuild (re-shuffle) the same overlay per consumer; they are
-    staged in the shared folder."""
+    staged in the shared folder, the ad-group days bucketed by their key, which
+    the distributed rows share."""
     t = targets(reports["range_analytics"], reports["range_ads"])
     cd = campaign_day(_in_range(with_iso_date(reports["day_campaign_analytics"]), start, end),
                       _in_range(with_iso_date(reports["day_campaign_ads"]), start, end))
     ad = adgroup_day(_in_range(with_iso_date(reports["day_adgroup_analytics"]), start, end),
                      _in_range(with_iso_date(reports["day_adgroup_ads"]), start, end))
-    return stage(t, "targets"), stage(cd, "campaign-day"), stage(ad, "adgroup-day")
+    return stage(t, "targets"), stage(cd, "campaign-day"), stage_bucketed(ad, "adgroup-day", ADGROUP_DAY_KEYS)
 
 
 def reconciled(reports: dict[str, DataFrame], start: str | None = None,
@@ -54,9 +55,10 @@ def ads_daily(reports: dict[str, DataFrame], native: dict[str, DataFrame], prope
 
 def ads_daily_from(built_overlays: tuple[DataFrame, DataFrame, DataFrame], native: dict[str, DataFrame],
                    properties: DataFrame, start: str | None = None, end: str | None = None,
-                   shares: DataFrame | None = None) -> DataFrame:
-    """C4 from already built (staged) overlays (and period shares)."""
-    rec = reconcile_daily(*built_overlays, shares=shares)
+                   shares: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
+    """C4 from already built (staged) overlays (and period shares, and day
+    totals)."""
+    rec = reconcile_daily(*built_overlays, shares=shares, totals=totals)
     nat = native_hybrid(_in_range(native["campaign"], start, end),
                         _in_range(native["ad_group"], start, end))
     return derive_metrics(blend(nat, rec, properties))
@@ -68,6 +70,7 @@ def run_ads_daily(reports, native, properties, path: str, as_of: str,
     date): write the days present in the result (others untouched) and return
     the per-day summary of exactly these rows, an empty one if there are none."""
     start, end = resolve_range(start, end, as_of)
-    df = stage(ads_daily(reports, native, properties, start, end), "ads-daily")
-    write_partitions(df, path, ["data_date"])
-    return day_summary(df, {"cost": "cost", "clicks": "clicks"}, exact_places=12)
+    with staged_run(properties.sparkSession, "ads-daily-run"):
+        df = stage(ads_daily(reports, native, properties, start, end), "ads-daily")
+        write_partitions(df, path, ["data_date"])
+        return kept(day_summary(df, {"cost": "cost", "clicks": "clicks"}, exact_places=12))

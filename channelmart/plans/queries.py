@@ -4,6 +4,7 @@ the stand-in views of that scale factor. Names match the oracle SQL."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,41 @@ def q_events_join_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("event_id", "event_name", "event_timestamp", "user_pseudo_id", "join_key")
 
 
+@register("flatten_event_arrays")
+def q_flatten_event_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 over an array of parameters: repeated keys stay, in their order."""
+    from channelmart.plans.events import flatten_events
+    flat = flatten_events(si.event_arrays(spark, sf_dir), si.EVENT_PROPERTY_ID, si.EVENT_PROPERTY_NAME)
+    return flat.select("event_id", "join_key", "event_date", F.size("event_params").alias("n_params"), "param_pos", "key",
+                       "string_value", "int_value", "float_value", "double_value")
+
+
+@register("events_two_days_back")
+def q_events_two_days_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job of two days before the run, from a table
+    that the library wrote by (property, event day) and from the catalog's
+    daily tables ``<table>_<YYYYMMDD>``; each writes its rows, which are read
+    back."""
+    import uuid
+    from channelmart.functions.dates import table_suffix
+    from channelmart.plans.events import run_events_day, write_events
+    from channelmart.session import new_folder
+    from channelmart.sinks.writers import read_partitions, save_daily_table
+    root, prefix = new_folder(spark, "event-days"), f"events_{uuid.uuid4().hex}"
+    write_events(si.events(spark, sf_dir).withColumn("property_id", F.lit(si.EVENT_PROPERTY_ID)), f"{root}/events")
+    suffixes = [table_suffix(si.EVENTS_AS_OF, lag) for lag in (1, 2, 3)]
+    for day in suffixes:
+        whole = spark.read.parquet(f"{root}/events")
+        save_daily_table(whole.where(F.col("event_date") == day), prefix, day, f"{root}/tables")
+    run_events_day(spark, f"{root}/events", si.EVENT_PROPERTY_ID, si.EVENT_PROPERTY_NAME, f"{root}/partitions", si.EVENTS_AS_OF)
+    run_events_day(spark, prefix, si.EVENT_PROPERTY_ID, si.EVENT_PROPERTY_NAME, f"{root}/suffix", si.EVENTS_AS_OF, partitioned=False)
+    for day in suffixes:
+        spark.sql(f"DROP TABLE {prefix}_{day}")
+    columns = ["event_id", "event_name", "event_timestamp", "user_pseudo_id", "event_date", "property_id", "property_name", "join_key", "key",
+               "string_value", "int_value", "float_value", "double_value"]
+    return reduce(DataFrame.unionByName, [read_partitions(spark, f"{root}/{via}").select(F.lit(via).alias("via"), *columns) for via in ("partitions", "suffix")])
+
+
 # --------------------------------------------------------------------- ads
 def round_out(c, places: int = 6):
     """Output rounding that both engines compute identically: scale by an
@@ -199,6 +235,20 @@ def q_ads_metrics_range(spark, sf_dir):
     return rounded(ads_table(spark, sf_dir, *si.ADS_RANGE))
 
 
+@register("ads_metrics_stored_days")
+def q_ads_metrics_stored_days(spark, sf_dir):
+    """C4 of a range whose days were stored by earlier runs, but for the last
+    one: the run of that day reads its reports and the stored days."""
+    from channelmart.plans.ads_days import ads_daily_from_stored, store_days
+    from channelmart.session import new_folder
+    fine, store = si.ads_fine(spark, sf_dir), new_folder(spark, "stored-days")
+    start, end = si.ADS_RANGE
+    earlier, last = fine.where(F.col("data_date") < end), fine.where(F.col("data_date") == end)
+    store_days(spark, si.ads_reports(earlier), store, start, si.ADS_LAST_STORED)
+    store_days(spark, si.ads_reports(last), store, end, end)
+    return rounded(ads_daily_from_stored(spark, si.ads_reports(fine, start, end), si.native_reports(fine), si.ads_properties(spark), store, start, end))
+
+
 @register("ads_daily_summary")
 def q_ads_daily_summary(spark, sf_dir):
     from channelmart.operators.summary import day_summary
@@ -241,8 +291,29 @@ def q_search_window(spark, sf_dir):
 
 @register("search_days")
 def q_search_days(spark, sf_dir):
+    """S6 + F7: the rows of both search tables."""
     snaps = _snapshots(spark, sf_dir)
-    return snaps[si.SEARCH_TABLES[0]].select("property_name", "date", "event_id", "user_id", "query", "impressions")
+    return reduce(DataFrame.unionByName, [
+        snaps[name].select(F.lit(name).alias("table_name"), "property_name", "date", "event_id", "user_id", "query", "impressions")
+        for name in si.SEARCH_TABLES])
+
+
+@register("snapshot_kept_days")
+def q_snapshot_kept_days(spark, sf_dir):
+    """Two overlapping runs write their snapshots; in the second the
+    tables have a column more and one day no rows. What is read back: days of
+    the first run alone and the day without rows as the first run left them,
+    the new column null in them."""
+    from channelmart.plans.search import run_search_snapshot
+    from channelmart.session import new_folder
+    from channelmart.sinks.writers import read_partitions
+    root, projects = new_folder(spark, "snapshots"), si.search_projects(spark)
+    run_search_snapshot(si.search_tables(spark, sf_dir), si.EXPORT_LOG, projects, root, si.SNAPSHOT_FIRST)
+    run_search_snapshot(si.later_search_tables(spark, sf_dir), si.EXPORT_LOG, projects, root, si.EVENTS_AS_OF)
+    return reduce(DataFrame.unionByName, [
+        read_partitions(spark, f"{root}/{name}", merge=True)
+        .select(F.lit(name).alias("table_name"), "property_name", "date", "event_id", "query", "impressions", "position")
+        for name in si.SEARCH_TABLES])
 
 
 @register("export_log_top100")
@@ -311,6 +382,96 @@ def q_landed_rates(spark, sf_dir):
     return rounded(rows.groupBy(F.col("reservationId").cast("long").alias("reservation_id")).agg(F.sum("totalRateAmount").alias("rate_sum"), F.max("stayDate").alias("last_stay")))
 
 
+@register("landed_report_specs")
+def q_landed_report_specs(spark, sf_dir):
+    """Every report shape, its rows counted and summed."""
+    from channelmart.sources.reports import REPORT_SPECS, parse_report
+    dims = ("campaign", "channel", "ad_group", "medium", "item_name", "date")
+    metrics = ("cost", "clicks", "impressions", "revenue", "conversions", "sessions", "item_revenue", "items_purchased")
+    parts = []
+    for name, (own, measured) in REPORT_SPECS.items():
+        rows = parse_report(si.spec_pages(spark, sf_dir, own, measured), own, measured)
+        have = {*own, *(m for m, _ in measured)}
+        rows = rows.select("property_name", *[(F.col(d) if d in have else F.lit(None).cast("string")).alias(d) for d in dims],
+                           *[(F.col(m).cast(DecimalType(30, 6)) if m in have else F.lit(None).cast(DecimalType(30, 6))).alias(m) for m in metrics])
+        parts.append(rows.groupBy(F.lit(name).alias("report"), "property_name", "campaign", "channel").agg(
+            F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.max("ad_group").alias("last_ad_group"),
+            F.max("medium").alias("last_medium"), F.max("item_name").alias("last_item"), *[F.sum(m).alias(f"sum_{m}") for m in metrics]))
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
+@register("landed_search_campaigns")
+def q_landed_search_campaigns(spark, sf_dir):
+    """S2 at campaign level: the rows of the same pages without ad groups."""
+    from channelmart.sources.ads_search import parse_ads_search
+    rows = parse_ads_search(si.search_pages(spark, sf_dir), "campaign")
+    exact = (F.col("conversions") * 1000000000).cast("long").alias("conversions_e9")
+    return rounded(rows.select("data_date", "campaign", "cost", "clicks", "impressions", exact, "revenue", F.col("pos.page").alias("page")))
+
+
+@register("landed_page_gaps")
+def q_landed_page_gaps(spark, sf_dir):
+    """The pages that two landings lack, have twice, or have behind their
+    end (tokens of the ads search, full pages of the reservation search)."""
+    from channelmart.sources.chains import chain_faults, list_chain, search_chain
+    chains = {"ads search": search_chain(si.lossy_search_pages(spark, sf_dir)),
+              "reservations": list_chain(si.lossy_reservation_pages(spark, sf_dir), si.PAGE_ORDERS)}
+    return reduce(DataFrame.unionByName, [chain_faults(c, first=0, strict=True).select(F.lit(k).alias("landing"), "property_name", "page", "fault") for k, c in chains.items()])
+
+
+@register("landed_cut_reports")
+def q_landed_cut_reports(spark, sf_dir):
+    """Reports with other numbers of rows than they declare, and those
+    that declare none and hold as many rows as requests give."""
+    from channelmart.sources.chains import report_faults
+    return report_faults(si.cut_reports(spark, sf_dir), limit=si.REPORT_ROWS)
+
+
+@register("landed_properties")
+def q_landed_properties(spark, sf_dir):
+    """Property lists, one file each, as JSON over several lines."""
+    from channelmart.session import new_folder
+    from channelmart.sources.properties import read_properties
+    path = new_folder(spark, "property-lists")
+    si.property_lists(spark, sf_dir).write.option("maxRecordsPerFile", 1).text(path)
+    return read_properties(spark, path)
+
+
+# ------------------------------------------------------------- writes again
+def _written(df: DataFrame, job: str, amount, units) -> DataFrame:
+    """Days of a written table: rows and exact sums."""
+    exact = DecimalType(38, 6)
+    return df.groupBy("data_date").agg(F.count(F.lit(1)).alias("row_count"), F.sum(round_out(amount).cast(exact)).alias("amount"),
+                                       F.sum(round_out(units).cast(exact)).alias("units")).withColumn("job", F.lit(job))
+
+
+@register("rewritten_days")
+def q_rewritten_days(spark, sf_dir):
+    """K1, K2, K5: of each job two overlapping runs write, then one without
+    rows, and the days are read back: those of the first run alone survive,
+    shared days are the second's (and the first's where the second has no
+    rows), and the empty run changes nothing."""
+    from channelmart.plans.ads_daily import run_ads_daily
+    from channelmart.plans.item_revenue import run_item_revenue
+    from channelmart.plans.reservations import run_export_reservations
+    from channelmart.session import new_folder
+    from channelmart.sinks.writers import read_partitions
+    root, props, as_of = new_folder(spark, "rewritten-days"), si.ads_properties(spark), "1999-01-01"
+    fine = si.ads_fine(spark, sf_dir)
+    for run in (si.FIRST_RUN, si.SECOND_RUN, si.EMPTY_RUN):
+        run_ads_daily(si.ads_reports(fine, *run), si.native_reports(fine), props, f"{root}/ads", as_of, *run)
+    report = si.item_revenue_report(spark, sf_dir)
+    for rows, run in ((report, si.ITEM_FIRST), (si.restated(report), si.ITEM_SECOND), (report, si.EMPTY_RUN)):
+        run_item_revenue(rows, props, f"{root}/items", as_of, *run)
+    res, rates, stays = si.reservations(spark, sf_dir), si.daily_rates(spark, sf_dir), si.reservation_properties(spark)
+    for rows, run in ((res, si.STAY_FIRST), (res.where(F.col("property_id") == si.LATER_PROPERTY), si.STAY_SECOND), (res, si.EMPTY_RUN)):
+        run_export_reservations(rows, rates, stays, f"{root}/stays", as_of, *run)
+    parts = [_written(read_partitions(spark, f"{root}/ads"), "ads", F.col("revenue_ga4"), F.col("clicks")),
+             _written(read_partitions(spark, f"{root}/items"), "items", F.col("item_revenue"), F.col("items_purchased")),
+             _written(read_partitions(spark, f"{root}/stays"), "stays", F.col("rate").cast(DecimalType(20, 2)), F.col("res_no"))]
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
 # ------------------------------------------------------------- date rules
 @register("month_to_date")
 def q_month_to_date(spark, sf_dir):

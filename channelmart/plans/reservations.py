@@ -4,6 +4,8 @@ the fixed -3 h shift, and add their stay-window rates."""
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from channelmart.functions.dates import resolve_range, stay_limit
 from channelmart.functions.exprs import (booking_agent, date_prefix, first_non_empty,
                                          money_text, parse_and_shift)
-from channelmart.session import stage
+from channelmart.session import kept, stage, staged_run
 from channelmart.sinks.writers import write_partitions
 
 # Fixed values of the export: defaults, output columns in order, source fields.
@@ -84,16 +86,36 @@ def normalize_reservations(res: DataFrame) -> DataFrame:
             .drop("_created", "_cancelled", "_creator", "_agent"))
 
 
+MONTHS_NAMED = 24        # of a creation window that is pruned by month; a longer one by year
+
+
+def _may_be_created(text: Column, lo: str, hi: str) -> Column:
+    """True for every text whose day, parsed or by its first ten characters,
+    lies in [lo, hi], and for few others; made of comparisons and prefixes of
+    the raw text, which Parquet scans use to skip row groups. A time starts
+    with its year and month (the month may lack its zero); what is no time is
+    compared as text; either may follow spaces."""
+    first, last = _dt.date.fromisoformat(lo), _dt.date.fromisoformat(hi)
+    months = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    if len(months) <= MONTHS_NAMED:
+        dated = [text.startswith(f"{m // 12:04}-{spelt}-") for m in months for spelt in dict.fromkeys((f"{m % 12 + 1:02}", str(m % 12 + 1)))]
+    else:
+        dated = [text.between(f"{first.year:04}-", f"{last.year:04}-:")]       # ':' comes after the digits
+    return reduce(or_, dated, text.between(lo, hi + "\U0010ffff") | text.startswith(" "))
+
+
 def creation_window(res: DataFrame, start: str, end: str) -> DataFrame:
     """creation day within [start-1, end+1] (whole days), as the service
     selects on the real timestamp: the text is parsed first, so unpadded
     fields count; only a text that is no time is taken by its first ten
-    characters, as F5 takes it."""
+    characters, as F5 takes it. Before that a condition on the raw texts that
+    every such row meets reaches the scan."""
     lo = (_dt.date.fromisoformat(start) - _dt.timedelta(days=1)).isoformat()
     hi = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
-    f = lambda p: _field(res, p)
-    day = parse_and_shift(first_non_empty(f("dateCreated"), f("createdDate"), default=""), 0)
-    return res.where(day.between(F.lit(lo), F.lit(hi)))
+    texts = [_field(res, p) for p in ("dateCreated", "createdDate")]
+    day = parse_and_shift(first_non_empty(*texts, default=""), 0)
+    near = reduce(or_, [_may_be_created(t, lo, hi) for t in texts])
+    return res.where(near).where(day.between(F.lit(lo), F.lit(hi)))
 
 
 def stay_rates(export: DataFrame, rates: DataFrame) -> DataFrame:
@@ -120,11 +142,9 @@ def export_reservations(res: DataFrame, rates: DataFrame, properties: DataFrame,
     Output: the 19 columns; ``created_date_utc`` is the target day."""
     end = end or start
     norm = normalize_reservations(creation_window(res, start, end))
-    kept = norm.where(F.col("created_date_utc").between(F.lit(start), F.lit(end)))      # F5
-    tagged = kept.join(properties, "property_id")                                       # J14
-    # The stay window needs four columns of the export rows; the output keeps
-    # its own branch.
-    rated = tagged.join(stay_rates(kept.join(properties.select("property_id"), "property_id"), rates), "res_no", "left")   # J13
+    due = norm.where(F.col("created_date_utc").between(F.lit(start), F.lit(end)))      # F5
+    tagged = due.join(properties, "property_id")                                       # J14
+    rated = tagged.join(stay_rates(tagged, rates), "res_no", "left")                    # J13
     return rated.withColumn("rate", money_text("rate_sum")).select(*COLUMNS)
 
 
@@ -138,6 +158,7 @@ def run_export_reservations(res: DataFrame, rates: DataFrame, properties: DataFr
     """C7 + K5 for an explicit range of target days, else yesterday.
     Returns the rows of the run per target day."""
     start, end = resolve_range(start, end, as_of, default="yesterday")
-    df = stage(export_reservations(res, rates, properties, start, end), "reservations")
-    write_reservations(df, path)
-    return df.groupBy(F.col("created_date_utc").alias("data_date")).agg(F.count(F.lit(1)).alias("row_count"))
+    with staged_run(res.sparkSession, "reservations-run"):
+        df = stage(export_reservations(res, rates, properties, start, end), "reservations")
+        write_reservations(df, path)
+        return kept(df.groupBy(F.col("created_date_utc").alias("data_date")).agg(F.count(F.lit(1)).alias("row_count")))

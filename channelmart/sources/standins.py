@@ -19,6 +19,7 @@ from channelmart.session import stage
 # Stand-in run parameters. The report views cover all of lineitem; this is
 # the range of the one query that asks for a range.
 ADS_RANGE = ("1998-01-01", "1998-03-31")
+ADS_LAST_STORED = "1998-03-30"         # the day before the range's last
 EVENTS_AS_OF = "2024-01-31"            # search window = 2024-01-24 .. 2024-01-30
 EVENT_PROPERTY_ID, EVENT_PROPERTY_NAME = "100001", "north-lounges"
 
@@ -406,3 +407,115 @@ def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("l_linenumber") != 5, _dec("l_extendedprice")).alias("totalRateAmount"),
                     F.when(F.col("l_linenumber") != 6, F.to_date("l_shipdate").cast("string")).alias("stayDate"))
     return _pages(li, "l_orderkey", ["l_orderkey", "l_linenumber"], item, lambda items: F.to_json(F.struct(items.alias("data"))))
+
+
+# ----------------------------------------------- landings with pages lost
+REPORT_ROWS = 10      # rows that a stand-in report request asks for
+CHAIN_PROPERTIES = ("north-lounges", "south-stays", "east-parking")
+
+
+def _lossy(pages: DataFrame, properties: tuple[str, ...]) -> DataFrame:
+    """Pages dealt to properties, numbered from 0 in each (``last``: the
+    number of a property's last one), with every page 3 of 7 lost, one
+    property's last page lost, and every page 5 of 11 landed twice."""
+    n = len(properties)
+    named = pages.select(F.element_at(F.array(*[F.lit(p) for p in properties]), (F.col("page") % n + 1).cast("int")).alias("property_name"),
+                         F.floor(F.col("page") / n).alias("page"), "value")
+    lasts = named.groupBy("property_name").agg(F.max("page").alias("last"))
+    rows = named.join(lasts, "property_name")
+    lost = (F.col("page") % 7 == 3) | ((F.col("property_name") == properties[1]) & (F.col("page") == F.col("last")))
+    copies = F.when(F.col("page") % 11 == 5, 2).otherwise(1)
+    return rows.where(~lost).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+
+
+def lossy_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads search pages with tokens; the token of every page 6 of 13 is empty,
+    as if the page were the last."""
+    rows = _lossy(search_pages(spark, sf_dir), CHAIN_PROPERTIES)
+    token = (F.when(F.col("page") == F.col("last"), F.lit("}"))
+             .when(F.col("page") % 13 == 6, F.lit(', "nextPageToken": ""}'))
+             .otherwise(F.concat(F.lit(', "nextPageToken": "t'), F.col("page").cast("string"), F.lit('"}'))))
+    whole = F.concat(F.expr("left(value, length(value) - 1)"), token)
+    return rows.select("property_name", "page", whole.alias("value"))
+
+
+def lossy_reservation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reservation pages asked for by PAGE_ORDERS; every fifth one is a single
+    object, so a short page with others behind it."""
+    return _lossy(reservation_pages(spark, sf_dir), CHAIN_PROPERTIES[:2]).select("property_name", "page", "value")
+
+
+def cut_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item revenue responses that declare their rows: every page 4 of 9
+    declares some more than it holds, every page 5 of 9 none at all, every page
+    7 of 9 less. Each response is its own report (``report``)."""
+    rows = report_pages(spark, sf_dir)
+    n = F.coalesce(F.json_array_length(F.get_json_object("value", "$.rows")), F.lit(0))
+    declared = (F.when(F.col("page") % 9 == 4, n + F.col("page") % 3).when(F.col("page") % 9 == 7, F.greatest(n - 1, F.lit(0)))
+                .when(F.col("page") % 9 != 5, n))
+    count = F.coalesce(F.concat(F.lit(', "rowCount": '), declared.cast("string"), F.lit("}")), F.lit("}"))
+    return rows.select("property_name", F.col("page").alias("report"), "page", F.concat(F.expr("left(value, length(value) - 1)"), count).alias("value"))
+
+
+# --------------------------------------------- responses of every report shape
+def spec_pages(spark: SparkSession, sf_dir: str, dims: list[str], metrics: list[tuple[str, str]]) -> DataFrame:
+    """Responses of the lines in the shape of any report, one page per 100
+    orders: what a dimension or metric holds follows from its name."""
+    li = table(spark, sf_dir, "lineitem")
+    values = {"date": F.translate(F.to_date("l_shipdate").cast("string"), "-", ""),
+              "campaign": F.concat(F.lit("camp-"), (F.col("l_partkey") % 9).cast("string")),
+              "ad_group": F.concat(F.lit("group-"), (F.col("l_suppkey") % 7).cast("string")),
+              "channel": F.col("l_returnflag"), "medium": F.col("l_linestatus"),
+              "item_name": F.concat(F.lit("item-"), (F.col("l_suppkey") % 10).cast("string")),
+              "cost": _dec("l_extendedprice"), "revenue": _dec("l_extendedprice") * 2, "item_revenue": _dec("l_extendedprice") * 3,
+              "clicks": F.col("l_quantity").cast("long"), "sessions": F.col("l_quantity").cast("long") + 1,
+              "items_purchased": F.col("l_quantity").cast("long") + 2, "impressions": F.col("l_linenumber").cast("long") * 10,
+              "conversions": _dec("l_tax", 4, 2)}
+    item = F.struct(F.array(*[_value(values[d]) for d in dims]).alias("dimensionValues"),
+                    F.array(*[_value(values[m]) for m, _ in metrics]).alias("metricValues"))
+    pages = _pages(li, "l_orderkey", ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"], item, lambda items: F.to_json(F.struct(items.alias("rows"))))
+    return pages.withColumn("property_name", F.when(F.col("page") % 2 == 0, F.lit("north-lounges")).otherwise(F.lit("south-stays")))
+
+
+# ------------------------------------------------------ runs that write again
+FIRST_RUN, SECOND_RUN, EMPTY_RUN = ("1998-01-01", "1998-02-15"), ("1998-02-01", "1998-03-31"), ("1980-01-01", "1980-01-31")
+ITEM_FIRST, ITEM_SECOND = ("1992-01-01", "1996-12-31"), ("1996-01-01", "1998-12-31")
+STAY_FIRST, STAY_SECOND = ("1994-12-31", "1996-12-31"), ("1996-06-01", "2001-12-31")
+LATER_PROPERTY = 2                     # the reservation property whose landing the second run has
+SNAPSHOT_FIRST, LOST_DAY = "2024-01-29", "2024-01-26"
+
+
+def restated(report: DataFrame) -> DataFrame:
+    """A later delivery of the item revenue report: one item more in each row."""
+    return report.withColumn("items_purchased", F.col("items_purchased") + 1)
+
+
+def later_search_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The search tables some days later: with one more column, and without
+    the rows of one day."""
+    tables = search_tables(spark, sf_dir)
+    return {name: df if name == EXPORT_LOG else df.withColumn("position", F.col("impressions") * 2).where(F.col("data_date") != F.to_date(F.lit(LOST_DAY)))
+            for name, df in tables.items()}
+
+
+def event_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with their parameters as exported, an array of {key, value}
+    in which the key ``k`` comes twice; null for every eleventh event."""
+    e = events(spark, sf_dir)
+    fields = [f.split(":")[0] for f in EVENT_PARAM_TYPE[len("struct<"):-1].split(",")]
+    known = F.transform(F.map_entries("event_params"), lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
+    k = F.col("event_params")["k"]
+    again = F.array(F.struct(F.lit("k").alias("key"), F.struct(*[(k[f] + 1 if f == "int_value" else k[f]).alias(f) for f in fields]).alias("value")))
+    params = F.when(F.col("event_id") % 11 != 0, F.when(F.size("event_params") > 0, F.concat(known, again)).otherwise(known))
+    return e.withColumn("event_params", params)
+
+
+def property_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configuration lists (``value``), one for each nation's suppliers: ids as
+    numbers and as text, locations missing for some."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("string")
+    location = F.when(F.col("s_suppkey") % 3 != 0, F.concat(F.lit(', "location": "Pier '), (F.col("s_suppkey") % 50).cast("string"), F.lit('"')))
+    item = F.concat(F.lit('{"propertyId": '), F.when(F.col("s_suppkey") % 2 == 0, key).otherwise(F.concat(F.lit('"'), key, F.lit('"'))),
+                    F.lit(', "clientName": "'), F.col("s_name"), F.lit('"'), F.coalesce(location, F.lit("")), F.lit("}"))
+    return s.groupBy("s_nationkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ", "), F.lit("]")).alias("value")).select("value")

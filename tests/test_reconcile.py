@@ -358,3 +358,76 @@ def test_a_hot_campaign_is_folded_by_many_tasks(spark):
     assert any("ad_group" in k and "medium" in k for k in keys)
     assert "outer=true" in plan.replace(" ", "").lower() or "true, [data_date" in plan
     assert got == plain and len(got) == 28 * 60
+
+
+def python_carry(days, share):
+    out, carry = [], 0.0
+    for d, x in days:
+        exact = x * share + carry
+        alloc = round(exact)
+        carry = exact - alloc
+        out.append((d, alloc))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 500, 1000, 2000])
+def test_two_level_carry_equals_the_plain_one(spark, n):
+    from channelmart.operators.reconcile import session_carry
+    rng = random.Random(n)
+    days = [(f"d{k:05}", rng.randint(1, 9)) for k in range(n)]
+    fanned = spark.createDataFrame(days, "data_date string, diff_sessions bigint").selectExpr(
+        "'p' as property_name", "data_date", "'C' as campaign", "'g' as ad_group", "'Paid Search' as channel", "'cpc' as medium",
+        "2 as n", "false as last_sessions", "0.37D as share_sessions", "diff_sessions")
+    got = [(r.data_date, r.alloc_sessions) for r in session_carry(fanned).orderBy("data_date").collect()]
+    assert got == python_carry(days, 0.37)
+
+
+def test_carry_does_not_grow_with_the_square_of_the_days(spark):
+    """Rows of 500, 1,000 and 2,000 days in as many ad groups that the rows are the same: a
+    fold that copies its result at each step takes four times as long for 2,000 days as for 500."""
+    import time
+    from channelmart.operators.reconcile import session_carry
+
+    def seconds(days, groups):
+        fanned = spark.range(days * groups).selectExpr(
+            "'p' as property_name", f"lpad(cast(id % {days} as string), 5, '0') as data_date", "'C' as campaign",
+            f"concat('g', cast(id div {days} as string)) as ad_group", "'Paid Search' as channel", "'cpc' as medium",
+            "2 as n", "false as last_sessions", "0.37D as share_sessions", "id % 9 + 1 as diff_sessions")
+        t0 = time.perf_counter()
+        session_carry(fanned).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+    seconds(500, 400)
+    few, some, many = (min(seconds(days, 400_000 // days) for _ in range(3)) for days in (500, 1000, 2000))
+    assert many < 3 * few and some < 2.5 * few, (few, some, many)
+
+
+def test_joins_on_the_rows_own_key_need_no_exchange_of_them(spark):
+    """With broadcasts off, the fanned-out rows, the folded sessions and the
+    observed rows are scanned by buckets; on their key only the residual
+    takers' rows are exchanged."""
+    import re
+    from channelmart.operators.reconcile import distribute
+    from channelmart.plans.ads_daily import overlays
+    from channelmart.operators.reconcile import active_campaign_days, daily_gap, period_shares
+    from channelmart.sources import standins as si
+    t, cd, ad = overlays(si.ads_reports(si.ads_fine(spark, "/root/testdata/sf0.001")))
+    shares = period_shares(t, ad)
+    gap = daily_gap(active_campaign_days(cd), shares, ad)
+    plain = sorted(map(str, distribute(gap, shares, observed=ad).collect()))
+    old = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
+    try:
+        for k, v in NO_BROADCAST.items():
+            spark.conf.set(k, v)
+        df = distribute(gap, shares, observed=ad)
+        plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+        got = sorted(map(str, df.collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == plain
+    keys = "property_name, data_date, campaign, ad_group, channel, medium"
+    assert plan.count(f"Exchange hashpartitioning({keys},") <= 2
+    joins = re.findall(r"SortMergeJoin \[([^\]]*)\], \[[^\]]*\], LeftOuter", plan)
+    assert sum(j == keys for j in joins) == 4
+    assert not re.findall(r"hashpartitioning\(property_name, campaign, channel, medium,", plan)
+    assert plan.count("Bucketed: true") >= 3

@@ -111,3 +111,32 @@ def test_no_break_space_is_no_name(spark):
     from channelmart.functions.exprs import is_named_campaign
     rows = spark.createDataFrame([("\u00a0",), ("\u2003\x1c",), (" x",), ("(not set)",), ("",)], "c string")
     assert [r.n for r in rows.select(is_named_campaign("c").alias("n")).collect()] == [False, False, True, False, False]
+
+
+def test_the_creation_window_reaches_the_scan(spark, scratch):
+    """the rows are those of the exact test, and the scan gets prefixes
+    of the raw texts."""
+    import datetime as dt
+    import os
+    import random
+    from channelmart.plans.reservations import creation_window
+    rng = random.Random(4)
+    texts = ["", None, " ", "none", "1996", "1996-03", "1996-3-1", "1996-02-29", " 1996-3-1 1:2:3", "  1996-03-02T01:02:03", "1996-03-02T24:00:00",
+             "1996-3-02 99:99:99", "1996-03-02 99:99:99", "1996/03/02", "19960302", "1996-03-0é", "1996-02-3x", "1996-12-31 23:59:59", "1997-1-1 0:0:0", "2996-03-01 00:00:00"]
+    for _ in range(400):
+        day = dt.date(1996, 1, 1) + dt.timedelta(days=rng.randrange(800))
+        spelt = rng.choice([day.isoformat(), f"{day.year}-{day.month}-{day.day}"])
+        texts.append(rng.choice(["", "", " "]) + spelt + rng.choice(["", " 1:2:3", "T11:22:33", " 12:00:00.123", "x"]))
+    rows = [(k, t if k % 3 else rng.choice([None, ""]), rng.choice([None, "", t]) if k % 3 else t) for k, t in enumerate(texts)]
+    path = os.path.join(scratch, "res")
+    spark.createDataFrame(rows, "id int, dateCreated string, createdDate string").write.parquet(path)
+    res = spark.read.parquet(path)
+    from channelmart.functions.exprs import first_non_empty, parse_and_shift
+    from pyspark.sql import functions as F
+    day = parse_and_shift(first_non_empty(F.col("dateCreated"), F.col("createdDate"), default=""), 0)
+    for start, end in (("1996-03-01", "1996-03-01"), ("1996-12-30", "1997-01-02"), ("1996-01-01", "1999-01-01"), ("1990-01-01", "2010-01-01")):
+        lo, hi = (dt.date.fromisoformat(start) - dt.timedelta(1)).isoformat(), (dt.date.fromisoformat(end) + dt.timedelta(1)).isoformat()
+        got = creation_window(res, start, end)
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in res.where(day.between(lo, hi)).collect())
+        pushed = got._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1]
+        assert ("StringStartsWith(dateCreated,1996-0" in pushed or "StringStartsWith(dateCreated,1996-1" in pushed) if end < "1998" else "GreaterThanOrEqual(dateCreated," in pushed
