@@ -3,16 +3,17 @@
 A tokenizer cuts a text into pre-tokens and each of these into pieces, whatever stands around it. So the number of a text's
 tokens is the sum over its distinct pre-tokens of frequency times number of pieces, plus one for each added token in the text.
 
-1. Where the texts are read, a block of texts (SLICE_BYTES, or one longer text) becomes its documents' pre-token frequencies, a
-   sparse matrix over the block's distinct pre-tokens; the hashes of these, for each shard (a range of hashes); and the texts
-   of the pre-tokens that the task has not sent yet. All three are written as one table, so a lost executor repeats only its
-   own blocks, with the same numbers.
-2. One exchange by shard brings together the texts and the blocks' hashes, the texts first. A shard counts the pieces of each
-   distinct pre-token once, by the tokenizers library's model, and answers the blocks' hashes in passing, as a merge join does.
-3. Frequencies and answers meet by block, and the products are summed.
+1. Where the texts are read, a block of texts (SLICE_BYTES, or one longer text) becomes its documents' pre-token frequencies: for
+   each shard (a range of hashes) the block's distinct pre-tokens of that shard, sorted by hash, with the documents that have them
+   and how often. Beside these go the texts of the pre-tokens that the task has not sent yet, and one row of the documents' columns.
+2. One exchange by shard brings texts and frequencies together, the texts first. A shard counts the pieces of each distinct
+   pre-token once, by the tokenizers library's model, and joins the blocks' frequencies in passing, as a merge join does; what
+   leaves it is, for each block, the documents' sums over the shard.
+3. The sums of a block's documents are added up over the shards.
 
 How it scales: a frequent pre-token is one entry for each block, so no shard is hot; shards follow the bytes of the texts, and
-hold the hashes and counts of their own distinct pre-tokens alone, while blocks stream by. Ids are never made.
+hold the hashes and counts of their own distinct pre-tokens alone, while blocks stream by. Ids are never made, and each row is
+exchanged once. Numbers of blocks follow the partitions of the input, so a task that is run again sends the same.
 
 Cases: null and empty texts have 0 bytes and tokens; a text may be one pre-token; repeated rows and null ids are rows like
 others; only the columns asked for and the text are read, whatever the others are named; an empty table gives no rows.
@@ -37,14 +38,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import WORD, byte_letters
-from .common import configure, pack, shared_folder, slices, split, unpack, utf8
+from .common import configure, pack, slices, split, unpack, utf8
 
 TEXT = "llm text"
 SHARD_BYTES = 64 << 20          # of text, for each shard
 SEND_BYTES = 4 << 20            # of new pre-tokens that a task gathers before it sends them
 SENT_KEYS = 1 << 20             # hashes that a task remembers to have sent; beyond, it may send some again
-TEXTS, ASKED, COUNTED = 0, 1, 2
-WORK = "kind int, shard int, block long, first binary, second binary, third binary"
+TEXTS, FREQUENCIES, DOCUMENTS = 0, 1, 2
+WORK = "kind int, shard int, block long, first binary, second binary"
 
 
 class PreTokens:
@@ -87,9 +88,9 @@ def pre_tokens(path: str) -> PreTokens:
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    columns = list(zip(*rows)) or [()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "shard", "block", "first", "second", "third"])
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "shard", "block", "first", "second"])
 
 
 def _keys(words: list[bytes]) -> np.ndarray:
@@ -118,7 +119,7 @@ class Sender:
         for shard, a, b in split(keys, self.shards):
             words = [self.words[k] for k in keys[a:b].tolist()]
             lengths = np.array([len(w) for w in words], np.uint32)
-            yield TEXTS, shard, None, pack(keys[a:b], lengths), zstandard.ZstdCompressor(level=1).compress(b"".join(words)), None
+            yield TEXTS, shard, None, pack(keys[a:b], lengths), zstandard.ZstdCompressor(level=1).compress(b"".join(words))
         self.words, self.size = {}, 0
 
 
@@ -134,21 +135,28 @@ def _block(texts: list[str], cutter: PreTokens, keep: pa.RecordBatch, number: in
         extra.append(added)
     words = [w.encode() for w in place]
     keys = _keys(words)
-    order = np.argsort(keys)
-    rank = np.empty(len(keys), np.uint32)
-    rank[order] = np.arange(len(keys), dtype=np.uint32)
     yield from sender.add(keys.tolist(), words)
-    for shard, a, b in split(keys[order], shards):
-        yield ASKED, shard, number, pack(keys[order[a:b]]), None, None
+    order = np.argsort(keys)
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.arange(len(keys))
+    at = rank[np.array(at, np.int64)]
+    by_key = np.argsort(at, kind="stable")                       # documents ascend within a pre-token
+    at, times = at[by_key], np.array(times, np.uint32)[by_key]
+    document = np.repeat(np.arange(len(texts), dtype=np.uint32), sizes)[by_key]
+    holders = np.bincount(at, minlength=len(keys)).astype(np.uint32)
+    ends = np.concatenate(([0], np.cumsum(holders, dtype=np.int64)))
+    keys = keys[order]
+    for shard, a, b in split(keys, shards):
+        yield FREQUENCIES, shard, number, pack(keys[a:b], holders[a:b]), pack(document[ends[a]:ends[b]], times[ends[a]:ends[b]])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, keep.schema) as out:
         out.write_batch(keep)
-    yield (COUNTED, None, number, sink.getvalue().to_pybytes(), pack(np.array(sizes, np.uint32), np.array(extra, np.uint32)),
-           pack(rank[np.array(at, np.int64)], np.array(times, np.uint32)))
+    yield DOCUMENTS, number % shards, number, sink.getvalue().to_pybytes(), pack(np.array(extra, np.uint32))
 
 
-def _answers(path: str):
-    """Arrow batches of a shard, the texts first -> for each block that asks, its pre-tokens' numbers of pieces."""
+def _sums(path: str):
+    """Arrow batches of a shard, the texts first -> for each block, the sums of its documents that have pre-tokens of the shard; the
+    rows of documents pass."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         for batch in batches:
@@ -164,18 +172,23 @@ def _answers(path: str):
                     known, counts = np.concatenate((known, keys[new])), np.concatenate((counts, np.array(found, np.uint32)))
                     order = np.argsort(known, kind="stable")
                     known, counts = known[order], counts[order]
+                elif row["kind"] == FREQUENCIES:
+                    keys, holders = unpack(row["first"], "u8", "u4")
+                    document, times = unpack(row["second"], "u4", "u4")
+                    pieces = np.repeat(counts[np.searchsorted(known, keys)], holders).astype(np.int64)
+                    sums = np.bincount(document, pieces * times).astype(np.int64)       # exact: below 2 ** 53
+                    have = np.flatnonzero(sums)
+                    out.append((row["block"], None, pack(have.astype(np.uint32), sums[have])))
                 else:
-                    keys, = unpack(row["first"], "u8")
-                    out.append((row["block"], row["shard"], pack(counts[np.searchsorted(known, keys)])))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()),
-                                              pa.array([r[2] for r in out], pa.binary())], names=["block", "shard", "counts"])
+                    out.append((row["block"], row["first"], row["second"]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary()),
+                                              pa.array([r[2] for r in out], pa.binary())], names=["block", "documents", "sums"])
     return each
 
 
 def count_tokens(docs: DataFrame, path: str, keep: list[Column]) -> DataFrame:
     """The columns `keep`, n_bytes and n_tokens of each text. `path`: the vocabulary file, present on every machine."""
-    spark = docs.sparkSession
-    configure(spark)
+    configure(docs.sparkSession)
     shards = max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES))
     docs = docs.select(*keep, F.col("text").alias(TEXT))
 
@@ -190,23 +203,18 @@ def count_tokens(docs: DataFrame, path: str, keep: list[Column]) -> DataFrame:
                 number += 1
         yield _rows(list(sender.flush()))
 
-    root = shared_folder(spark, "token-counts")
-    docs.mapInArrow(emit, WORK).write.partitionBy("kind").parquet(root)
-    work = spark.read.schema(WORK).parquet(root)
-    answers = (work.where(F.col("kind") < COUNTED).select("shard", "kind", "block", "first", "second").repartitionById(shards, "shard")
-               .sortWithinPartitions("kind").mapInArrow(_answers(path), "block long, shard int, counts binary"))
+    sums = (docs.mapInArrow(emit, WORK).repartitionById(shards, "shard").sortWithinPartitions("kind")
+            .mapInArrow(_sums(path), "block long, documents binary, sums binary"))
     schema = T.StructType([*docs.schema.fields[:-1], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
-    def total(counted: pa.Table, answered: pa.Table) -> pa.Table:
-        rows = sorted(answered.select(["shard", "counts"]).to_pylist(), key=lambda r: r["shard"])
-        pieces = np.concatenate([np.zeros(0, np.uint32), *(unpack(r["counts"], "u4")[0] for r in rows)]).astype(np.int64)
-        row = counted.to_pylist()[0]
-        sizes, extra = unpack(row["second"], "u4", "u4")
-        at, times = unpack(row["third"], "u4", "u4")
-        sums = np.concatenate(([0], np.cumsum(pieces[at] * times)))
-        ends = np.cumsum(sizes, dtype=np.int64)
-        kept = pa.ipc.open_stream(row["first"]).read_all()
-        return kept.append_column("n_tokens", pa.array(sums[ends] - sums[ends - sizes] + extra, pa.int64()))
-
-    counted = work.where(F.col("kind") == COUNTED).select("block", "first", "second", "third")
-    return counted.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(total, schema)
+    def total(block: pa.Table) -> pa.Table:
+        rows = block.to_pylist()
+        own = next(r for r in rows if r["documents"] is not None)
+        n_tokens = unpack(own["sums"], "u4")[0].astype(np.int64)                        # added tokens
+        for row in rows:
+            if row["documents"] is None:
+                have, some = unpack(row["sums"], "u4", "i8")
+                n_tokens[have] += some
+        return pa.ipc.open_stream(own["documents"]).read_all().append_column("n_tokens", pa.array(n_tokens, pa.int64()))
+
+    return sums.groupBy("block").applyInArrow(total, schema)

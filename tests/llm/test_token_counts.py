@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,15 +30,17 @@ def test_a_pre_token_is_counted_once(monkeypatch):
     monkeypatch.setitem(token_counts._loaded, "spy", cutter)
     count = cutter.pieces
     monkeypatch.setattr(cutter, "pieces", lambda w: calls.append(w) or count(w))
-    rows = []
+    rows, docs = [], pa.RecordBatch.from_pydict({"doc_id": [1, 2]})
     for task in range(3):
         sender = token_counts.Sender(1)
-        words = [b" the", b" of", b" task%d" % task]
-        rows += list(sender.add(token_counts._keys(words).tolist(), words)) + list(sender.flush())
-        rows += [(token_counts.ASKED, 0, task, token_counts.pack(token_counts.np.sort(token_counts._keys(words))), None, None)]
+        rows += [*token_counts._block([" the of the", f" task{task} the"], cutter, docs, task, 1, sender), *sender.flush()]
     rows.sort(key=lambda r: r[0])
-    answers = [r for b in token_counts._answers("spy")([token_counts._rows(rows)]) for r in b.to_pylist()]
-    assert len(answers) == 3 and sorted(calls) == sorted([b" the", b" of", b" task0", b" task1", b" task2"])
+    found = [r for b in token_counts._sums("spy")([token_counts._rows(rows)]) for r in b.to_pylist()]
+    sums = [token_counts.unpack(r["sums"], "u4", "i8") for r in found if r["documents"] is None]
+    lib = tokenizer(BYTE)
+    want = [[len(lib.encode(t).ids) for t in (" the of the", f" task{k} the")] for k in range(3)]
+    assert [(d.tolist(), n.tolist()) for d, n in sums] == [([0, 1], w) for w in want]
+    assert sorted(calls) == sorted({w.encode() for k in range(3) for w in cutter.words.findall(f" the of task{k}")})
 
 
 def test_new_pre_tokens_leave_in_bounded_lots(monkeypatch):
