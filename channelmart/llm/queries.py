@@ -116,4 +116,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_bpe, op3_pii, op4_suffix_dedup, op5_html_extraction, op6_simhash, op7_ann, op8_packing, op9_quality_rules, op10_lm_scoring,
     op11_merkle_manifest, op12_token_counts, op13_conversation_repair)}
-ORACLE_SQL = {"op11_merkle_manifest": sql.MERKLE, "op13_conversation_repair": sql.CONVERSATIONS}
+ORACLE_SQL = {"op4_suffix_dedup": sql.REPEATS, "op11_merkle_manifest": sql.MERKLE, "op13_conversation_repair": sql.CONVERSATIONS}

@@ -111,3 +111,22 @@ select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coales
   coalesce(illegal, 0) as illegal, coalesce(best.c, 0)::bigint as cost, coalesce(best.a, '') as audit, sha256(coalesce(best.l, '')) as repaired_sha256
 from (select distinct conv_id from conversations) i left join folded d on i.conv_id is not distinct from d.conv_id
 """
+
+REPEATS = """
+with bytes as (select doc_id, hex(encode(coalesce(text, ''))) as x, octet_length(encode(coalesce(text, ''))) as n from documents),
+blocks as (select doc_id, x, n, unnest(range(0, greatest(n - 49, 0), 500)) as base from bytes),
+pieces as (select doc_id, base, substr(x, 2 * base + 1, 1098) as piece, least(500, n - 49 - base) as starts from blocks),
+places as (select doc_id, base, piece, unnest(range(starts)) as k from pieces),
+strings as (select doc_id, base + k as p, substr(piece, 2 * k + 1, 100) as s from places),
+firsts as (select s, min(doc_id) as first from strings group by s having min(doc_id) < max(doc_id)),
+hits as (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from strings join firsts using (s) where doc_id > first),
+numbered as (select doc_id, p, sum(case when before is null or p > before + 50 then 1 else 0 end) over (partition by doc_id order by p) as run from hits),
+runs as (select doc_id, min(p) as a, max(p) + 50 as b from numbered group by doc_id, run),
+cuts as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as s, a as e from runs
+  union all select d.doc_id, coalesce(max(r.b), 0), any_value(d.n) from bytes d left join runs r using (doc_id) group by d.doc_id),
+kept as (select c.doc_id, string_agg(substr(x, 2 * s + 1, 2 * (e - s)), '' order by s) as x from cuts c join bytes using (doc_id) group by c.doc_id),
+sums as (select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans from runs group by doc_id)
+select d.doc_id, d.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(k.x)) as kept_sha256
+from bytes d join kept k using (doc_id) left join sums using (doc_id)
+"""
