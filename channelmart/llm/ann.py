@@ -59,6 +59,13 @@ def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component to between a half and one, so that no product overflows or
+    vanishes; cosines keep every digit."""
+    largest = np.abs(x).max(1, initial=0)
+    return np.ldexp(x, -np.frexp(largest)[1][:, None])
+
+
 def kmeans(x: np.ndarray, k: int) -> np.ndarray:
     """Centroids of the distinct rows of x, from spread-out first ones; ties go to the first."""
     x = np.unique(x, axis=0)
@@ -231,14 +238,14 @@ def nearest(rows: DataFrame, is_query: Column, neighbours: int, candidates: int
     def rank(queries: pa.Table, found: pa.Table) -> pa.Table:
         found = found.sort_by([("cell", "ascending"), ("vec_id", "ascending")])
         ids, cells = found.column("vec_id").to_numpy(), found.column("cell").to_numpy()
-        x = vectors_of(found.column("embedding").combine_chunks()) if len(ids) else np.zeros((0, length))
+        x = scaled(vectors_of(found.column("embedding").combine_chunks()) if len(ids) else np.zeros((0, length)))
         size = np.sqrt((x * x).sum(1))
         out = []
         for q, vector, own in zip(queries.column("vec_id").to_pylist(), queries.column("embedding").to_pylist(), queries.column("cells").to_pylist()):
             bounds = zip(np.searchsorted(cells, own), np.searchsorted(cells, own, side="right"))
             rows = np.concatenate([np.arange(a, b) for a, b in bounds]) if own else np.zeros(0, np.int64)
             rows = rows[ids[rows] != q]
-            y = np.array(vector, np.float64)
+            y = scaled(np.array([vector], np.float64))[0]
             score = (x[rows] * y).sum(1) / (size[rows] * np.sqrt((y * y).sum()))
             best = best_rows(ids[rows], score, neighbours)
             out += [(q, int(ids[rows[k]]), float(score[k])) for k in best]

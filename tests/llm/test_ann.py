@@ -96,3 +96,18 @@ def test_calibration_holds_for_other_queries(spark, monkeypatch):
     found = got(ann.nearest(table(spark, rows), F.col("vec_id") % 20 == 0, 5))
     assert 0 < seen[0] < len(rows) / 2
     assert recall(found, brute(rows, lambda k: k % 20 == 0, 5)) >= 0.9
+
+
+def test_extreme_components_have_their_cosine(spark):
+    """Squares of 1e200 overflow and those of 1e-200 vanish; cosines do neither."""
+    vectors = [[1e200, 2e200, 0.0], [1e-200, 2e-200, 1e-201], [3.0, 4.0, 1.0], [1e200, 1e-200, 1.0], [-1e300, 2.0, 1e300], [5e-324, 0.0, 0.0]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    found = got(ann.nearest(df, F.col("vec_id") < 6, neighbours=5))
+    small = [[c / max(map(abs, v)) for c in v] for v in vectors]
+
+    def cosine(a, b):
+        return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+    for q in range(6):
+        want = {k: cosine(small[q], small[k]) for k in range(6) if k != q}
+        assert {k for k, _ in found[q]} == set(want)
+        assert all(math.isclose(s, want[k], abs_tol=1e-12) for k, s in found[q])
