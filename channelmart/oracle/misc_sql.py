@@ -179,6 +179,7 @@ SELECT landing, property_name, page, 'doubled' AS fault FROM near WHERE copies =
 UNION SELECT landing, property_name, page - 1, 'missing' FROM near WHERE page > 0 AND before IS DISTINCT FROM page - 1
 UNION SELECT landing, property_name, page + 1, 'missing' FROM near WHERE more AND after IS DISTINCT FROM page + 1
 UNION SELECT landing, property_name, page + 1, 'after the end' FROM near WHERE NOT more AND after = page + 1
+UNION SELECT DISTINCT landing, 'west-ferry', 0, 'missing' FROM {chains}
 """
 
 

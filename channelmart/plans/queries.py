@@ -412,11 +412,13 @@ def q_landed_search_campaigns(spark, sf_dir):
 @register("landed_page_gaps")
 def q_landed_page_gaps(spark, sf_dir):
     """The pages that two landings lack, have twice, or have behind their
-    end (tokens of the ads search, full pages of the reservation search)."""
+    end (tokens of the ads search, full pages of the reservation search); one
+    expected property has no pages."""
     from channelmart.sources.chains import chain_faults, list_chain, search_chain
     chains = {"ads search": search_chain(si.lossy_search_pages(spark, sf_dir)),
               "reservations": list_chain(si.lossy_reservation_pages(spark, sf_dir), si.PAGE_ORDERS)}
-    return reduce(DataFrame.unionByName, [chain_faults(c, first=0, strict=True).select(F.lit(k).alias("landing"), "property_name", "page", "fault") for k, c in chains.items()])
+    expected = spark.createDataFrame([(p,) for p in (*si.CHAIN_PROPERTIES[:2], "west-ferry")], "property_name string")
+    return reduce(DataFrame.unionByName, [chain_faults(c, 0, True, expected).select(F.lit(k).alias("landing"), "property_name", "page", "fault") for k, c in chains.items()])
 
 
 @register("landed_cut_reports")

@@ -140,3 +140,14 @@ def stage_bucketed(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
     staged = spark.table(table)
     spark.sql(f"DROP TABLE {table}")          # its entry alone: the files are the run's
     return staged
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, for sessions that were not
+    started with it (``--py-files``, PYTHONPATH or an installed package)."""
+    import shutil
+    from pyspark import SparkFiles
+    here = os.path.dirname(os.path.abspath(__file__))
+    # in the driver's folder for files that it serves, which ends with the session
+    archive = f"{tempfile.mkdtemp(dir=SparkFiles.getRootDirectory())}/{os.path.basename(here)}"
+    spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(here), os.path.basename(here)))

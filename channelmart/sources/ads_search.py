@@ -57,11 +57,12 @@ def parse_ads_search(pages: DataFrame, level: str) -> DataFrame:
     return rows.select(*cols)
 
 
-def read_ads_search(spark: SparkSession, path: str, level: str, check: bool = True, first: int | None = None) -> DataFrame:
+def read_ads_search(spark: SparkSession, path: str, level: str, check: bool = True, first: int | None = None,
+                    expected: DataFrame | None = None) -> DataFrame:
     """The rows of a whole landing: a page that is missing or doubled fails
     (``check``), and with ``first``, the number of each first page, one behind
-    the last, too."""
+    the last, too; so does an ``expected`` property without pages."""
     pages = read_pages(spark, path)
     if check:
-        require_chains(search_chain(pages), f"ads search pages below {path}", first, strict=first is not None)
+        require_chains(search_chain(pages), f"ads search pages below {path}", first, first is not None, expected)
     return parse_ads_search(pages, level)

@@ -40,12 +40,14 @@ def _folders(chain: DataFrame) -> list[str]:
     return [c for c in chain.columns if c not in ("page", "more")]
 
 
-def chain_faults(chain: DataFrame, first: int | None = None, strict: bool = False) -> DataFrame:
+def chain_faults(chain: DataFrame, first: int | None = None, strict: bool = False, expected: DataFrame | None = None) -> DataFrame:
     """Folder columns (as text), ``page`` and ``fault`` of each page that is missing, or there more than once. Of several
     missing pages in a row, the first and the last are named.
 
     ``first``: the number of a chain's first page; without it the lowest landed page counts as the first. ``strict``:
-    a page behind one that says it is the last is a fault, too."""
+    a page behind one that says it is the last is a fault, too. ``expected``: the
+    folders that must have landed (some or all folder columns, other columns
+    are not read); of one without any page the first page is missing."""
     folders = _folders(chain)
     keys = folders or ["folder"]
     # A null folder is a chain of its own; keys are compared, so it gets a text.
@@ -65,13 +67,19 @@ def chain_faults(chain: DataFrame, first: int | None = None, strict: bool = Fals
         cut_off = cut_off.join(start, keys).where(page > F.col("start"))
     else:
         cut_off = cut_off.where(page > first)
-    expected = landed.where("more").select(*keys, (page + 1).alias("page"))
+    promised = landed.where("more").select(*keys, (page + 1).alias("page"))
     faults = (fault(landed.where("copies > 1"), page, DOUBLED)
               .unionByName(fault(cut_off, page - 1, MISSING))
-              .unionByName(fault(expected.join(landed, on, "left_anti"), page, MISSING)))
+              .unionByName(fault(promised.join(landed, on, "left_anti"), page, MISSING)))
     if strict:
         behind = landed.where("not more").select(*keys, (page + 1).alias("page"))
         faults = faults.unionByName(fault(behind.join(landed, on, "left_semi"), page, AFTER_END))
+    if expected is not None:
+        named_keys = [k for k in folders if k in expected.columns]
+        wanted = expected.select(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in named_keys]).distinct()
+        absent = wanted.join(landed, named_keys, "left_anti")
+        others = [F.lit("").alias(k) for k in folders if k not in named_keys]
+        faults = faults.unionByName(absent.select(*named_keys, *others, F.lit(first or 0).cast("long").alias("page"), F.lit(MISSING).alias("fault")))
     return faults.distinct().select(*folders, "page", "fault")
 
 
@@ -98,11 +106,15 @@ def _require(faults: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: not whole: " + "; ".join(sorted(map(text, found))) + (" and more" if len(found) == SHOWN else ""))
 
 
-def require_chains(chain: DataFrame, what: str, first: int | None = None, strict: bool = True) -> None:
-    """Fails unless every chain is whole."""
-    _require(chain_faults(chain, first, strict), what)
+def require_chains(chain: DataFrame, what: str, first: int | None = None, strict: bool = True, expected: DataFrame | None = None) -> None:
+    """Fails unless every chain is whole, and there for every expected folder."""
+    _require(chain_faults(chain, first, strict, expected), what)
 
 
-def require_reports(pages: DataFrame, what: str, limit: int = REPORT_LIMIT) -> None:
-    """Fails unless every report is whole."""
+def require_reports(pages: DataFrame, what: str, limit: int = REPORT_LIMIT, expected: DataFrame | None = None) -> None:
+    """Fails unless every report is whole, and there for every expected folder."""
     _require(report_faults(pages, limit), what)
+    if expected is not None:
+        keys = [k for k in other_columns(pages) if k in expected.columns]
+        absent = expected.select(*keys).distinct().join(pages.select(*keys).distinct(), keys, "left_anti")
+        _require(absent.withColumn("fault", F.lit("no response")), what)

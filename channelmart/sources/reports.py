@@ -54,20 +54,21 @@ def parse_report(pages: DataFrame, dims: Sequence[str], metrics: Sequence[tuple[
 
 
 def read_report(spark: SparkSession, path: str, dims: Sequence[str],
-                metrics: Sequence[tuple[str, str]], check: bool = True) -> DataFrame:
+                metrics: Sequence[tuple[str, str]], check: bool = True, expected: DataFrame | None = None) -> DataFrame:
     """The rows of whole reports: one cut at the request's limit, or with
-    another number of rows than it declares, fails (``check``)."""
+    another number of rows than it declares, fails (``check``), and so does an
+    ``expected`` property without a response."""
     pages = read_pages(spark, path)
     if check:
-        require_reports(pages, f"reports below {path}")
+        require_reports(pages, f"reports below {path}", expected=expected)
     return parse_report(pages, dims, metrics)
 
 
-def read_named_report(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_named_report(spark: SparkSession, root: str, name: str, expected: DataFrame | None = None) -> DataFrame:
     dims, metrics = REPORT_SPECS[name]
-    return read_report(spark, f"{root.rstrip('/')}/{name}", dims, metrics)
+    return read_report(spark, f"{root.rstrip('/')}/{name}", dims, metrics, expected=expected)
 
 
-def read_ads_reports(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_ads_reports(spark: SparkSession, root: str, expected: DataFrame | None = None) -> dict[str, DataFrame]:
     """The six reports the ads job reconciles, from ``<root>/<report>/``."""
-    return {n: read_named_report(spark, root, n) for n in REPORT_SPECS if n != "item_revenue"}
+    return {n: read_named_report(spark, root, n, expected) for n in REPORT_SPECS if n != "item_revenue"}

@@ -65,13 +65,14 @@ def parse_envelope(pages: DataFrame, fields: StructType) -> DataFrame:
 
 
 def read_reservations(spark: SparkSession, path: str, check: bool = True, first: int | None = None,
-                      limit: int = RESERVATION_LIMIT) -> DataFrame:
+                      limit: int = RESERVATION_LIMIT, expected: DataFrame | None = None) -> DataFrame:
     """The objects of a whole landing: pages follow each other while they hold
     ``limit`` elements; one that is missing or doubled fails (``check``), and
-    with ``first``, the number of each first page, one behind the last, too."""
+    with ``first``, the number of each first page, one behind the last, too;
+    so does an ``expected`` property without pages."""
     pages = read_pages(spark, path)
     if check:
-        require_chains(list_chain(pages, limit), f"reservation pages below {path}", first, strict=first is not None)
+        require_chains(list_chain(pages, limit), f"reservation pages below {path}", first, first is not None, expected)
     return parse_envelope(pages, RESERVATION_FIELDS)
 
 

@@ -103,3 +103,42 @@ def test_ads_daily_and_item_revenue_from_landed_reports(spark, scratch):
     items = item_revenue(read_named_report(spark, root, "item_revenue"), props).collect()
     assert [(r.data_date, r.session_default_channel_group, r.item_name, r.item_revenue, r.items_purchased)
             for r in items] == [("2024-01-02", "Organic Search", "Tea", 12.5, 2)]
+
+
+def test_jobs_run_from_a_landing_and_refuse_one_that_is_not_whole(spark, scratch):
+    from channelmart.plans.landing import ads_daily_landed, item_revenue_landed, reservations_landed
+    from channelmart.sinks.writers import read_partitions
+    root, out = os.path.join(scratch, "landing"), os.path.join(scratch, "out")
+    p = "property_name=p/r-0.json"
+    for name, row in {"range_analytics": (["Camp", "g1", "Paid Search", "cpc"], ["10", "1", "10"]), "range_ads": (["Camp", "g1"], ["2", "4", "40"]),
+                      "day_campaign_analytics": (["20240102", "Camp", "Paid Search", "cpc"], ["10", "1", "10"]), "day_campaign_ads": (["20240102", "Camp"], ["2", "4", "40"]),
+                      "day_adgroup_analytics": (["20240102", "Camp", "g1", "Paid Search", "cpc"], ["10", "1", "10"]), "day_adgroup_ads": (["20240102", "Camp", "g1"], ["2", "4", "40"]),
+                      "item_revenue": (["20240102", "Direct", "Tea"], ["12.5", "2"])}.items():
+        put(root, f"reports/{name}/{p}", report(row) | {"rowCount": 1})
+    for level, group in (("campaign", None), ("ad_group", "g1")):
+        put(root, f"search/{level}/property_name=p/page-0.json", {"results": [search_row("2024-01-02", "Camp", group, 2_000_000, 4, 40, 1, 12)], "nextPageToken": "x"})
+        put(root, f"search/{level}/property_name=p/page-1.json", {"results": []})
+    put(root, "reservations/property_id=7/page-0.json", [{"id": 11, "dateCreated": "2024-01-02 10:00:00"}])
+    put(root, "rates/page-0.json", [])
+    props = properties_dim(spark, [{"property_name": "p"}])
+    put(scratch, "props/props.json", [{"propertyId": 7, "clientName": "A"}])
+    stays = read_properties(spark, os.path.join(scratch, "props"))
+    day = ("2024-01-01", "2024-01-31")
+    assert ads_daily_landed(spark, root, props, f"{out}/ads", "2024-02-01", *day).where("data_date is null").first().row_count == 1
+    assert item_revenue_landed(spark, root, props, f"{out}/items", "2024-02-01", *day).count() == 2
+    assert [r.row_count for r in reservations_landed(spark, root, stays, f"{out}/stays", "2024-01-03").collect()] == [1]
+    assert read_partitions(spark, f"{out}/ads").first().revenue_ga4 == 10
+
+    more = properties_dim(spark, [{"property_name": "p"}, {"property_name": "q"}])
+    with pytest.raises(ValueError, match="property_name q: no response"):
+        ads_daily_landed(spark, root, more, f"{out}/none", "2024-02-01", *day)
+    os.remove(os.path.join(root, "search/ad_group/property_name=p/page-1.json"))
+    with pytest.raises(ValueError, match="ad_group.*property_name p, page 1: missing"):
+        ads_daily_landed(spark, root, props, f"{out}/none", "2024-02-01", *day)
+    put(root, f"reports/item_revenue/{p}", {"rows": [], "rowCount": 1})
+    with pytest.raises(ValueError, match="property_name p, declared 1, landed 0: fewer rows than declared"):
+        item_revenue_landed(spark, root, props, f"{out}/none", "2024-02-01", *day)
+    put(root, "reservations/property_id=7/page-1.json", [])
+    with pytest.raises(ValueError, match="property_id 7, page 1: after the end"):
+        reservations_landed(spark, root, stays, f"{out}/none", "2024-01-03")
+    assert not os.path.exists(f"{out}/none")

@@ -134,9 +134,11 @@ def test_the_creation_window_reaches_the_scan(spark, scratch):
     from channelmart.functions.exprs import first_non_empty, parse_and_shift
     from pyspark.sql import functions as F
     day = parse_and_shift(first_non_empty(F.col("dateCreated"), F.col("createdDate"), default=""), 0)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")      # show the filters whole
     for start, end in (("1996-03-01", "1996-03-01"), ("1996-12-30", "1997-01-02"), ("1996-01-01", "1999-01-01"), ("1990-01-01", "2010-01-01")):
         lo, hi = (dt.date.fromisoformat(start) - dt.timedelta(1)).isoformat(), (dt.date.fromisoformat(end) + dt.timedelta(1)).isoformat()
         got = creation_window(res, start, end)
         assert sorted(r.id for r in got.collect()) == sorted(r.id for r in res.where(day.between(lo, hi)).collect())
         pushed = got._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1]
         assert ("StringStartsWith(dateCreated,1996-0" in pushed or "StringStartsWith(dateCreated,1996-1" in pushed) if end < "1998" else "GreaterThanOrEqual(dateCreated," in pushed
+    spark.conf.unset("spark.sql.maxMetadataStringLength")

@@ -130,3 +130,25 @@ def test_bucketed_frames_join_without_an_exchange(spark):
         assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_workers_get_the_package(tmp_path):
+    """A session started elsewhere, without the package on the workers' path."""
+    import subprocess
+    import sys
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {here!r})
+from channelmart.session import local_session, ship
+spark = local_session(2, 1)
+ship(spark)
+def each(batches):
+    import channelmart.functions.dates as d
+    for b in batches:
+        yield b
+assert spark.range(3).mapInArrow(each, "id long").count() == 3
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
