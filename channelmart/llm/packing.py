@@ -31,11 +31,36 @@ PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0
 OTHER = re.compile(r"[^\n!-~\u00c0-\u00ff]|<\|")
 BETWEEN = b"\xff" * 4        # within no ids: the high byte of an id is never ff
 LETTERS = {b: c for b, c in enumerate(byte_letters()) if b != 10}
-CACHED_WORDS = 1_000_000    # about 200 MB of a worker
+WORD_BYTES, PIECE_BYTES = 64 << 20, 32 << 20       # of words and of pieces that a worker keeps
+ENTRY = 200                 # bytes of an entry besides its key's and value's: two objects and a place in the table
 GROUP_IDS = 1 << 32
 _loaded: dict[str, WordEncoder] = {}
 
 
+class Cache:
+    """Ids by word or piece within a number of bytes, in two halves: when the young one is full it becomes the old one, and
+    what is found in the old one is put into the young one again; so frequent words stay."""
+
+    def __init__(self, limit: int):
+        self.limit, self.size, self.young, self.old = limit // 2, 0, {}, {}
+
+    def put(self, found: dict) -> None:
+        more = sum(map(len, found)) + sum(map(len, found.values())) + ENTRY * len(found)
+        if self.size + more > self.limit:
+            self.young, self.old, self.size = {}, self.young, 0
+        if more <= self.limit:
+            self.young.update(found)
+            self.size += more
+
+    def known(self, keys) -> dict:
+        """Those of the distinct keys that are known, from now on young."""
+        young = {k: self.young[k] for k in keys if k in self.young}
+        old = {k: self.old[k] for k in keys if k in self.old and k not in young}
+        if old:
+            self.put(old)
+        return young | old
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library. The library's lower-casing tokenizer drops white space and never joins
     what stands on either side of it, so each distinct word between ASCII white space is encoded once.
@@ -51,42 +76,48 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        self.cache: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.cache, self.pieces = Cache(WORD_BYTES), Cache(PIECE_BYTES)
 
-    def encode_words(self, words: list[bytes]) -> None:
-        """Puts the ids of words into the cache."""
+    def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words."""
         joined = b"\n".join(words).decode()
+        ids = {}
         if OTHER.search(joined):
             texts = joined.split("\n")
             whole = [k for k, t in enumerate(texts) if OTHER.search(t)]
             encoded = self.tokenizer.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False)
-            self.cache.update((words[k], array("I", e.ids).tobytes()) for k, e in zip(whole, encoded))
-            words = [w for w in words if w not in self.cache]
+            ids = {words[k]: array("I", e.ids).tobytes() for k, e in zip(whole, encoded)}
+            words = [w for w in words if w not in ids]
             joined = b"\n".join(words).decode()
         if not words:
-            return
+            return ids
         found = PIECES.findall(joined.lower())
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces.clear()
-        new = list(set(found).difference(self.pieces, "\n"))
+        kinds = set(found).difference("\n")
+        known = self.pieces.known(kinds)
+        new = list(kinds.difference(known))
         spelt = "\n".join(new).encode().decode("latin-1").translate(LETTERS).split("\n") if new else []
         tokenize = self.model.tokenize
-        self.pieces.update((piece, array("I", [t.id for t in tokenize(s)]).tobytes()) for piece, s in zip(new, spelt))
-        self.pieces["\n"] = BETWEEN
-        self.cache.update(zip(words, b"".join(map(self.pieces.__getitem__, found)).split(BETWEEN)))
+        made = {piece: array("I", [t.id for t in tokenize(s)]).tobytes() for piece, s in zip(new, spelt)}
+        self.pieces.put(made)
+        known |= made
+        known["\n"] = BETWEEN
+        ids.update(zip(words, b"".join(map(known.__getitem__, found)).split(BETWEEN)))
+        return ids
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text (UTF-8) as little-endian unsigned 32-bit integers."""
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
         words = [(t or b"").split() for t in texts]
-        found = [list(map(self.cache.get, ws)) for ws in words]
+        young = self.cache.young
+        found = [list(map(young.get, ws)) for ws in words]
         missing = [[k for k, ids in enumerate(f) if ids is None] for f in found]
-        self.encode_words(list({ws[k] for ws, ks in zip(words, missing) for k in ks}))
+        distinct = {ws[k] for ws, ks in zip(words, missing) for k in ks}
+        known = self.cache.known(distinct)
+        new = self.encode_words(list(distinct.difference(known)))
+        self.cache.put(new)
+        known |= new
         for ws, f, ks in zip(words, found, missing):
             for k in ks:
-                f[k] = self.cache[ws[k]]
+                f[k] = known[ws[k]]
         return [b"".join(f) for f in found]
 
 
