@@ -1,10 +1,11 @@
 """Packing of tokenised texts into windows by best-fit decreasing.
 
 Texts are tokenised by the public tokenizer, the end id follows, and an overlong text is first cut into full windows.
-What remains of each text is dealt by a hash of its id and start over as many groups as there are shuffle
-partitions. In a group the longest piece comes first; a segment tree over remaining capacities finds the tightest open
-window that takes it, else a window is opened. Only the lengths are exchanged, unless the ids are asked for. A group
-leaves at most its last windows partly filled, so padding stays small whatever the number of groups.
+The pieces are written once and dealt by a hash of id and start over groups of about GROUP_WINDOWS windows, as many as their
+ids ask for. In a group the longest piece comes first; a segment tree over remaining capacities finds the tightest open
+window that takes it, else a window is opened. Only the lengths are exchanged, unless the ids are asked for. What a group
+leaves unfilled, beside what no shorter piece fits, is its last windows: few beside GROUP_WINDOWS, whatever the session's
+settings and the size of the table.
 
 Cases: a null text is empty and gives one piece, the end id; an id may be null or repeated (each row has its own
 pieces); other columns are not read; an empty table gives no rows.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_letters
-from .common import configure, shards_of, slices
+from .common import configure, slices, stored
 
 # Fixed value: the pieces of the lower-casing tokenizer's words, for lower-case ASCII and Latin-1; a line end separates words.
 PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
@@ -33,6 +34,7 @@ BETWEEN = b"\xff" * 4        # within no ids: the high byte of an id is never ff
 LETTERS = {b: c for b, c in enumerate(byte_letters()) if b != 10}
 WORD_BYTES, PIECE_BYTES = 64 << 20, 32 << 20       # of words and of pieces that a worker keeps
 ENTRY = 200                 # bytes of an entry besides its key's and value's: two objects and a place in the table
+GROUP_WINDOWS = 2000
 GROUP_IDS = 1 << 32
 _loaded: dict[str, WordEncoder] = {}
 
@@ -196,7 +198,8 @@ def pieces(docs: DataFrame, path: str, end_id: int, window: int, with_ids: bool
 
 def pack(cut: DataFrame, window: int) -> DataFrame:
     """The rows of pieces() with sequence_id and offset."""
-    groups = shards_of(cut.sparkSession)
+    cut = stored(cut, "pieces")
+    groups = max(1, (cut.agg(F.sum("length")).first()[0] or 0) // (GROUP_WINDOWS * window))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,6 +105,31 @@ def test_packing_cases(docs):
     assert packing.pack(packing.pieces(docs([]), WORD, 2, 64), 64).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [8, 51, 200])
+def test_padding_does_not_follow_the_session(spark, partitions):
+    """At most 5 % at sf0.01, whatever the number of shuffle partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = op8_packing(spark, "/root/testdata/sf0.01").groupBy("sequence_id").agg(F.sum("length").alias("filled")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    total = sum(r["filled"] for r in found)
+    assert max(r["filled"] for r in found) <= 4096 and 4096 * len(found) - total <= 0.05 * total
+
+
+def test_caches_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "WORD_BYTES", 40_000)
+    monkeypatch.setattr(packing, "PIECE_BYTES", 40_000)
+    e, lib = packing.WordEncoder(WORD), tokenizer(WORD)
+    rng = random.Random(5)
+    for _ in range(30):
+        t = " ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(60)) + " 漢字 the the"
+        assert np.frombuffer(e.encode([t.encode()])[0], "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+        for cache in (e.cache, e.pieces):
+            assert cache.size <= 20_000 and all(sum(len(k) + len(v) + packing.ENTRY for k, v in half.items()) <= 20_000 for half in (cache.young, cache.old))
+
+
 def test_repeated_rows_are_packed_each(docs):
     cut = packing.pieces(docs([(7, "a b c")] * 5 + [(None, "a")]), WORD, end_id=2, window=64)
     got = packing.pack(cut, 64).collect()
