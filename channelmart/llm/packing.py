@@ -32,7 +32,7 @@ PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0
 OTHER = re.compile(r"[^\n!-~\u00c0-\u00ff]|<\|")
 BETWEEN = b"\xff" * 4        # within no ids: the high byte of an id is never ff
 LETTERS = {b: c for b, c in enumerate(byte_letters()) if b != 10}
-WORD_BYTES, PIECE_BYTES = 64 << 20, 32 << 20       # of words and of pieces that a worker keeps
+WORD_BYTES, PIECE_BYTES = 128 << 20, 48 << 20      # of words and of pieces that a worker keeps
 ENTRY = 200                 # bytes of an entry besides its key's and value's: two objects and a place in the table
 GROUP_WINDOWS = 2000
 GROUP_IDS = 1 << 32
