@@ -199,10 +199,12 @@ def _money() -> list[Column]:
     return [F.coalesce(F.when(F.col("n") == 1, F.col(f"diff_{m}")).when(~F.col(f"last_{m}"), _part(m)), F.col(f"res_{m}")).alias(f"dist_{m}") for m in SHARED]
 
 
-def _session_parts(f: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """W4 + W6: the folded sessions, staged by their key as they are read
-    twice, and the residual takers' rest."""
-    carry = stage_bucketed(session_carry(f).select(*ADGROUP_DAY_KEYS, "alloc_sessions"), "carry", ADGROUP_DAY_KEYS)
+def _session_parts(f: DataFrame, staged: bool = False) -> tuple[DataFrame, DataFrame]:
+    """W4 + W6: the folded sessions and the residual takers' rest. The fold is
+    read twice, from one exchange, or ``staged`` by its rows' key."""
+    carry = session_carry(f).select(*ADGROUP_DAY_KEYS, "alloc_sessions")
+    if staged:
+        carry = stage_bucketed(carry, "carry", ADGROUP_DAY_KEYS)
     given = carry.groupBy(*CAMPAIGN_DAY_KEYS).agg(F.sum("alloc_sessions").alias("given_sessions"))
     return carry, _residuals(f, given, ("sessions",))
 
@@ -237,7 +239,7 @@ def distribute(gap: DataFrame, shares: DataFrame, observed: DataFrame | None = N
     sessions and a staged ``observed`` are bucketed by these, so only the
     residual takers' rows are exchanged."""
     f = staged_fan_out(gap, shares)
-    j = _attach(f, _money_rest(f), *_session_parts(f))
+    j = _attach(f, _money_rest(f), *_session_parts(f, staged=True))
     seen = []
     if observed is not None:
         seen = [f"obs_{m}" for m in AN_METRICS]
