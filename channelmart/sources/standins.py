@@ -422,7 +422,8 @@ def _lossy(pages: DataFrame, properties: tuple[str, ...]) -> DataFrame:
     named = pages.select(F.element_at(F.array(*[F.lit(p) for p in properties]), (F.col("page") % n + 1).cast("int")).alias("property_name"),
                          F.floor(F.col("page") / n).alias("page"), "value")
     lasts = named.groupBy("property_name").agg(F.max("page").alias("last"))
-    rows = named.join(lasts, "property_name")
+    # One row per property goes to the pages: joined by an exchange on the property, all its pages would meet in one task.
+    rows = named.join(F.broadcast(lasts), "property_name")
     lost = (F.col("page") % 7 == 3) | ((F.col("property_name") == properties[1]) & (F.col("page") == F.col("last")))
     copies = F.when(F.col("page") % 11 == 5, 2).otherwise(1)
     return rows.where(~lost).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")

@@ -120,3 +120,21 @@ def test_a_report_as_long_as_a_request_may_be_is_suspect(spark, scratch):
     assert found == [("a", None, 4, "as many rows as a request gives")]
     with pytest.raises(ValueError, match="property_name a"):
         chains.require_reports(read_pages(spark, scratch), "reports", limit=4)
+
+
+def test_lost_pages_are_told_without_exchanging_the_texts_by_property(spark, scratch):
+    """All of a property's texts met in one task: one row per property goes to the pages instead."""
+    from channelmart.sources import standins
+    spark.createDataFrame([(k, str(k)) for k in range(0, 40)], "page long, value string").write.parquet(scratch + "/pages")
+    pages = spark.read.parquet(scratch + "/pages")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)       # as if every side were large
+    try:
+        rows = standins._lossy(pages, ("a", "b"))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        found = sorted((r["property_name"], r["page"], r["value"]) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    kept = [(p, k) for p in "ab" for k in range(20) if k % 7 != 3 and (p, k) != ("b", 19)]
+    assert found == sorted((p, k, str(2 * k + (p == "b"))) for p, k in kept for _ in range(2 if k % 11 == 5 else 1))
