@@ -132,3 +132,19 @@ def test_metrics_keep_their_digits(spark, scratch):
     row = read_ads_search(spark, scratch, "campaign").collect()[0]
     assert (str(row.cost.normalize()), row.clicks, row.impressions) == ("9007199254.740993", 9007199254740993, 3)
     assert str(row.conversions.normalize()) == "0.123456789"
+
+
+def test_rates_are_read_from_the_parsed_page(spark):
+    """Without each object's text written and parsed again; what is no object is left out, its place counts."""
+    from decimal import Decimal
+    from channelmart.sources.reservations import parse_daily_rates
+    texts = ['[{"reservationId": 1, "totalRateAmount": 1.25, "stayDate": "2024-01-01"}, 3, null, "x", [{"reservationId": 9}], {"totalRateAmount": "n/a"}]',
+             ' {"items": {"reservationId": 8}, "data": [{"reservationId": "2", "totalRateAmount": "0.005"}]}', '{"reservationId": 3}', "7"]
+    pages = spark.createDataFrame([(k, v, "p") for k, v in enumerate(texts)], "page long, value string, property_id string")
+    rows = parse_daily_rates(pages)
+    assert "from_json" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.columns == ["property_id", "reservationId", "totalRateAmount", "stayDate", "pos"]
+    found = sorted((r["pos"]["page"], r["pos"]["idx"], r["reservationId"], r["totalRateAmount"], r["stayDate"]) for r in rows.collect())
+    assert found == [(0, 0, "1", Decimal("1.25"), "2024-01-01"), (0, 5, None, None, None), (1, 0, "2", Decimal("0.005"), None), (2, 0, "3", None, None)]
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        parse_daily_rates(spark.createDataFrame([(0, "")], "page long, value string")).collect()
