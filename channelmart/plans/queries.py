@@ -462,7 +462,7 @@ def q_rewritten_days(spark, sf_dir):
     fine = si.ads_fine(spark, sf_dir)
     for run in (si.FIRST_RUN, si.SECOND_RUN, si.EMPTY_RUN):
         run_ads_daily(si.ads_reports(fine, *run), si.native_reports(fine), props, f"{root}/ads", as_of, *run)
-    report = si.item_revenue_report(spark, sf_dir)
+    report = si.landed_item_report(spark, sf_dir)
     for rows, run in ((report, si.ITEM_FIRST), (si.restated(report), si.ITEM_SECOND), (report, si.EMPTY_RUN)):
         run_item_revenue(rows, props, f"{root}/items", as_of, *run)
     res, rates, stays = si.reservations(spark, sf_dir), si.daily_rates(spark, sf_dir), si.reservation_properties(spark)

@@ -228,6 +228,12 @@ def item_revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("pos", _pos("date", "channel", "item_name")))
 
 
+def landed_item_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item revenue report as landed files: staged once for runs that read
+    it several times, which would each join lineitem and part again."""
+    return stage(item_revenue_report(spark, sf_dir), "item-report")
+
+
 # ---------------------------------------------------------- reservation views
 def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reservation objects as the landed JSON reader returns them (wide,

@@ -107,3 +107,27 @@ def test_search_days_prune_date_partitions(spark, scratch):
     assert got.count() == table.where(F.col("data_date").isin([F.to_date(F.lit(d)) for d in dates])).count() > 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "data_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_the_rewritten_days_build_the_item_report_once(spark, monkeypatch):
+    """Three runs read it; each joined all lines with the parts before."""
+    from channelmart.plans import ads_daily, item_revenue as items
+    seen = []
+
+    class Done(Exception):
+        pass
+
+    def run(report, props, path, as_of, start, end):
+        seen.append(report)
+        if len(seen) == 3:
+            raise Done
+    monkeypatch.setattr(ads_daily, "run_ads_daily", lambda *a, **k: None)
+    monkeypatch.setattr(items, "run_item_revenue", run)
+    try:
+        q.q_rewritten_days(spark, SF)
+    except Done:
+        pass
+    files = {f for report in seen for f in report.inputFiles()}
+    assert len(seen) == 3 and files and not any("lineitem" in f or "part.parquet" in f for f in files)
+    wanted = si.item_revenue_report(spark, SF)
+    assert seen[0].exceptAll(wanted).isEmpty() and wanted.exceptAll(seen[0]).isEmpty()
