@@ -339,12 +339,18 @@ def search_projects(spark: SparkSession) -> DataFrame:
 PAGE_ORDERS = 100     # orders of a page, so a page is bounded
 
 
+def _listed(rows: DataFrame, key: str, order: list[str], item: Column) -> DataFrame:
+    """Pages of PAGE_ORDERS keys each (``page``, ``rows``: the items in order)."""
+    # The fields are built below the grouping, whose own arguments are evaluated row by row without generated code.
+    fields = F.struct(*[F.col(c) for c in order], item.alias("item"))
+    lines = rows.select(F.floor(F.col(key) / PAGE_ORDERS).alias("page"), fields.alias("fields"))
+    return lines.groupBy("page").agg(F.sort_array(F.collect_list("fields")).alias("rows")).select("page", F.col("rows.item").alias("rows"))
+
+
 def _pages(rows: DataFrame, key: str, order: list[str], item: Column, wrap) -> DataFrame:
     """Pages (``page``, ``value``) of JSON text: the items of PAGE_ORDERS keys
     each, in order, as ``wrap`` puts the array into a page."""
-    fields = F.struct(*[F.col(c) for c in order], item.alias("item"))
-    listed = rows.groupBy(F.floor(F.col(key) / PAGE_ORDERS).alias("page")).agg(F.array_sort(F.collect_list(fields)).alias("rows"))
-    return listed.select("page", wrap(F.transform("rows", lambda x: x["item"])).alias("value"))
+    return _listed(rows, key, order, item).select("page", wrap(F.col("rows")).alias("value"))
 
 
 def _value(c: Column) -> Column:
@@ -467,7 +473,9 @@ def cut_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------- responses of every report shape
 def spec_pages(spark: SparkSession, sf_dir: str, dims: list[str], metrics: list[tuple[str, str]]) -> DataFrame:
     """Responses of the lines in the shape of any report, one page per 100
-    orders: what a dimension or metric holds follows from its name."""
+    orders: what a dimension or metric holds follows from its name. The lines
+    are grouped with the texts of all names, so that every shape has the same
+    exchange (Spark makes it once) and only puts its texts together."""
     li = table(spark, sf_dir, "lineitem")
     values = {"date": F.translate(F.to_date("l_shipdate").cast("string"), "-", ""),
               "campaign": F.concat(F.lit("camp-"), (F.col("l_partkey") % 9).cast("string")),
@@ -478,10 +486,19 @@ def spec_pages(spark: SparkSession, sf_dir: str, dims: list[str], metrics: list[
               "clicks": F.col("l_quantity").cast("long"), "sessions": F.col("l_quantity").cast("long") + 1,
               "items_purchased": F.col("l_quantity").cast("long") + 2, "impressions": F.col("l_linenumber").cast("long") * 10,
               "conversions": _dec("l_tax", 4, 2)}
-    item = F.struct(F.array(*[_value(values[d]) for d in dims]).alias("dimensionValues"),
-                    F.array(*[_value(values[m]) for m, _ in metrics]).alias("metricValues"))
-    pages = _pages(li, "l_orderkey", ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"], item, lambda items: F.to_json(F.struct(items.alias("rows"))))
-    return pages.withColumn("property_name", F.when(F.col("page") % 2 == 0, F.lit("north-lounges")).otherwise(F.lit("south-stays")))
+    texts = F.struct(*[F.to_json(_value(c)).alias(name) for name, c in values.items()])
+    pages = _listed(li, "l_orderkey", ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"], texts)
+
+    def item(line: Column) -> Column:
+        return F.concat(F.lit('{"dimensionValues":['), *_commas([line[d] for d in dims]),
+                        F.lit('],"metricValues":['), *_commas([line[m] for m, _ in metrics]), F.lit("]}"))
+
+    value = F.concat(F.lit('{"rows":['), F.array_join(F.transform("rows", item), ","), F.lit("]}"))
+    return pages.select("page", value.alias("value"), F.when(F.col("page") % 2 == 0, F.lit("north-lounges")).otherwise(F.lit("south-stays")).alias("property_name"))
+
+
+def _commas(texts: list[Column]) -> list[Column]:
+    return [part for text in texts for part in (F.lit(","), text)][1:]
 
 
 # ------------------------------------------------------ runs that write again
